@@ -1,0 +1,53 @@
+"""First row per key, where a key is forgotten a fixed time after it was kept."""
+
+from __future__ import annotations
+
+import pandas as pd
+from pyspark.sql import DataFrame, Window, functions as F, types as T
+
+from weirflow.operators.windows import arrival_tick
+
+
+def replay_dedup(
+    df: DataFrame, key: str, arrival: str, order: str, ttl: int, period: int
+) -> DataFrame:
+    """Rows a deduplicating stream would keep, for a given arrival order.
+
+    A row passes when its key has not passed within the last ``ttl`` seconds;
+    arrival time is that of its trigger interval (``period`` seconds). Rows with
+    no key all pass and are marked in ``unkeyed``. Per interval only the first
+    row of a key can pass, so rows shrink to that before the shuffle, and a
+    key's history is cut wherever it pauses for ``ttl``: no task gets more than
+    one unbroken run of intervals.
+    """
+    rows = df.withColumn("_tick", arrival_tick(arrival, period))
+    unkeyed = rows.filter(F.col(key).isNull()).drop("_tick")
+    first = Window.partitionBy(key, "_tick").orderBy(order)
+    firsts = (
+        rows.filter(F.col(key).isNotNull())
+        .withColumn("_rank", F.row_number().over(first))
+        .filter("_rank = 1")
+        .drop("_rank")
+    )
+    per_key = Window.partitionBy(key).orderBy("_tick")
+    pause = (F.col("_tick") - F.lag("_tick").over(per_key)) * period >= ttl
+    runs = firsts.withColumn("_starts", F.coalesce(pause, F.lit(True)).cast("int")).withColumn(
+        "_run", F.sum("_starts").over(per_key)
+    )
+    columns = df.columns
+    schema = T.StructType(df.schema.fields)
+
+    def keep(run: pd.DataFrame) -> pd.DataFrame:
+        run = run.sort_values("_tick")
+        chosen, free_at = [], None
+        for tick in run["_tick"].tolist():
+            passes = free_at is None or tick * period >= free_at
+            if passes:
+                free_at = tick * period + ttl
+            chosen.append(passes)
+        return run.loc[chosen, columns]
+
+    passed = runs.groupBy(key, "_run").applyInPandas(keep, schema)
+    return passed.withColumn("unkeyed", F.lit(False)).unionByName(
+        unkeyed.withColumn("unkeyed", F.lit(True))
+    )
