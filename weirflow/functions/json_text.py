@@ -52,37 +52,69 @@ class _Number(str):
     """A JSON number kept as its source text."""
 
 
-def _parse_object(text: str | None) -> dict | None:
-    if text is None:
-        return None
-    try:
-        parsed = json.loads(text, parse_int=_Number, parse_float=_Number)
-    except (ValueError, RecursionError):
-        return None
-    return parsed if isinstance(parsed, dict) else None
+_encode_plain = json.JSONEncoder(ensure_ascii=False, separators=(",", ":")).encode
+
+
+def _no_constant(token: str):
+    raise ValueError(f"{token} is no JSON")
+
 
+def _parse_object(text: str | None, quote_big: bool) -> tuple[dict | None, bool]:
+    """The object and whether it holds ``_Number`` values; None when it is no object.
 
-def _write(value, quote_big: bool) -> str:
-    if isinstance(value, _Number):
-        big = quote_big and re.fullmatch(r"-?\d{%d,}" % BIG_DIGITS, value)
-        return f'"{value}"' if big else str(value)
-    if isinstance(value, dict):
-        pairs = (f"{_write(k, quote_big)}:{_write(v, quote_big)}" for k, v in value.items())
+    Python integers are exact, so only fractions, and integers too long for
+    ``int``, keep their text. Big integers become plain strings to be quoted.
+    """
+    raw = False
+
+    def fraction(token: str) -> _Number:
+        nonlocal raw
+        raw = True
+        return _Number(token)
+
+    def integer(token: str):
+        digits = len(token) - (token[0] == "-")
+        if quote_big and digits >= BIG_DIGITS:
+            return token
+        return int(token) if digits < 4000 else fraction(token)
+
+    try:
+        parsed = json.loads(
+            text, parse_int=integer, parse_float=fraction, parse_constant=_no_constant
+        )
+    except (TypeError, ValueError, RecursionError):
+        return None, False
+    return (parsed, raw) if isinstance(parsed, dict) else (None, False)
+
+
+def _write(value, raw: bool) -> str:
+    """JSON text without blanks; ``raw`` values go out digit for digit."""
+    if not raw:
+        text = _encode_plain(value)
+    elif isinstance(value, _Number):
+        return str(value)
+    elif isinstance(value, dict):
+        pairs = (f"{_write(k, False)}:{_write(v, True)}" for k, v in value.items())
         return "{" + ",".join(pairs) + "}"
-    if isinstance(value, list):
-        return "[" + ",".join(_write(v, quote_big) for v in value) + "]"
-    return json.dumps(value, ensure_ascii=False)
+    elif isinstance(value, list):
+        return "[" + ",".join(_write(v, True) for v in value) + "]"
+    else:
+        text = _encode_plain(value)
+    if text.isascii():
+        return text
+    # Half of a surrogate pair has no UTF-8 form and goes out as an escape.
+    return re.sub("[\ud800-\udfff]", lambda m: f"\\u{ord(m[0]):04x}", text)
 
 
 def _flat(text: str | None, quote_big: bool) -> str | None:
-    parsed = _parse_object(text)
+    parsed, raw = _parse_object(text, quote_big)
     if parsed is None:
         return None
     flat = {
-        key: _write(value, quote_big) if isinstance(value, (dict, list)) else value
+        key: _write(value, raw) if isinstance(value, (dict, list)) else value
         for key, value in parsed.items()
     }
-    return _write(flat, quote_big)
+    return _write(flat, raw)
 
 
 def flatten_json(value: Column, bigint_as_string: bool = False) -> Column:
@@ -111,21 +143,20 @@ def split_metadata(value: Column, flat_keys: tuple[str, ...] = ("id", "sender_na
         + [T.StructField("parsed", T.BooleanType())]
     )
 
-    def split(text: str | None) -> dict:
-        parsed = _parse_object(text)
-        row = dict.fromkeys([*names, "METADATA"])
-        row["parsed"] = parsed is not None
+    def split(text: str | None) -> tuple:
+        parsed, raw = _parse_object(text, False)
+        if parsed is None:
+            return (*[None] * len(names), None, False)
+        row = dict.fromkeys(names)
         rest = {}
-        for key, item in (parsed or {}).items():
+        for key, item in parsed.items():
             if key.upper() not in names:
                 rest[key] = item
             elif item is None or (isinstance(item, str) and not isinstance(item, _Number)):
-                row[key.upper()] = item
+                row[key.upper()] = item and item.encode("utf-8", "replace").decode()
             else:
-                row[key.upper()] = _write(item, False)
-        if parsed is not None:
-            row["METADATA"] = _write(rest, False)
-        return row
+                row[key.upper()] = _write(item, raw)
+        return (*row.values(), _write(rest, raw), True)
 
     @F.pandas_udf(schema)
     def split_udf(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:

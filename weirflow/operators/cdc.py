@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from weirflow.operators.rows import latest_by
+from weirflow.operators.rows import compute_once, latest_by
 
 RECORD = T.MapType(T.StringType(), T.StringType())
 
@@ -46,11 +46,8 @@ def destination(database: Column, table: Column) -> Column:
 def parse_changes(messages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """``value`` text to envelope fields, ``destination`` and ``reason`` (NULL when good)."""
     schema = T.StructType([*CHANGE_SCHEMA.fields, T.StructField("_bad", T.StringType())])
-    parsed = messages.select(
-        *keep,
-        "value",
-        F.from_json("value", schema, {"columnNameOfCorruptRecord": "_bad"}).alias("m"),
-    ).select(*keep, "value", "m.*")
+    message = F.from_json("value", schema, {"columnNameOfCorruptRecord": "_bad"})
+    parsed = compute_once(messages, [*keep, "value"], m=message).select(*keep, "value", "m.*")
     blank = F.col("value").isNull() | F.trim("value").isin("", "null")
     target = destination(F.col("database"), F.col("table"))
     ddl = F.coalesce(F.col("isDdl"), F.lit(False))

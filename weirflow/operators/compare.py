@@ -23,8 +23,8 @@ def compare_records(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> D
     ``different``. Both inputs hold ``record`` maps. The join is on the row key
     alone and fields are compared inside the row, so width adds no shuffle.
     """
-    a = left.select(*keys, F.col("record").alias("_l"))
-    b = right.select(*keys, F.col("record").alias("_r"))
+    a = _unique(left, keys).withColumnRenamed("record", "_l")
+    b = _unique(right, keys).withColumnRenamed("record", "_r")
     none = F.expr("map()").cast("map<string,string>")
     both = a.join(b, list(keys), "full").withColumns(
         {"_l": F.coalesce("_l", none), "_r": F.coalesce("_r", none)}
@@ -50,6 +50,16 @@ def compare_records(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> D
     return both.select(*keys, F.explode(differences).alias("d")).select(*keys, "d.*")
 
 
+def _unique(records: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One record per key; a repeated key fails the job, it has no one counterpart."""
+    found = records.groupBy(*keys).agg(
+        F.count("*").alias("_n"), F.any_value("record").alias("record")
+    )
+    message = F.concat(F.lit("record key is not unique: "), F.to_json(F.struct(*keys)))
+    record = F.when(F.col("_n") > 1, F.raise_error(message).cast("map<string,string>"))
+    return found.select(*keys, record.otherwise(F.col("record")).alias("record"))
+
+
 def field_counts(records: DataFrame) -> DataFrame:
     """Number of records and of fields over all records."""
     return records.agg(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
@@ -34,20 +36,29 @@ def replay_dedup(
     runs = firsts.withColumn("_starts", F.coalesce(pause, F.lit(True)).cast("int")).withColumn(
         "_run", F.sum("_starts").over(per_key)
     )
-    columns = df.columns
-    schema = T.StructType(df.schema.fields)
-
-    def keep(run: pd.DataFrame) -> pd.DataFrame:
-        run = run.sort_values("_tick")
-        chosen, free_at = [], None
-        for tick in run["_tick"].tolist():
-            passes = free_at is None or tick * period >= free_at
-            if passes:
-                free_at = tick * period + ttl
-            chosen.append(passes)
-        return run.loc[chosen, columns]
-
-    passed = runs.groupBy(key, "_run").applyInPandas(keep, schema)
+    passed = (
+        runs.repartition(key, "_run")
+        .sortWithinPartitions(key, "_run", "_tick")
+        .mapInPandas(_keeper(key, df.columns, ttl, period), T.StructType(df.schema.fields))
+    )
     return passed.withColumn("unkeyed", F.lit(False)).unionByName(
         unkeyed.withColumn("unkeyed", F.lit(True))
     )
+
+
+def _keeper(key: str, columns: list[str], ttl: int, period: int) -> Callable:
+    """Walks ordered runs, holding only the present run and when its key is free again."""
+
+    def keep(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        current, free_at = None, 0
+        for frame in frames:
+            chosen = []
+            for run in zip(frame[key], frame["_run"], frame["_tick"]):
+                now = run[2] * period
+                passes = run[:2] != current or now >= free_at
+                if passes:
+                    current, free_at = run[:2], now + ttl
+                chosen.append(passes)
+            yield frame.loc[chosen, columns]
+
+    return keep

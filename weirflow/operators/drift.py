@@ -7,11 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from weirflow.functions.json_text import json_map
+from weirflow.operators.rows import compute_once
 
 
 def dynamic_rows(messages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """``value`` text to a ``row`` map plus ``reason`` (``malformed`` or NULL)."""
-    parsed = messages.select(*keep, "value", json_map(F.col("value")).alias("row"))
+    parsed = compute_once(messages, [*keep, "value"], row=json_map(F.col("value")))
     return parsed.withColumn("reason", F.when(F.col("row").isNull(), "malformed"))
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from weirflow.functions.casts import field, split_line, typed
 from weirflow.functions.json_text import json_map
 from weirflow.functions.times import micros_to_seconds, millis_to_seconds, now_millis
+from weirflow.operators.rows import compute_once
 
 EVENT_SCHEMA = T.StructType(
     [
@@ -32,7 +33,7 @@ def type_lines(
 
     A row is good (``reason`` NULL) when it has every field and each one parses.
     """
-    split = lines.select(*keep, "value", split_line(F.col("value"), delimiter).alias("_f"))
+    split = compute_once(lines, [*keep, "value"], _f=split_line(F.col("value"), delimiter))
     texts = [field(F.col("_f"), i) for i in range(len(schema))]
     columns = [typed(t, f.dataType).alias(f.name) for t, f in zip(texts, schema.fields)]
     short = F.size("_f") < len(schema)
@@ -118,7 +119,7 @@ def basic_events(messages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     ``reason`` is ``malformed`` when the text is no object and ``no event time``
     when ``event_timestamp`` (microseconds) is absent or no integer.
     """
-    parsed = messages.select(*keep, "value", json_map(F.col("value")).alias("row"))
+    parsed = compute_once(messages, [*keep, "value"], row=json_map(F.col("value")))
     micros = F.try_element_at("row", F.lit("event_timestamp")).try_cast("bigint")
     reason = F.when(F.col("row").isNull(), "malformed").when(micros.isNull(), "no event time")
     return parsed.select(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from weirflow.functions.json_text import struct_text
 from weirflow.functions.times import datetime_text, parse_instant
-from weirflow.operators.rows import latest_by
+from weirflow.operators.rows import compute_once, latest_by
 
 REQUEST_SCHEMA = T.StructType(
     [
@@ -45,11 +45,10 @@ def parse_logs(
     text, or an instant with its milliseconds when ``millis`` is set.
     """
     schema = T.StructType([*LOG_SCHEMA.fields, T.StructField("_bad", T.StringType())])
-    parsed = messages.select(
-        *keep,
-        "value",
-        F.from_json("value", schema, {"columnNameOfCorruptRecord": "_bad"}).alias("log"),
-    ).select(*keep, "value", "log.*", parse_instant(F.col("log.timestamp")).alias("_at"))
+    log = F.from_json("value", schema, {"columnNameOfCorruptRecord": "_bad"})
+    parsed = compute_once(messages, [*keep, "value"], log=log).select(
+        *keep, "value", "log.*", parse_instant(F.col("log.timestamp")).alias("_at")
+    )
     blank = F.col("value").isNull() | F.trim("value").isin("", "null")
     reason = (
         F.when(blank, "empty")

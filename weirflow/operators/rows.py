@@ -7,6 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
+def compute_once(df: DataFrame, keep: Sequence[Column | str], **columns: Column) -> DataFrame:
+    """``keep`` plus new columns, each computed once per row.
+
+    A filter on a plain projection is pushed below it together with a copy of the
+    expressions, so a parse would run again for every mention. The generator
+    between the two holds the filter back.
+    """
+    struct = F.struct(*[c.alias(name) for name, c in columns.items()])
+    return df.select(*keep, F.inline(F.array(struct)))
+
+
 def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
     """The last row per key.
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from weirflow.functions.times import epoch_millis, newest_first_key, now_millis
+from weirflow.session import materialize
 
 # Ticks per block when the watermark is carried over ticks.
 TICK_BLOCK = 1440
@@ -183,7 +184,8 @@ def late_rows(
     time of all earlier trigger intervals, as in a running query.
     """
     rows = df.withColumns({"window": F.window(ts, size), "tick": arrival_tick(arrival, period)})
-    marks = tick_watermarks(_ticks(rows, ts)).select("tick", "watermark")
+    ticks = materialize(_ticks(rows.select(ts, "tick"), ts), "ticks")
+    marks = tick_watermarks(ticks).select("tick", "watermark")
     timing = _timing(F.col("window.end"), lateness)
     return rows.join(marks, "tick").withColumn("timing", timing).drop("tick", "watermark")
 
@@ -224,18 +226,24 @@ def replay_panes(
     pending. Rows beyond the allowed lateness are dropped. ``num_records, sum,
     min, max`` are the pane's own values (discarding), the ``acc_`` columns run
     over all panes so far (accumulating). Rows shrink to one partial per window,
-    dimension and interval before anything is joined or ordered.
+    dimension and interval, which is written out; all ordering works on those.
     """
     rows = df.select(dim, ts, metric, arrival_tick(arrival, period).alias("tick"))
-    marks = tick_watermarks(_ticks(rows, ts))
-    partial = (
-        rows.groupBy(F.window(ts, size).alias("window"), dim, "tick")
-        .agg(
+    sums = materialize(
+        rows.groupBy(F.window(ts, size).alias("window"), dim, "tick").agg(
             F.count(metric).alias("num_records"),
             F.sum(metric).alias("sum"),
             F.min(metric).alias("min"),
             F.max(metric).alias("max"),
-        )
+            F.min(ts).alias("min_ts"),
+            F.max(ts).alias("max_ts"),
+        ),
+        "pane-sums",
+    )
+    ticks = sums.groupBy("tick").agg(F.min("min_ts").alias("min_ts"), F.max("max_ts").alias("max_ts"))
+    marks = tick_watermarks(ticks)
+    partial = (
+        sums.drop("min_ts", "max_ts")
         .withColumns({"window_start": F.col("window.start"), "window_end": F.col("window.end")})
         .join(marks.select("tick", "watermark"), "tick")
         .withColumn("timing", _timing(F.col("window_end"), lateness))

@@ -101,12 +101,12 @@ def log_upsert(spark: SparkSession, folder: str) -> DataFrame:
 
 def bigint_flatten(spark: SparkSession, folder: str) -> DataFrame:
     messages = adapters.big_number_messages(read(spark, folder, "lineitem"))
-    m = messages.select(json_map(F.col("value")).alias("m"))
+    parsed = rows.compute_once(messages, [], m=json_map(F.col("value")))
 
     def text(key: str) -> Column:
         return F.try_element_at("m", F.lit(key))
 
-    return m.select(
+    return parsed.select(
         text("ID").alias("id_text"),
         (text("ID").try_cast("decimal(38,0)") + 1).cast("string").alias("id_plus_one"),
         text("wide").alias("wide_text"),
@@ -121,7 +121,7 @@ def bigint_flatten(spark: SparkSession, folder: str) -> DataFrame:
 
 def _envelopes(spark: SparkSession, folder: str, as_string: bool) -> DataFrame:
     messages = adapters.nested_messages(read(spark, folder, "orders"))
-    flat = messages.select("seq", flatten_json(F.col("value"), as_string).alias("envelope"))
+    flat = rows.compute_once(messages, ["seq"], envelope=flatten_json(F.col("value"), as_string))
     return flat.filter(F.col("envelope").isNotNull())
 
 
@@ -135,8 +135,8 @@ def bigint_envelope_text(spark: SparkSession, folder: str) -> DataFrame:
 
 def json_metadata_split(spark: SparkSession, folder: str) -> DataFrame:
     messages = adapters.sender_messages(read(spark, folder, "customer"))
-    rows_ = messages.select(split_metadata(F.col("value")).alias("r")).filter("r.parsed")
-    return rows_.select(
+    split = rows.compute_once(messages, [], r=split_metadata(F.col("value"))).filter("r.parsed")
+    return split.select(
         "r.ID",
         "r.SENDER_NAME",
         "r.METADATA",

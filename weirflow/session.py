@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings: safe to set on a session somebody else built.
 RUNTIME_CONF = {
@@ -23,9 +25,25 @@ def prepare_session(spark: SparkSession) -> SparkSession:
     """Set what the operators need: UTC text, last key wins in JSON, AQE, RocksDB state."""
     for name, value in RUNTIME_CONF.items():
         spark.conf.set(name, value)
+    ship_package(spark)
     return spark
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package, once per application: Python tasks import it."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        package = Path(__file__).resolve().parent
+        archive = Path(tempfile.mkdtemp(prefix="weirflow-ship-")) / package.name
+        context.addPyFile(
+            shutil.make_archive(str(archive), "zip", package.parent, package.name)
+        )
+        _shipped.add(context.applicationId)
+
+
 def local_session(cpus: int | str = 8, app: str = "weirflow") -> SparkSession:
     """A local session for tests and the bench; a cluster brings its own."""
     builder = (
@@ -50,3 +68,14 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     base = shared or tempfile.mkdtemp(prefix="weirflow-")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """Write an intermediate result to the shared folder and go on from the files.
+
+    For results read more than once that are much smaller than their input: the
+    input is then read once, and a lost executor re-reads files, not the input.
+    """
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -109,12 +109,23 @@ def read_staged(
     before = spark.conf.get(setting)
     spark.conf.set(setting, "true")
     try:
-        found = reader.json(paths)
-        spellings: dict[str, list[str]] = {}
-        for name in found.columns:
-            spellings.setdefault(name.lower(), []).append(name)
-        return found.select(
-            *[F.coalesce(*[F.col(f"`{n}`") for n in names]).alias(names[0]) for names in spellings.values()]
-        )
+        inferred = reader.json(paths).schema
     finally:
         spark.conf.set(setting, before)
+    spellings: dict[str, list[T.StructField]] = {}
+    for found in inferred.fields:
+        spellings.setdefault(found.name.lower(), []).append(found)
+    width = max((len(found) for found in spellings.values()), default=0)
+    if width <= 1:
+        return reader.schema(inferred).json(paths)
+    # One parse per spelling: names that differ in case cannot share a struct.
+    parses = [T.StructType([f[i] for f in spellings.values() if i < len(f)]) for i in range(width)]
+    lines = spark.read.text(paths).select(
+        *[F.from_json("value", p, {"mode": "FAILFAST"}).alias(f"_p{i}") for i, p in enumerate(parses)]
+    )
+    return lines.select(
+        *[
+            F.coalesce(*[F.col(f"_p{i}")[f.name] for i, f in enumerate(found)]).alias(found[0].name)
+            for found in spellings.values()
+        ]
+    )

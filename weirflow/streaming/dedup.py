@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Row, functions as F, types as T
 from pyspark.sql.streaming.stateful_processor import (
     StatefulProcessor,
     StatefulProcessorHandle,
@@ -24,13 +24,9 @@ class FirstSeen(StatefulProcessor):
         self.seen = handle.getValueState("seen", "seen boolean", ttlDurationMs=self.ttl_ms)
 
     def handleInputRows(
-        self, key, rows: Iterator[pd.DataFrame], timerValues: TimerValues
-    ) -> Iterator[pd.DataFrame]:
-        first = None
-        for frame in rows:
-            candidate = frame.nsmallest(1, self.order)
-            if first is None or candidate[self.order].iloc[0] < first[self.order].iloc[0]:
-                first = candidate
+        self, key, rows: Iterator[Row], timerValues: TimerValues
+    ) -> Iterator[Row]:
+        first = min(rows, key=lambda row: row[self.order], default=None)
         if first is not None and not self.seen.exists():
             self.seen.update((True,))
             yield first
@@ -58,7 +54,7 @@ def dedup_stream(rows: DataFrame, key: str, order: str, ttl_seconds: int = 300)
         has_key(rows, key)
         .mapInPandas(firsts, schema)
         .groupBy(key)
-        .transformWithStateInPandas(
+        .transformWithState(
             FirstSeen(ttl_seconds * 1000, order),
             outputStructType=schema,
             outputMode="Append",

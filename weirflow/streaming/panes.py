@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from datetime import UTC, datetime
 
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Row, functions as F, types as T
 from pyspark.sql.streaming.stateful_processor import (
     ExpiredTimerInfo,
     StatefulProcessor,
@@ -31,6 +32,8 @@ PANES = (
     "min long, max long, acc_num_records long, acc_sum long, acc_min long, acc_max long"
 )
 
+_PaneRow = Row(*[part.split()[0] for part in PANES.split(", ")])
+
 # All panes so far, rows waiting for a late firing, and the firing counters.
 STATE = (
     "n long, total long, low long, high long, "
@@ -65,10 +68,10 @@ class PaneProcessor(StatefulProcessor):
         current = timers.getCurrentWatermarkInMs()
         return current + self.delay_ms if current > 0 else None
 
-    def _load(self) -> dict:
-        stored = self.state.get() if self.state.exists() else None
+    def _load(self) -> dict | None:
+        stored = self.state.get()
         if stored is None:
-            return {"all": EMPTY, "wait": EMPTY, "fired": 0, "final": 0, "passed": False}
+            return None
         return {
             "all": tuple(stored[0:4]),
             "wait": tuple(stored[4:8]),
@@ -80,7 +83,7 @@ class PaneProcessor(StatefulProcessor):
     def _store(self, s: dict) -> None:
         self.state.update((*s["all"], *s["wait"], s["fired"], s["final"], s["passed"]))
 
-    def _fire(self, key, s: dict, timing: str, own: tuple, last: bool = False) -> tuple:
+    def _fire(self, key, s: dict, timing: str, own: tuple, last: bool = False) -> Row:
         dim, start = key
         index = s["fired"]
         s["fired"] += 1
@@ -89,41 +92,37 @@ class PaneProcessor(StatefulProcessor):
         else:
             nonspeculative = s["final"]
             s["final"] += 1
-        bounds = (pd.Timestamp(start, unit="ms"), pd.Timestamp(start + self.size_ms, unit="ms"))
+        bounds = (_moment(start), _moment(start + self.size_ms))
         flags = (timing, index, nonspeculative, index == 0, last)
-        return (dim, *bounds, *flags, *own, *s["all"])
+        return _PaneRow(dim, *bounds, *flags, *own, *s["all"])
 
-    def _set_timers(self, start: int) -> None:
-        end = start + self.size_ms
-        self.handle.registerTimer(end - self.delay_ms - 1)
-        self.handle.registerTimer(end + self.lateness_ms - self.delay_ms - 1)
+    def _pass(self, key, s: dict, out: list[Row]) -> None:
+        """The watermark is over the window's end: fire once, wait for the lateness to end."""
+        s["passed"] = True
+        if s["all"][0] > 0:
+            out.append(self._fire(key, s, "ON_TIME", EMPTY))
+        closes = key[1] + self.size_ms + self.lateness_ms
+        self.handle.registerTimer(closes - self.delay_ms - 1)
 
     def handleInputRows(
-        self, key, rows: Iterator[pd.DataFrame], timerValues: TimerValues
-    ) -> Iterator[pd.DataFrame]:
-        start, end = key[1], key[1] + self.size_ms
+        self, key, rows: Iterator[Row], timerValues: TimerValues
+    ) -> Iterator[Row]:
+        end = key[1] + self.size_ms
         watermark = self._watermark(timerValues)
         new = EMPTY
-        for frame in rows:
-            new = _merge(
-                new,
-                (
-                    int(frame["num_records"].sum()),
-                    int(frame["sum"].sum()),
-                    int(frame["min"].min()),
-                    int(frame["max"].max()),
-                ),
-            )
+        for row in rows:
+            new = _merge(new, (row["num_records"], row["sum"], row["min"], row["max"]))
         if watermark is not None and watermark >= end + self.lateness_ms:
             return
-        fresh = not self.state.exists()
         s = self._load()
-        out = []
+        out: list[Row] = []
         late = watermark is not None and watermark >= end
+        if s is None:
+            s = {"all": EMPTY, "wait": EMPTY, "fired": 0, "final": 0, "passed": False}
+            if not late:
+                self.handle.registerTimer(end - self.delay_ms - 1)
         if late and not s["passed"]:
-            s["passed"] = True
-            if s["all"][0] > 0:
-                out.append(self._fire(key, s, "ON_TIME", EMPTY))
+            self._pass(key, s, out)
         s["all"] = _merge(s["all"], new)
         if not late:
             out.append(self._fire(key, s, "EARLY", new))
@@ -132,25 +131,20 @@ class PaneProcessor(StatefulProcessor):
             if s["wait"][0] >= self.late_count:
                 out.append(self._fire(key, s, "LATE", s["wait"]))
                 s["wait"] = EMPTY
-        if fresh:
-            self._set_timers(start)
         self._store(s)
-        if out:
-            yield _frame(out)
+        yield from out
 
     def handleExpiredTimer(
         self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo
-    ) -> Iterator[pd.DataFrame]:
-        if not self.state.exists():
+    ) -> Iterator[Row]:
+        s = self._load()
+        if s is None:
             return
         end = key[1] + self.size_ms
         watermark = self._watermark(timerValues) or 0
-        s = self._load()
-        out = []
+        out: list[Row] = []
         if watermark >= end and not s["passed"]:
-            s["passed"] = True
-            if s["all"][0] > 0:
-                out.append(self._fire(key, s, "ON_TIME", EMPTY))
+            self._pass(key, s, out)
         if watermark >= end + self.lateness_ms:
             # The closing pane fires only when rows are pending.
             if s["wait"][0] > 0:
@@ -158,19 +152,14 @@ class PaneProcessor(StatefulProcessor):
             self.state.clear()
         else:
             self._store(s)
-        if out:
-            yield _frame(out)
+        yield from out
 
     def close(self) -> None:
         pass
 
 
-def _frame(rows: list[tuple]) -> pd.DataFrame:
-    names = [part.split()[0] for part in PANES.split(", ")]
-    frame = pd.DataFrame(rows, columns=names)
-    counts = [c for c in names if c not in ("dim1", "window_start", "window_end", "timing", "is_first", "is_last")]
-    frame[counts] = frame[counts].astype("Int64")
-    return frame
+def _moment(millis: int) -> datetime:
+    return datetime.fromtimestamp(millis / 1000, UTC)
 
 
 def partial_sums(events: DataFrame, ts: str, size_ms: int, dim: str, metric: str) -> DataFrame:
@@ -218,7 +207,7 @@ def pane_stream(
     return (
         partials.withWatermark("max_ts", f"{size_seconds + lateness_seconds} seconds")
         .groupBy("dim1", "start_ms")
-        .transformWithStateInPandas(
+        .transformWithState(
             PaneProcessor(size_ms, lateness_ms, late_count),
             outputStructType=PANES,
             outputMode="Append",
