@@ -70,7 +70,7 @@ def test_pane_stream_equals_rules(spark, feed, run, table, late_count):
         source.send([{"dim1": d, "at": at, "metrics1": m} for d, at, m in ticks[tick]])
     events = source.stream().withColumn("ts", F.timestamp_millis("at"))
     panes = pane_stream(events, "ts", SIZE // 1000, 2 * SIZE // 1000, late_count)
-    run(panes, bodies.stats_body(table))
+    run(panes, bodies.append_body(table))
     found = sorted(
         (
             r["dim1"], int(r["window_start"].timestamp() * 1000), r["timing"], r["pane_idx"],
@@ -90,7 +90,7 @@ def test_update_mode_statistics(spark, feed, run, table):
     source.send([{"dim1": "a", "at": base, "metrics1": 4}, {"dim1": "b", "at": base, "metrics1": 1}])
     source.send([{"dim1": "a", "at": base + 1, "metrics1": 6}])
     events = source.stream().withColumn("ts", F.timestamp_millis("at")).withWatermark("ts", "1 hour")
-    run(windows.window_stats(events, "ts", "1 minute"), bodies.stats_body(table), "update")
+    run(windows.window_stats(events, "ts", "1 minute"), bodies.append_body(table), "update")
     firing_counts = [r["num_records"] for r in spark.table(table).filter("dim1 = 'a'").orderBy("batch_id").collect()]
     assert firing_counts == [1, 2]
     last = tables.current_rows(spark, table, ["window_start", "dim1"]).collect()
@@ -104,7 +104,7 @@ def test_dedup_forgets_keys_after_a_while(spark, feed, run, table):
     try:
         def go(items, ttl=3600):
             source.send(items)
-            run(dedup.dedup_stream(source.stream(), "uuid", "seq", ttl), bodies.stats_body(table))
+            run(dedup.dedup_stream(source.stream(), "uuid", "seq", ttl), bodies.append_body(table))
 
         go([{"uuid": "a", "seq": 2}, {"uuid": "a", "seq": 1}, {"uuid": "b", "seq": 3}, {"seq": 4}])
         go([{"uuid": "a", "seq": 5}, {"uuid": "c", "seq": 6}])
@@ -122,7 +122,7 @@ def test_dedup_ttl_expires(spark, feed, run, table):
     try:
         for seq in (1, 2):
             source.send([{"uuid": "a", "seq": seq}])
-            run(dedup.dedup_stream(source.stream(), "uuid", "seq", 1), bodies.stats_body(table))
+            run(dedup.dedup_stream(source.stream(), "uuid", "seq", 1), bodies.append_body(table))
             time.sleep(2)
     finally:
         spark.conf.set(setting, "true")
@@ -134,7 +134,7 @@ def test_dedup_in_event_time(spark, feed, run, table):
     source.send([{"uuid": "a", "at": 1000}, {"uuid": "a", "at": 1001}, {"uuid": "b", "at": 1000}])
     source.send([{"uuid": "a", "at": 1100}])
     df = source.stream().withColumn("ts", F.timestamp_seconds("at"))
-    run(dedup.dedup_event_time(df, "uuid", "ts"), bodies.stats_body(table))
+    run(dedup.dedup_event_time(df, "uuid", "ts"), bodies.append_body(table))
     assert spark.table(table).count() == 2
 
 

@@ -31,6 +31,19 @@ CHANGE_SCHEMA = T.StructType(
 # Columns that order changes of one record: source times, then arrival, then place in message.
 CHANGE_ORDER = ("ts", "es", "arrival", "pos")
 
+# What a destination table stores beside the record: enough to apply changes on reading.
+CHANGE_FIELDS = T.StructType(
+    [
+        T.StructField("change_type", T.StringType()),
+        T.StructField("ts", T.LongType()),
+        T.StructField("es", T.LongType()),
+        T.StructField("arrival", T.LongType()),
+        T.StructField("pos", T.IntegerType()),
+        T.StructField("record_key", T.StringType()),
+    ]
+)
+CHANGE_COLUMNS = CHANGE_FIELDS.fieldNames()
+
 
 def change_type(kind: Column) -> Column:
     """INSERT and UPDATE are UPSERT, DELETE is DELETE (any case); NULL otherwise."""

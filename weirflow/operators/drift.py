@@ -145,19 +145,25 @@ def field_registry(rows: DataFrame, table: str, ts: str) -> DataFrame:
 
 def to_version(df: DataFrame, target: T.StructType) -> DataFrame:
     """Rows of an older declared schema in the shape of the target, nested structs included."""
+    have = {f.name: f.dataType for f in df.schema.fields}
     return df.select(
-        *[_shaped(F.col(f.name), df.schema[f.name].dataType, f).alias(f.name)
-          if f.name in df.columns
-          else F.lit(None).cast(f.dataType).alias(f.name)
-          for f in target.fields]
+        *[
+            (
+                shaped(F.col(f.name), have[f.name], f)
+                if f.name in have
+                else F.lit(None).cast(f.dataType)
+            ).alias(f.name)
+            for f in target.fields
+        ]
     )
 
 
-def _shaped(column: Column, have: T.DataType, want: T.StructField) -> Column:
+def shaped(column: Column, have: T.DataType, want: T.StructField) -> Column:
+    """The column in the wanted type; struct fields go by name, absent ones are NULL."""
     if isinstance(want.dataType, T.StructType) and isinstance(have, T.StructType):
         parts = [
             (
-                _shaped(column[f.name], have[f.name].dataType, f)
+                shaped(column[f.name], have[f.name].dataType, f)
                 if f.name in have.fieldNames()
                 else F.lit(None).cast(f.dataType)
             ).alias(f.name)
@@ -165,3 +171,18 @@ def _shaped(column: Column, have: T.DataType, want: T.StructField) -> Column:
         ]
         return F.when(column.isNotNull(), F.struct(*parts))
     return column.cast(want.dataType)
+
+
+def widened(old: T.StructType, new: T.StructType) -> T.StructType:
+    """The old schema with the new one's further fields, nested structs included.
+
+    Names match in any case; a field both have keeps its old type.
+    """
+    fields = []
+    added = {f.name.lower(): f for f in new.fields}
+    for f in old.fields:
+        other = added.pop(f.name.lower(), None)
+        if other and isinstance(f.dataType, T.StructType) and isinstance(other.dataType, T.StructType):
+            f = T.StructField(f.name, widened(f.dataType, other.dataType), f.nullable)
+        fields.append(f)
+    return T.StructType([*fields, *(f for f in new.fields if f.name.lower() in added)])

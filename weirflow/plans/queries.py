@@ -645,7 +645,7 @@ def stream_window(spark: SparkSession, folder: str) -> DataFrame:
         "window_start timestamp, window_end timestamp, dim1 string, num_records bigint, "
         "sum bigint, min bigint, max bigint, avg double",
     )
-    _drain(stats, bodies.stats_body(table), spark, "stream-window", mode="update")
+    _drain(stats, bodies.append_body(table), spark, "stream-window", mode="update")
     current = tables.current_rows(spark, table, ["window_start", "window_end", "dim1"])
     return _stats_in_millis(current)
 
@@ -656,7 +656,7 @@ def stream_panes(spark: SparkSession, folder: str) -> DataFrame:
     timed = typed.withColumn("ts", from_millis(F.col("event_ts")))
     panes = pane_stream(timed, "ts", WINDOW_SECONDS, LATENESS_SECONDS)
     table = _sink_table(spark, "stream_panes", panes.schema)
-    _drain(panes, bodies.stats_body(table), spark, "stream-panes")
+    _drain(panes, bodies.append_body(table), spark, "stream-panes")
     return _whole_panes(spark.table(table).drop(tables.BATCH))
 
 
@@ -669,7 +669,7 @@ def stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
     try:
         deduped = dedup_stream(keyed, "uuid", "seq").withColumn("unkeyed", F.lit(False))
         unkeyed = without_key(keyed, "uuid").withColumn("unkeyed", F.lit(True))
-        _drain(deduped.unionByName(unkeyed), bodies.stats_body(table), spark, "stream-dedup")
+        _drain(deduped.unionByName(unkeyed), bodies.append_body(table), spark, "stream-dedup")
     finally:
         spark.conf.set(setting, before)
     return spark.table(table).drop(tables.BATCH)

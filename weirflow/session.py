@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-import shutil
 import tempfile
 import uuid
-from pathlib import Path
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
+import weirflow
+
 # Runtime settings: safe to set on a session somebody else built.
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -25,25 +26,11 @@ def prepare_session(spark: SparkSession) -> SparkSession:
     """Set what the operators need: UTC text, last key wins in JSON, AQE, RocksDB state."""
     for name, value in RUNTIME_CONF.items():
         spark.conf.set(name, value)
-    ship_package(spark)
+    # Python tasks carry this package's functions, so executors need no copy of it.
+    cloudpickle.register_pickle_by_value(weirflow)
     return spark
 
 
-_shipped: set[str] = set()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Give the executors this package, once per application: Python tasks import it."""
-    context = spark.sparkContext
-    if context.applicationId not in _shipped:
-        package = Path(__file__).resolve().parent
-        archive = Path(tempfile.mkdtemp(prefix="weirflow-ship-")) / package.name
-        context.addPyFile(
-            shutil.make_archive(str(archive), "zip", package.parent, package.name)
-        )
-        _shipped.add(context.applicationId)
-
-
 def local_session(cpus: int | str = 8, app: str = "weirflow") -> SparkSession:
     """A local session for tests and the bench; a cluster brings its own."""
     builder = (

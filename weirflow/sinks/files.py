@@ -10,6 +10,9 @@ from weirflow.functions.times import window_path
 from weirflow.sinks.tables import add_columns, append_batch, create_table
 from weirflow.sources.messages import read_staged
 
+# Folder levels of a window's end.
+PARTS = ("yyyy", "mm", "dd", "hh")
+
 
 def sharded(df: DataFrame, shards: int, *columns: Column | str) -> DataFrame:
     """Spread rows so each value of ``columns`` goes to ``shards`` tasks, and so files.
@@ -26,27 +29,42 @@ def sharded(df: DataFrame, shards: int, *columns: Column | str) -> DataFrame:
 def window_folders(df: DataFrame, window_end: Column) -> DataFrame:
     """Adds the folder columns ``yyyy, mm, dd, hh`` of the window's end."""
     parts = F.split(window_path(window_end), "/")
-    names = ("yyyy", "mm", "dd", "hh")
-    return df.withColumns({n: F.get(parts, i) for i, n in enumerate(names)})
+    return df.withColumns({n: F.get(parts, i) for i, n in enumerate(PARTS)})
+
+
+def batch_folder(folder: str, batch_id: int | None) -> tuple[str, str]:
+    """Path and write mode: a micro-batch owns a folder, which a second run replaces."""
+    if batch_id is None:
+        return folder, "append"
+    return f"{folder}/batch_id={int(batch_id)}", "overwrite"
 
 
 def write_window_text(
-    lines: DataFrame, window_end: Column, folder: str, shards: int = 0
+    lines: DataFrame,
+    window_end: Column,
+    folder: str,
+    shards: int = 0,
+    batch_id: int | None = None,
 ) -> None:
     """One ``value`` line per row below ``yyyy=/mm=/dd=/hh=`` folders."""
-    rows = window_folders(lines, window_end).select("value", "yyyy", "mm", "dd", "hh")
-    parts = ["yyyy", "mm", "dd", "hh"]
-    sharded(rows, shards, *parts).write.mode("append").partitionBy(*parts).text(folder)
+    path, mode = batch_folder(folder, batch_id)
+    rows = window_folders(lines, window_end).select("value", *PARTS)
+    sharded(rows, shards, *PARTS).write.mode(mode).partitionBy(*PARTS).text(path)
 
 
 def write_window_records(
-    rows: DataFrame, window_end: Column, folder: str, shards: int = 0, fmt: str = "parquet"
+    rows: DataFrame,
+    window_end: Column,
+    folder: str,
+    shards: int = 0,
+    batch_id: int | None = None,
+    fmt: str = "parquet",
 ) -> None:
     """Typed records in window folders, snappy-compressed; ``avro`` where it is deployed."""
-    parts = ["yyyy", "mm", "dd", "hh"]
-    out = sharded(window_folders(rows, window_end), shards, *parts)
-    writer = out.write.mode("append").partitionBy(*parts).option("compression", "snappy")
-    writer.format(fmt).save(folder)
+    path, mode = batch_folder(folder, batch_id)
+    out = sharded(window_folders(rows, window_end), shards, *PARTS)
+    writer = out.write.mode(mode).partitionBy(*PARTS).option("compression", "snappy")
+    writer.format(fmt).save(path)
 
 
 def write_by_day(df: DataFrame, event_seconds: str, path: str) -> None:

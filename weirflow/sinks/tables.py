@@ -12,7 +12,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import DataStreamWriter
 
-from weirflow.operators.drift import lower_names, new_fields
+from weirflow.operators.drift import lower_names, new_fields, shaped, widened
 from weirflow.operators.rows import latest_by
 from weirflow.sources.schemas import live_schema
 
@@ -30,9 +30,12 @@ def create_table(
     fmt: str = "parquet",
     partitions: Sequence[str] = (),
 ) -> None:
-    """Create the table if it is missing, partitioned by ``partitions`` and the batch."""
+    """Create the table if it is missing, partitioned by the batch and ``partitions``.
+
+    Partition columns are columns of the schema, such as a day.
+    """
     columns = [f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields]
-    layout = ", ".join([*partitions, BATCH])
+    layout = ", ".join([BATCH, *partitions])
     where = f" LOCATION '{location}'" if location else ""
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {table} ({', '.join(columns)}, {BATCH} BIGINT) "
@@ -61,21 +64,23 @@ def append_batch(batch: DataFrame, table: str, batch_id: int, create: bool = Fal
         if not create:
             raise ValueError(f"table {table} does not exist")
         create_table(spark, table, batch.schema)
-    have = {c.lower(): c for c in batch.columns}
-    columns = [
-        (
-            F.col(f"`{have[f.name.lower()]}`").cast(f.dataType)
-            if f.name.lower() in have
+    have = {f.name.lower(): f for f in batch.schema.fields}
+    columns = []
+    for f in table_columns(spark, table).fields:
+        source = have.get(f.name.lower())
+        value = (
+            shaped(F.col(f"`{source.name}`"), source.dataType, f)
+            if source
             else F.lit(None).cast(f.dataType)
-        ).alias(f.name)
-        for f in table_columns(spark, table).fields
-    ]
+        )
+        columns.append(value.alias(f.name))
     view = f"batch_{uuid.uuid4().hex}"
     batch.select(*columns).createOrReplaceTempView(view)
+    layout = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    parts = [f"{BATCH} = {int(batch_id)}", *[f"`{c}`" for c in layout if c != BATCH]]
     try:
         spark.sql(
-            f"INSERT OVERWRITE TABLE {table} PARTITION ({BATCH} = {int(batch_id)}) "
-            f"SELECT * FROM {view}"
+            f"INSERT OVERWRITE TABLE {table} PARTITION ({', '.join(parts)}) SELECT * FROM {view}"
         )
     finally:
         spark.catalog.dropTempView(view)
@@ -92,6 +97,29 @@ def add_columns(spark: SparkSession, table: str, columns: dict[str, str]) -> lis
     return list(missing)
 
 
+def add_fields(spark: SparkSession, table: str, schema: T.StructType) -> None:
+    """Give the table every field of the schema it lacks, inside structs too.
+
+    ``ALTER TABLE`` cannot add a field inside a struct of a parquet table. An
+    external table is then defined anew over the same files, which read NULL for it.
+    """
+    have = table_columns(spark, table)
+    want = widened(have, schema)
+    if want == have:
+        return
+    top = {f.name: f.dataType.simpleString() for f in want.fields[len(have) :]}
+    if want.fields[: len(have)] == have.fields:
+        add_columns(spark, table, top)
+        return
+    details = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {table}").collect()}
+    if details["Type"] != "EXTERNAL":
+        raise ValueError(f"{table} must be external to gain a field inside a struct")
+    parts = [c.name for c in spark.catalog.listColumns(table) if c.isPartition and c.name != BATCH]
+    drop_table(spark, table)
+    create_table(spark, table, want, details["Location"], details["Provider"], parts)
+    spark.sql(f"MSCK REPAIR TABLE {table}")
+
+
 def evolve(rows: DataFrame, table: str, max_new: int = 10_000) -> list[str]:
     """Add every field of the rows that the table lacks, as nullable text.
 

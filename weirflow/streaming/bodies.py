@@ -6,9 +6,11 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from weirflow.operators import cdc, drift, logs
-from weirflow.operators.rows import latest_by
-from weirflow.sinks import tables
+from weirflow.functions.json_text import split_metadata
+from weirflow.functions.times import from_millis
+from weirflow.operators import cdc, drift, events, logs, windows
+from weirflow.operators.rows import compute_once, latest_by, with_lookup
+from weirflow.sinks import bulk, files, tables
 
 Body = Callable[[DataFrame, int], None]
 
@@ -58,8 +60,56 @@ def current_records(changes: DataFrame) -> DataFrame:
     return last.filter(F.coalesce(F.col("change_type"), F.lit("UPSERT")) != "DELETE")
 
 
-def stats_body(table: str) -> Body:
-    """Append the running statistics of a batch; the last batch per window is the result."""
+def routed_change_body(arrival: str, dead_table: str | None = None, max_tables: int = 1000) -> Body:
+    """Append changes to the table each one names, in that table's own columns.
+
+    Every destination must exist; record fields it lacks are ignored. Rows carry
+    their change columns, so ``current_table`` can apply them.
+    """
+
+    def body(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        parsed = cdc.parse_changes(batch, [arrival]).persist()
+        try:
+            changes = cdc.changed_records(parsed, arrival)
+            names = changes.select("destination").distinct().limit(max_tables + 1).collect()
+            if len(names) > max_tables:
+                raise ValueError(f"more than {max_tables} destinations in one micro-batch")
+            for name in sorted(r["destination"] for r in names):
+                target = data_columns(spark, name, cdc.CHANGE_COLUMNS)
+                own = changes.filter(F.col("destination") == name).withColumn(
+                    "record_key", cdc.record_key(F.col("pk_names"), F.col("record"))
+                )
+                rows = cdc.record_columns(own, target, cdc.CHANGE_COLUMNS)
+                last = latest_by(rows, ["record_key"], cdc.CHANGE_ORDER)
+                tables.append_batch(last, name, batch_id)
+            if dead_table:
+                dead = parsed.filter(F.col("reason").isNotNull()).select(arrival, "value", "reason")
+                tables.append_batch(dead, dead_table, batch_id, create=True)
+        finally:
+            parsed.unpersist()
+
+    return body
+
+
+def create_change_table(
+    spark: SparkSession, table: str, schema: T.StructType, location: str | None = None
+) -> None:
+    """A destination table: its record columns plus the change columns."""
+    tables.create_table(
+        spark, table, T.StructType([*schema.fields, *cdc.CHANGE_FIELDS.fields]), location
+    )
+
+
+def current_table(changes: DataFrame) -> DataFrame:
+    """Live rows of one destination table, without the change columns."""
+    last = latest_by(changes, ["record_key"], cdc.CHANGE_ORDER)
+    live = last.filter(F.coalesce(F.col("change_type"), F.lit("UPSERT")) != "DELETE")
+    return live.drop(*cdc.CHANGE_COLUMNS, tables.BATCH)
+
+
+def append_body(table: str) -> Body:
+    """Append the rows of each batch as they are."""
 
     def body(batch: DataFrame, batch_id: int) -> None:
         tables.append_batch(batch, table, batch_id, create=True)
@@ -67,6 +117,128 @@ def stats_body(table: str) -> Body:
     return body
 
 
+def sql_body(
+    table: str, statement: str, keep: Sequence[str] = (), dead_table: str | None = None
+) -> Body:
+    """Parse log messages, run a SQL statement over the good rows, append its result."""
+
+    def body(batch: DataFrame, batch_id: int) -> None:
+        parsed = logs.parse_logs(batch, keep, millis=True)
+        result = logs.sql_over(logs.good_rows(parsed), statement)
+        tables.append_batch(result, table, batch_id, create=True)
+        if dead_table:
+            tables.append_batch(logs.dead_letters(parsed, keep), dead_table, batch_id, create=True)
+
+    return body
+
+
+def event_body(
+    load_lookup: Callable[[], DataFrame],
+    size: str,
+    table: str | None = None,
+    text_folder: str | None = None,
+    record_folder: str | None = None,
+    error_folder: str | None = None,
+    post: Callable[[str], int] | None = None,
+    shards: int = 0,
+    delimiter: str = ",",
+) -> Body:
+    """CSV events to every raw sink: table rows by day, text and record files, documents, errors.
+
+    The lookup is read again for each micro-batch. Lines come with their ingest
+    time in ``ingested``, which windows the errors.
+    """
+
+    def body(batch: DataFrame, batch_id: int) -> None:
+        parsed = events.type_lines(batch, delimiter=delimiter, keep=["ingested"]).persist()
+        try:
+            good = logs.good_rows(parsed)
+            timed = events.with_process_time(good).withColumn("ts", from_millis(F.col("event_ts")))
+            enriched = with_lookup(timed, load_lookup(), "dim1", "dim1_val")
+            windowed = windows.with_plain_pane(windows.with_window(enriched, "ts", size), "event_ts")
+            end = F.col("window.end")
+            if table:
+                rows = events.table_rows(windowed)
+                day = F.to_date(F.timestamp_seconds("event_ts"))
+                append = rows.withColumn("event_day", day)
+                if not batch.sparkSession.catalog.tableExists(table):
+                    tables.create_table(
+                        batch.sparkSession, table, append.schema, partitions=["event_day"]
+                    )
+                tables.append_batch(append, table, batch_id)
+            if text_folder:
+                line = F.concat_ws(delimiter, *events.EVENT_SCHEMA.fieldNames(), "process_ts", "dim1_val")
+                lines = windowed.select(line.alias("value"), "window")
+                files.write_window_text(lines, end, text_folder, shards, batch_id)
+            if record_folder:
+                records = windowed.select(*events.EVENT_SCHEMA.fieldNames(), "process_ts", "dim1_val", "window")
+                files.write_window_records(records, end, record_folder, shards, batch_id)
+            if post:
+                docs = events.search_documents(enriched)
+                bulk.bulk_totals(bulk.send_bulk(docs, post)).collect()
+            if error_folder:
+                dead = windows.with_window(logs.dead_letters(parsed, ["ingested"]), "ingested", size)
+                files.write_window_text(dead, end, error_folder, shards, batch_id)
+        finally:
+            parsed.unpersist()
+
+    return body
+
+
+def basic_event_body(table: str, schema: T.StructType, dead_table: str | None = None) -> Body:
+    """JSON events to a declared table partitioned by the day of ``event_ts``."""
+
+    def body(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        parsed = events.basic_events(batch)
+        target = T.StructType([f for f in schema.fields if f.name != "event_ts"])
+        rows = drift.as_columns(logs.good_rows(parsed), target, ["event_ts"])
+        dated = rows.withColumn("event_day", F.to_date(F.timestamp_seconds("event_ts")))
+        tables.create_table(spark, table, dated.schema, partitions=["event_day"])
+        tables.append_batch(dated, table, batch_id)
+        if dead_table:
+            tables.append_batch(logs.dead_letters(parsed), dead_table, batch_id, create=True)
+
+    return body
+
+
+def json_column_body(table: str, dead_table: str | None = None) -> Body:
+    """Two flat columns and one JSON column; text that is no object is a dead letter."""
+
+    def body(batch: DataFrame, batch_id: int) -> None:
+        split = compute_once(batch, ["value"], r=split_metadata(F.col("value")))
+        good = split.filter("r.parsed").select("r.ID", "r.SENDER_NAME", "r.METADATA")
+        tables.append_batch(good, table, batch_id, create=True)
+        if dead_table:
+            dead = split.filter("NOT r.parsed").select("value", F.lit("malformed").alias("reason"))
+            tables.append_batch(dead, dead_table, batch_id, create=True)
+
+    return body
+
+
+def declared_body(table: str, schema: T.StructType, location: str | None = None) -> Body:
+    """Rows under a declared schema version; the table gains the version's new fields first."""
+
+    def body(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        rows = compute_once(batch, [], r=F.from_json("value", schema)).filter("r IS NOT NULL")
+        tables.create_table(spark, table, schema, location)
+        tables.add_fields(spark, table, schema)
+        tables.append_batch(rows.select("r.*"), table, batch_id)
+
+    return body
+
+
+def staged_load_body(table: str, stage_folder: str, location: str | None = None) -> Body:
+    """Stage each window's messages as files, then load them with inferred new columns."""
+
+    def body(batch: DataFrame, batch_id: int) -> None:
+        path = files.stage_text(batch, stage_folder, batch_id)
+        files.load_inferred(batch.sparkSession, path, table, batch_id, location)
+
+    return body
+
+
 def healing_body(
     table: str,
     keep: Sequence[str] = (),
