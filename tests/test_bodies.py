@@ -131,11 +131,18 @@ def test_changes_go_to_their_own_tables(spark, texts):
     body = bodies.routed_change_body("seq")
     body(first, 0)
     body(texts(message("a", "DELETE", 2, {"ID": 2}), message("b", "UPDATE", 2, {"ID": 1, "w": 2.5})), 1)
+    unfit = texts(message("b", "UPDATE", 3, {"ID": 1, "w": "wide"}, {"ID": 5, "w": 1}))
+    with pytest.raises(Exception, match="(?i)cast"):
+        body(unfit, 2)
+    bodies.routed_change_body("seq", "dest.dead")(unfit, 2)
+    dead = [(r["value"], r["reason"]) for r in spark.table("dest.dead").collect()]
+    assert dead == [('{"ID":"1","w":"wide"}', "bad field")]
     try:
         assert [tuple(r) for r in bodies.current_table(spark.table("dest.a")).collect()] == [(big, "x")]
-        assert [tuple(r) for r in bodies.current_table(spark.table("dest.b")).collect()] == [(1, 2.5)]
+        assert sorted(tuple(r) for r in bodies.current_table(spark.table("dest.b")).collect()) == [(1, 2.5), (5, 1.0)]
         with pytest.raises(Exception, match="dest.c"):
             body(texts(message("c", "INSERT", 1, {"ID": 1})), 2)
     finally:
         tables.drop_table(spark, "dest.a")
         tables.drop_table(spark, "dest.b")
+        tables.drop_table(spark, "dest.dead")

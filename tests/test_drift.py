@@ -96,11 +96,23 @@ def test_healing_creates_table_and_registry(spark, texts, table):
     )
     body = bodies.healing_body(table, ["ts"], registry_table=table + "_registry", ts="ts")
     body(batch.drop("seq"), 0)
-    assert {r["ID"]: r["X"] for r in spark.table(table).collect()} == {"a": "1", "b": None}
+    found = {r["ID"]: (r["X"], r["ts"].timestamp()) for r in spark.table(table).collect()}
+    assert found == {"a": ("1", 0), "b": (None, 1)}
     seen = {r["field"]: r["seen"] for r in spark.table(table + "_registry").collect()}
     assert seen == {"ID": 2, "x": 1}
 
 
+def test_value_of_wrong_type_is_a_dead_letter(spark, texts, table):
+    tables.create_table(spark, table, T.StructType.fromDDL("ID string, n int"))
+    batch = texts('{"ID":"a","n":1}', '{"ID":"b","n":"many","new":2}').drop("seq")
+    with pytest.raises(Exception, match="(?i)cast"):
+        bodies.healing_body(table)(batch, 0)
+    bodies.healing_body(table, dead_table=table + "_dead")(batch, 0)
+    assert [(r["ID"], r["n"]) for r in spark.table(table).collect()] == [("a", 1)]
+    dead = spark.table(table + "_dead").collect()
+    assert [r["reason"] for r in dead] == ["bad field"] and '"many"' in dead[0]["value"]
+
+
 def test_too_many_new_fields_fail(spark, texts, table):
     tables.create_table(spark, table, T.StructType.fromDDL("ID string"))
     rows = drift.dynamic_rows(texts('{"a":1,"b":2,"c":3}'))

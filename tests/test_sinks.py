@@ -98,14 +98,28 @@ def test_bulk_body_and_retry():
     assert bulk.bulk_body(['{"a":1}', "{}"]) == '{"index":{}}\n{"a":1}\n{"index":{}}\n{}\n'
     pauses = []
     answers = iter([429, 429, 200])
-    assert bulk.post_with_retry(lambda b: next(answers), "", pauses.append) == (3, 200)
+    steady = lambda: 1.0
+    assert bulk.post_with_retry(lambda b: next(answers), "", pauses.append, steady) == (3, 200)
     assert pauses == [5.0, 7.5]
     with pytest.raises(OSError, match="status 500 after 1"):
         bulk.post_with_retry(lambda b: 500, "", pauses.append)
-    calls = []
-    with pytest.raises(OSError, match="status 429"):
-        bulk.post_with_retry(lambda b: calls.append(b) or 429, "x", lambda s: None)
-    assert len(calls) <= 6
+    calls, pauses = [], []
+    with pytest.raises(OSError, match="status 429 after 6"):
+        bulk.post_with_retry(lambda b: calls.append(b) or 429, "x", pauses.append, steady)
+    assert len(calls) == 6 and pauses == [5.0, 7.5, 11.25, 16.875, 19.375]
+
+
+def test_bulk_answers():
+    def answer(*statuses):
+        items = [{"index": {"status": s, **({"error": "e"} if s > 299 else {})}} for s in statuses]
+        return json.dumps({"errors": any(s > 299 for s in statuses), "items": items})
+
+    assert bulk.answer_status(answer(201, 201)) == (200, "")
+    assert bulk.answer_status(answer(201, 400, 429))[0] == 429
+    assert bulk.answer_status(answer(201, 400))[0] == 400
+    assert bulk.answer_status(503) == (503, "")
+    answers = iter([answer(429), answer(201)])
+    assert bulk.post_with_retry(lambda b: next(answers), "", lambda s: None) == (2, 200)
 
 
 def test_bulk_limits(spark):

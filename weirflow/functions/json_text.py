@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, functions as F, types as T
@@ -28,6 +28,14 @@ def json_map(value: Column) -> Column:
     return F.map_from_entries(F.map_entries(parsed))
 
 
+def json_texts(value: Column, names: Sequence[str]) -> Column:
+    """Struct of the named fields of a JSON object, each as exact text.
+
+    For fields known beforehand; cheaper than ``json_map``, as others are skipped.
+    """
+    return F.from_json(value, T.StructType([T.StructField(n, T.StringType()) for n in names]))
+
+
 def payload_text(payload: Column) -> Column:
     """Message payload bytes as UTF-8 text."""
     return F.decode(payload, "UTF-8")

@@ -110,10 +110,23 @@ def apply_changes(changes: DataFrame, target: DataFrame | None = None) -> DataFr
     return last.filter(F.coalesce(F.col("change_type"), F.lit("UPSERT")) != "DELETE")
 
 
+def bad_record(record: Column, schema: T.StructType) -> Column:
+    """Whether a value of the record does not parse as its column's type."""
+    bad = F.lit(False)
+    for f in schema.fields:
+        if not isinstance(f.dataType, T.StringType):
+            value = F.try_element_at(record, F.lit(f.name))
+            bad = bad | (value.isNotNull() & value.try_cast(f.dataType).isNull())
+    return bad
+
+
 def record_columns(rows: DataFrame, schema: T.StructType, keep: Sequence[str] = ()) -> DataFrame:
-    """Record map to typed columns of the target; unknown keys are ignored."""
+    """Record map to typed columns of the target; unknown keys are ignored.
+
+    A value that does not parse fails the job: split such rows off first.
+    """
     values = [
-        F.try_element_at("record", F.lit(f.name)).try_cast(f.dataType).alias(f.name)
+        F.try_element_at("record", F.lit(f.name)).cast(f.dataType).alias(f.name)
         for f in schema.fields
     ]
     return rows.select(*keep, *values)

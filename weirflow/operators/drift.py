@@ -110,11 +110,14 @@ def as_columns(rows: DataFrame, schema: T.StructType, keep: Sequence[str] = ())
     return rows.select(*keep, lowered.alias("_row")).select(*keep, *values)
 
 
-def strict_split(rows: DataFrame, schema: T.StructType) -> DataFrame:
+def strict_split(
+    rows: DataFrame, schema: T.StructType, ignore_unknown: bool = False
+) -> DataFrame:
     """Adds ``reason`` for rows a strict write would refuse, NULL for the others.
 
-    ``unknown field``: a key the table lacks; ``missing field``: a required column
-    is absent; ``bad field``: a value does not parse as its column's type.
+    ``unknown field``: a key the table lacks, unless those are ignored; ``missing
+    field``: a required column is absent; ``bad field``: a value does not parse as
+    its column's type.
     """
     lookup = {f.name.lower(): f for f in schema.fields}
 
@@ -128,7 +131,7 @@ def strict_split(rows: DataFrame, schema: T.StructType) -> DataFrame:
             missing = missing | value(name).isNull()
         if not isinstance(f.dataType, T.StringType):
             bad = bad | (value(name).isNotNull() & value(name).try_cast(f.dataType).isNull())
-    unknown = F.size(new_keys(F.col("row"), list(lookup))) > 0
+    unknown = F.lit(not ignore_unknown) & (F.size(new_keys(F.col("row"), list(lookup))) > 0)
     checked = F.when(unknown, "unknown field").when(missing, "missing field").when(bad, "bad field")
     known = F.col("reason") if "reason" in rows.columns else F.lit(None)
     return rows.withColumn("reason", F.coalesce(known, checked))

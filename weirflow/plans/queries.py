@@ -11,6 +11,7 @@ from weirflow.functions.json_text import (
     flatten_json,
     json_field,
     json_map,
+    json_texts,
     split_metadata,
 )
 from weirflow.functions.times import epoch_millis, from_millis
@@ -18,7 +19,7 @@ from weirflow.operators import cdc, compare, dedup, drift, events, logs, rows, w
 from weirflow.plans import adapters
 from weirflow.session import prepare_session, scratch_dir
 from weirflow.sinks import bulk, files, tables
-from weirflow.sources.messages import stream_table
+from weirflow.sources.messages import spread, stream_table
 from weirflow.sources.schemas import table_schema
 from weirflow.streaming import bodies
 from weirflow.streaming.dedup import dedup_stream, without_key
@@ -67,6 +68,11 @@ def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return prepare_session(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
+def read_spread(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table whose rows are costly to parse, dealt out to all cores."""
+    return spread(read(spark, folder, name))
+
+
 def _fresh_table(label: str) -> str:
     return f"{label}_{uuid.uuid4().hex}"
 
@@ -75,7 +81,7 @@ def _fresh_table(label: str) -> str:
 
 
 def _logs(spark: SparkSession, folder: str) -> DataFrame:
-    return logs.parse_logs(adapters.log_messages(read(spark, folder, "events")), ["seq"])
+    return logs.parse_logs(adapters.log_messages(read_spread(spark, folder, "events")), ["seq"])
 
 
 def log_parse(spark: SparkSession, folder: str) -> DataFrame:
@@ -100,27 +106,24 @@ def log_upsert(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def bigint_flatten(spark: SparkSession, folder: str) -> DataFrame:
-    messages = adapters.big_number_messages(read(spark, folder, "lineitem"))
-    parsed = rows.compute_once(messages, [], m=json_map(F.col("value")))
-
-    def text(key: str) -> Column:
-        return F.try_element_at("m", F.lit(key))
-
-    return parsed.select(
-        text("ID").alias("id_text"),
-        (text("ID").try_cast("decimal(38,0)") + 1).cast("string").alias("id_plus_one"),
-        text("wide").alias("wide_text"),
-        text("wrapper").alias("wrapper"),
-        json_field(text("wrapper"), "ID").alias("wrapper_id"),
-        text("code").alias("code"),
-        text("qty").try_cast("bigint").alias("qty"),
-        F.coalesce(text("old"), F.lit("none")).alias("old_value"),
-        text("flag").alias("flag"),
+    messages = adapters.big_number_messages(read_spread(spark, folder, "lineitem"))
+    names = ("ID", "wide", "wrapper", "code", "qty", "old", "flag")
+    m = rows.compute_once(messages, [], m=json_texts(F.col("value"), names)).select("m.*")
+    return m.select(
+        F.col("ID").alias("id_text"),
+        (F.col("ID").try_cast("decimal(38,0)") + 1).cast("string").alias("id_plus_one"),
+        F.col("wide").alias("wide_text"),
+        "wrapper",
+        json_field("wrapper", "ID").alias("wrapper_id"),
+        "code",
+        F.col("qty").try_cast("bigint").alias("qty"),
+        F.coalesce("old", F.lit("none")).alias("old_value"),
+        "flag",
     )
 
 
 def _envelopes(spark: SparkSession, folder: str, as_string: bool) -> DataFrame:
-    messages = adapters.nested_messages(read(spark, folder, "orders"))
+    messages = adapters.nested_messages(read_spread(spark, folder, "orders"))
     flat = rows.compute_once(messages, ["seq"], envelope=flatten_json(F.col("value"), as_string))
     return flat.filter(F.col("envelope").isNotNull())
 
@@ -134,7 +137,7 @@ def bigint_envelope_text(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def json_metadata_split(spark: SparkSession, folder: str) -> DataFrame:
-    messages = adapters.sender_messages(read(spark, folder, "customer"))
+    messages = adapters.sender_messages(read_spread(spark, folder, "customer"))
     split = rows.compute_once(messages, [], r=split_metadata(F.col("value"))).filter("r.parsed")
     return split.select(
         "r.ID",
@@ -192,7 +195,7 @@ def table_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def basic_event_rows(spark: SparkSession, folder: str) -> DataFrame:
-    parsed = events.basic_events(adapters.basic_messages(read(spark, folder, "events")), ["seq"])
+    parsed = events.basic_events(adapters.basic_messages(read_spread(spark, folder, "events")), ["seq"])
     return logs.good_rows(parsed).select(
         "seq",
         "event_ts",
@@ -331,7 +334,7 @@ def bulk_counters(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def staged_paths(spark: SparkSession, folder: str) -> DataFrame:
-    source = adapters.drift_messages(read(spark, folder, "events"))
+    source = adapters.drift_messages(read_spread(spark, folder, "events"))
     named = source.withColumn("table_name", F.lit("orders"))
     return files.staged_paths(named, "table_name", "batch", "stage")
 
@@ -341,7 +344,7 @@ def staged_paths(spark: SparkSession, folder: str) -> DataFrame:
 
 def _changes(spark: SparkSession, folder: str) -> DataFrame:
     return cdc.parse_changes(
-        adapters.change_messages(read(spark, folder, "orders")), ["arrival"]
+        adapters.change_messages(read_spread(spark, folder, "orders")), ["arrival"]
     )
 
 
@@ -391,7 +394,7 @@ def latest_view(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _drift(spark: SparkSession, folder: str) -> DataFrame:
-    messages = adapters.drift_messages(read(spark, folder, "events"))
+    messages = adapters.drift_messages(read_spread(spark, folder, "events"))
     return drift.dynamic_rows(messages, ["seq", "ts", "batch"])
 
 
@@ -442,7 +445,7 @@ def _healed(spark: SparkSession, table: str) -> DataFrame:
 
 
 def drift_heal(spark: SparkSession, folder: str) -> DataFrame:
-    messages = adapters.drift_messages(read(spark, folder, "events"))
+    messages = adapters.drift_messages(read_spread(spark, folder, "events"))
     table = _drift_table(spark, "healed")
     body = bodies.healing_body(table, ["seq"])
     for batch in (1, 2, 3):
@@ -451,7 +454,7 @@ def drift_heal(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def failed_rows_heal(spark: SparkSession, folder: str) -> DataFrame:
-    messages = adapters.drift_messages(read(spark, folder, "events"))
+    messages = adapters.drift_messages(read_spread(spark, folder, "events"))
     table = _drift_table(spark, "failed_rows")
     body = bodies.failed_rows_body(table, ["seq"])
     for batch in (1, 2, 3):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import random
 import time
 from collections.abc import Callable, Iterator
 
@@ -20,6 +22,9 @@ RETRY_SECONDS = 60.0
 FIRST_PAUSE = 5.0
 ACTION = '{"index":{}}\n'
 
+# Sends a request body; gives an HTTP status or the JSON text of the bulk answer.
+Post = Callable[[str], int | str]
+
 RESULT = "part string, batch long, docs long, bytes long, attempts int, status int"
 
 
@@ -28,26 +33,50 @@ def bulk_body(docs: list[str]) -> str:
     return "".join(f"{ACTION}{doc}\n" for doc in docs)
 
 
+def answer_status(answer: int | str) -> tuple[int, str]:
+    """Status and message of an answer: an HTTP status, or the JSON text of a bulk answer.
+
+    A bulk answer fails as a whole when any document failed. It counts as busy if
+    one of them was refused as such.
+    """
+    if isinstance(answer, int):
+        return answer, ""
+    parsed = json.loads(answer)
+    if not parsed.get("errors"):
+        return 200, ""
+    results = [result for item in parsed.get("items", []) for result in item.values()]
+    failed = [r for r in results if "error" in r or r.get("status", 200) >= 300]
+    statuses = [r.get("status", 500) for r in failed]
+    status = BUSY if BUSY in statuses else next(iter(statuses), 500)
+    return status, "; ".join(f"{r.get('_id')}: {r.get('error')}" for r in failed)
+
+
 def post_with_retry(
-    post: Callable[[str], int], body: str, sleep: Callable[[float], None] = time.sleep
+    post: Post,
+    body: str,
+    sleep: Callable[[float], None] = time.sleep,
+    jitter: Callable[[], float] = lambda: random.uniform(0.5, 1.5),
 ) -> tuple[int, int]:
     """Attempts and final status. Only a busy answer is retried, with growing pauses."""
     pause, waited, attempt = FIRST_PAUSE, 0.0, 0
     while True:
         attempt += 1
-        status = post(body)
+        status, message = answer_status(post(body))
         if status < 300:
             return attempt, status
-        if status != BUSY or attempt >= MAX_ATTEMPTS or waited + pause > RETRY_SECONDS:
-            raise OSError(f"bulk request failed with status {status} after {attempt} attempts")
-        sleep(pause)
-        waited += pause
+        if status != BUSY or attempt >= MAX_ATTEMPTS or waited >= RETRY_SECONDS:
+            raise OSError(
+                f"bulk request failed with status {status} after {attempt} attempts {message}"
+            )
+        nap = min(pause * jitter(), RETRY_SECONDS - waited)
+        sleep(nap)
+        waited += nap
         pause *= 1.5
 
 
 def send_bulk(
     docs: DataFrame,
-    post: Callable[[str], int],
+    post: Post,
     part: str | None = None,
     max_docs: int = MAX_DOCS,
     max_bytes: int = MAX_BYTES,

@@ -71,6 +71,16 @@ def stream_table(spark: SparkSession, folder: str, name: str, **options: str) ->
     return spark.readStream.schema(schema).options(**options).parquet(pattern)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal a batch source with fewer splits than cores out to all cores.
+
+    One unsplittable file would parse in one task. A source with enough splits,
+    as any large one has, is left alone and pays no shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_lookup(
     spark: SparkSession, url: str, query: str = "select dim1, dim1_val from t_dim1", **options: str
 ) -> DataFrame:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -15,14 +16,25 @@ from weirflow.sinks import bulk, files, tables
 Body = Callable[[DataFrame, int], None]
 
 
+@contextmanager
+def kept(df: DataFrame) -> Iterator[DataFrame]:
+    """A micro-batch that feeds several writes is read and parsed once."""
+    stored = df.persist()
+    try:
+        yield stored
+    finally:
+        stored.unpersist()
+
+
 def log_body(table: str, dead_table: str | None = None, keep: Sequence[str] = ()) -> Body:
     """Parse log messages, append good rows and dead letters to their tables."""
 
     def body(batch: DataFrame, batch_id: int) -> None:
-        parsed = logs.parse_logs(batch, keep)
-        tables.append_batch(logs.good_rows(parsed), table, batch_id, create=True)
-        if dead_table:
-            tables.append_batch(logs.dead_letters(parsed, keep), dead_table, batch_id, create=True)
+        with kept(logs.parse_logs(batch, keep)) as parsed:
+            tables.append_batch(logs.good_rows(parsed), table, batch_id, create=True)
+            if dead_table:
+                dead = logs.dead_letters(parsed, keep)
+                tables.append_batch(dead, dead_table, batch_id, create=True)
 
     return body
 
@@ -40,16 +52,16 @@ def change_body(table: str, arrival: str, dead_table: str | None = None) -> Body
     """Append each batch's last change per record; ``current_records`` applies them."""
 
     def body(batch: DataFrame, batch_id: int) -> None:
-        parsed = cdc.parse_changes(batch, [arrival])
-        changes = cdc.changed_records(parsed, arrival)
-        keyed = changes.withColumn(
-            "record_key", cdc.record_key(F.col("pk_names"), F.col("record"))
-        )
-        last = latest_by(keyed, ["destination", "record_key"], cdc.CHANGE_ORDER)
-        tables.append_batch(last, table, batch_id, create=True)
-        if dead_table:
-            dead = parsed.filter(F.col("reason").isNotNull()).select(arrival, "value", "reason")
-            tables.append_batch(dead, dead_table, batch_id, create=True)
+        with kept(cdc.parse_changes(batch, [arrival])) as parsed:
+            changes = cdc.changed_records(parsed, arrival)
+            keyed = changes.withColumn(
+                "record_key", cdc.record_key(F.col("pk_names"), F.col("record"))
+            )
+            last = latest_by(keyed, ["destination", "record_key"], cdc.CHANGE_ORDER)
+            tables.append_batch(last, table, batch_id, create=True)
+            if dead_table:
+                dead = logs.dead_letters(parsed, [arrival])
+                tables.append_batch(dead, dead_table, batch_id, create=True)
 
     return body
 
@@ -64,14 +76,20 @@ def routed_change_body(arrival: str, dead_table: str | None = None, max_tables:
     """Append changes to the table each one names, in that table's own columns.
 
     Every destination must exist; record fields it lacks are ignored. Rows carry
-    their change columns, so ``current_table`` can apply them.
+    their change columns, so ``current_table`` can apply them. A value that does
+    not parse sends its record to the dead letters, or fails the batch without.
     """
 
     def body(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        parsed = cdc.parse_changes(batch, [arrival]).persist()
-        try:
+        with kept(cdc.parse_changes(batch, [arrival])) as parsed:
             changes = cdc.changed_records(parsed, arrival)
+            dead: list[DataFrame] = []
+            dead_columns = (
+                F.col("arrival").alias(arrival),
+                F.to_json("record").alias("value"),
+                F.lit("bad field").alias("reason"),
+            )
             names = changes.select("destination").distinct().limit(max_tables + 1).collect()
             if len(names) > max_tables:
                 raise ValueError(f"more than {max_tables} destinations in one micro-batch")
@@ -80,14 +98,18 @@ def routed_change_body(arrival: str, dead_table: str | None = None, max_tables:
                 own = changes.filter(F.col("destination") == name).withColumn(
                     "record_key", cdc.record_key(F.col("pk_names"), F.col("record"))
                 )
+                if dead_table:
+                    bad = cdc.bad_record(F.col("record"), target)
+                    dead.append(own.filter(bad).select(*dead_columns))
+                    own = own.filter(~bad)
                 rows = cdc.record_columns(own, target, cdc.CHANGE_COLUMNS)
                 last = latest_by(rows, ["record_key"], cdc.CHANGE_ORDER)
                 tables.append_batch(last, name, batch_id)
             if dead_table:
-                dead = parsed.filter(F.col("reason").isNotNull()).select(arrival, "value", "reason")
-                tables.append_batch(dead, dead_table, batch_id, create=True)
-        finally:
-            parsed.unpersist()
+                letters = logs.dead_letters(parsed, [arrival])
+                for rows in dead:
+                    letters = letters.unionByName(rows)
+                tables.append_batch(letters, dead_table, batch_id, create=True)
 
     return body
 
@@ -123,11 +145,12 @@ def sql_body(
     """Parse log messages, run a SQL statement over the good rows, append its result."""
 
     def body(batch: DataFrame, batch_id: int) -> None:
-        parsed = logs.parse_logs(batch, keep, millis=True)
-        result = logs.sql_over(logs.good_rows(parsed), statement)
-        tables.append_batch(result, table, batch_id, create=True)
-        if dead_table:
-            tables.append_batch(logs.dead_letters(parsed, keep), dead_table, batch_id, create=True)
+        with kept(logs.parse_logs(batch, keep, millis=True)) as parsed:
+            result = logs.sql_over(logs.good_rows(parsed), statement)
+            tables.append_batch(result, table, batch_id, create=True)
+            if dead_table:
+                dead = logs.dead_letters(parsed, keep)
+                tables.append_batch(dead, dead_table, batch_id, create=True)
 
     return body
 
@@ -150,8 +173,7 @@ def event_body(
     """
 
     def body(batch: DataFrame, batch_id: int) -> None:
-        parsed = events.type_lines(batch, delimiter=delimiter, keep=["ingested"]).persist()
-        try:
+        with kept(events.type_lines(batch, delimiter=delimiter, keep=["ingested"])) as parsed:
             good = logs.good_rows(parsed)
             timed = events.with_process_time(good).withColumn("ts", from_millis(F.col("event_ts")))
             enriched = with_lookup(timed, load_lookup(), "dim1", "dim1_val")
@@ -179,8 +201,6 @@ def event_body(
             if error_folder:
                 dead = windows.with_window(logs.dead_letters(parsed, ["ingested"]), "ingested", size)
                 files.write_window_text(dead, end, error_folder, shards, batch_id)
-        finally:
-            parsed.unpersist()
 
     return body
 
@@ -190,14 +210,15 @@ def basic_event_body(table: str, schema: T.StructType, dead_table: str | None =
 
     def body(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        parsed = events.basic_events(batch)
         target = T.StructType([f for f in schema.fields if f.name != "event_ts"])
-        rows = drift.as_columns(logs.good_rows(parsed), target, ["event_ts"])
-        dated = rows.withColumn("event_day", F.to_date(F.timestamp_seconds("event_ts")))
-        tables.create_table(spark, table, dated.schema, partitions=["event_day"])
-        tables.append_batch(dated, table, batch_id)
-        if dead_table:
-            tables.append_batch(logs.dead_letters(parsed), dead_table, batch_id, create=True)
+        checked = drift.strict_split(events.basic_events(batch), target, ignore_unknown=True)
+        with kept(checked) as parsed:
+            rows = drift.as_columns(logs.good_rows(parsed), target, ["event_ts"])
+            dated = rows.withColumn("event_day", F.to_date(F.timestamp_seconds("event_ts")))
+            tables.create_table(spark, table, dated.schema, partitions=["event_day"])
+            tables.append_batch(dated, table, batch_id)
+            if dead_table:
+                tables.append_batch(logs.dead_letters(parsed), dead_table, batch_id, create=True)
 
     return body
 
@@ -206,12 +227,13 @@ def json_column_body(table: str, dead_table: str | None = None) -> Body:
     """Two flat columns and one JSON column; text that is no object is a dead letter."""
 
     def body(batch: DataFrame, batch_id: int) -> None:
-        split = compute_once(batch, ["value"], r=split_metadata(F.col("value")))
-        good = split.filter("r.parsed").select("r.ID", "r.SENDER_NAME", "r.METADATA")
-        tables.append_batch(good, table, batch_id, create=True)
-        if dead_table:
-            dead = split.filter("NOT r.parsed").select("value", F.lit("malformed").alias("reason"))
-            tables.append_batch(dead, dead_table, batch_id, create=True)
+        with kept(compute_once(batch, ["value"], r=split_metadata(F.col("value")))) as split:
+            good = split.filter("r.parsed").select("r.ID", "r.SENDER_NAME", "r.METADATA")
+            tables.append_batch(good, table, batch_id, create=True)
+            if dead_table:
+                dead = split.filter("NOT r.parsed")
+                dead = dead.select("value", F.lit("malformed").alias("reason"))
+                tables.append_batch(dead, dead_table, batch_id, create=True)
 
     return body
 
@@ -242,7 +264,6 @@ def staged_load_body(table: str, stage_folder: str, location: str | None = None)
 def healing_body(
     table: str,
     keep: Sequence[str] = (),
-    startup_columns: Sequence[str] | None = None,
     dead_table: str | None = None,
     registry_table: str | None = None,
     ts: str | None = None,
@@ -251,28 +272,29 @@ def healing_body(
 
     The schema is read once per micro-batch; columns are added before any drifted
     row is written, so the barrier between the two is the order of statements.
-    Normal and drifted rows then go out in one append.
+    Normal and drifted rows then go out in one append. A value that does not parse
+    as its column's type sends its row to the dead letters, or fails the batch
+    where there is no table for them.
     """
 
     def body(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        rows = drift.dynamic_rows(batch, keep).persist()
-        try:
+        with kept(drift.dynamic_rows(batch, keep)) as rows:
             good = rows.filter(F.col("reason").isNull())
             if not spark.catalog.tableExists(table):
-                first = T.StructType([T.StructField("ID", T.StringType())])
-                tables.create_table(spark, table, first)
+                first = [T.StructField("ID", T.StringType()), *[batch.schema[c] for c in keep]]
+                tables.create_table(spark, table, T.StructType(first))
             tables.evolve(good, table)
             target = data_columns(spark, table, keep)
-            tables.append_batch(drift.as_columns(good, target, keep), table, batch_id)
             if dead_table:
-                dead = rows.filter(F.col("reason").isNotNull()).select(*keep, "value", "reason")
+                checked = drift.strict_split(rows, target)
+                dead = logs.dead_letters(checked, keep)
                 tables.append_batch(dead, dead_table, batch_id, create=True)
+                good = checked.filter(F.col("reason").isNull())
+            tables.append_batch(drift.as_columns(good, target, keep), table, batch_id)
             if registry_table and ts:
                 seen = drift.field_registry(good.withColumn("table", F.lit(table)), "table", ts)
                 tables.append_batch(seen, registry_table, batch_id, create=True)
-        finally:
-            rows.unpersist()
 
     return body
 
@@ -288,8 +310,7 @@ def failed_rows_body(
 
     def body(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        rows = drift.dynamic_rows(batch, keep).persist()
-        try:
+        with kept(drift.dynamic_rows(batch, keep)) as rows:
             before = drift.strict_split(rows, data_columns(spark, table, keep))
             tables.evolve(before.filter(F.col("reason") == "unknown field"), table)
             target = data_columns(spark, table, keep)
@@ -301,8 +322,6 @@ def failed_rows_body(
                 tables.append_batch(
                     dead.select(*keep, "value", "reason"), dead_table, batch_id, create=True
                 )
-        finally:
-            rows.unpersist()
 
     return body
 

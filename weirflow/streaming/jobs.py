@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from weirflow.functions.json_text import json_field
+from weirflow.functions.json_text import json_field, json_map
 from weirflow.functions.times import from_millis
 from weirflow.operators import drift, events, logs, windows
 from weirflow.operators.rows import compute_once
@@ -63,11 +63,7 @@ def bundle_rows(
     entries: list[Column] = []
     for bundle, table in tables_by_bundle.items():
         entries += [F.lit(bundle), F.lit(table)]
-    parsed = compute_once(
-        messages,
-        [arrival, "value"],
-        row=drift.json_map(F.col("value")),
-    )
+    parsed = compute_once(messages, [arrival, "value"], row=json_map(F.col("value")))
     known = F.try_element_at(F.create_map(*entries), F.try_element_at("row", F.lit(bundle_key)))
     uuid = F.nullif(F.try_element_at("row", F.lit(uuid_key)), F.lit(""))
     reason = F.when(F.col("row").isNull(), "malformed").when(known.isNull(), "unknown bundle")
@@ -106,14 +102,11 @@ def bundle_job(
     passed = kept.unionByName(without_key(rows, "dedup_key"))
 
     def body(batch: DataFrame, batch_id: int) -> None:
-        stored = batch.persist()
-        try:
+        with bodies.kept(batch) as stored:
             for table in sorted(set(tables_by_bundle.values())):
                 target = tables.table_columns(batch.sparkSession, table)
                 own = drift.dynamic_rows(stored.filter(F.col("destination") == table))
                 tables.append_batch(drift.as_columns(own, target), table, batch_id)
-        finally:
-            stored.unpersist()
 
     return tables.write_each_batch(passed, body, checkpoint, seconds)
 
