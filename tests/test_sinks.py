@@ -32,6 +32,17 @@ def test_append_by_name_and_once(spark, table):
     ]
 
 
+def test_number_of_files(spark, table, tmp_path):
+    df = spark.range(300).selectExpr("CAST(id AS STRING) AS k", "id AS seq", "map('a', id) AS m")
+    tables.create_table(spark, table, df.schema, str(tmp_path / "data"))
+    tables.append_batch(df.repartition(7), table, 1, shards=3)
+    tables.append_batch(df.repartition(7), table, 2, shards=0)
+    tables.append_batch(df.repartition(7), table, 3)
+    files_of = lambda n: len(list((tmp_path / f"data/batch_id={n}").glob("part-*")))
+    assert (files_of(1), files_of(2), files_of(3)) == (3, 1, 7)
+    assert spark.table(table).count() == 900
+
+
 def test_upserts_read_as_last_row(spark, table):
     tables.upsert_batch(rows(spark, ("a", 1, "x"), ("a", 2, "y"), ("b", 1, "z")), table, 1, ["k"], ["seq"])
     tables.upsert_batch(rows(spark, ("a", 1, "new")), table, 2, ["k"], ["seq"])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 
 def compute_once(df: DataFrame, keep: Sequence[Column | str], **columns: Column) -> DataFrame:
@@ -93,6 +93,22 @@ def batches_of(
     return rows.withColumn("batch_id", batch).drop("_row")
 
 
+def sharded(df: DataFrame, shards: int, *columns: str) -> DataFrame:
+    """Spread rows so each value of ``columns`` goes to ``shards`` tasks, and so files.
+
+    0 leaves it to AQE, which merges small parts and splits large ones by size. A
+    number deals rows out evenly, or per value by their hash, so a hot value is
+    cut like any other.
+    """
+    if shards <= 0:
+        return df.hint("rebalance", *columns)
+    if not columns:
+        return df.repartition(shards)
+    hashed = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    shard = F.pmod(F.xxhash64(*hashed), F.lit(shards))
+    return df.repartition(*columns, shard)
+
+
 def unique_lookup(lookup: DataFrame, key: str, value: str) -> DataFrame:
     """The lookup with its key checked: a repeated key fails the job that reads it."""
     checked = lookup.groupBy(key).agg(F.count("*").alias("_n"), F.max(value).alias("_v"))

@@ -113,6 +113,12 @@ panes AS (
 
 PANES = _panes(f"arrival // {PERIOD}")
 
+PIVOT = ", ".join(
+    f'coalesce(max({stat}) FILTER (WHERE pane_idx = {i}), -1) AS "pane{i}_{stat}"'
+    for i in (0, 1)
+    for stat in ("num_records", "sum", "min", "max")
+)
+
 DEDUP = """WITH RECURSIVE keyed AS (
   SELECT event_id AS seq, 'u' || user_id AS uuid, epoch_us(ts) // 60000000 AS tick
   FROM events WHERE event_id % 17 <> 0),
@@ -254,6 +260,22 @@ FROM t GROUP BY ALL""",
 SELECT event_ts || ',' || seq || ',' || dim1 || ',' || metrics1 AS value,
   strftime(make_timestamp((event_ts // {HOUR} * {HOUR} + {HOUR}) * 1000), '%Y/%m/%d/%H') AS folder
 FROM csv""",
+    "window_records": f"""WITH {CSV}
+SELECT event_ts, seq, dim1, metrics1,
+  strftime(make_timestamp((event_ts // {HOUR} * {HOUR} + {HOUR}) * 1000), '%Y/%m/%d/%H') AS folder
+FROM csv""",
+    "window_pivot": f"""WITH {PANES}, p AS (
+  SELECT *, dim1 || '#' || window_start || '#' || window_end AS row_key FROM panes
+  WHERE num_records > 0)
+SELECT row_key, {PIVOT} FROM p GROUP BY row_key""",
+    "day_table": """SELECT strftime(ts, '%Y-%m-%d') AS event_day, event_type AS kind,
+  count(*) AS num_records, min(epoch_us(ts) // 1000000) AS first_ts,
+  max(epoch_us(ts) // 1000000) AS last_ts, count(DISTINCT user_id) AS users
+FROM events WHERE event_id % 113 <> 0 AND event_id % 109 <> 0 GROUP BY ALL""",
+    "payload_rows": f"""SELECT CAST(event_id AS VARCHAR) AS message_id,
+  epoch_us(ts) // 1000 || ',' || user_id || ',worker-' || (user_id % 8)
+  || CASE WHEN event_id % 89 = 0 THEN '' ELSE ',' || event_id || ',' || event_type || ',' || {WHOLE}
+  END AS value, epoch_us(ts) // 1000 + {DELAY} AS arrival FROM events""",
     "dedup_ttl": DEDUP,
     "batches_100": """WITH n AS (
   SELECT event_type, (row_number() OVER (PARTITION BY event_type ORDER BY event_id) - 1) // 100
@@ -270,6 +292,11 @@ SELECT 'orders' AS table_name, batch, count(*) AS staged_rows,
     "cdc_apply": CDC_APPLY,
     "cdc_route": f"""WITH {CHANGES}
 SELECT destination, count(*) AS changes FROM changes GROUP BY destination""",
+    "cdc_tables": f"""WITH {CHANGES}, last AS (
+  SELECT * FROM changes QUALIFY row_number() OVER (
+    PARTITION BY destination, id ORDER BY ts DESC, es DESC, arrival DESC, pos DESC) = 1)
+SELECT destination, CAST(id AS BIGINT) AS "ID", status AS "STATUS", cents AS "CENTS",
+  order_id AS "ORDER_ID" FROM last WHERE change_type <> 'DELETE'""",
     "cdc_dlq": f"""WITH {CHANGES}
 SELECT reason, count(*) AS messages FROM messages WHERE reason <> 'ddl' GROUP BY reason""",
     "latest_view": """SELECT user_id, event_id, event_type, epoch_us(ts) // 1000 AS event_ms FROM events
@@ -298,6 +325,9 @@ SELECT 'c' || c_custkey AS "ID", '{"nation":' || c_nationkey || '}' AS "SENDER_J
   CASE WHEN version >= 2 THEN '+49-' || c_custkey END AS "SENDER_MOBILE_PHONE",
   CASE WHEN version >= 2 THEN c_mktsegment END AS "NEW_TOP_LEVEL_FIELD",
   CASE WHEN version = 3 THEN c_custkey ELSE -1 END AS "NEW_TOP_LEVEL_FIELD_V2" FROM v""",
+    "json_column_load": """SELECT CAST(c_custkey AS VARCHAR) AS "ID", c_name AS "SENDER_NAME",
+  CAST(c_nationkey AS VARCHAR) AS nation FROM customer""",
+    "staged_load": HEALED,
     "schema_registry": f"""WITH {DRIFT}, {DRIFT_FIELDS}
 SELECT 'orders' AS table_name, field, epoch_us(min(ts)) // 1000 AS first_seen, epoch_us(max(ts)) // 1000 AS last_seen,
   count(*) AS seen FROM fields GROUP BY field""",
@@ -315,9 +345,11 @@ FROM orders""",
     "stream_cdc": CDC_APPLY,
     "stream_window": WINDOW_STATS,
     "stream_panes": f"WITH {_panes('0')} SELECT * EXCLUDE (tick) FROM panes",
+    "stream_lookup": f"WITH {ENRICHED} SELECT seq, dim1, dim1_val FROM enriched",
     "stream_dedup": """SELECT min(event_id) AS seq, 'u' || user_id AS uuid, FALSE AS unkeyed
 FROM events WHERE event_id % 17 <> 0 GROUP BY user_id
 UNION ALL SELECT event_id, NULL, TRUE FROM events WHERE event_id % 17 = 0""",
     "stream_drift": HEALED,
 }
+ORACLES["declared_load"] = ORACLES["schema_versions"]
 ORACLES["drift_route_startup"] = ORACLES["drift_route"]

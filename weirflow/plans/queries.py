@@ -19,7 +19,7 @@ from weirflow.operators import cdc, compare, dedup, drift, events, logs, rows, w
 from weirflow.plans import adapters
 from weirflow.session import prepare_session, scratch_dir
 from weirflow.sinks import bulk, files, tables
-from weirflow.sources.messages import spread, stream_table
+from weirflow.sources.messages import envelope_rows, spread, stream_table, with_fresh_lookup
 from weirflow.sources.schemas import table_schema
 from weirflow.streaming import bodies
 from weirflow.streaming.dedup import dedup_stream, without_key
@@ -305,6 +305,63 @@ def _keyed_events(source: DataFrame) -> DataFrame:
     )
 
 
+def window_records(spark: SparkSession, folder: str) -> DataFrame:
+    """Writes typed records to window folders and reads the written files back."""
+    windowed = windows.with_window(_timed_events(spark, folder), "ts", WINDOW)
+    out = scratch_dir(spark, "window-records")
+    records = windowed.select("event_ts", "seq", "dim1", "metrics1", "window")
+    files.write_window_records(records, F.col("window.end"), out)
+    back = spark.read.schema(
+        "event_ts bigint, seq bigint, dim1 string, metrics1 bigint, yyyy string, mm string, "
+        "dd string, hh string"
+    ).parquet(out)
+    placed = F.concat_ws("/", "yyyy", "mm", "dd", "hh").alias("folder")
+    return back.select("event_ts", "seq", "dim1", "metrics1", placed)
+
+
+def day_table(spark: SparkSession, folder: str) -> DataFrame:
+    """JSON events in a table partitioned by day, read back by partition."""
+    table = _fresh_table("day_table")
+    schema = T.StructType.fromDDL("event_ts bigint, kind string, user bigint, event_day date")
+    tables.create_table(
+        prepare_session(spark), table, schema, scratch_dir(spark, "day-table"), partitions=["event_day"]
+    )
+    body = bodies.basic_event_body(table, T.StructType(schema.fields[:3]))
+    body(adapters.basic_messages(read_spread(spark, folder, "events")), 0)
+    stored = spark.table(table)
+    return stored.groupBy(F.col("event_day").cast("string").alias("event_day"), "kind").agg(
+        F.count("*").alias("num_records"),
+        F.min("event_ts").alias("first_ts"),
+        F.max("event_ts").alias("last_ts"),
+        F.countDistinct("user").alias("users"),
+    )
+
+
+def window_pivot(spark: SparkSession, folder: str) -> DataFrame:
+    """Wide form with one column per statistic for the first two panes."""
+    pivot = windows.wide_pivot(windows.non_empty(_panes(spark, folder)), [0, 1])
+    names = [f"{i}_{stat}" for i in (0, 1) for stat in ("num_records", "sum", "min", "max")]
+    filled = {
+        f"pane{n}": F.coalesce(F.col(f"`{n}`"), F.lit(-1).cast("bigint")) for n in names
+    }
+    return pivot.withColumns(filled).select("row_key", *filled)
+
+
+def payload_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Message envelopes with byte payloads, their time in an attribute."""
+    source = adapters.csv_lines(read(spark, folder, "events"))
+    envelope = source.select(
+        F.encode("value", "UTF-8").alias("payload"),
+        F.create_map(
+            F.lit("timestamp"), F.date_format("arrival", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+        ).alias("attributes"),
+        F.col("seq").cast("string").alias("message_id"),
+        F.lit(None).cast("timestamp").alias("publish_ts"),
+    )
+    found = envelope_rows(envelope, "timestamp")
+    return found.select("message_id", "value", epoch_millis(F.col("ts")).alias("arrival"))
+
+
 # Batches
 
 
@@ -376,6 +433,28 @@ def cdc_route(spark: SparkSession, folder: str) -> DataFrame:
     return changes.groupBy("destination").agg(F.count("*").alias("changes"))
 
 
+def cdc_tables(spark: SparkSession, folder: str) -> DataFrame:
+    """Changes appended to the table each names, every table then read as it is now."""
+    parsed = _changes(spark, folder)
+    changes = cdc.changed_records(parsed, "arrival")
+    names = [r[0] for r in changes.select("destination").distinct().orderBy("destination").collect()]
+    label = _fresh_table("cdc")
+    schema = T.StructType.fromDDL("ID bigint, STATUS string, CENTS bigint, ORDER_ID bigint")
+    own_tables = {name: f"{label}_{name.replace('.', '_').lower()}" for name in names}
+    for table in own_tables.values():
+        bodies.create_change_table(spark, table, schema, scratch_dir(spark, table))
+    body = bodies.routed_change_body("arrival", table_of=own_tables.get)
+    body(adapters.change_messages(read_spread(spark, folder, "orders")), 0)
+    parts = [
+        bodies.current_table(spark.table(table)).withColumn("destination", F.lit(name))
+        for name, table in own_tables.items()
+    ]
+    union = parts[0]
+    for part in parts[1:]:
+        union = union.unionByName(part)
+    return union
+
+
 def cdc_dlq(spark: SparkSession, folder: str) -> DataFrame:
     dead = logs.dead_letters(_changes(spark, folder))
     return dead.groupBy("reason").agg(F.count("*").alias("messages"))
@@ -479,14 +558,14 @@ def autodetect_load(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _declared(customer: DataFrame, number: int) -> DataFrame:
-    """Rows of one declared version, parsed from JSON under that version's schema."""
+def _version_text() -> Column:
+    """JSON text with the fields of all versions."""
     sender = F.struct(
         F.col("c_name").alias("SENDER_NAME"),
         F.col("c_mktsegment").alias("SENDER_COMPANY"),
         F.concat(F.lit("+49-"), F.col("c_custkey").cast("string")).alias("SENDER_MOBILE_PHONE"),
     )
-    text = F.to_json(
+    return F.to_json(
         F.struct(
             F.concat(F.lit("c"), F.col("c_custkey").cast("string")).alias("ID"),
             F.to_json(F.struct(F.col("c_nationkey").alias("nation"))).alias("SENDER_JSON"),
@@ -495,10 +574,13 @@ def _declared(customer: DataFrame, number: int) -> DataFrame:
             F.col("c_custkey").alias("NEW_TOP_LEVEL_FIELD_V2"),
         )
     )
-    parsed = customer.filter(_version_of() == number).select(
-        F.from_json(text, VERSIONS[number - 1]).alias("r")
-    )
-    return parsed.select("r.*")
+
+
+def _declared(customer: DataFrame, number: int) -> DataFrame:
+    """Rows of one declared version, parsed from JSON under that version's schema."""
+    rows_ = customer.filter(_version_of() == number)
+    record = F.from_json(_version_text(), VERSIONS[number - 1])
+    return rows.compute_once(rows_, [], r=record).select("r.*")
 
 
 def _version_of() -> Column:
@@ -513,7 +595,10 @@ def _version_of() -> Column:
 def schema_versions(spark: SparkSession, folder: str) -> DataFrame:
     customer = read(spark, folder, "customer")
     parts = [drift.to_version(_declared(customer, n), VERSIONS[-1]) for n in (1, 2, 3)]
-    union = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return _flat_versions(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+
+
+def _flat_versions(union: DataFrame) -> DataFrame:
     return union.select(
         "ID",
         "SENDER_JSON",
@@ -537,6 +622,40 @@ def schema_registry(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def declared_load(spark: SparkSession, folder: str) -> DataFrame:
+    """The declared versions written to one table in turn, which gains their fields."""
+    customer = read(spark, folder, "customer")
+    table, location = _fresh_table("declared"), scratch_dir(spark, "declared")
+    for number, schema in enumerate(VERSIONS, 1):
+        texts = customer.filter(_version_of() == number).select(_version_text().alias("value"))
+        bodies.declared_body(table, schema, location)(texts, number)
+    return _flat_versions(spark.table(table))
+
+
+def json_column_load(spark: SparkSession, folder: str) -> DataFrame:
+    """Two flat columns and a JSON column in a table, fields taken out on reading."""
+    table = _sink_table(
+        prepare_session(spark), "json_column", "ID string, SENDER_NAME string, METADATA string"
+    )
+    body = bodies.json_column_body(table)
+    body(adapters.sender_messages(read_spread(spark, folder, "customer")), 0)
+    return spark.table(table).select(
+        "ID", "SENDER_NAME", json_field("METADATA", "profile.nation").alias("nation")
+    )
+
+
+def staged_load(spark: SparkSession, folder: str) -> DataFrame:
+    """Drifted rows staged as JSON files, then loaded under the widened schema."""
+    good = _drift_good(spark, folder)
+    table, stage = _drift_table(spark, "staged"), scratch_dir(spark, "staged-json")
+    tables.evolve(good, table)
+    target = tables.table_columns(spark, table)
+    data = T.StructType([f for f in target.fields if f.name != "seq"])
+    path = files.stage_rows(drift.as_columns(good, data, ["seq"]), stage, 1)
+    files.load_staged(spark, path, table, target, 1)
+    return _healed(spark, table)
+
+
 # Comparison
 
 
@@ -663,6 +782,20 @@ def stream_panes(spark: SparkSession, folder: str) -> DataFrame:
     return _whole_panes(spark.table(table).drop(tables.BATCH))
 
 
+def stream_lookup(spark: SparkSession, folder: str) -> DataFrame:
+    """Enriched events from a stream whose lookup is read again per micro-batch."""
+    lines = adapters.csv_lines(_stream(spark, folder, "events"))
+    table = _sink_table(spark, "stream_lookup", "seq bigint, dim1 string, dim1_val string")
+
+    def apply(batch: DataFrame, lookup: DataFrame, batch_id: int) -> None:
+        typed = logs.good_rows(events.type_lines(batch))
+        tables.append_batch(rows.with_lookup(typed, lookup, "dim1", "dim1_val"), table, batch_id)
+
+    body = with_fresh_lookup(lambda: adapters.lookup_table(read(spark, folder, "events")), apply)
+    _drain(lines, body, spark, "stream-lookup")
+    return spark.table(table).drop(tables.BATCH)
+
+
 def stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
     keyed = _keyed_events(_stream(spark, folder, "events")).drop("arrival")
     table = _sink_table(spark, "stream_dedup", "seq bigint, uuid string, unkeyed boolean")
@@ -710,6 +843,10 @@ QUERIES: dict[str, Query] = {
         error_windows,
         day_partition,
         window_files,
+        window_records,
+        window_pivot,
+        day_table,
+        payload_rows,
         dedup_ttl,
         batches_100,
         bulk_batches,
@@ -718,6 +855,7 @@ QUERIES: dict[str, Query] = {
         cdc_explode,
         cdc_apply,
         cdc_route,
+        cdc_tables,
         cdc_dlq,
         latest_view,
         drift_detect,
@@ -728,6 +866,9 @@ QUERIES: dict[str, Query] = {
         failed_rows_heal,
         autodetect_load,
         schema_versions,
+        declared_load,
+        json_column_load,
+        staged_load,
         schema_registry,
         table_compare,
         field_counts,
@@ -736,6 +877,7 @@ QUERIES: dict[str, Query] = {
         stream_cdc,
         stream_window,
         stream_panes,
+        stream_lookup,
         stream_dedup,
         stream_drift,
     )

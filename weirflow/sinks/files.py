@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from weirflow.functions.times import window_path
+from weirflow.operators.rows import sharded
 from weirflow.sinks.tables import add_columns, append_batch, create_table
 from weirflow.sources.messages import read_staged
 
@@ -14,18 +15,6 @@ from weirflow.sources.messages import read_staged
 PARTS = ("yyyy", "mm", "dd", "hh")
 
 
-def sharded(df: DataFrame, shards: int, *columns: Column | str) -> DataFrame:
-    """Spread rows so each value of ``columns`` goes to ``shards`` tasks, and so files.
-
-    0 leaves sizes to AQE. The shard is a hash of the whole row, so a hot window
-    is cut like any other.
-    """
-    if shards <= 0:
-        return df.hint("rebalance", *columns) if columns else df.hint("rebalance")
-    shard = F.pmod(F.xxhash64(*df.columns), F.lit(shards))
-    return df.repartition(*columns, shard)
-
-
 def window_folders(df: DataFrame, window_end: Column) -> DataFrame:
     """Adds the folder columns ``yyyy, mm, dd, hh`` of the window's end."""
     parts = F.split(window_path(window_end), "/")

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from weirflow.operators.drift import lower_names, new_fields, shaped, widened
-from weirflow.operators.rows import latest_by
+from weirflow.operators.rows import latest_by, sharded
 from weirflow.sources.schemas import live_schema
 
 BATCH = "batch_id"
@@ -53,11 +53,14 @@ def table_columns(spark: SparkSession, table: str) -> T.StructType:
     return T.StructType([f for f in fields if f.name != BATCH])
 
 
-def append_batch(batch: DataFrame, table: str, batch_id: int, create: bool = False) -> None:
+def append_batch(
+    batch: DataFrame, table: str, batch_id: int, create: bool = False, shards: int | None = None
+) -> None:
     """Append a micro-batch by column name; running it again replaces the same rows.
 
     Columns the table lacks are ignored, columns the batch lacks are NULL. The
-    table must exist unless ``create`` is set.
+    table must exist unless ``create`` is set. Files follow the batch's own
+    partitions, without a shuffle, unless ``shards`` sets their number (0: AQE).
     """
     spark = batch.sparkSession
     if not spark.catalog.tableExists(table):
@@ -75,7 +78,8 @@ def append_batch(batch: DataFrame, table: str, batch_id: int, create: bool = Fal
         )
         columns.append(value.alias(f.name))
     view = f"batch_{uuid.uuid4().hex}"
-    batch.select(*columns).createOrReplaceTempView(view)
+    rows = batch.select(*columns)
+    (rows if shards is None else sharded(rows, shards)).createOrReplaceTempView(view)
     layout = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
     parts = [f"{BATCH} = {int(batch_id)}", *[f"`{c}`" for c in layout if c != BATCH]]
     try:

@@ -26,12 +26,18 @@ def kept(df: DataFrame) -> Iterator[DataFrame]:
         stored.unpersist()
 
 
-def log_body(table: str, dead_table: str | None = None, keep: Sequence[str] = ()) -> Body:
+def log_body(
+    table: str,
+    dead_table: str | None = None,
+    keep: Sequence[str] = (),
+    shards: int | None = None,
+) -> Body:
     """Parse log messages, append good rows and dead letters to their tables."""
 
     def body(batch: DataFrame, batch_id: int) -> None:
         with kept(logs.parse_logs(batch, keep)) as parsed:
-            tables.append_batch(logs.good_rows(parsed), table, batch_id, create=True)
+            good = logs.good_rows(parsed)
+            tables.append_batch(good, table, batch_id, create=True, shards=shards)
             if dead_table:
                 dead = logs.dead_letters(parsed, keep)
                 tables.append_batch(dead, dead_table, batch_id, create=True)
@@ -39,11 +45,13 @@ def log_body(table: str, dead_table: str | None = None, keep: Sequence[str] = ()
     return body
 
 
-def upsert_body(table: str, keys: Sequence[str], arrival: str, parse: Callable) -> Body:
-    """Parse and upsert by primary key."""
+def upsert_body(
+    table: str, keys: Sequence[str], arrival: str, parse: Callable, fmt: str = "parquet"
+) -> Body:
+    """Parse and upsert by primary key, with MERGE where the table format has it."""
 
     def body(batch: DataFrame, batch_id: int) -> None:
-        tables.upsert_batch(parse(batch), table, batch_id, keys, [arrival])
+        tables.upsert_batch(parse(batch), table, batch_id, keys, [arrival], fmt)
 
     return body
 
@@ -72,9 +80,15 @@ def current_records(changes: DataFrame) -> DataFrame:
     return last.filter(F.coalesce(F.col("change_type"), F.lit("UPSERT")) != "DELETE")
 
 
-def routed_change_body(arrival: str, dead_table: str | None = None, max_tables: int = 1000) -> Body:
+def routed_change_body(
+    arrival: str,
+    dead_table: str | None = None,
+    max_tables: int = 1000,
+    table_of: Callable[[str], str] = str,
+) -> Body:
     """Append changes to the table each one names, in that table's own columns.
 
+    ``table_of`` gives the table of a destination, by default of the same name.
     Every destination must exist; record fields it lacks are ignored. Rows carry
     their change columns, so ``current_table`` can apply them. A value that does
     not parse sends its record to the dead letters, or fails the batch without.
@@ -94,7 +108,7 @@ def routed_change_body(arrival: str, dead_table: str | None = None, max_tables:
             if len(names) > max_tables:
                 raise ValueError(f"more than {max_tables} destinations in one micro-batch")
             for name in sorted(r["destination"] for r in names):
-                target = data_columns(spark, name, cdc.CHANGE_COLUMNS)
+                target = data_columns(spark, table_of(name), cdc.CHANGE_COLUMNS)
                 own = changes.filter(F.col("destination") == name).withColumn(
                     "record_key", cdc.record_key(F.col("pk_names"), F.col("record"))
                 )
@@ -104,7 +118,7 @@ def routed_change_body(arrival: str, dead_table: str | None = None, max_tables:
                     own = own.filter(~bad)
                 rows = cdc.record_columns(own, target, cdc.CHANGE_COLUMNS)
                 last = latest_by(rows, ["record_key"], cdc.CHANGE_ORDER)
-                tables.append_batch(last, name, batch_id)
+                tables.append_batch(last, table_of(name), batch_id)
             if dead_table:
                 letters = logs.dead_letters(parsed, [arrival])
                 for rows in dead:
