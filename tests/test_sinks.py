@@ -1,4 +1,5 @@
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F, types as T
@@ -50,6 +51,23 @@ def test_upserts_read_as_last_row(spark, table):
     assert found == {"a": "new", "b": "z"}
 
 
+def test_folds_equal_the_whole_history(spark, table, tmp_path):
+    rng = random.Random(6)
+    fold, folds = None, []
+    for batch in range(6):
+        changed = [(f"k{rng.randrange(9)}", i, f"{batch}-{i}") for i in range(10)]
+        tables.upsert_batch(rows(spark, *changed), table, batch, ["k"], ["seq"])
+        whole = {tuple(r) for r in tables.current_rows(spark, table, ["k"], ["seq"]).collect()}
+        quick = tables.current_rows(spark, table, ["k"], ["seq"], fold)
+        assert {tuple(r) for r in quick.collect()} == whole
+        if batch % 2:
+            order = ["batch_id", "seq"]
+            fold = tables.fold_batches(spark, table, ["k"], order, batch, str(tmp_path), fold)
+            folds.append(fold)
+    assert [f.upto for f in folds] == [1, 3, 5]
+    assert spark.read.parquet(fold.path).count() == len(whole)
+
+
 def test_merge_statement():
     assert tables.merge_statement("t", "s", ["k"]) == (
         "MERGE INTO t t USING s s ON t.k <=> s.k WHEN MATCHED THEN UPDATE SET * "

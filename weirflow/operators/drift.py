@@ -132,7 +132,9 @@ def strict_split(
         if not isinstance(f.dataType, T.StringType):
             bad = bad | (value(name).isNotNull() & value(name).try_cast(f.dataType).isNull())
     unknown = F.lit(not ignore_unknown) & (F.size(new_keys(F.col("row"), list(lookup))) > 0)
-    checked = F.when(unknown, "unknown field").when(missing, "missing field").when(bad, "bad field")
+    checked = (
+        F.when(unknown, "unknown field").when(missing, "missing field").when(bad, "bad field")
+    )
     known = F.col("reason") if "reason" in rows.columns else F.lit(None)
     return rows.withColumn("reason", F.coalesce(known, checked))
 
@@ -142,7 +144,11 @@ def field_registry(rows: DataFrame, table: str, ts: str) -> DataFrame:
     return (
         rows.select(table, ts, F.explode(F.map_keys("row")).alias("field"))
         .groupBy(table, "field")
-        .agg(F.min(ts).alias("first_seen"), F.max(ts).alias("last_seen"), F.count("*").alias("seen"))
+        .agg(
+            F.min(ts).alias("first_seen"),
+            F.max(ts).alias("last_seen"),
+            F.count("*").alias("seen"),
+        )
     )
 
 

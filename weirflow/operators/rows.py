@@ -25,7 +25,7 @@ def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str])
     (``WindowGroupLimit ... Partial``), so a hot key sends one row per task.
     ``order`` must be total for a repeatable result.
     """
-    newest = [F.col(o).desc_nulls_last() if isinstance(o, str) else o.desc_nulls_last() for o in order]
+    newest = [(F.col(o) if isinstance(o, str) else o).desc_nulls_last() for o in order]
     ranked = df.withColumn(
         "_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*newest))
     )
@@ -40,7 +40,11 @@ def latest_view(df: DataFrame, name: str, keys: Sequence[str], order: Sequence[s
 
 
 def numbered(
-    df: DataFrame, keys: Sequence[str], order: str, block_rows: int = 1_000_000, name: str = "row_num"
+    df: DataFrame,
+    keys: Sequence[str],
+    order: str,
+    block_rows: int = 1_000_000,
+    name: str = "row_num",
 ) -> DataFrame:
     """``row_number()`` per key over an increasing integer column, without one task per key.
 

@@ -9,6 +9,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from weirflow.functions.times import epoch_millis, newest_first_key, now_millis
 from weirflow.session import materialize
 
+# Fixed value: text of a pane that no trigger has fired.
+NO_FIRING = "PaneInfo.NO_FIRING"
+
 # Ticks per block when the watermark is carried over ticks.
 TICK_BLOCK = 1440
 
@@ -23,7 +26,7 @@ def with_plain_pane(df: DataFrame, event_ts: str) -> DataFrame:
     return df.withColumn(
         "pane",
         F.struct(
-            F.lit("PaneInfo.NO_FIRING").alias("info"),
+            F.lit(NO_FIRING).alias("info"),
             F.lit(0).alias("idx"),
             F.lit(0).alias("nonspeculative_idx"),
             F.lit(True).alias("is_first"),
@@ -202,7 +205,8 @@ def _timing(window_end: Column, lateness: str) -> Column:
 def _passing_ticks(marks: DataFrame, size: str) -> DataFrame:
     """``window_end, passed_at``: the tick whose rows move the watermark over each window end."""
     first = F.window(F.coalesce("watermark", "min_ts"), size)["end"]
-    ends = F.when(F.col("_from") <= F.col("max_ts"), F.sequence("_from", "max_ts", F.expr(f"INTERVAL {size}")))
+    steps = F.sequence("_from", "max_ts", F.expr(f"INTERVAL {size}"))
+    ends = F.when(F.col("_from") <= F.col("max_ts"), steps)
     return marks.withColumn("_from", first).select(
         F.explode(ends).alias("window_end"), F.col("tick").alias("passed_at")
     )
@@ -240,7 +244,9 @@ def replay_panes(
         ),
         "pane-sums",
     )
-    ticks = sums.groupBy("tick").agg(F.min("min_ts").alias("min_ts"), F.max("max_ts").alias("max_ts"))
+    ticks = sums.groupBy("tick").agg(
+        F.min("min_ts").alias("min_ts"), F.max("max_ts").alias("max_ts")
+    )
     marks = tick_watermarks(ticks)
     partial = (
         sums.drop("min_ts", "max_ts")

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Sequence
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import DataStreamWriter
@@ -202,11 +203,53 @@ def upsert_batch(
     batch.sparkSession.sql(merge_statement(table, view, keys, columns=batch.columns))
 
 
+class Fold(NamedTuple):
+    """A folder with the last row per key over all batches up to ``upto``."""
+
+    path: str
+    upto: int
+
+
+def fold_batches(
+    spark: SparkSession,
+    table: str,
+    keys: Sequence[str],
+    order: Sequence[str],
+    upto: int,
+    folder: str,
+    previous: Fold | None = None,
+) -> Fold:
+    """Write a new fold from the previous one and the batches since.
+
+    Keeps reading cheap while batches add up: work grows with the new batches and
+    the keys, not with the history. The old fold stays valid until the caller
+    turns to the new one, so a failed run changes nothing. Delete markers are rows
+    like others and stay, so an older change that comes later finds them.
+    """
+    path = f"{folder}/upto={int(upto)}"
+    rows = unfolded(spark, table, previous).filter(F.col(BATCH) <= upto)
+    latest_by(rows, keys, order).write.mode("overwrite").parquet(path)
+    return Fold(path, upto)
+
+
+def unfolded(spark: SparkSession, table: str, fold: Fold | None = None) -> DataFrame:
+    """All rows of the table, or the fold's rows and the batches after it."""
+    rows = spark.table(table)
+    if fold is None:
+        return rows
+    later = rows.filter(F.col(BATCH) > fold.upto)
+    return later.unionByName(spark.read.parquet(fold.path), allowMissingColumns=True)
+
+
 def current_rows(
-    spark: SparkSession, table: str, keys: Sequence[str], arrival: Sequence[str] = ()
+    spark: SparkSession,
+    table: str,
+    keys: Sequence[str],
+    arrival: Sequence[str] = (),
+    fold: Fold | None = None,
 ) -> DataFrame:
     """The table with only the last row per key, newest micro-batch first."""
-    return latest_by(spark.table(table), keys, [BATCH, *arrival]).drop(BATCH)
+    return latest_by(unfolded(spark, table, fold), keys, [BATCH, *arrival]).drop(BATCH)
 
 
 def write_each_batch(
