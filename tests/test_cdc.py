@@ -82,3 +82,13 @@ def test_record_columns_ignore_unknown_keys(texts):
     rows = changes(texts, message("INSERT", [{"ID": BIG, "n": "12", "extra": 1}]))
     schema = T.StructType.fromDDL("ID bigint, n int, missing string")
     assert tuple(cdc.record_columns(rows, schema).first()) == (BIG, 12, None)
+
+
+def test_full_envelope(texts):
+    text = message(
+        "UPDATE", [{"ID": 1}], old=[{"ID": BIG}], sql="", mysqlType={"ID": "number"}, sqlType={"ID": 3}
+    )
+    row = cdc.parse_changes(texts(text), ["seq"], cdc.CHANGE_SCHEMA).first()
+    assert row["old"] == [{"ID": str(BIG)}] and row["mysqlType"] == {"ID": "number"}
+    assert row["sqlType"] == {"ID": 3} and row["reason"] is None
+    assert "old" not in cdc.parse_changes(texts(text)).columns

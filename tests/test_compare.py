@@ -1,7 +1,6 @@
 import json
 import random
 
-import pytest
 from pyspark.sql import functions as F
 
 from weirflow.functions.json_text import json_map
@@ -22,10 +21,27 @@ def test_differences(spark):
     }
 
 
-def test_repeated_key_is_an_error(spark):
-    left = maps(spark, [("a", {"x": "1"}), ("a", {"x": "2"})])
-    with pytest.raises(Exception, match="not unique"):
-        compare.compare_records(left, left, ["key"]).collect()
+def test_copies_cancel_out(spark):
+    a, b, c = {"x": "1"}, {"x": "2"}, {"x": "3", "y": None}
+    left = maps(spark, [("k", a)] * 5 + [("k", b), ("m", a), ("m", b)])
+    right = maps(spark, [("k", a)] * 5 + [("k", c), ("m", b), ("m", b), ("m", c)])
+    found = {tuple(r) for r in compare.compare_records(left, right, ["key"]).collect()}
+    assert found == {
+        ("k", "x", "different", "2", "3", 1),
+        ("k", "y", "extra", None, None, 1),
+        # One record against two: nothing to pair.
+        ("m", "x", "missing", "1", None, 1),
+        ("m", "x", "extra", None, "2", 1),
+        ("m", "x", "extra", None, "3", 1),
+        ("m", "y", "extra", None, None, 1),
+    }
+
+
+def test_surplus_copies_are_counted(spark):
+    left = maps(spark, [("k", {"x": "1"})] * 7)
+    right = maps(spark, [("k", {"x": "1"})] * 4)
+    found = compare.compare_records(left, right, ["key"]).collect()
+    assert [tuple(r) for r in found] == [("k", "x", "missing", "1", None, 3)]
 
 
 def golden_record():

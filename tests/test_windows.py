@@ -1,10 +1,12 @@
 import random
+from datetime import UTC, datetime, timedelta
 
 import pytest
 from panes_by_hand import firings, random_ticks
 from pyspark.sql import functions as F
 
 from weirflow.operators import dedup, windows
+from weirflow.streaming import jobs
 
 SIZE = 60_000
 PERIOD = 10
@@ -110,3 +112,11 @@ def test_replay_dedup_equals_rules(spark):
             expected.add((key, order))
     assert found == expected
     assert out.filter("unkeyed").count() == sum(r[0] is None for r in rows)
+
+
+def test_failures_in_processing_time_windows(spark, texts):
+    stamped = jobs.stamp_ingest(texts("bad", "worse"))
+    counted = windows.with_window(stamped, "ingested", "10 minutes").groupBy("window").count()
+    row = counted.first()
+    assert row["count"] == 2
+    assert row["window"]["start"] <= datetime.now(UTC).replace(tzinfo=None) + timedelta(minutes=1)

@@ -28,6 +28,10 @@ CHANGE_SCHEMA = T.StructType(
     ]
 )
 
+# The part of the envelope that applying changes needs; the rest is skipped, not parsed.
+APPLY_FIELDS = ("table", "database", "type", "ts", "es", "isDdl", "data", "pkNames")
+APPLY_SCHEMA = T.StructType([f for f in CHANGE_SCHEMA.fields if f.name in APPLY_FIELDS])
+
 # Columns that order changes of one record: source times, then arrival, then place in message.
 CHANGE_ORDER = ("ts", "es", "arrival", "pos")
 
@@ -56,10 +60,15 @@ def destination(database: Column, table: Column) -> Column:
     return F.concat(database, F.lit("."), table)
 
 
-def parse_changes(messages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """``value`` text to envelope fields, ``destination`` and ``reason`` (NULL when good)."""
-    schema = T.StructType([*CHANGE_SCHEMA.fields, T.StructField("_bad", T.StringType())])
-    message = F.from_json("value", schema, {"columnNameOfCorruptRecord": "_bad"})
+def parse_changes(
+    messages: DataFrame, keep: Sequence[str] = (), schema: T.StructType = APPLY_SCHEMA
+) -> DataFrame:
+    """``value`` text to envelope fields, ``destination`` and ``reason`` (NULL when good).
+
+    ``CHANGE_SCHEMA`` as schema also gives the old values and the source types.
+    """
+    checked = T.StructType([*schema.fields, T.StructField("_bad", T.StringType())])
+    message = F.from_json("value", checked, {"columnNameOfCorruptRecord": "_bad"})
     parsed = compute_once(messages, [*keep, "value"], m=message).select(*keep, "value", "m.*")
     blank = F.col("value").isNull() | F.trim("value").isin("", "null")
     target = destination(F.col("database"), F.col("table"))

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from weirflow.session import materialize
+
 
 def as_records(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Key columns plus all other columns as a name -> text map, null fields included."""
@@ -17,17 +19,52 @@ def as_records(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def compare_records(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row per difference: key, ``field``, ``status``, both values.
+    """One row per difference: key, ``field``, ``status``, both values, ``copies``.
 
     ``status`` is ``missing`` (only left), ``extra`` (only right) or
-    ``different``. Both inputs hold ``record`` maps. The join is on the row key
-    alone and fields are compared inside the row, so width adds no shuffle.
+    ``different``. Both inputs hold ``record`` maps. Equal records cancel out,
+    copy by copy, in one aggregation that combines copies before the shuffle. What
+    is left over is compared field by field inside the row where a key has at
+    most one record per side. Where it has several, none is the counterpart of
+    another, so each is reported whole, with its number of copies.
     """
-    a = _unique(left, keys).withColumnRenamed("record", "_l")
-    b = _unique(right, keys).withColumnRenamed("record", "_r")
+    surplus = materialize(_surplus(left, right, keys), "differences")
+    on_left, on_right = F.col("n") > 0, F.col("n") < 0
+    per_key = surplus.groupBy(*keys).agg(
+        F.coalesce(F.sum(F.when(on_left, F.col("n"))), F.lit(0)).alias("_ln"),
+        F.coalesce(F.sum(F.when(on_right, -F.col("n"))), F.lit(0)).alias("_rn"),
+        F.max(F.when(on_left, F.col("entries"))).alias("_l"),
+        F.max(F.when(on_right, F.col("entries"))).alias("_r"),
+    )
+    several = (F.col("_ln") > 1) | (F.col("_rn") > 1)
+    pairs = per_key.filter(~several)
+    whole = surplus.join(per_key.filter(several).select(*keys), list(keys), "left_semi")
+    return _field_differences(pairs, keys).unionByName(
+        whole.select(*keys, "n", F.explode("entries").alias("e")).select(
+            *keys,
+            F.col("e.key").alias("field"),
+            F.when(on_left, "missing").otherwise("extra").alias("status"),
+            F.when(on_left, F.col("e.value")).alias("left_value"),
+            F.when(on_right, F.col("e.value")).alias("right_value"),
+            F.abs("n").alias("copies"),
+        )
+    )
+
+
+def _surplus(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Records one side has more copies of: ``n`` above 0 for left, below 0 for right."""
+    entries = F.array_sort(F.map_entries("record")).alias("entries")
+    both = left.select(*keys, entries, F.lit(1).alias("side")).unionByName(
+        right.select(*keys, entries, F.lit(-1).alias("side"))
+    )
+    return both.groupBy(*keys, "entries").agg(F.sum("side").alias("n")).filter("n <> 0")
+
+
+def _field_differences(pairs: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Differing fields of the left and right record of each key, either may be absent."""
     none = F.expr("map()").cast("map<string,string>")
-    both = a.join(b, list(keys), "full").withColumns(
-        {"_l": F.coalesce("_l", none), "_r": F.coalesce("_r", none)}
+    both = pairs.withColumns(
+        {side: F.coalesce(F.map_from_entries(side), none) for side in ("_l", "_r")}
     )
     fields = F.array_union(F.map_keys("_l"), F.map_keys("_r"))
 
@@ -44,22 +81,13 @@ def compare_records(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> D
             status(name).alias("status"),
             F.try_element_at("_l", name).alias("left_value"),
             F.try_element_at("_r", name).alias("right_value"),
+            F.lit(1).cast("bigint").alias("copies"),
         ),
     )
     differences = F.filter(found, lambda d: d["status"].isNotNull())
     return both.select(*keys, F.explode(differences).alias("d")).select(*keys, "d.*")
 
 
-def _unique(records: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One record per key; a repeated key fails the job, it has no one counterpart."""
-    found = records.groupBy(*keys).agg(
-        F.count("*").alias("_n"), F.any_value("record").alias("record")
-    )
-    message = F.concat(F.lit("record key is not unique: "), F.to_json(F.struct(*keys)))
-    record = F.when(F.col("_n") > 1, F.raise_error(message).cast("map<string,string>"))
-    return found.select(*keys, record.otherwise(F.col("record")).alias("record"))
-
-
 def field_counts(records: DataFrame) -> DataFrame:
     """Number of records and of fields over all records."""
     return records.agg(

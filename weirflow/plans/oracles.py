@@ -312,6 +312,7 @@ SELECT batch, CASE WHEN broken THEN 'malformed' WHEN batch >= 3 THEN 'unknown fi
   AS outcome, count(*) AS messages FROM drift GROUP BY ALL""",
     "drift_heal": HEALED,
     "failed_rows_heal": HEALED,
+    "ordered_dump": HEALED,
     "autodetect_load": f"""WITH {DRIFT}
 SELECT id AS "ID", sender AS "SENDER_NAME",
   CASE WHEN batch >= 2 THEN 'v-' || event_type END AS "FIELD_BATCH_1",

@@ -532,6 +532,16 @@ def drift_heal(spark: SparkSession, folder: str) -> DataFrame:
     return _healed(spark, table)
 
 
+def ordered_dump(spark: SparkSession, folder: str) -> DataFrame:
+    """A table made from its first rows, listed by ID."""
+    messages = adapters.drift_messages(read_spread(spark, folder, "events"))
+    table = _fresh_table("created")
+    bodies.healing_body(table, ["seq"], location=scratch_dir(spark, "created"))(messages, 1)
+    return tables.ordered_dump(spark, table).select(
+        "seq", "ID", "SENDER_NAME", "FIELD_BATCH_1", "FIELD_BATCH_2"
+    )
+
+
 def failed_rows_heal(spark: SparkSession, folder: str) -> DataFrame:
     messages = adapters.drift_messages(read_spread(spark, folder, "events"))
     table = _drift_table(spark, "failed_rows")
@@ -688,7 +698,7 @@ def _changed_copy(records: DataFrame) -> DataFrame:
 def table_compare(spark: SparkSession, folder: str) -> DataFrame:
     records = _order_records(spark, folder)
     left = compare.as_records(records, ["key"])
-    return compare.compare_records(left, _changed_copy(records), ["key"])
+    return compare.compare_records(left, _changed_copy(records), ["key"]).drop("copies")
 
 
 def field_counts(spark: SparkSession, folder: str) -> DataFrame:
@@ -864,6 +874,7 @@ QUERIES: dict[str, Query] = {
         strict_split,
         drift_heal,
         failed_rows_heal,
+        ordered_dump,
         autodetect_load,
         schema_versions,
         declared_load,

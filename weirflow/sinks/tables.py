@@ -54,6 +54,11 @@ def table_columns(spark: SparkSession, table: str) -> T.StructType:
     return T.StructType([f for f in fields if f.name != BATCH])
 
 
+def ordered_dump(spark: SparkSession, table: str, by: str = "ID") -> DataFrame:
+    """All data columns of the table in the order of one of them, for checking by eye."""
+    return spark.table(table).drop(BATCH).orderBy(by)
+
+
 def append_batch(
     batch: DataFrame, table: str, batch_id: int, create: bool = False, shards: int | None = None
 ) -> None:

@@ -281,6 +281,7 @@ def healing_body(
     dead_table: str | None = None,
     registry_table: str | None = None,
     ts: str | None = None,
+    location: str | None = None,
 ) -> Body:
     """Route by schema, widen the table, then write: no row and no value is lost.
 
@@ -297,7 +298,7 @@ def healing_body(
             good = rows.filter(F.col("reason").isNull())
             if not spark.catalog.tableExists(table):
                 first = [T.StructField("ID", T.StringType()), *[batch.schema[c] for c in keep]]
-                tables.create_table(spark, table, T.StructType(first))
+                tables.create_table(spark, table, T.StructType(first), location)
             tables.evolve(good, table)
             target = data_columns(spark, table, keep)
             if dead_table:
