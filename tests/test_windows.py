@@ -31,16 +31,17 @@ def as_tuples(panes):
     )
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
-def test_replay_equals_rules_row_by_row(spark, seed, monkeypatch):
+@pytest.mark.parametrize("seed, late_count", [(1, 1), (2, 1), (3, 1), (4, 3), (5, 2), (6, 9)])
+def test_replay_equals_rules_row_by_row(spark, seed, late_count, monkeypatch):
     # Small blocks, so the watermark is carried over several of them.
     monkeypatch.setattr(windows, "TICK_BLOCK", 3)
     ticks = random_ticks(random.Random(seed), SIZE)
     panes = windows.replay_panes(
-        frame(spark, ticks), "ts", "arrival", "1 minute", "2 minutes", PERIOD
+        frame(spark, ticks), "ts", "arrival", "1 minute", "2 minutes", PERIOD, late_count=late_count
     )
-    expected = firings(ticks, SIZE, 2 * SIZE)
+    expected = firings(ticks, SIZE, 2 * SIZE, late_count)
     assert {p[2] for p in expected} == {"EARLY", "ON_TIME", "LATE"}
+    assert late_count < 9 or any(p[6] for p in expected)
     assert as_tuples(panes) == sorted(expected)
 
 

@@ -202,11 +202,16 @@ def _timing(window_end: Column, lateness: str) -> Column:
     )
 
 
-def _passing_ticks(marks: DataFrame, size: str) -> DataFrame:
-    """``window_end, passed_at``: the tick whose rows move the watermark over each window end."""
-    first = F.window(F.coalesce("watermark", "min_ts"), size)["end"]
-    steps = F.sequence("_from", "max_ts", F.expr(f"INTERVAL {size}"))
-    ends = F.when(F.col("_from") <= F.col("max_ts"), steps)
+def _passing_ticks(marks: DataFrame, size: str, after: str = "0 seconds") -> DataFrame:
+    """``window_end, passed_at``: the tick whose rows move the watermark to a window's end.
+
+    With ``after``, to that long after the end.
+    """
+    back = F.expr(f"INTERVAL {after}")
+    first = F.window(F.coalesce("watermark", "min_ts") - back, size)["end"]
+    reached = F.col("max_ts") - back
+    steps = F.sequence("_from", reached, F.expr(f"INTERVAL {size}"))
+    ends = F.when(F.col("_from") <= reached, steps)
     return marks.withColumn("_from", first).select(
         F.explode(ends).alias("window_end"), F.col("tick").alias("passed_at")
     )
@@ -221,13 +226,15 @@ def replay_panes(
     period: int,
     dim: str = "dim1",
     metric: str = "metrics1",
+    late_count: int = 1,
 ) -> DataFrame:
     """Every firing of every window for a given arrival order.
 
     Each trigger interval (``period`` seconds) with rows fires one EARLY pane
-    before the watermark passes the window's end and one LATE pane after it; the
-    passing itself fires one ON_TIME pane after the interval's rows, with nothing
-    pending. Rows beyond the allowed lateness are dropped. ``num_records, sum,
+    before the watermark passes the window's end; the passing itself fires one
+    ON_TIME pane after the interval's rows, with nothing pending. After it a LATE
+    pane fires once ``late_count`` rows are pending, and what is still pending
+    when the lateness is over fires as the last pane. Rows beyond the allowed lateness are dropped. ``num_records, sum,
     min, max`` are the pane's own values (discarding), the ``acc_`` columns run
     over all panes so far (accumulating). Rows shrink to one partial per window,
     dimension and interval, which is written out; all ordering works on those.
@@ -276,8 +283,13 @@ def replay_panes(
             *key,
             F.explode(F.when(fires, F.array(own, on_time)).otherwise(F.array(own))).alias("p"),
         )
-        .select(*key, "p.*")
+        .select(*key, "p.*", F.lit(False).alias("is_last"))
     )
+    if late_count > 1:
+        closes = _passing_ticks(marks, size, lateness).withColumnRenamed("passed_at", "closed_at")
+        late = panes.filter("timing = 'LATE'").join(closes, "window_end", "left")
+        merged = _merge_late(late, key, late_count)
+        panes = panes.filter("timing <> 'LATE'").unionByName(merged)
     by_key = Window.partitionBy(*key).orderBy("tick", F.col("timing") != "EARLY")
     so_far = by_key.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     late_or_final = F.sum(F.when(F.col("timing") == "EARLY", 0).otherwise(1)).over(so_far)
@@ -291,8 +303,7 @@ def replay_panes(
         .cast("bigint")
         .alias("nonspeculative_idx"),
         (F.row_number().over(by_key) == 1).alias("is_first"),
-        # A closing pane fires only with rows pending, and every late row has fired.
-        F.lit(False).alias("is_last"),
+        "is_last",
         "num_records",
         F.coalesce("sum", F.lit(0)).alias("sum"),
         "min",
@@ -304,6 +315,58 @@ def replay_panes(
     )
 
 
+def _merge_late(late: DataFrame, key: Sequence[str], late_count: int) -> DataFrame:
+    """Late partials put together until ``late_count`` rows are pending, key by key.
+
+    Each firing depends on the one before, so a key's partials are folded in
+    order. They are one per interval within the lateness, so the list is short.
+    """
+    values = ["num_records", "sum", "min", "max"]
+    pane = "struct<tick: bigint, num_records: bigint, sum: bigint, min: bigint, max: bigint>"
+    empty = F.lit(None).cast("bigint")
+
+    def add(state, row):
+        pending = state["pending"]
+        total = F.struct(
+            row["tick"].alias("tick"),
+            (pending["num_records"] + row["num_records"]).alias("num_records"),
+            (pending["sum"] + row["sum"]).alias("sum"),
+            F.least(pending["min"], row["min"]).alias("min"),
+            F.greatest(pending["max"], row["max"]).alias("max"),
+        )
+        fires = total["num_records"] >= late_count
+        fired = F.when(fires, F.concat(state["fired"], F.array(total))).otherwise(state["fired"])
+        return F.struct(
+            fired.alias("fired"), F.when(fires, none).otherwise(total).alias("pending")
+        )
+
+    none = F.struct(
+        empty.alias("tick"),
+        F.lit(0).cast("bigint").alias("num_records"),
+        F.lit(0).cast("bigint").alias("sum"),
+        empty.alias("min"),
+        empty.alias("max"),
+    )
+    start = F.struct(F.array().cast(f"array<{pane}>").alias("fired"), none.alias("pending"))
+    folded = late.groupBy(*key).agg(
+        F.array_sort(F.collect_list(F.struct("tick", *values))).alias("_rows"),
+        F.max("closed_at").alias("_closed"),
+    ).withColumn("_fold", F.aggregate("_rows", start, add))
+    pending = F.col("_fold.pending")
+    last = F.struct(
+        F.col("_closed").alias("tick"), *[pending[v].alias(v) for v in values]
+    )
+    closes = F.col("_closed").isNotNull() & (pending["num_records"] > 0)
+    fired = F.transform(
+        "_fold.fired", lambda p: F.struct(p.alias("pane"), F.lit(False).alias("is_last"))
+    )
+    closing = F.array(F.struct(last.alias("pane"), F.lit(True).alias("is_last")))
+    firings = F.when(closes, F.concat(fired, closing)).otherwise(fired)
+    return folded.select(*key, F.explode(firings).alias("f")).select(
+        *key, "f.pane.tick", F.lit("LATE").alias("timing"), *[f"f.pane.{v}" for v in values], "f.is_last"
+    )
+
+
 def non_empty(panes: DataFrame) -> DataFrame:
     """Panes that hold rows of their own."""
     return panes.filter("num_records > 0")
