@@ -30,7 +30,7 @@ def test_new_keys_ignore_case(texts):
     assert sorted(found[0]) == ["new", "new2"] and found[1] == []
     assert [r["reason"] for r in rows.collect()] == [None, None, "malformed"]
     fields = drift.new_fields(rows, ["ID", "SENDER_NAME"]).collect()
-    assert {r["field"] for r in fields} == {"new", "new2"}
+    assert {(r["field"], r["spelling"]) for r in fields} == {("new", "NEW"), ("new2", "New2")}
 
 
 def test_routes_by_live_and_startup_schema(texts):
@@ -96,7 +96,7 @@ def test_healing_creates_table_and_registry(spark, texts, table):
     )
     body = bodies.healing_body(table, ["ts"], registry_table=table + "_registry", ts="ts")
     body(batch.drop("seq"), 0)
-    found = {r["ID"]: (r["X"], r["ts"].timestamp()) for r in spark.table(table).collect()}
+    found = {r["ID"]: (r["x"], r["ts"].timestamp()) for r in spark.table(table).collect()}
     assert found == {"a": ("1", 0), "b": (None, 1)}
     seen = {r["field"]: r["seen"] for r in spark.table(table + "_registry").collect()}
     assert seen == {"ID": 2, "x": 1}

@@ -27,11 +27,10 @@ def new_keys(row: Column, columns: Sequence[str]) -> Column:
 
 
 def new_fields(rows: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """Distinct new fields (per ``by`` columns): one row per field, in lower case."""
-    return (
-        rows.select(*by, F.explode(new_keys(F.col("row"), columns)).alias("field"))
-        .distinct()
-    )
+    """New fields (per ``by`` columns): ``field`` in lower case and one ``spelling`` as sent."""
+    keys = rows.select(*by, F.explode(F.map_keys("row")).alias("_key"))
+    fresh = keys.filter(~F.lower("_key").isin(lower_names(columns)))
+    return fresh.groupBy(*by, F.lower("_key").alias("field")).agg(F.min("_key").alias("spelling"))
 
 
 def route_rows(

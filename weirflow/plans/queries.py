@@ -482,7 +482,7 @@ def _drift_good(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def drift_detect(spark: SparkSession, folder: str) -> DataFrame:
-    return drift.new_fields(_drift_good(spark, folder), DRIFT_START, by=["batch"])
+    return drift.new_fields(_drift_good(spark, folder), DRIFT_START, by=["batch"]).drop("spelling")
 
 
 def drift_route(spark: SparkSession, folder: str) -> DataFrame:

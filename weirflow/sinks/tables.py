@@ -131,17 +131,17 @@ def add_fields(spark: SparkSession, table: str, schema: T.StructType) -> None:
 
 
 def evolve(rows: DataFrame, table: str, max_new: int = 10_000) -> list[str]:
-    """Add every field of the rows that the table lacks, as nullable text.
+    """Add every field of the rows that the table lacks, as nullable text, spelled as sent.
 
     Only field names reach the driver. More new fields than a table can hold is
     an error, so the micro-batch fails and no row is lost.
     """
     spark = rows.sparkSession
     fields = new_fields(rows, live_schema(spark, table).fieldNames())
-    names = sorted(r["field"] for r in fields.limit(max_new + 1).collect())
+    names = sorted(r["spelling"] for r in fields.limit(max_new + 1).collect())
     if len(names) > max_new:
         raise ValueError(f"more than {max_new} new fields for {table}")
-    return add_columns(spark, table, {name.upper(): "STRING" for name in names})
+    return add_columns(spark, table, {name: "STRING" for name in names})
 
 
 def route_to_tables(
