@@ -67,7 +67,7 @@ def test_basic_events_by_day(spark, texts, table):
     body = bodies.basic_event_body(table, schema, table + "_dead")
     good = '{"event_timestamp":1704067207179575,"perf_ts":1,"KIND":"k","user":5,"other":1}'
     body(texts(good, "nope"), 0)
-    row = spark.table(table).drop("batch_id").first().asDict()
+    row = spark.table(table).drop("ingest_batch").first().asDict()
     assert {**row, "event_day": str(row["event_day"])} == {
         "event_ts": 1704067207, "kind": "k", "user": 5, "event_day": "2024-01-01",
     }
@@ -90,7 +90,7 @@ def test_declared_versions_in_turn(spark, texts, table, tmp_path):
     for number, schema in enumerate([*VERSIONS, VERSIONS[0]]):
         body = bodies.declared_body(table, schema, str(tmp_path / "data"))
         body(texts(json.dumps(full)), number)
-    rows = spark.table(table).orderBy("batch_id").collect()
+    rows = spark.table(table).orderBy("ingest_batch").collect()
     phones = [r["SENDER_RECORD"]["SENDER_MOBILE_PHONE"] for r in rows]
     assert phones == [None, "p", "p", None]
     assert [r["NEW_TOP_LEVEL_FIELD"] for r in rows] == [None, "t", "t", None]

@@ -82,7 +82,7 @@ def test_no_row_and_no_value_is_lost(spark, texts, table, body_of):
         df = texts(*messages).drop("seq")
         body(df, batch)
         body(df, batch)  # a repeated micro-batch must not double anything
-    rows = spark.table(table).drop("batch_id").collect()
+    rows = spark.table(table).drop("ingest_batch").collect()
     found = {
         r["ID"]: {k.upper(): v for k, v in r.asDict().items() if v is not None} for r in rows
     }
@@ -120,6 +120,12 @@ def test_too_many_new_fields_fail(spark, texts, table):
         tables.evolve(rows, table, max_new=2)
 
 
+def test_reserved_name_is_refused(spark, texts, table):
+    tables.create_table(spark, table, T.StructType.fromDDL("ID string"))
+    with pytest.raises(ValueError, match="partition column"):
+        tables.evolve(drift.dynamic_rows(texts('{"ID":1,"INGEST_BATCH":5}')), table)
+
+
 def test_evolve_is_case_insensitive_and_repeatable(spark, texts, table):
     tables.create_table(spark, table, T.StructType.fromDDL("ID string"))
     rows = drift.dynamic_rows(texts('{"id":1,"New":1}', '{"ID":1,"NEW":1}'))

@@ -27,8 +27,8 @@ def test_append_by_name_and_once(spark, table):
     tables.append_batch(df.select("v", "k"), table, 2)
     tables.append_batch(df.select("v", "k"), table, 2)
     tables.append_batch(df.withColumn("unknown", F.lit(1)), table, 3)
-    found = spark.table(table).orderBy("batch_id").collect()
-    assert [(r["k"], r["seq"], r["v"], r["batch_id"]) for r in found] == [
+    found = spark.table(table).orderBy("ingest_batch").collect()
+    assert [(r["k"], r["seq"], r["v"], r["ingest_batch"]) for r in found] == [
         ("a", 1, "x", 1), ("a", None, "x", 2), ("a", 1, "x", 3),
     ]
 
@@ -39,7 +39,7 @@ def test_number_of_files(spark, table, tmp_path):
     tables.append_batch(df.repartition(7), table, 1, shards=3)
     tables.append_batch(df.repartition(7), table, 2, shards=0)
     tables.append_batch(df.repartition(7), table, 3)
-    files_of = lambda n: len(list((tmp_path / f"data/batch_id={n}").glob("part-*")))
+    files_of = lambda n: len(list((tmp_path / f"data/ingest_batch={n}").glob("part-*")))
     assert (files_of(1), files_of(2), files_of(3)) == (3, 1, 7)
     assert spark.table(table).count() == 900
 
@@ -61,7 +61,7 @@ def test_folds_equal_the_whole_history(spark, table, tmp_path):
         quick = tables.current_rows(spark, table, ["k"], ["seq"], fold)
         assert {tuple(r) for r in quick.collect()} == whole
         if batch % 2:
-            order = ["batch_id", "seq"]
+            order = ["ingest_batch", "seq"]
             fold = tables.fold_batches(spark, table, ["k"], order, batch, str(tmp_path), fold)
             folds.append(fold)
     assert [f.upto for f in folds] == [1, 3, 5]

@@ -91,7 +91,7 @@ def test_update_mode_statistics(spark, feed, run, table):
     source.send([{"dim1": "a", "at": base + 1, "metrics1": 6}])
     events = source.stream().withColumn("ts", F.timestamp_millis("at")).withWatermark("ts", "1 hour")
     run(windows.window_stats(events, "ts", "1 minute"), bodies.append_body(table), "update")
-    firing_counts = [r["num_records"] for r in spark.table(table).filter("dim1 = 'a'").orderBy("batch_id").collect()]
+    firing_counts = [r["num_records"] for r in spark.table(table).filter("dim1 = 'a'").orderBy("ingest_batch").collect()]
     assert firing_counts == [1, 2]
     last = tables.current_rows(spark, table, ["window_start", "dim1"]).collect()
     assert {r["dim1"]: r["sum"] for r in last} == {"a": 10, "b": 1}
@@ -205,7 +205,7 @@ def test_drift_stream_widens_between_batches(spark, feed, run, table):
     for extra in ({}, {"A": "1"}, {"A": "2", "B": "3"}):
         source.send([{"value": json.dumps({"ID": f"r{i}", **extra})} for i in range(3)])
     run(source.stream(), bodies.healing_body(table))
-    found = spark.table(table).groupBy("batch_id", "A", "B").count().collect()
+    found = spark.table(table).groupBy("ingest_batch", "A", "B").count().collect()
     assert {(r["A"], r["B"]): r["count"] for r in found} == {
         (None, None): 3, ("1", None): 3, ("2", "3"): 3,
     }

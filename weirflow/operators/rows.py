@@ -50,7 +50,8 @@ def numbered(
 
     Rows are numbered inside blocks of the order column; the start of each block
     is a running sum over block counts. A hot key is thereby spread over its
-    blocks, and only counts are ordered per key.
+    blocks, and only counts are ordered per key. ``order`` is a position such as
+    an offset, so a block holds about ``block_rows`` rows.
     """
     block = F.call_function("div", F.col(order), F.lit(block_rows))
     blocked = df.withColumn("_block", block)

@@ -217,8 +217,8 @@ SELECT event_ts, thread_id, thread_name, seq, dim1, metrics1 FROM csv""",
     "search_docs": f"WITH {DOCS} SELECT seq, doc FROM docs",
     "table_rows": f"""WITH {ENRICHED}, w AS (
   SELECT *, make_timestamp(event_ts // {HOUR} * {HOUR} * 1000) AS s FROM enriched)
-SELECT event_ts // 1000 AS event_ts, thread_id, thread_name, CAST(seq AS INTEGER) AS seq, dim1,
-  CAST(metrics1 AS INTEGER) AS metrics1, process_ts // 1000 AS process_ts, dim1_val,
+SELECT event_ts // 1000 AS event_ts, thread_id, thread_name, seq, dim1,
+  metrics1, process_ts // 1000 AS process_ts, dim1_val,
   '[' || strftime(s, {ISO}) || '..' || strftime(s + INTERVAL 1 HOUR, {ISO}) || ')' AS window,
   'PaneInfo.NO_FIRING' AS pane_info, CAST(0 AS BIGINT) AS pane_idx,
   CAST(0 AS BIGINT) AS pane_nonspeculative_idx, TRUE AS is_first, TRUE AS is_last,
@@ -307,6 +307,9 @@ WHERE lower(field) NOT IN ('id', 'sender_name')""",
     "drift_route": f"""WITH {DRIFT}
 SELECT batch, CASE WHEN batch >= 2 THEN 'DRIFTED' ELSE 'NORMAL' END AS route, count(*) AS messages
 FROM drift WHERE NOT broken GROUP BY ALL""",
+    "drift_route_rows": f"""WITH {DRIFT}
+SELECT seq, batch, CASE WHEN batch >= 2 THEN 'DRIFTED' ELSE 'NORMAL' END AS route
+FROM drift WHERE NOT broken""",
     "strict_split": f"""WITH {DRIFT}
 SELECT batch, CASE WHEN broken THEN 'malformed' WHEN batch >= 3 THEN 'unknown field' ELSE 'valid' END
   AS outcome, count(*) AS messages FROM drift GROUP BY ALL""",

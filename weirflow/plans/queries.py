@@ -486,8 +486,14 @@ def drift_detect(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def drift_route(spark: SparkSession, folder: str) -> DataFrame:
+    judged = drift.judged_key_sets(_drift_good(spark, folder), "batch", DRIFT_START)
+    return judged.groupBy("batch", "route").agg(F.sum("messages").alias("messages"))
+
+
+def drift_route_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """The route of every message."""
     routed = drift.replay_routes(_drift_good(spark, folder), "batch", DRIFT_START)
-    return routed.groupBy("batch", "route").agg(F.count("*").alias("messages"))
+    return routed.select("seq", "batch", "route")
 
 
 def drift_route_startup(spark: SparkSession, folder: str) -> DataFrame:
@@ -870,6 +876,7 @@ QUERIES: dict[str, Query] = {
         latest_view,
         drift_detect,
         drift_route,
+        drift_route_rows,
         drift_route_startup,
         strict_split,
         drift_heal,

@@ -1,6 +1,6 @@
 """Catalog tables as sinks: append, widen, route, upsert.
 
-Every table written by a stream is partitioned by ``batch_id`` and a micro-batch
+Every table written by a stream is partitioned by ``ingest_batch`` and a micro-batch
 overwrites its own partition, so a batch that runs twice lands once.
 """
 
@@ -17,7 +17,8 @@ from weirflow.operators.drift import lower_names, new_fields, shaped, widened
 from weirflow.operators.rows import latest_by, sharded
 from weirflow.sources.schemas import live_schema
 
-BATCH = "batch_id"
+# Partition column of every table a stream writes; no message field may have this name.
+BATCH = "ingest_batch"
 
 # Names of table formats whose provider executes MERGE.
 MERGE_FORMATS = ("delta", "iceberg", "hudi")
@@ -98,6 +99,8 @@ def append_batch(
 
 def add_columns(spark: SparkSession, table: str, columns: dict[str, str]) -> list[str]:
     """Add the columns the table lacks (any case counts as present); returns those added."""
+    if BATCH in lower_names(list(columns)):
+        raise ValueError(f"field {BATCH} has the name of the partition column")
     present = lower_names(live_schema(spark, table).fieldNames())
     missing = {n: t for n, t in columns.items() if n.lower() not in present}
     if missing:
@@ -137,7 +140,7 @@ def evolve(rows: DataFrame, table: str, max_new: int = 10_000) -> list[str]:
     an error, so the micro-batch fails and no row is lost.
     """
     spark = rows.sparkSession
-    fields = new_fields(rows, live_schema(spark, table).fieldNames())
+    fields = new_fields(rows, table_columns(spark, table).fieldNames())
     names = sorted(r["spelling"] for r in fields.limit(max_new + 1).collect())
     if len(names) > max_new:
         raise ValueError(f"more than {max_new} new fields for {table}")

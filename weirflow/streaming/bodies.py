@@ -289,7 +289,8 @@ def healing_body(
     row is written, so the barrier between the two is the order of statements.
     Normal and drifted rows then go out in one append. A value that does not parse
     as its column's type sends its row to the dead letters, or fails the batch
-    where there is no table for them.
+    where there is no table for them. ``keep`` columns come from the source: give
+    them names no message uses.
     """
 
     def body(batch: DataFrame, batch_id: int) -> None:
