@@ -54,6 +54,18 @@ def test_strict_split(texts):
     ]
 
 
+def test_nested_values_reach_nested_columns(texts):
+    schema = T.StructType.fromDDL("ID string, r struct<a: bigint, b: string>, l array<int>")
+    rows = drift.dynamic_rows(
+        texts('{"ID":"x","R":{"a":901807788764659968,"b":"c"},"l":[1,2]}', '{"ID":"y","l":"no list"}'),
+        ["seq"],
+    )
+    checked = drift.strict_split(rows, schema).orderBy("seq")
+    assert [r["reason"] for r in checked.collect()] == [None, "bad field"]
+    row = drift.as_columns(checked.filter("reason IS NULL"), schema).first()
+    assert row["r"].asDict() == {"a": 901807788764659968, "b": "c"} and row["l"] == [1, 2]
+
+
 def test_versions_fill_nested_fields(spark):
     old = spark.sql("SELECT 'a' AS ID, named_struct('NAME', 'x') AS R UNION ALL SELECT 'b', NULL")
     target = T.StructType.fromDDL("ID string, R struct<NAME: string, PHONE: string>, N bigint")

@@ -37,5 +37,16 @@ def typed(text: Column, data_type: T.DataType) -> Column:
     return text.try_cast(data_type)
 
 
+def from_text(text: Column, data_type: T.DataType, lenient: bool = False) -> Column:
+    """A message value, known as text, in the type of its column.
+
+    Structs, arrays and maps are JSON text. A scalar that does not parse fails the
+    job, or is NULL when ``lenient``.
+    """
+    if isinstance(data_type, (T.StructType, T.ArrayType, T.MapType)):
+        return F.from_json(text, data_type)
+    return text.try_cast(data_type) if lenient else text.cast(data_type)
+
+
 def or_default(value: Column, default) -> Column:
     return F.coalesce(value, F.lit(default))

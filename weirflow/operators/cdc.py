@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from weirflow.functions.casts import from_text
 from weirflow.operators.rows import compute_once, latest_by
 
 RECORD = T.MapType(T.StringType(), T.StringType())
@@ -125,7 +126,8 @@ def bad_record(record: Column, schema: T.StructType) -> Column:
     for f in schema.fields:
         if not isinstance(f.dataType, T.StringType):
             value = F.try_element_at(record, F.lit(f.name))
-            bad = bad | (value.isNotNull() & value.try_cast(f.dataType).isNull())
+            parsed = from_text(value, f.dataType, lenient=True)
+            bad = bad | (value.isNotNull() & parsed.isNull())
     return bad
 
 
@@ -135,7 +137,7 @@ def record_columns(rows: DataFrame, schema: T.StructType, keep: Sequence[str] =
     A value that does not parse fails the job: split such rows off first.
     """
     values = [
-        F.try_element_at("record", F.lit(f.name)).cast(f.dataType).alias(f.name)
+        from_text(F.try_element_at("record", F.lit(f.name)), f.dataType).alias(f.name)
         for f in schema.fields
     ]
     return rows.select(*keep, *values)

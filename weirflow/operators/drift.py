@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from weirflow.functions.casts import from_text
 from weirflow.functions.json_text import json_map
 from weirflow.operators.rows import compute_once
 from weirflow.session import materialize
@@ -104,7 +105,7 @@ def as_columns(rows: DataFrame, schema: T.StructType, keep: Sequence[str] = ())
         )
     )
     values = [
-        F.try_element_at("_row", F.lit(f.name.lower())).cast(f.dataType).alias(f.name)
+        from_text(F.try_element_at("_row", F.lit(f.name.lower())), f.dataType).alias(f.name)
         for f in schema.fields
     ]
     return rows.select(*keep, lowered.alias("_row")).select(*keep, *values)
@@ -130,7 +131,8 @@ def strict_split(
         if not f.nullable:
             missing = missing | value(name).isNull()
         if not isinstance(f.dataType, T.StringType):
-            bad = bad | (value(name).isNotNull() & value(name).try_cast(f.dataType).isNull())
+            parsed = from_text(value(name), f.dataType, lenient=True)
+            bad = bad | (value(name).isNotNull() & parsed.isNull())
     unknown = F.lit(not ignore_unknown) & (F.size(new_keys(F.col("row"), list(lookup))) > 0)
     checked = (
         F.when(unknown, "unknown field").when(missing, "missing field").when(bad, "bad field")
