@@ -721,7 +721,8 @@ def field_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 def _drain(df: DataFrame, body, spark: SparkSession, label: str, mode: str = "append") -> None:
     checkpoint = scratch_dir(spark, f"{label}-progress")
-    tables.write_each_batch(df, body, checkpoint, seconds=None, mode=mode).start().awaitTermination()
+    writer = tables.write_each_batch(df, body, checkpoint, None, mode, deal=mode == "append")
+    writer.start().awaitTermination()
 
 
 def _stream(spark: SparkSession, folder: str, name: str) -> DataFrame:

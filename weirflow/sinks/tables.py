@@ -15,6 +15,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from weirflow.operators.drift import lower_names, new_fields, shaped, widened
 from weirflow.operators.rows import latest_by, sharded
+from weirflow.sources.messages import spread
 from weirflow.sources.schemas import live_schema
 
 # Partition column of every table a stream writes; no message field may have this name.
@@ -266,10 +267,12 @@ def write_each_batch(
     checkpoint: str,
     seconds: int | None = 15,
     mode: str = "append",
+    deal: bool = False,
 ) -> DataStreamWriter:
     """A stream writer that runs ``body`` per micro-batch, every ``seconds``.
 
-    ``None`` drains what is there and stops. Source offsets are committed in the
+    With ``deal`` a micro-batch with fewer splits than cores, as from a topic of few
+    partitions, is dealt out before the body. ``None`` drains what is there and stops. Source offsets are committed in the
     checkpoint only after the body has returned.
     """
     writer = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
@@ -278,4 +281,6 @@ def write_each_batch(
         if seconds is None
         else writer.trigger(processingTime=f"{seconds} seconds")
     )
-    return writer.foreachBatch(body)
+    if not deal:
+        return writer.foreachBatch(body)
+    return writer.foreachBatch(lambda batch, batch_id: body(spread(batch), batch_id))

@@ -17,8 +17,11 @@ Body = Callable[[DataFrame, int], None]
 
 
 @contextmanager
-def kept(df: DataFrame) -> Iterator[DataFrame]:
+def kept(df: DataFrame, several: bool = True) -> Iterator[DataFrame]:
     """A micro-batch that feeds several writes is read and parsed once."""
+    if not several:
+        yield df
+        return
     stored = df.persist()
     try:
         yield stored
@@ -35,7 +38,7 @@ def log_body(
     """Parse log messages, append good rows and dead letters to their tables."""
 
     def body(batch: DataFrame, batch_id: int) -> None:
-        with kept(logs.parse_logs(batch, keep)) as parsed:
+        with kept(logs.parse_logs(batch, keep), bool(dead_table)) as parsed:
             good = logs.good_rows(parsed)
             tables.append_batch(good, table, batch_id, create=True, shards=shards)
             if dead_table:
@@ -60,7 +63,7 @@ def change_body(table: str, arrival: str, dead_table: str | None = None) -> Body
     """Append each batch's last change per record; ``current_records`` applies them."""
 
     def body(batch: DataFrame, batch_id: int) -> None:
-        with kept(cdc.parse_changes(batch, [arrival])) as parsed:
+        with kept(cdc.parse_changes(batch, [arrival]), bool(dead_table)) as parsed:
             changes = cdc.changed_records(parsed, arrival)
             keyed = changes.withColumn(
                 "record_key", cdc.record_key(F.col("pk_names"), F.col("record"))
@@ -159,7 +162,7 @@ def sql_body(
     """Parse log messages, run a SQL statement over the good rows, append its result."""
 
     def body(batch: DataFrame, batch_id: int) -> None:
-        with kept(logs.parse_logs(batch, keep, millis=True)) as parsed:
+        with kept(logs.parse_logs(batch, keep, millis=True), bool(dead_table)) as parsed:
             result = logs.sql_over(logs.good_rows(parsed), statement)
             tables.append_batch(result, table, batch_id, create=True)
             if dead_table:
@@ -226,7 +229,7 @@ def basic_event_body(table: str, schema: T.StructType, dead_table: str | None =
         spark = batch.sparkSession
         target = T.StructType([f for f in schema.fields if f.name != "event_ts"])
         checked = drift.strict_split(events.basic_events(batch), target, ignore_unknown=True)
-        with kept(checked) as parsed:
+        with kept(checked, bool(dead_table)) as parsed:
             rows = drift.as_columns(logs.good_rows(parsed), target, ["event_ts"])
             dated = rows.withColumn("event_day", F.to_date(F.timestamp_seconds("event_ts")))
             tables.create_table(spark, table, dated.schema, partitions=["event_day"])
@@ -241,7 +244,8 @@ def json_column_body(table: str, dead_table: str | None = None) -> Body:
     """Two flat columns and one JSON column; text that is no object is a dead letter."""
 
     def body(batch: DataFrame, batch_id: int) -> None:
-        with kept(compute_once(batch, ["value"], r=split_metadata(F.col("value")))) as split:
+        parsed = compute_once(batch, ["value"], r=split_metadata(F.col("value")))
+        with kept(parsed, bool(dead_table)) as split:
             good = split.filter("r.parsed").select("r.ID", "r.SENDER_NAME", "r.METADATA")
             tables.append_batch(good, table, batch_id, create=True)
             if dead_table:
