@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from weirflow.llm import chat, lines, shards
+from weirflow.llm import chat, lines, packing, shards, simple8b
+from weirflow.llm.tokens import default_vocabulary
 from weirflow.session import prepare_session
 
 
@@ -98,9 +99,21 @@ def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return lines.drop_boilerplate(documents).drop("source")
 
 
+def op4_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents cut and packed into sequences of 2048 tokens."""
+    return packing.pack_documents(read(spark, folder, "documents"), default_vocabulary())
+
+
+def op7_token_ids(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents' ids written as Simple-8b files and read back."""
+    return simple8b.round_trip(read(spark, folder, "documents"), default_vocabulary(), end_id=2)
+
+
 QUERIES = {
     "op1_chat_format": op1_chat_format,
+    "op4_best_fit_packing": op4_best_fit_packing,
     "op5_shards": op5_shards,
+    "op7_token_ids": op7_token_ids,
     "op9_line_dedup": op9_line_dedup,
 }
 

@@ -75,34 +75,52 @@ def row_number_at(shard: Column, slot: Column, shards: int, n: Column, seed: int
     return _walk(slot * shards + shard, n, seed, True)
 
 
-def global_row_numbers(rows: DataFrame, keys: Sequence[str], buckets: int = BUCKETS) -> DataFrame:
-    """``keys`` with ``row_number`` from 0 and ``n``, for every row of ``rows``.
+def numbered(
+    rows: DataFrame, group: Sequence[str], keys: Sequence[str], buckets: int = BUCKETS
+) -> DataFrame:
+    """``group``, ``keys``, ``row_number`` from 0 within the group, and ``n``, its size.
 
-    Two shuffles of the key columns alone. The bucket counts are at most ``buckets``
-    rows, whatever the input.
+    Two shuffles of these columns alone. Rows are counted in hash buckets and numbered
+    inside them from carried offsets, so a group may hold any share of the rows.
     """
     counted = (
-        rows.select(*keys)
+        rows.select(*group, *keys)
         .withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
-        .groupBy("bucket", *keys)
+        .groupBy("bucket", *group, *keys)
         .agg(F.count("*").alias("copies"))
     )
-    before = Window.rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*group)
+    before = whole.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     sizes = (
-        counted.groupBy("bucket")
+        counted.groupBy("bucket", *group)
         .agg(F.sum("copies").alias("size"))
-        .withColumn("start", F.coalesce(F.sum("size").over(before.orderBy("bucket")), F.lit(0)))
-        .withColumn("n", F.sum("size").over(Window.partitionBy()))
+        .select(
+            F.col("bucket").alias("_bucket"),
+            *(F.col(g).alias(f"_{g}") for g in group),
+            F.coalesce(F.sum("size").over(before), F.lit(0)).alias("first"),
+            F.sum("size").over(whole).alias("n"),
+        )
     )
-    inside = before.partitionBy("bucket").orderBy(*(F.asc_nulls_first(k) for k in keys))
-    placed = counted.withColumn("at", F.coalesce(F.sum("copies").over(inside), F.lit(0)))
-    # At most ``buckets`` rows of three numbers: small enough to send to every task.
-    return placed.join(F.broadcast(sizes.drop("size")), "bucket").select(
-        *keys,
-        F.explode(
-            F.sequence(F.col("start") + F.col("at"), F.col("start") + F.col("at") + F.col("copies") - 1)
-        ).alias("row_number"),
-        "n",
+    if not group:
+        sizes = F.broadcast(sizes)  # ``buckets`` rows of three numbers at most
+    same = F.col("bucket") == F.col("_bucket")
+    for g in group:
+        same = same & F.col(g).eqNullSafe(F.col(f"_{g}"))
+    inside = (
+        Window.partitionBy("bucket", *group)
+        .orderBy(*(F.asc_nulls_first(k) for k in keys))
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    first = F.col("first") + F.col("at")
+    return (
+        counted.withColumn("at", F.coalesce(F.sum("copies").over(inside), F.lit(0)))
+        .join(sizes, same)
+        .select(
+            *group,
+            *keys,
+            F.explode(F.sequence(first, first + F.col("copies") - 1)).alias("row_number"),
+            "n",
+        )
     )
 
 
@@ -115,7 +133,7 @@ def shard_rows(rows: DataFrame, keys: Sequence[str], shards: int, seed: int = 0)
         raise ValueError("shards must be at least 1")
     place = F.col("place")
     return (
-        global_row_numbers(rows, keys)
+        numbered(rows, [], keys)
         .withColumn("place", permuted(F.col("row_number"), F.col("n"), seed))
         .withColumn(
             "place",
