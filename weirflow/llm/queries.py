@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from weirflow.llm import chat, lines, packing, shards, simple8b
+from weirflow.llm import chat, lines, neardup, packing, shards, simple8b
 from weirflow.llm.tokens import default_vocabulary
 from weirflow.session import prepare_session
 
@@ -99,6 +99,11 @@ def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return lines.drop_boilerplate(documents).drop("source")
 
 
+def op2_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents with their near-duplicate class and number of links."""
+    return neardup.jaccard_join(read(spark, folder, "documents"))
+
+
 def op4_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents cut and packed into sequences of 2048 tokens."""
     return packing.pack_documents(read(spark, folder, "documents"), default_vocabulary())
@@ -111,6 +116,7 @@ def op7_token_ids(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_chat_format": op1_chat_format,
+    "op2_jaccard_join": op2_jaccard_join,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_shards": op5_shards,
     "op7_token_ids": op7_token_ids,
