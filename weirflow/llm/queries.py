@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from weirflow.llm import chat, lines, neardup, packing, shards, simple8b
+from weirflow.llm import chat, language, lines, neardup, packing, shards, simple8b, toxicity
 from weirflow.llm.tokens import default_vocabulary
 from weirflow.session import prepare_session
 
@@ -104,6 +104,30 @@ def op2_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.jaccard_join(read(spark, folder, "documents"))
 
 
+def remainder(doc_id: str, by: int) -> Column:
+    """crc32 of the id as text, modulo ``by``: decides what is held out of learning."""
+    return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(by)), F.lit(-1))
+
+
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents scored by a model learned from three of four labelled ones."""
+    documents = read(spark, folder, "documents").select("doc_id", "text")
+    labels = read(spark, folder, "labels").where(remainder("doc_id", 4) != 2)
+    model = toxicity.fit(documents, labels)
+    return toxicity.scored(documents, model).select(
+        "doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "score", "predicted", "offending"
+    )
+
+
+def op10_language(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents' language, by a model learned from two of three documents."""
+    documents = read(spark, folder, "documents").select("doc_id", "text", "lang")
+    model = language.fit(documents.where(remainder("doc_id", 3) != 1))
+    return language.predicted(documents, model).select(
+        "doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score"
+    )
+
+
 def op4_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents cut and packed into sequences of 2048 tokens."""
     return packing.pack_documents(read(spark, folder, "documents"), default_vocabulary())
@@ -117,10 +141,12 @@ def op7_token_ids(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_jaccard_join": op2_jaccard_join,
+    "op3_toxicity": op3_toxicity,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_shards": op5_shards,
     "op7_token_ids": op7_token_ids,
     "op9_line_dedup": op9_line_dedup,
+    "op10_language": op10_language,
 }
 
 # SQL for what SQL can say. The digests of op1 are taken of the rows themselves, not of

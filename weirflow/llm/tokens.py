@@ -12,11 +12,10 @@ import os
 import re
 from array import array
 from collections.abc import Sequence
-from functools import lru_cache
 
 import numpy as np
 
-from weirflow.llm.words import WordTable
+from weirflow.llm.words import WordTable, per_worker
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark deals out the work
 
@@ -71,10 +70,9 @@ class Encoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
 
 
-@lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
     """One encoder per Python worker and file."""
-    return Encoder(path)
+    return per_worker(f"encoder {path}", lambda: Encoder(path))
 
 
 def default_vocabulary() -> str:

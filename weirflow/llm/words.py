@@ -9,6 +9,7 @@ in numpy. Whole texts are read; the table of known words is bounded and only sav
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -83,13 +84,25 @@ def text_groups(batch: pa.RecordBatch, column: int) -> Iterator[tuple[pa.RecordB
         yield batch.slice(start), texts[start:]
 
 
+def per_worker(name: str, make: Callable[[], object]) -> object:
+    """One object per Python process: a worker keeps it from task to task.
+
+    Functions reach workers as copies, with fresh globals for each task, so what must
+    last is kept with the interpreter.
+    """
+    kept = sys.__dict__.setdefault("_weirflow_llm", {})
+    if name not in kept:
+        kept[name] = make()
+    return kept[name]
+
+
 def _word_hashes(word: str) -> bytes:
     return b"".join(xxhash.xxh64_digest(w)[::-1] for w in _WORD.findall(word))
 
 
 def hash_table() -> WordTable:
     """64-bit hashes of lower-case words (runs of letters, digits and underscores)."""
-    return WordTable(_word_hashes, "<u8")
+    return per_worker("word hashes", lambda: WordTable(_word_hashes, "<u8"))
 
 
 def mix(x: np.ndarray) -> np.ndarray:
