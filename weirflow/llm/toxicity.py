@@ -75,7 +75,7 @@ def _softplus(z: np.ndarray) -> np.ndarray:
     return np.logaddexp(0, z)
 
 
-def learn(texts: list[str | None], labels: np.ndarray, rounds: int = 150, l2: float = 0.5) -> ToxicityModel:
+def learn(texts: list[str | None], labels: np.ndarray, rounds: int = 150, l2: float = 0.05) -> ToxicityModel:
     """Fit sentence weights from document labels."""
     labels = np.asarray(labels, dtype=float)
     nothing = ToxicityModel({}, -math.inf)
