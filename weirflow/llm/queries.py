@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from weirflow.llm import chat, language, lines, neardup, packing, shards, simple8b, toxicity
+from weirflow.llm import chat, decontam, language, lines, neardup, packing, shards, simple8b, toxicity
 from weirflow.llm.tokens import default_vocabulary
 from weirflow.session import prepare_session
 
@@ -138,6 +138,11 @@ def op7_token_ids(spark: SparkSession, folder: str) -> DataFrame:
     return simple8b.round_trip(read(spark, folder, "documents"), default_vocabulary(), end_id=2)
 
 
+def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Every benchmark item found in a document, whole or edited."""
+    return decontam.contaminated(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+
+
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_jaccard_join": op2_jaccard_join,
@@ -145,6 +150,7 @@ QUERIES = {
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_shards": op5_shards,
     "op7_token_ids": op7_token_ids,
+    "op8_decontamination": op8_decontamination,
     "op9_line_dedup": op9_line_dedup,
     "op10_language": op10_language,
 }
