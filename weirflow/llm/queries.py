@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from weirflow.llm import chat, decontam, language, lines, neardup, packing, shards, simple8b, toxicity
+from weirflow.llm import chat, decontam, hamming, language, lines, neardup, packing, shards, simple8b, toxicity
 from weirflow.llm.tokens import default_vocabulary
 from weirflow.session import prepare_session
 
@@ -133,6 +133,17 @@ def op4_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(read(spark, folder, "documents"), default_vocabulary())
 
 
+TOP_K = 10
+VECTOR_SIZE = 64
+
+
+def op6_hamming_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten nearest codes of each vector whose id is divisible by 50, itself included."""
+    vectors = read(spark, folder, "embeddings").select("vec_id", "embedding")
+    queries = vectors.where(F.pmod("vec_id", F.lit(50)) == 0)
+    return hamming.nearest(vectors, queries, "vec_id", "embedding", VECTOR_SIZE, TOP_K)
+
+
 def op7_token_ids(spark: SparkSession, folder: str) -> DataFrame:
     """All documents' ids written as Simple-8b files and read back."""
     return simple8b.round_trip(read(spark, folder, "documents"), default_vocabulary(), end_id=2)
@@ -149,6 +160,7 @@ QUERIES = {
     "op3_toxicity": op3_toxicity,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_shards": op5_shards,
+    "op6_hamming_search": op6_hamming_search,
     "op7_token_ids": op7_token_ids,
     "op8_decontamination": op8_decontamination,
     "op9_line_dedup": op9_line_dedup,
@@ -164,6 +176,15 @@ _ESCAPED_CHARS = "char_length({c})" + "".join(
 )
 
 ORACLES = {
+    "op6_hamming_search": f"""
+        WITH codes AS (SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CASE WHEN x > 0 THEN 1 ELSE 0 END) AS b
+            FROM embeddings WHERE len(embedding) = {VECTOR_SIZE}),
+        pairs AS (SELECT q.vec_id AS query_id, c.vec_id AS neighbor_id,
+                list_sum(list_transform(list_zip(q.b, c.b), lambda z: abs(z[1] - z[2])))::INT AS distance
+            FROM codes q, codes c WHERE q.vec_id % 50 = 0),
+        ranked AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY distance, neighbor_id)::INT AS rank,
+                neighbor_id, distance FROM pairs)
+        SELECT * FROM ranked WHERE rank <= {TOP_K}""",
     "op1_chat_format": f"""
         WITH rows AS (
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
