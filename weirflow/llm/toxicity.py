@@ -36,7 +36,7 @@ MAX_ROWS = 12_000
 MAX_CHARS = 50_000
 THRESHOLD = 0.3
 
-_LINE = ""  # stands for a line's end among the words
+_LINE = "\ue000"  # stands for a line's end among the words
 _WORD = re.compile(r"\w+")
 _STOP = re.compile(r"[.!?]\W*$")
 _TOKEN = re.compile(r"\n|\S+")
@@ -48,13 +48,6 @@ class ToxicityModel:
     weights: dict[str, float]
     bias: float
 
-    def word(self, token: str) -> list[float]:
-        """The weights of a token's known words; infinity if a sentence ends behind it."""
-        if token == _LINE:
-            return [math.inf]
-        found = [self.weights[w] for w in _WORD.findall(token) if w in self.weights]
-        return found + [math.inf] if _STOP.search(token) else found
-
 
 def _prepare(texts: pa.Array) -> pa.Array:
     return pc.replace_substring(pc.utf8_lower(texts), "\n", f" {_LINE} ")
@@ -176,33 +169,43 @@ def offending(model: ToxicityModel, text: str, threshold: float) -> list[dict]:
     return found
 
 
+class Scorer:
+    """Scores texts in batches; made once per task from a model."""
+
+    def __init__(self, model: ToxicityModel) -> None:
+        self.bias = model.bias
+        self.places = {w: i for i, w in enumerate(model.weights)}
+        self.weights = np.array(list(model.weights.values()))
+        self.table = WordTable(self._word, "<i4", _prepare)
+
+    def _word(self, token: str) -> bytes:
+        if token == _LINE:
+            return np.array([_END], "<i4").tobytes()
+        found = [self.places[w] for w in _WORD.findall(token) if w in self.places]
+        return np.array(found + [_END] * bool(_STOP.search(token)), "<i4").tobytes()
+
+    def scores(self, texts: list[str | None]) -> np.ndarray:
+        """The noisy-or of each text's sentences; 0 for a text without words."""
+        n, words = len(texts), len(self.weights)
+        if not words:
+            return np.zeros(n)
+        values, sentence, doc_of = _bags(*self.table.batch(texts), _END)
+        cells = np.unique(sentence.astype(np.int64) * words + values)  # each word once a sentence
+        active, row = np.unique(cells // words, return_inverse=True)
+        z = self.bias + np.bincount(row, weights=self.weights[cells % words], minlength=len(active))
+        plain = np.bincount(doc_of, minlength=n) - np.bincount(doc_of[active], minlength=n)
+        total = np.bincount(doc_of[active], weights=_softplus(z), minlength=n)
+        worded = np.array([bool(t) and _WORD.search(t) is not None for t in texts])
+        return np.where(worded, -np.expm1(-total - plain * _softplus(np.array(self.bias))), 0.0)
+
+
 def scored(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id, score, predicted, offending`` for each row of ``docs``."""
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        places = {w: i for i, w in enumerate(model.weights)}
-        weights = np.array(list(model.weights.values()))
-
-        def resolve(token: str) -> bytes:
-            if token == _LINE:
-                return np.array([_END], "<i4").tobytes()
-            found = [places[w] for w in _WORD.findall(token) if w in places]
-            return np.array(found + [_END] * bool(_STOP.search(token)), "<i4").tobytes()
-
-        table = WordTable(resolve, "<i4", _prepare)
+        scorer = Scorer(model)
         for part, texts in (g for batch in batches for g in text_groups(batch, 1)):
-            n = len(texts)
-            scores = np.zeros(n)
-            if len(weights):
-                values, bounds = table.batch(texts)
-                values, sentence, doc_of = _bags(values, bounds, _END)
-                cells = np.unique(sentence.astype(np.int64) * len(weights) + values)
-                active, row = np.unique(cells // len(weights), return_inverse=True)
-                z = model.bias + np.bincount(row, weights=weights[cells % len(weights)], minlength=len(active))
-                plain = np.bincount(doc_of, minlength=n) - np.bincount(doc_of[active], minlength=n)
-                total = np.bincount(doc_of[active], weights=_softplus(z), minlength=n)
-                worded = np.array([bool(t) and _WORD.search(t) is not None for t in texts])
-                scores = np.where(worded, -np.expm1(-total - plain * _softplus(np.array(model.bias))), 0.0)
+            scores = scorer.scores(texts)
             bad = scores >= threshold
             yield pa.RecordBatch.from_arrays(
                 [
@@ -221,3 +224,15 @@ def scored(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD)
         score,
         "doc_id bigint, score double, predicted int, offending array<struct<start: int, length: int, score: double>>",
     )
+
+
+def without_toxic(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` that score below ``threshold``, with all their columns."""
+    at = docs.columns.index("text")
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(model)
+        for part, texts in (g for batch in batches for g in text_groups(batch, at)):
+            yield part.filter(pa.array(scorer.scores(texts) < threshold))
+
+    return docs.mapInArrow(keep, docs.schema)
