@@ -1,0 +1,67 @@
+import random
+
+from weirflow.llm import decontam
+
+DOCS = "doc_id bigint, text string, item_id string, score string"
+
+
+def made(seed, n=200):
+    draw = random.Random(seed)
+    return draw, [f"{a}{b}" for a in ("ta", "ke", "lo", "mi") for b in ("na", "ro", "si", "tu", "ve")] * (n // 20)
+
+
+def test_whole_edited_and_clean(spark):
+    draw, words = made(1)
+    sentence = lambda n: [draw.choice(words) for _ in range(n)]
+    items = [(i, " ".join(sentence(40))) for i in range(6)] + [(10, "too short"), (11, None), (None, "one two three four five six")]
+    rows, want = [], set()
+    for i in range(60):
+        text = sentence(80)
+        if i % 3 == 0:
+            item = i // 3 % 6
+            own = items[item][1].split()
+            for _ in range(draw.choice([0, 0, 3, 5])):
+                at = draw.randrange(len(own))
+                own[at : at + 1] = draw.choice([[], ["edited"], ["put", "in"]])
+            text[30:30] = own
+            want.add((i, item))
+        rows.append((i, " ".join(text).capitalize() + ".", "x", "y"))
+    rows += [(100, None, "x", "y"), (101, "", "x", "y"), (102, "ONE, two; three four! five six", "x", "y"), (None, items[0][1], "x", "y")]
+    rows += [(103, "pad " * 100_000 + items[1][1], "x", "y"), (104, items[2][1] + " " + items[2][1], "x", "y")]
+    want |= {(102, None), (None, 0), (103, 1), (104, 2)}
+    docs = spark.createDataFrame(rows, DOCS).repartition(3)
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    got = decontam.contaminated(docs, bench).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == want and len(got) == len(want)
+    exact = next(r for r in got if r.doc_id == 103)
+    assert exact.score == 1 and (exact.start_word, exact.end_word) == (100_000, 100_040)
+    clean = decontam.decontaminated(docs, bench)
+    assert clean.columns == docs.columns
+    assert {r.doc_id for r in clean.collect()} == {r[0] for r in rows} - {d for d, _ in want}
+    blocks = decontam.contaminated(docs, bench, block_chars=300).collect()  # several scans
+    assert {(r.doc_id, r.item_id, r.score) for r in blocks} == {(r.doc_id, r.item_id, r.score) for r in got}
+
+
+def test_alignment_equals_the_textbook(spark):
+    import numpy as np
+
+    draw = random.Random(4)
+    for _ in range(60):
+        a = [draw.randint(0, 4) for _ in range(draw.randint(1, 12))]
+        windows = [[draw.randint(0, 4) for _ in range(draw.randint(1, 20))] for _ in range(3)]
+        best, end = decontam.align(np.array(a, np.uint64), [np.array(w, np.uint64) for w in windows])
+        for w, score in zip(windows, best):
+            table = [[0] * (len(w) + 1) for _ in range(len(a) + 1)]
+            for i, x in enumerate(a):
+                for j, y in enumerate(w):
+                    table[i + 1][j + 1] = max(0, table[i][j] + (2 if x == y else -1), table[i][j + 1] - 1, table[i + 1][j] - 1)
+            assert score == max(map(max, table))
+
+
+def test_empty_tables(spark):
+    docs = spark.createDataFrame([], DOCS)
+    bench = spark.createDataFrame([], "item_id bigint, text string")
+    some = spark.createDataFrame([(1, "a b c d e", "x", "y")], DOCS)
+    assert decontam.contaminated(docs, bench).count() == 0
+    assert decontam.contaminated(some, bench).count() == 0
+    assert decontam.decontaminated(some, bench).count() == 1

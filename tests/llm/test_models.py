@@ -1,0 +1,102 @@
+import random
+
+import numpy as np
+import pytest
+
+from weirflow.llm import language, toxicity
+
+DOCS = "doc_id bigint, text string, score string, lang string"
+
+
+def bags(seed, n=400):
+    """Documents of plain sentences; a toxic one has one bad sentence."""
+    draw = random.Random(seed)
+    word = lambda: draw.choice(["alpha", "beta", "gamma", "delta", "omega", "sigma", "kappa"])
+    rows = []
+    for i in range(n):
+        said = [" ".join(word() for _ in range(6)) + draw.choice([".", "!?", "\n"]) for _ in range(draw.randint(1, 40))]
+        toxic = i % 5 == 0
+        if toxic:
+            said[draw.randrange(len(said))] = f"You {draw.choice(['rotten', 'vile'])} thing."
+        rows.append((i, " ".join(said), int(toxic)))
+    return rows
+
+
+@pytest.fixture(scope="module")
+def model():
+    rows = bags(1)
+    return toxicity.learn([t for _, t, _ in rows], np.array([y for *_, y in rows]))
+
+
+def test_held_out_documents_and_their_sentences(spark, model):
+    rows = bags(2)
+    docs = spark.createDataFrame([(i, t, "s", "x") for i, t, _ in rows], DOCS)
+    got = {r.doc_id: r for r in toxicity.scored(docs, model).collect()}
+    for i, text, toxic in rows:
+        assert got[i].predicted == toxic and 0 <= got[i].score <= 1
+        for s in got[i].offending:
+            assert "thing" in text[s.start : s.start + s.length]
+        assert bool(got[i].offending) == bool(toxic)
+    clean = toxicity.without_toxic(docs, model)
+    assert clean.columns == docs.columns and clean.count() == sum(not y for *_, y in rows)
+
+
+def test_noisy_or_of_sentences(model):
+    text = "You vile thing.\nalpha beta. rotten!"
+    one = {w: model.weights.get(w, 0) for w in ("vile", "rotten", "you", "thing", "alpha", "beta")}
+    p = [1 / (1 + np.exp(-(model.bias + sum(one[w] for w in s)))) for s in (("you", "vile", "thing"), ("alpha", "beta"), ("rotten",))]
+    empty = 1 / (1 + np.exp(-model.bias))  # behind a sentence's end and a line's end
+    want = 1 - np.prod([1 - x for x in p]) * (1 - empty) ** 2
+    assert toxicity.Scorer(model).scores([text])[0] == pytest.approx(want)
+
+
+def test_odd_texts(spark, model):
+    odd = [None, "", "...", "\n\n", "日本", "alpha " * 200_000, "you vile thing", "YOU VILE THING!"]
+    docs = spark.createDataFrame([(i, t, "s", "x") for i, t in enumerate(odd)] + [(None, "a vile thing you", "s", "x")], DOCS)
+    got = {r.doc_id: r for r in toxicity.scored(docs, model).collect()}
+    assert [got[i].score for i in range(4)] == [0, 0, 0, 0]
+    assert got[6].score > 0.5 and got[7].score > 0.5 and got[None].score > 0.5
+
+
+def test_nothing_to_learn(spark):
+    docs = spark.createDataFrame([(1, "a b", "s", "en"), (2, None, "s", None)], DOCS)
+    labels = spark.createDataFrame([(1, 0), (2, None), (None, 1)], "doc_id bigint, toxic int")
+    got = toxicity.scored(docs, toxicity.fit(docs, labels)).collect()
+    assert [r.score for r in got] == [0, 0]
+    none = docs.where("doc_id < 0")
+    assert toxicity.scored(none, toxicity.fit(none, labels)).count() == 0
+    assert {r.lang_pred for r in language.predicted(docs, language.fit(none)).collect()} == {"und"}
+
+
+def texts(seed, n):
+    draw = random.Random(seed)
+    parts = {"xx": ["ka", "lo", "mi", "ra"], "yy": ["sch", "ung", "ein", "ber"], "zz": ["éa", "oi", "eau", "que"]}
+    for i in range(n):
+        lang = draw.choice(sorted(parts))
+        yield i, " ".join("".join(draw.choices(parts[lang], k=3)) for _ in range(draw.randint(2, 30))), "s", lang
+
+
+def test_languages_are_told_apart(spark):
+    learned = spark.createDataFrame(list(texts(1, 300)) + [(None, None, "s", "xx"), (901, "kalo", "s", None)], DOCS)
+    model = language.fit(learned)
+    assert model.languages == ("xx", "yy", "zz") and (model.weights == 0).mean() > 0.9
+    rows = list(texts(2, 200)) + [(i + 500, t, "s", "und") for i, t in enumerate([None, "", "123 !?", "🙂"])]
+    rows.append((600, "KALOMI " * 100_000, "s", "xx"))
+    got = {r.doc_id: r for r in language.predicted(spark.createDataFrame(rows, DOCS), model).collect()}
+    assert all(got[i].lang_pred == lang for i, *_, lang in rows)
+    assert all(0 <= r.score <= 1 for r in got.values())
+
+
+def test_frequencies_count_every_document(spark):
+    rows = [(i, "ab", "s", "x") for i in range(50)] + [(99, None, "s", "x")]
+    seen, n = language.document_frequencies(spark.createDataFrame(rows, DOCS).repartition(4))
+    assert n == 51 and seen.max() == 50
+
+
+def test_temperature_makes_scores_honest():
+    draw = np.random.default_rng(0)
+    classes = draw.integers(0, 2, 4000)
+    right = draw.random(4000) < 0.8
+    sure = np.where((classes == 1) == right, 5.0, -5.0)
+    t = language._temperature(np.stack([-sure, sure], axis=1), classes)
+    assert 1 / (1 + np.exp(-10 / t)) == pytest.approx(0.8, abs=0.03)
