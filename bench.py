@@ -9,36 +9,7 @@ import time
 from weirflow.plans.queries import QUERIES
 from weirflow.session import local_session
 
-HEADLINE = (
-    "log_filter_sql",
-    "log_upsert",
-    "bigint_flatten",
-    "bigint_envelope",
-    "json_metadata_split",
-    "csv_typed",
-    "search_docs",
-    "table_rows",
-    "window_stats",
-    "pane_replay",
-    "window_wide",
-    "late_drop",
-    "dedup_ttl",
-    "batches_100",
-    "bulk_batches",
-    "cdc_explode",
-    "cdc_apply",
-    "latest_view",
-    "drift_route",
-    "drift_heal",
-    "autodetect_load",
-    "schema_registry",
-    "table_compare",
-    "stream_log",
-    "stream_window",
-    "stream_cdc",
-    "stream_drift",
-    "stream_panes",
-)
+HEADLINE = tuple(QUERIES)  # every operator as a query
 
 
 def main() -> None:

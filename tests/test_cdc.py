@@ -92,3 +92,12 @@ def test_full_envelope(texts):
     assert row["old"] == [{"ID": str(BIG)}] and row["mysqlType"] == {"ID": "number"}
     assert row["sqlType"] == {"ID": 3} and row["reason"] is None
     assert "old" not in cdc.parse_changes(texts(text)).columns
+
+
+def test_long_fractions_of_records_are_exact(texts):
+    text = (
+        '{"database":"d","table":"t","type":"INSERT","ts":1,"es":1,"pkNames":["ID"],'
+        '"data":[{"ID":1,"PRICE":12345678901234567.89},{"ID":2,"PRICE":null}]}'
+    )
+    rows = cdc.changed_records(cdc.parse_changes(texts(text), ["seq"]), "seq").collect()
+    assert [r["record"]["PRICE"] for r in rows] == ["12345678901234567.89", None]

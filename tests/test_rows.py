@@ -3,6 +3,7 @@ import random
 from pyspark.sql import functions as F
 
 from weirflow.operators import rows
+from weirflow.session import materialize
 
 
 def test_numbering_equals_brute_force(spark):
@@ -33,3 +34,25 @@ def test_latest_view(spark):
     rows.latest_view(df, "latest_rows", ["k"], ["ts"])
     found = spark.sql("SELECT v FROM latest_rows ORDER BY k").collect()
     assert [r["v"] for r in found] == ["b", "c"]
+
+
+def test_numbering_shuffles_the_rows_once(spark):
+    df = spark.range(1000).selectExpr("id % 3 AS k", "id AS o", "repeat('x', 50) AS payload")
+    setting = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "-1")
+    try:
+        plan = rows.numbered(df, ["k"], "o", 50)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(setting, before)
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    with_rows = plan.count("payload") and [line for line in moved if "_g" in line]
+    assert len(moved) == 4 and len(with_rows) <= 3  # rows once; counts thrice
+
+
+def test_small_lookup_of_known_size_is_broadcast(spark):
+    lookup = spark.createDataFrame([("a", "one"), ("b", "two")], "dim string, v string")
+    events = spark.range(100).selectExpr("id", "if(id % 2 = 0, 'a', 'b') AS dim").repartition(4)
+    joined = rows.with_lookup(events, materialize(lookup, "lookup"), "dim", "v")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan

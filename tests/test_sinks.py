@@ -39,7 +39,7 @@ def test_number_of_files(spark, table, tmp_path):
     tables.append_batch(df.repartition(7), table, 1, shards=3)
     tables.append_batch(df.repartition(7), table, 2, shards=0)
     tables.append_batch(df.repartition(7), table, 3)
-    files_of = lambda n: len(list((tmp_path / f"data/ingest_batch={n}").glob("part-*")))
+    files_of = lambda n: len(list((tmp_path / f"data/ingest_batch={n}").glob("*/part-*")))
     assert (files_of(1), files_of(2), files_of(3)) == (3, 1, 7)
     assert spark.table(table).count() == 900
 
@@ -88,10 +88,15 @@ def test_route_to_tables(spark):
     df = spark.createDataFrame([("shop.one", "a"), ("shop.two", "b"), ("shop.one", "c")], "destination string, v string")
     assert tables.route_to_tables(df, 7) == ["shop.one", "shop.two"]
     assert {r["v"] for r in spark.table("shop.one").collect()} == {"a", "c"}
-    missing = df.withColumn("destination", F.lit("shop.three"))
-    with pytest.raises(ValueError, match="shop.three"):
-        tables.route_to_tables(missing, 8)
-    for name in ("shop.one", "shop.two"):
+    odd = spark.createDataFrame(
+        [("SHOP.One", "d"), ("shop.one", "e"), ("shop.three", "f"), ("x.no-such", "g"), (None, "h")],
+        "destination string, v string",
+    )
+    assert tables.route_to_tables(odd, 8, dead_table="shop.dead") == ["shop.one"]
+    assert {r["v"] for r in spark.table("shop.one").collect()} == {"a", "c", "d", "e"}
+    dead = spark.table("shop.dead").collect()
+    assert {r["destination"] for r in dead} == {"shop.three", "x.no-such", None}
+    for name in ("shop.one", "shop.two", "shop.dead", "unrouted_rows"):
         tables.drop_table(spark, name)
 
 

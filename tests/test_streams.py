@@ -199,6 +199,19 @@ def test_change_stream_equals_batch(spark, feed, run, table):
     assert as_set(streamed) == as_set(applied)
 
 
+def test_two_streams_share_a_table(spark, table, tmp_path):
+    for name in ("one", "two"):
+        folder = str(tmp_path / name)
+        spark.createDataFrame([(name,)], "value string").write.parquet(folder)
+        rows = spark.readStream.schema("value string").parquet(folder)
+        for _ in range(2):  # draining again changes nothing
+            tables.write_each_batch(
+                rows, bodies.append_body(table), str(tmp_path / f"progress-{name}"), None
+            ).start().awaitTermination()
+    assert {r["value"] for r in spark.table(table).collect()} == {"one", "two"}
+    assert spark.table(table).select("ingest_writer").distinct().count() == 2
+
+
 def test_drift_stream_widens_between_batches(spark, feed, run, table):
     tables.create_table(spark, table, T.StructType.fromDDL("ID string"))
     source = feed("value string")

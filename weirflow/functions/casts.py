@@ -47,6 +47,3 @@ def from_text(text: Column, data_type: T.DataType, lenient: bool = False) -> Col
         return F.from_json(text, data_type)
     return text.try_cast(data_type) if lenient else text.cast(data_type)
 
-
-def or_default(value: Column, default) -> Column:
-    return F.coalesce(value, F.lit(default))

@@ -1,9 +1,9 @@
 """JSON columns that keep large integers exact.
 
 ``json_map`` stays in the JVM and is the default: integers of any length and
-nested text come through digit for digit (long *fractions* take a double's
-precision there). The forms that must keep the JSON type of each value, or
-every digit of a fraction, run as Arrow batches through a small helper.
+nested text come through digit for digit, and a message with a fraction longer than
+a double holds is parsed a second time into exact decimals. The forms that must keep
+the JSON type of each value run as Arrow batches through a small helper.
 """
 
 from __future__ import annotations
@@ -19,13 +19,51 @@ from pyspark.sql import Column, functions as F, types as T
 BIG_DIGITS = 16
 
 
+# The parser's own limits would turn a message with one very long number or text into a
+# malformed one. (Its limit of 1,000 nested levels can't be set.)
+JSON_LIMITS = {"maxNumLen": str(2**31 - 1), "maxStringLen": str(2**31 - 1)}
+
+
+TEXT_MAP = T.MapType(T.StringType(), T.StringType())
+VALUE_MAP = T.MapType(T.StringType(), T.VariantType())
+
+
+def parsed_json(value: Column | str, schema: T.DataType, **options: str) -> Column:
+    """``from_json`` without limits on the length of numbers and texts."""
+    return F.from_json(value, schema, {**JSON_LIMITS, **options})
+
+
 def json_map(value: Column) -> Column:
     """JSON object text to a key -> text map; NULL when it is not an object.
 
-    The last of equal keys wins (``spark.sql.mapKeyDedupPolicy``).
+    The last of equal keys wins (``spark.sql.mapKeyDedupPolicy``). A fraction of up to
+    38 digits keeps its value exactly; one of 15 digits or fewer may be written another
+    way (``1.10`` as ``1.1``), as may any inside a nested value.
     """
-    parsed = F.from_json(value, T.MapType(T.StringType(), T.StringType()))
-    return F.map_from_entries(F.map_entries(parsed))
+    plain = last_of_equal(parsed_json(value, TEXT_MAP))
+    exact = last_of_equal(parsed_json(value, VALUE_MAP))
+    return F.when(has_long_fraction(value), with_exact_fractions(plain, exact)).otherwise(plain)
+
+
+def last_of_equal(entries: Column) -> Column:
+    return F.map_from_entries(F.map_entries(entries))
+
+
+def has_long_fraction(value: Column | str) -> Column:
+    """Whether the text may hold a number with more digits than a double keeps."""
+    column = F.col(value) if isinstance(value, str) else value
+    return column.rlike(r"[:,\[]\s*-?(?=[\d.]{16})\d+\.\d")
+
+
+def with_exact_fractions(texts: Column, values: Column) -> Column:
+    """A key -> text map whose decimal numbers are taken from the same map of variants."""
+    return F.map_zip_with(
+        texts,
+        values,
+        lambda _, text, value: F.when(
+            F.schema_of_variant(value).startswith("DECIMAL"), value.cast("string")
+        ).otherwise(text),
+    )
 
 
 def json_texts(value: Column, names: Sequence[str]) -> Column:
@@ -33,7 +71,7 @@ def json_texts(value: Column, names: Sequence[str]) -> Column:
 
     For fields known beforehand; cheaper than ``json_map``, as others are skipped.
     """
-    return F.from_json(value, T.StructType([T.StructField(n, T.StringType()) for n in names]))
+    return parsed_json(value, T.StructType([T.StructField(n, T.StringType()) for n in names]))
 
 
 def payload_text(payload: Column) -> Column:

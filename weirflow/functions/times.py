@@ -6,8 +6,13 @@ from pyspark.sql import Column, functions as F
 
 
 def parse_instant(text: Column) -> Column:
-    """ISO-8601 text to an instant, NULL where it is not one."""
-    return F.try_to_timestamp(text)
+    """ISO-8601 text to an instant, NULL where it is not one.
+
+    The text must begin with a date: a bare time of day would mean another instant
+    on each day it is read.
+    """
+    dated = text.rlike(r"^\s*[+-]?\d{4,}(-\d{1,2})?(-\d{1,2})?([T ].*)?\s*$")
+    return F.when(dated, F.try_to_timestamp(text))
 
 
 def datetime_text(instant: Column) -> Column:
@@ -33,19 +38,19 @@ def micros_to_seconds(micros: Column) -> Column:
     return F.call_function("div", micros.cast("bigint"), F.lit(1_000_000))
 
 
-def millis_or_now(text: Column) -> Column:
-    """Epoch-millisecond text to an instant; text that is no number becomes now."""
+def millis_or_now(text: Column, now: Column | None = None) -> Column:
+    """Epoch-millisecond text to an instant; text that is no number becomes ``now``."""
     parsed = F.timestamp_millis(F.trim(text).try_cast("bigint"))
-    return F.coalesce(parsed, F.current_timestamp())
+    return F.coalesce(parsed, F.current_timestamp() if now is None else now)
 
 
 def now_millis() -> Column:
     return F.unix_millis(F.current_timestamp())
 
 
-def change_sequence() -> Column:
-    """Arrival time as lower-case hexadecimal milliseconds."""
-    return F.lower(F.hex(now_millis()))
+def change_sequence(millis: Column | None = None) -> Column:
+    """Arrival time, by default now, as lower-case hexadecimal milliseconds."""
+    return F.lower(F.hex(now_millis() if millis is None else millis))
 
 
 def newest_first_key(dim: Column, millis: Column) -> Column:

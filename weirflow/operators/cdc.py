@@ -7,6 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from weirflow.functions.casts import from_text
+from weirflow.functions.json_text import (
+    VALUE_MAP,
+    has_long_fraction,
+    last_of_equal,
+    parsed_json,
+    with_exact_fractions,
+)
 from weirflow.operators.rows import compute_once, latest_by
 
 RECORD = T.MapType(T.StringType(), T.StringType())
@@ -33,6 +40,8 @@ CHANGE_SCHEMA = T.StructType(
 APPLY_FIELDS = ("table", "database", "type", "ts", "es", "isDdl", "data", "pkNames")
 APPLY_SCHEMA = T.StructType([f for f in CHANGE_SCHEMA.fields if f.name in APPLY_FIELDS])
 
+EXACT_DATA = T.StructType([T.StructField("data", T.ArrayType(VALUE_MAP))])
+
 # Columns that order changes of one record: source times, then arrival, then place in message.
 CHANGE_ORDER = ("ts", "es", "arrival", "pos")
 
@@ -69,8 +78,16 @@ def parse_changes(
     ``CHANGE_SCHEMA`` as schema also gives the old values and the source types.
     """
     checked = T.StructType([*schema.fields, T.StructField("_bad", T.StringType())])
-    message = F.from_json("value", checked, {"columnNameOfCorruptRecord": "_bad"})
-    parsed = compute_once(messages, [*keep, "value"], m=message).select(*keep, "value", "m.*")
+    message = parsed_json("value", checked, columnNameOfCorruptRecord="_bad")
+    # Records with a fraction longer than a double holds: the same once more as exact values.
+    exact = F.when(has_long_fraction("value"), parsed_json("value", EXACT_DATA)["data"])
+    parsed = compute_once(messages, [*keep, "value"], m=message, x=exact).select(
+        *keep, "value", "m.*", "x"
+    )
+    whole = F.zip_with("data", "x", lambda text, value: with_exact_fractions(last_of_equal(text), last_of_equal(value)))
+    parsed = parsed.withColumn(
+        "data", F.when(F.size("x") == F.size("data"), whole).otherwise(F.col("data"))
+    ).drop("x")
     blank = F.col("value").isNull() | F.trim("value").isin("", "null")
     target = destination(F.col("database"), F.col("table"))
     ddl = F.coalesce(F.col("isDdl"), F.lit(False))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from weirflow.operators.windows import arrival_tick
@@ -39,7 +39,7 @@ def replay_dedup(
     passed = (
         runs.repartition(key, "_run")
         .sortWithinPartitions(key, "_run", "_tick")
-        .mapInPandas(_keeper(key, df.columns, ttl, period), T.StructType(df.schema.fields))
+        .mapInArrow(_keeper(key, df.columns, ttl, period), T.StructType(df.schema.fields))
     )
     return passed.withColumn("unkeyed", F.lit(False)).unionByName(
         unkeyed.withColumn("unkeyed", F.lit(True))
@@ -49,16 +49,16 @@ def replay_dedup(
 def _keeper(key: str, columns: list[str], ttl: int, period: int) -> Callable:
     """Walks ordered runs, holding only the present run and when its key is free again."""
 
-    def keep(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, free_at = None, 0
-        for frame in frames:
+        for batch in batches:
             chosen = []
-            for run in zip(frame[key], frame["_run"], frame["_tick"]):
+            for run in zip(*(batch.column(c).to_pylist() for c in (key, "_run", "_tick"))):
                 now = run[2] * period
                 passes = run[:2] != current or now >= free_at
                 if passes:
                     current, free_at = run[:2], now + ttl
                 chosen.append(passes)
-            yield frame.loc[chosen, columns]
+            yield batch.filter(pa.array(chosen, pa.bool_())).select(columns)
 
     return keep

@@ -112,11 +112,15 @@ def as_columns(rows: DataFrame, schema: T.StructType, keep: Sequence[str] = ())
 
 
 def strict_split(
-    rows: DataFrame, schema: T.StructType, ignore_unknown: bool = False
+    rows: DataFrame,
+    schema: T.StructType,
+    ignore_unknown: bool = False,
+    refused: Sequence[str] = (),
 ) -> DataFrame:
     """Adds ``reason`` for rows a strict write would refuse, NULL for the others.
 
-    ``unknown field``: a key the table lacks, unless those are ignored; ``missing
+    ``unknown field``: a key the table lacks, unless those are ignored, or one of the
+    ``refused`` names; ``missing
     field``: a required column is absent; ``bad field``: a value does not parse as
     its column's type.
     """
@@ -133,7 +137,12 @@ def strict_split(
         if not isinstance(f.dataType, T.StringType):
             parsed = from_text(value(name), f.dataType, lenient=True)
             bad = bad | (value(name).isNotNull() & parsed.isNull())
-    unknown = F.lit(not ignore_unknown) & (F.size(new_keys(F.col("row"), list(lookup))) > 0)
+    if ignore_unknown:
+        names = F.transform(F.map_keys("row"), F.lower)
+        banned = F.array(*[F.lit(n) for n in lower_names(refused)]).cast("array<string>")
+        unknown = F.arrays_overlap(names, banned)
+    else:
+        unknown = F.size(new_keys(F.col("row"), list(lookup))) > 0
     checked = (
         F.when(unknown, "unknown field").when(missing, "missing field").when(bad, "bad field")
     )

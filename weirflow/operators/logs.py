@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from weirflow.functions.json_text import struct_text
+from weirflow.functions.json_text import parsed_json, struct_text
 from weirflow.functions.times import datetime_text, parse_instant
 from weirflow.operators.rows import compute_once, latest_by
 
@@ -45,7 +45,7 @@ def parse_logs(
     text, or an instant with its milliseconds when ``millis`` is set.
     """
     schema = T.StructType([*LOG_SCHEMA.fields, T.StructField("_bad", T.StringType())])
-    log = F.from_json("value", schema, {"columnNameOfCorruptRecord": "_bad"})
+    log = parsed_json("value", schema, columnNameOfCorruptRecord="_bad")
     parsed = compute_once(messages, [*keep, "value"], log=log).select(
         *keep, "value", "log.*", parse_instant(F.col("log.timestamp")).alias("_at")
     )

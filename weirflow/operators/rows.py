@@ -53,31 +53,22 @@ def numbered(
     blocks, and only counts are ordered per key. ``order`` is a position such as
     an offset, so a block holds about ``block_rows`` rows.
     """
-    block = F.call_function("div", F.col(order), F.lit(block_rows))
-    blocked = df.withColumn("_block", block)
-    per_block = [*keys, "_block"]
+    # Key and block are one struct: structs are equal null by null, so the window and the
+    # join share one shuffle of the rows.
+    block = F.call_function("div", F.col(order), F.lit(block_rows)).alias("_block")
+    blocked = df.withColumn("_g", F.struct(*keys, block))
+    earlier = (
+        Window.partitionBy(*[f"_g.{k}" for k in keys])
+        .orderBy("_g._block")
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
     starts = (
-        blocked.groupBy(*per_block)
+        blocked.groupBy("_g")
         .agg(F.count("*").alias("_n"))
-        .withColumn(
-            "_start",
-            F.coalesce(
-                F.sum("_n").over(
-                    Window.partitionBy(*keys)
-                    .orderBy("_block")
-                    .rowsBetween(Window.unboundedPreceding, -1)
-                ),
-                F.lit(0),
-            ),
-        )
-        .drop("_n")
-    )
-    local = blocked.withColumn(
-        "_local", F.row_number().over(Window.partitionBy(*per_block).orderBy(order))
+        .select("_g", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
     )
-    s = starts.select(*[F.col(c).alias(f"_s_{c}") for c in per_block], "_start")
-    same = [F.col(c).eqNullSafe(F.col(f"_s_{c}")) for c in per_block]
-    joined = local.join(s, same, "inner")
+    local = blocked.withColumn("_local", F.row_number().over(Window.partitionBy("_g").orderBy(order)))
+    joined = local.join(starts, "_g")
     return joined.withColumn(name, F.col("_start") + F.col("_local")).select(*df.columns, name)
 
 

@@ -167,10 +167,10 @@ def nested_messages(orders: DataFrame) -> DataFrame:
     """Envelopes with nested arrays and objects: ``seq, value``; some are no objects."""
     number = _text(F.col("o_orderkey") + BIG)
     text = F.concat(
-        F.lit('{"table":"T","data":[{"ID":'), number,
-        F.lit(',"name":"'), F.col("o_orderpriority"), F.lit('"}],"big":'), number,
+        F.lit('{"topic":"stock","data":[{"NO":'), number,
+        F.lit(',"rank":"'), F.col("o_orderpriority"), F.lit('"}],"big":'), number,
         F.lit(',"n":'), _text("o_custkey"),
-        F.lit(',"meta":{"key":"val","count":5},"old":null,"flag":false}'),
+        F.lit(',"origin":{"site":"north","shelf":7},"gone":null,"sold":false}'),
     )
     value = F.when(_every("o_orderkey", 251), F.lit("[1]")).otherwise(text)
     return orders.select(F.col("o_orderkey").alias("seq"), value.alias("value"))
@@ -194,11 +194,11 @@ def drift_messages(events: DataFrame) -> DataFrame:
     sender = F.concat(F.lit("Sender-"), _text("user_id"))
     message = F.to_json(
         F.struct(
-            F.concat(F.lit("order_"), _text("event_id")).alias("ID"),
+            F.concat(F.lit("ev-"), _text("event_id")).alias("ID"),
             F.when(~_every("event_id", 19), sender).alias("SENDER_NAME"),
             F.when(_every("event_id", 19), sender).alias("sender_name"),
-            F.when(batch >= 2, F.concat(F.lit("v-"), F.col("event_type"))).alias("FIELD_BATCH_1"),
-            F.when(batch >= 3, F.col("event_id")).alias("FIELD_BATCH_2"),
+            F.when(batch >= 2, F.concat(F.lit("v-"), F.col("event_type"))).alias("CHANNEL"),
+            F.when(batch >= 3, F.col("event_id")).alias("VISIT"),
         )
     )
     value = F.when(_every("event_id", 103), F.lit("{broken")).otherwise(message)

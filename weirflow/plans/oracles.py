@@ -113,12 +113,6 @@ panes AS (
 
 PANES = _panes(f"arrival // {PERIOD}")
 
-PIVOT = ", ".join(
-    f'coalesce(max({stat}) FILTER (WHERE pane_idx = {i}), -1) AS "pane{i}_{stat}"'
-    for i in (0, 1)
-    for stat in ("num_records", "sum", "min", "max")
-)
-
 DEDUP = """WITH RECURSIVE keyed AS (
   SELECT event_id AS seq, 'u' || user_id AS uuid, epoch_us(ts) // 60000000 AS tick
   FROM events WHERE event_id % 17 <> 0),
@@ -163,7 +157,7 @@ SELECT {CHANGE_COLUMNS} FROM last WHERE change_type <> 'DELETE'"""
 
 DRIFT = """drift AS (
   SELECT event_id AS seq, ts, least((day(ts) - 1) // 10 + 1, 3) AS batch,
-    'order_' || event_id AS id, 'Sender-' || user_id AS sender,
+    'ev-' || event_id AS id, 'Sender-' || user_id AS sender,
     CASE WHEN event_id % 19 = 0 THEN 'sender_name' ELSE 'SENDER_NAME' END AS sender_key,
     event_type, event_id % 103 = 0 AS broken
   FROM events)"""
@@ -171,22 +165,22 @@ DRIFT = """drift AS (
 DRIFT_FIELDS = """fields AS (
   SELECT seq, ts, batch, 'ID' AS field FROM drift WHERE NOT broken
   UNION ALL SELECT seq, ts, batch, sender_key FROM drift WHERE NOT broken
-  UNION ALL SELECT seq, ts, batch, 'FIELD_BATCH_1' FROM drift WHERE NOT broken AND batch >= 2
-  UNION ALL SELECT seq, ts, batch, 'FIELD_BATCH_2' FROM drift WHERE NOT broken AND batch >= 3)"""
+  UNION ALL SELECT seq, ts, batch, 'CHANNEL' FROM drift WHERE NOT broken AND batch >= 2
+  UNION ALL SELECT seq, ts, batch, 'VISIT' FROM drift WHERE NOT broken AND batch >= 3)"""
 
 HEALED = f"""WITH {DRIFT}
 SELECT seq, id AS "ID", sender AS "SENDER_NAME",
-  CASE WHEN batch >= 2 THEN 'v-' || event_type END AS "FIELD_BATCH_1",
-  CASE WHEN batch >= 3 THEN CAST(seq AS VARCHAR) END AS "FIELD_BATCH_2"
+  CASE WHEN batch >= 2 THEN 'v-' || event_type END AS "CHANNEL",
+  CASE WHEN batch >= 3 THEN CAST(seq AS VARCHAR) END AS "VISIT"
 FROM drift WHERE NOT broken"""
 
 
 def _envelope(quote: str, inner_quote: str) -> str:
     number = f"CAST(o_orderkey + {BIG} AS VARCHAR)"
     return f"""SELECT o_orderkey AS seq,
-  '{{"table":"T","data":"[{{\\"ID\\":{inner_quote}' || {number} || '{inner_quote},\\"name\\":\\"'
+  '{{"topic":"stock","data":"[{{\\"NO\\":{inner_quote}' || {number} || '{inner_quote},\\"rank\\":\\"'
   || o_orderpriority || '\\"}}]","big":{quote}' || {number} || '{quote},"n":' || o_custkey
-  || ',"meta":"{{\\"key\\":\\"val\\",\\"count\\":5}}","old":null,"flag":false}}' AS envelope
+  || ',"origin":"{{\\"site\\":\\"north\\",\\"shelf\\":7}}","gone":null,"sold":false}}' AS envelope
 FROM orders WHERE o_orderkey % 251 <> 0"""
 
 
@@ -264,10 +258,6 @@ FROM csv""",
 SELECT event_ts, seq, dim1, metrics1,
   strftime(make_timestamp((event_ts // {HOUR} * {HOUR} + {HOUR}) * 1000), '%Y/%m/%d/%H') AS folder
 FROM csv""",
-    "window_pivot": f"""WITH {PANES}, p AS (
-  SELECT *, dim1 || '#' || window_start || '#' || window_end AS row_key FROM panes
-  WHERE num_records > 0)
-SELECT row_key, {PIVOT} FROM p GROUP BY row_key""",
     "day_table": """SELECT strftime(ts, '%Y-%m-%d') AS event_day, event_type AS kind,
   count(*) AS num_records, min(epoch_us(ts) // 1000000) AS first_ts,
   max(epoch_us(ts) // 1000000) AS last_ts, count(DISTINCT user_id) AS users
@@ -318,7 +308,7 @@ SELECT batch, CASE WHEN broken THEN 'malformed' WHEN batch >= 3 THEN 'unknown fi
     "ordered_dump": HEALED,
     "autodetect_load": f"""WITH {DRIFT}
 SELECT id AS "ID", sender AS "SENDER_NAME",
-  CASE WHEN batch >= 2 THEN 'v-' || event_type END AS "FIELD_BATCH_1",
+  CASE WHEN batch >= 2 THEN 'v-' || event_type END AS "CHANNEL",
   CASE WHEN batch >= 3 THEN seq + 1 ELSE -1 END AS batch_2_plus_one
 FROM drift WHERE NOT broken""",
     "schema_versions": """WITH v AS (
@@ -347,6 +337,8 @@ FROM orders""",
     "stream_log": f"WITH {LOGS} SELECT * FROM logs",
     "stream_upsert": LOG_LATEST,
     "stream_cdc": CDC_APPLY,
+    "stream_cdc_batches": CDC_APPLY,
+    "stream_drift_batches": HEALED,
     "stream_window": WINDOW_STATS,
     "stream_panes": f"WITH {_panes('0')} SELECT * EXCLUDE (tick) FROM panes",
     "stream_lookup": f"WITH {ENRICHED} SELECT seq, dim1, dim1_val FROM enriched",
@@ -357,3 +349,16 @@ UNION ALL SELECT event_id, NULL, TRUE FROM events WHERE event_id % 17 = 0""",
 }
 ORACLES["declared_load"] = ORACLES["schema_versions"]
 ORACLES["drift_route_startup"] = ORACLES["drift_route"]
+ORACLES["stream_shared_dead"] = ORACLES["log_dlq"]
+ORACLES["log_millis"] = f"""SELECT event_id AS seq, epoch_us(ts) // 1000 AS at_ms,
+  CASE event_type WHEN 'error' THEN 'ERROR' WHEN 'view' THEN 'DEBUG' ELSE 'INFO' END AS severity
+FROM events WHERE ({LOG_REASON}) IS NULL"""
+ORACLES["time_forms"] = f"""WITH t AS (SELECT *, epoch_us(ts) // 1000 AS ms FROM events)
+SELECT event_id AS seq, CASE WHEN event_id % 7 = 0 THEN 0 ELSE ms END AS at_ms,
+  lower(to_hex(ms)) AS sequence,
+  strftime(make_timestamp((ms // {HOUR} * {HOUR} + {HOUR} - 1) * 1000), '%Y-%m-%dT%H-%M-%S.%gZ') AS stamp,
+  event_type || '#' || (9223372036854775807 - ms) AS key, epoch_us(ts) // 1000000 AS seconds
+FROM t"""
+ORACLES["typed_record"] = """SELECT event_id AS seq, event_type AS kind, user_id % 2 = 0 AS even,
+  CAST(user_id AS INTEGER) AS user, epoch_us(ts) // 1000 AS at_ms,
+  CAST(value AS FLOAT) AS about, value AS exactly FROM events"""

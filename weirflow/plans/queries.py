@@ -14,13 +14,14 @@ from weirflow.functions.json_text import (
     json_texts,
     split_metadata,
 )
+from weirflow.functions import times
 from weirflow.functions.times import epoch_millis, from_millis
 from weirflow.operators import cdc, compare, dedup, drift, events, logs, rows, windows
 from weirflow.plans import adapters
 from weirflow.session import prepare_session, scratch_dir
 from weirflow.sinks import bulk, files, tables
 from weirflow.sources.messages import envelope_rows, spread, stream_table, with_fresh_lookup
-from weirflow.sources.schemas import table_schema
+from weirflow.sources.schemas import record_schema, table_schema
 from weirflow.streaming import bodies
 from weirflow.streaming.dedup import dedup_stream, without_key
 from weirflow.streaming.panes import pane_stream
@@ -88,6 +89,31 @@ def log_parse(spark: SparkSession, folder: str) -> DataFrame:
     return logs.good_rows(_logs(spark, folder))
 
 
+def log_millis(spark: SparkSession, folder: str) -> DataFrame:
+    """Good log rows whose time keeps its milliseconds."""
+    parsed = logs.parse_logs(
+        adapters.log_messages(read_spread(spark, folder, "events")), ["seq"], millis=True
+    )
+    return logs.good_rows(parsed).select(
+        "seq", epoch_millis(F.col("timestamp")).alias("at_ms"), "severity"
+    )
+
+
+def time_forms(spark: SparkSession, folder: str) -> DataFrame:
+    """Times as text and back: milliseconds or a fixed now, change sequence, window stamp and key."""
+    at = epoch_millis(F.col("ts"))
+    sent = F.when(F.col("event_id") % 7 == 0, "soon").otherwise(F.concat(F.lit(" "), at.cast("string")))
+    end = F.window("ts", WINDOW)["end"]
+    return read(spark, folder, "events").select(
+        F.col("event_id").alias("seq"),
+        epoch_millis(times.millis_or_now(sent, F.timestamp_millis(F.lit(0)))).alias("at_ms"),
+        times.change_sequence(at).alias("sequence"),
+        times.window_stamp(end).alias("stamp"),
+        times.newest_first_key(F.col("event_type"), at).alias("key"),
+        times.micros_to_seconds(F.unix_micros(F.col("ts").cast("timestamp"))).alias("seconds"),
+    )
+
+
 def log_filter_sql(spark: SparkSession, folder: str) -> DataFrame:
     statement = "SELECT * FROM PCOLLECTION WHERE severity != 'DEBUG'"
     return logs.sql_over(log_parse(spark, folder), statement)
@@ -205,6 +231,28 @@ def basic_event_rows(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+RECORD = """{"type": "record", "name": "reading", "fields": [
+    {"name": "kind", "type": "string"}, {"name": "even", "type": ["null", "boolean"]},
+    {"name": "user", "type": "int"}, {"name": "at_ms", "type": "long"},
+    {"name": "about", "type": "float"}, {"name": "exactly", "type": "double"}]}"""
+
+
+def typed_record(spark: SparkSession, folder: str) -> DataFrame:
+    """Text lines to the types of a record description, each kind once."""
+    line = F.concat_ws(
+        ",",
+        "event_type",
+        F.when(F.col("user_id") % 2 == 0, "True").otherwise("no"),
+        F.col("user_id").cast("string"),
+        epoch_millis(F.col("ts")).cast("string"),
+        F.col("value").cast("string"),
+        F.col("value").cast("string"),
+    )
+    lines = read(spark, folder, "events").select(F.col("event_id").alias("seq"), line.alias("value"))
+    typed = events.type_lines(lines, record_schema(RECORD), keep=["seq"])
+    return logs.good_rows(typed)
+
+
 # Windows
 
 
@@ -337,16 +385,6 @@ def day_table(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def window_pivot(spark: SparkSession, folder: str) -> DataFrame:
-    """Wide form with one column per statistic for the first two panes."""
-    pivot = windows.wide_pivot(windows.non_empty(_panes(spark, folder)), [0, 1])
-    names = [f"{i}_{stat}" for i in (0, 1) for stat in ("num_records", "sum", "min", "max")]
-    filled = {
-        f"pane{n}": F.coalesce(F.col(f"`{n}`"), F.lit(-1).cast("bigint")) for n in names
-    }
-    return pivot.withColumns(filled).select("row_key", *filled)
-
-
 def payload_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Message envelopes with byte payloads, their time in an attribute."""
     source = adapters.csv_lines(read(spark, folder, "events"))
@@ -443,7 +481,7 @@ def cdc_tables(spark: SparkSession, folder: str) -> DataFrame:
     own_tables = {name: f"{label}_{name.replace('.', '_').lower()}" for name in names}
     for table in own_tables.values():
         bodies.create_change_table(spark, table, schema, scratch_dir(spark, table))
-    body = bodies.routed_change_body("arrival", table_of=own_tables.get)
+    body = bodies.routed_change_body("arrival", f"{label}_dead", table_of=lambda name: own_tables.get(name, name))
     body(adapters.change_messages(read_spread(spark, folder, "orders")), 0)
     parts = [
         bodies.current_table(spark.table(table)).withColumn("destination", F.lit(name))
@@ -507,7 +545,7 @@ def strict_split(spark: SparkSession, folder: str) -> DataFrame:
         [
             {"name": "ID", "type": "STRING", "mode": "REQUIRED"},
             {"name": "SENDER_NAME", "type": "STRING"},
-            {"name": "FIELD_BATCH_1", "type": "STRING"},
+            {"name": "CHANNEL", "type": "STRING"},
         ]
     )
     checked = drift.strict_split(_drift(spark, folder), schema)
@@ -525,7 +563,7 @@ def _drift_table(spark: SparkSession, label: str) -> str:
 
 def _healed(spark: SparkSession, table: str) -> DataFrame:
     return spark.table(table).select(
-        "seq", "ID", "SENDER_NAME", "FIELD_BATCH_1", "FIELD_BATCH_2"
+        "seq", "ID", "SENDER_NAME", "CHANNEL", "VISIT"
     )
 
 
@@ -544,7 +582,7 @@ def ordered_dump(spark: SparkSession, folder: str) -> DataFrame:
     table = _fresh_table("created")
     bodies.healing_body(table, ["seq"], location=scratch_dir(spark, "created"))(messages, 1)
     return tables.ordered_dump(spark, table).select(
-        "seq", "ID", "SENDER_NAME", "FIELD_BATCH_1", "FIELD_BATCH_2"
+        "seq", "ID", "SENDER_NAME", "CHANNEL", "VISIT"
     )
 
 
@@ -569,8 +607,8 @@ def autodetect_load(spark: SparkSession, folder: str) -> DataFrame:
     return spark.table(table).select(
         "ID",
         "SENDER_NAME",
-        "FIELD_BATCH_1",
-        F.coalesce(F.col("FIELD_BATCH_2") + 1, F.lit(-1)).alias("batch_2_plus_one"),
+        "CHANNEL",
+        F.coalesce(F.col("VISIT") + 1, F.lit(-1)).alias("batch_2_plus_one"),
     )
 
 
@@ -729,6 +767,17 @@ def _stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return stream_table(prepare_session(spark), folder, name)
 
 
+def _ticks(spark: SparkSession, folder: str, name: str, order: str, ticks: int = 5) -> DataFrame:
+    """A stream over a given table that takes ``ticks`` micro-batches, in the order of an id."""
+    whole = read(spark, folder, name)
+    path = scratch_dir(spark, f"{name}-ticks")
+    last = whole.agg(F.max(order)).first()[0] or 0
+    tick = F.call_function("div", F.col(order) * ticks, F.lit(last + 1))
+    for n in range(ticks):  # one file per tick; a file source takes them in order of writing
+        whole.filter(tick == n).coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(whole.schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
 def _sink_table(spark: SparkSession, label: str, schema: T.StructType | str) -> str:
     table = _fresh_table(label)
     if isinstance(schema, str):
@@ -748,11 +797,23 @@ def stream_log(spark: SparkSession, folder: str) -> DataFrame:
     table = _sink_table(spark, "stream_log", LOG_DDL)
     dead = _sink_table(spark, "stream_log_dead", "seq bigint, value string, reason string")
     _drain(messages, bodies.log_body(table, dead, ["seq"]), spark, "stream-log")
-    return spark.table(table).drop(tables.BATCH)
+    return spark.table(table).drop(*tables.RESERVED)
+
+
+def stream_shared_dead(spark: SparkSession, folder: str) -> DataFrame:
+    """Two streams, each with its half of the messages, share one dead-letter table."""
+    dead = _sink_table(spark, "shared_dead", "seq bigint, value string, reason string")
+    for half in (0, 1):
+        part = _stream(spark, folder, "events").filter(F.pmod("event_id", F.lit(2)) == half)
+        table = _sink_table(spark, f"shared_{half}", LOG_DDL)
+        body = bodies.log_body(table, dead, ["seq"])
+        _drain(adapters.log_messages(part), body, spark, f"shared-dead-{half}")
+    return spark.table(dead).groupBy("reason").agg(F.count("*").alias("messages"))
 
 
 def stream_upsert(spark: SparkSession, folder: str) -> DataFrame:
-    messages = adapters.log_messages(_stream(spark, folder, "events"))
+    """Upserts over several micro-batches."""
+    messages = adapters.log_messages(_ticks(spark, folder, "events", "event_id"))
     table = _sink_table(spark, "stream_upsert", LOG_DDL)
     body = bodies.upsert_body(
         table, ["trace_id"], "seq", lambda b: logs.good_rows(logs.parse_logs(b, ["seq"]))
@@ -773,6 +834,31 @@ def stream_cdc(spark: SparkSession, folder: str) -> DataFrame:
     return _records(bodies.current_records(spark.table(table)))
 
 
+def stream_cdc_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """Changes over several micro-batches, folded in between."""
+    messages = adapters.change_messages(_ticks(spark, folder, "orders", "o_orderkey"))
+    table = _sink_table(
+        spark,
+        "stream_cdc_batches",
+        "destination string, change_type string, ts bigint, es bigint, arrival bigint, "
+        "pk_names array<string>, pos int, record map<string,string>, record_key string",
+    )
+    _drain(messages, bodies.change_body(table, "arrival"), spark, "stream-cdc-batches")
+    keys = ["destination", "record_key"]
+    fold = tables.fold_batches(
+        spark, table, keys, cdc.CHANGE_ORDER, 2, scratch_dir(spark, "cdc-fold")
+    )
+    return _records(bodies.current_records(tables.unfolded(spark, table, fold)))
+
+
+def stream_drift_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """A table that gains fields over several micro-batches."""
+    messages = adapters.drift_messages(_ticks(spark, folder, "events", "event_id"))
+    table = _drift_table(spark, "stream_drift_batches")
+    _drain(messages, bodies.healing_body(table, ["seq"]), spark, "stream-drift-batches")
+    return _healed(spark, table)
+
+
 def stream_window(spark: SparkSession, folder: str) -> DataFrame:
     lines = adapters.csv_lines(_stream(spark, folder, "events"))
     typed = logs.good_rows(events.type_lines(lines))
@@ -796,12 +882,12 @@ def stream_panes(spark: SparkSession, folder: str) -> DataFrame:
     panes = pane_stream(timed, "ts", WINDOW_SECONDS, LATENESS_SECONDS)
     table = _sink_table(spark, "stream_panes", panes.schema)
     _drain(panes, bodies.append_body(table), spark, "stream-panes")
-    return _whole_panes(spark.table(table).drop(tables.BATCH))
+    return _whole_panes(spark.table(table).drop(*tables.RESERVED))
 
 
 def stream_lookup(spark: SparkSession, folder: str) -> DataFrame:
     """Enriched events from a stream whose lookup is read again per micro-batch."""
-    lines = adapters.csv_lines(_stream(spark, folder, "events"))
+    lines = adapters.csv_lines(_ticks(spark, folder, "events", "event_id"))
     table = _sink_table(spark, "stream_lookup", "seq bigint, dim1 string, dim1_val string")
 
     def apply(batch: DataFrame, lookup: DataFrame, batch_id: int) -> None:
@@ -810,7 +896,7 @@ def stream_lookup(spark: SparkSession, folder: str) -> DataFrame:
 
     body = with_fresh_lookup(lambda: adapters.lookup_table(read(spark, folder, "events")), apply)
     _drain(lines, body, spark, "stream-lookup")
-    return spark.table(table).drop(tables.BATCH)
+    return spark.table(table).drop(*tables.RESERVED)
 
 
 def stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -825,7 +911,7 @@ def stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
         _drain(deduped.unionByName(unkeyed), bodies.append_body(table), spark, "stream-dedup")
     finally:
         spark.conf.set(setting, before)
-    return spark.table(table).drop(tables.BATCH)
+    return spark.table(table).drop(*tables.RESERVED)
 
 
 def stream_drift(spark: SparkSession, folder: str) -> DataFrame:
@@ -840,6 +926,9 @@ QUERIES: dict[str, Query] = {
     for q in (
         log_parse,
         log_filter_sql,
+        log_millis,
+        time_forms,
+        typed_record,
         log_dlq,
         log_upsert,
         bigint_flatten,
@@ -861,7 +950,6 @@ QUERIES: dict[str, Query] = {
         day_partition,
         window_files,
         window_records,
-        window_pivot,
         day_table,
         payload_rows,
         dedup_ttl,
@@ -893,6 +981,9 @@ QUERIES: dict[str, Query] = {
         field_counts,
         stream_log,
         stream_upsert,
+        stream_shared_dead,
+        stream_cdc_batches,
+        stream_drift_batches,
         stream_cdc,
         stream_window,
         stream_panes,

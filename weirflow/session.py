@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -49,11 +50,15 @@ def local_session(cpus: int | str = 8, app: str = "weirflow") -> SparkSession:
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh path below the folder all executors share.
 
-    The cluster names that folder in ``spark.checkpoint.dir``. Only where it is
-    unset (a laptop, a test) a local temporary folder stands in.
+    The cluster names that folder in ``spark.checkpoint.dir``. Where it is unset, a
+    local temporary folder stands in on a local master, the only place where all
+    tasks see it; elsewhere it is an error.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    base = shared or tempfile.mkdtemp(prefix="weirflow-")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="weirflow-")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 

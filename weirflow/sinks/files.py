@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from weirflow.functions.times import window_path
 from weirflow.operators.rows import sharded
-from weirflow.sinks.tables import add_columns, append_batch, create_table
+from weirflow.sinks.tables import add_columns, append_batch, create_table, table_exists
 from weirflow.sources.messages import read_staged
 
 # Folder levels of a window's end.
@@ -109,7 +109,7 @@ def load_inferred(
     micro-batch is run again and nothing is dropped.
     """
     rows = read_staged(spark, paths)
-    if not spark.catalog.tableExists(table):
+    if not table_exists(spark, table):
         create_table(spark, table, rows.schema, location)
         added = rows.columns
     else:

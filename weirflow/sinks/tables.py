@@ -1,30 +1,52 @@
 """Catalog tables as sinks: append, widen, route, upsert.
 
-Every table written by a stream is partitioned by ``ingest_batch`` and a micro-batch
-overwrites its own partition, so a batch that runs twice lands once.
+Every table written by a stream is partitioned by ``ingest_batch`` and ``ingest_writer``,
+and a micro-batch overwrites its own partition, so a batch that runs twice lands once.
+The writer is the stream's own id, which its checkpoint keeps, so streams that share a
+table, and one started anew with a new checkpoint, leave each other's rows alone.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from typing import NamedTuple
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from weirflow.operators.drift import lower_names, new_fields, shaped, widened
 from weirflow.operators.rows import latest_by, sharded
 from weirflow.sources.messages import spread
-from weirflow.sources.schemas import live_schema
+from weirflow.sources.schemas import live_schema, quoted
 
-# Partition column of every table a stream writes; no message field may have this name.
+# Partition columns of every table a stream writes; no message field may have these names.
 BATCH = "ingest_batch"
+WRITER = "ingest_writer"
+RESERVED = (BATCH, WRITER)
 
 # Names of table formats whose provider executes MERGE.
 MERGE_FORMATS = ("delta", "iceberg", "hudi")
 
 
+def quoted_column(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def table_exists(spark: SparkSession, table: str) -> bool:
+    """Whether the catalog has the table; a name it can't read is no table."""
+    try:
+        return spark.catalog.tableExists(quoted(table))
+    except AnalysisException:
+        return False
+
+
+def stream_id(spark: SparkSession) -> str:
+    """The id of the stream whose micro-batch is running, or ``batch`` outside of one."""
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
+
+
 def create_table(
     spark: SparkSession,
     table: str,
@@ -33,32 +55,34 @@ def create_table(
     fmt: str = "parquet",
     partitions: Sequence[str] = (),
 ) -> None:
-    """Create the table if it is missing, partitioned by the batch and ``partitions``.
+    """Create the table if it is missing, partitioned by ``partitions`` and the batch.
 
-    Partition columns are columns of the schema, such as a day.
+    Partition columns are columns of the schema, such as a day; a reader of one day
+    lists that day's folders only.
     """
-    columns = [f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields]
-    layout = ", ".join([BATCH, *partitions])
+    columns = [f"{quoted_column(f.name)} {f.dataType.simpleString()}" for f in schema.fields]
+    layout = ", ".join([*map(quoted_column, partitions), BATCH, WRITER])
     where = f" LOCATION '{location}'" if location else ""
     spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {table} ({', '.join(columns)}, {BATCH} BIGINT) "
+        f"CREATE TABLE IF NOT EXISTS {quoted(table)} "
+        f"({', '.join(columns)}, {BATCH} BIGINT, {WRITER} STRING) "
         f"USING {fmt} PARTITIONED BY ({layout}){where}"
     )
 
 
 def drop_table(spark: SparkSession, table: str) -> None:
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql(f"DROP TABLE IF EXISTS {quoted(table)}")
 
 
 def table_columns(spark: SparkSession, table: str) -> T.StructType:
     """Data columns of the table as it is now."""
     fields = live_schema(spark, table).fields
-    return T.StructType([f for f in fields if f.name != BATCH])
+    return T.StructType([f for f in fields if f.name not in RESERVED])
 
 
 def ordered_dump(spark: SparkSession, table: str, by: str = "ID") -> DataFrame:
     """All data columns of the table in the order of one of them, for checking by eye."""
-    return spark.table(table).drop(BATCH).orderBy(by)
+    return spark.table(quoted(table)).drop(*RESERVED).orderBy(by)
 
 
 def append_batch(
@@ -71,7 +95,7 @@ def append_batch(
     partitions, without a shuffle, unless ``shards`` sets their number (0: AQE).
     """
     spark = batch.sparkSession
-    if not spark.catalog.tableExists(table):
+    if not table_exists(spark, table):
         if not create:
             raise ValueError(f"table {table} does not exist")
         create_table(spark, table, batch.schema)
@@ -80,34 +104,46 @@ def append_batch(
     for f in table_columns(spark, table).fields:
         source = have.get(f.name.lower())
         value = (
-            shaped(F.col(f"`{source.name}`"), source.dataType, f)
+            shaped(F.col(quoted_column(source.name)), source.dataType, f)
             if source
             else F.lit(None).cast(f.dataType)
         )
         columns.append(value.alias(f.name))
+    layout = [c.name for c in spark.catalog.listColumns(quoted(table)) if c.isPartition]
+    own = {BATCH: F.lit(int(batch_id)).cast("bigint"), WRITER: F.lit(stream_id(spark))}
+    data = [c for c, f in zip(columns, table_columns(spark, table).fields) if f.name not in layout]
+    parts = [c for c, f in zip(columns, table_columns(spark, table).fields) if f.name in layout]
+    rows = batch.select(*data, *parts)
+    if shards is not None:
+        rows = sharded(rows, shards)
+    if parts:
+        # Only the folders of this batch and writer are replaced, below each day it has.
+        stamped = rows.withColumns(own)
+        writer = stamped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.insertInto(quoted(table))
+        return
     view = f"batch_{uuid.uuid4().hex}"
-    rows = batch.select(*columns)
-    (rows if shards is None else sharded(rows, shards)).createOrReplaceTempView(view)
-    layout = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
-    parts = [f"{BATCH} = {int(batch_id)}", *[f"`{c}`" for c in layout if c != BATCH]]
+    rows.createOrReplaceTempView(view)
     try:
         spark.sql(
-            f"INSERT OVERWRITE TABLE {table} PARTITION ({', '.join(parts)}) SELECT * FROM {view}"
+            f"INSERT OVERWRITE TABLE {quoted(table)} PARTITION "
+            f"({BATCH} = {int(batch_id)}, {WRITER} = '{stream_id(spark)}') SELECT * FROM {view}"
         )
     finally:
         spark.catalog.dropTempView(view)
 
 
 def add_columns(spark: SparkSession, table: str, columns: dict[str, str]) -> list[str]:
-    """Add the columns the table lacks (any case counts as present); returns those added."""
-    if BATCH in lower_names(list(columns)):
-        raise ValueError(f"field {BATCH} has the name of the partition column")
-    present = lower_names(live_schema(spark, table).fieldNames())
+    """Add the columns the table lacks (any case counts as present); returns those added.
+
+    The names of the partition columns count as present: they can't be added.
+    """
+    present = {*lower_names(live_schema(spark, table).fieldNames()), *RESERVED}
     missing = {n: t for n, t in columns.items() if n.lower() not in present}
     if missing:
-        listed = ", ".join(f"`{name}` {kind}" for name, kind in missing.items())
-        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({listed})")
-        spark.catalog.refreshTable(table)
+        listed = ", ".join(f"{quoted_column(name)} {kind}" for name, kind in missing.items())
+        spark.sql(f"ALTER TABLE {quoted(table)} ADD COLUMNS ({listed})")
+        spark.catalog.refreshTable(quoted(table))
     return list(missing)
 
 
@@ -125,42 +161,66 @@ def add_fields(spark: SparkSession, table: str, schema: T.StructType) -> None:
     if want.fields[: len(have)] == have.fields:
         add_columns(spark, table, top)
         return
-    details = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {table}").collect()}
+    details = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {quoted(table)}").collect()}
     if details["Type"] != "EXTERNAL":
         raise ValueError(f"{table} must be external to gain a field inside a struct")
-    parts = [c.name for c in spark.catalog.listColumns(table) if c.isPartition and c.name != BATCH]
+    parts = [c.name for c in spark.catalog.listColumns(quoted(table)) if c.isPartition and c.name not in RESERVED]
     drop_table(spark, table)
     create_table(spark, table, want, details["Location"], details["Provider"], parts)
-    spark.sql(f"MSCK REPAIR TABLE {table}")
+    spark.sql(f"MSCK REPAIR TABLE {quoted(table)}")
 
 
-def evolve(rows: DataFrame, table: str, max_new: int = 10_000) -> list[str]:
+def evolve(rows: DataFrame, table: str) -> list[str]:
     """Add every field of the rows that the table lacks, as nullable text, spelled as sent.
 
-    Only field names reach the driver. More new fields than a table can hold is
-    an error, so the micro-batch fails and no row is lost.
+    Only field names reach the driver.
     """
     spark = rows.sparkSession
     fields = new_fields(rows, table_columns(spark, table).fieldNames())
-    names = sorted(r["spelling"] for r in fields.limit(max_new + 1).collect())
-    if len(names) > max_new:
-        raise ValueError(f"more than {max_new} new fields for {table}")
+    names = sorted(r["spelling"] for r in fields.collect())
     return add_columns(spark, table, {name: "STRING" for name in names})
 
 
+def known_tables(
+    spark: SparkSession, names: Iterable[str | None], table_of: Callable[[str], str] = str
+) -> dict[str, list[str]]:
+    """The tables there are for the given destinations: table to its destinations.
+
+    Names that differ only in case are one table. Destinations without a table are
+    left out. Destinations are names of tables, so they, not rows, reach the driver.
+    """
+    found: dict[str, list[str]] = {}
+    for name in sorted(n for n in names if n is not None):
+        table = table_of(name).lower()
+        if table in found or table_exists(spark, table):
+            found.setdefault(table, []).append(name)
+    return found
+
+
 def route_to_tables(
-    rows: DataFrame, batch_id: int, column: str = "destination", max_tables: int = 1000
+    rows: DataFrame,
+    batch_id: int,
+    column: str = "destination",
+    dead_table: str = "unrouted_rows",
 ) -> list[str]:
-    """Append each row to the table its ``column`` names; every table must exist."""
+    """Append each row to the table its ``column`` names.
+
+    A row whose destination is missing, or is no table, goes to ``dead_table`` as JSON
+    text with the reason ``no table``, so one such row can't stop a stream.
+    """
+    spark = rows.sparkSession
     kept = rows.persist()
     try:
-        names = kept.select(column).distinct().limit(max_tables + 1).collect()
-        if len(names) > max_tables:
-            raise ValueError(f"more than {max_tables} destinations in one micro-batch")
-        tables = sorted(r[0] for r in names)
-        for table in tables:
-            append_batch(kept.filter(F.col(column) == table).drop(column), table, batch_id)
-        return tables
+        found = known_tables(spark, (r[0] for r in kept.select(column).distinct().collect()))
+        for table, names in found.items():
+            append_batch(kept.filter(F.col(column).isin(names)).drop(column), table, batch_id)
+        known = [n for names in found.values() for n in names]
+        lost = kept.filter(F.col(column).isNull() | ~F.col(column).isin(known))
+        letters = lost.select(
+            column, F.to_json(F.struct(*rows.columns)).alias("value"), F.lit("no table").alias("reason")
+        )
+        append_batch(letters, dead_table, batch_id, create=True)
+        return sorted(found)
     finally:
         kept.unpersist()
 
@@ -243,7 +303,7 @@ def fold_batches(
 
 def unfolded(spark: SparkSession, table: str, fold: Fold | None = None) -> DataFrame:
     """All rows of the table, or the fold's rows and the batches after it."""
-    rows = spark.table(table)
+    rows = spark.table(quoted(table))
     if fold is None:
         return rows
     later = rows.filter(F.col(BATCH) > fold.upto)
@@ -258,7 +318,7 @@ def current_rows(
     fold: Fold | None = None,
 ) -> DataFrame:
     """The table with only the last row per key, newest micro-batch first."""
-    return latest_by(unfolded(spark, table, fold), keys, [BATCH, *arrival]).drop(BATCH)
+    return latest_by(unfolded(spark, table, fold), keys, [BATCH, *arrival]).drop(*RESERVED)
 
 
 def write_each_batch(

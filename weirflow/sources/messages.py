@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from weirflow.functions.json_text import payload_text
+from weirflow.functions.json_text import parsed_json, payload_text
 
 # Envelope of a message service: payload bytes plus attributes.
 ENVELOPE_SCHEMA = T.StructType(
@@ -131,7 +131,7 @@ def read_staged(
     # One parse per spelling: names that differ in case cannot share a struct.
     parses = [T.StructType([f[i] for f in spellings.values() if i < len(f)]) for i in range(width)]
     lines = spark.read.text(paths).select(
-        *[F.from_json("value", p, {"mode": "FAILFAST"}).alias(f"_p{i}") for i, p in enumerate(parses)]
+        *[parsed_json("value", p, mode="FAILFAST").alias(f"_p{i}") for i, p in enumerate(parses)]
     )
     return lines.select(
         *[

@@ -69,13 +69,18 @@ def read_text_file(spark: SparkSession, path: str) -> str:
     return spark.read.text(path, wholetext=True).first()[0]
 
 
+def quoted(name: str) -> str:
+    """A table's name for SQL text, each of its parts quoted."""
+    return ".".join("`" + part.replace("`", "``") + "`" for part in name.split("."))
+
+
 def live_schema(
     spark: SparkSession, table: str, fallback: T.StructType | None = None
 ) -> T.StructType:
     """Schema of the table as it is now; the fallback stands in for a missing table."""
-    if spark.catalog.tableExists(table):
-        spark.catalog.refreshTable(table)
-        return spark.table(table).schema
+    if spark.catalog.tableExists(quoted(table)):
+        spark.catalog.refreshTable(quoted(table))
+        return spark.table(quoted(table)).schema
     if fallback is None:
         raise ValueError(f"table {table} does not exist")
     return fallback

@@ -11,6 +11,7 @@ from weirflow.functions.json_text import split_metadata
 from weirflow.functions.times import from_millis
 from weirflow.operators import cdc, drift, events, logs, windows
 from weirflow.operators.rows import compute_once, latest_by, with_lookup
+from weirflow.session import materialize
 from weirflow.sinks import bulk, files, tables
 
 Body = Callable[[DataFrame, int], None]
@@ -48,6 +49,11 @@ def log_body(
     return body
 
 
+def dead_of(table: str, dead_table: str | None) -> str:
+    """The dead-letter table: the one named, or one beside the table."""
+    return dead_table or f"{table}_dead"
+
+
 def upsert_body(
     table: str, keys: Sequence[str], arrival: str, parse: Callable, fmt: str = "parquet"
 ) -> Body:
@@ -84,53 +90,49 @@ def current_records(changes: DataFrame) -> DataFrame:
 
 
 def routed_change_body(
-    arrival: str,
-    dead_table: str | None = None,
-    max_tables: int = 1000,
-    table_of: Callable[[str], str] = str,
+    arrival: str, dead_table: str = "unrouted_changes", table_of: Callable[[str], str] = str
 ) -> Body:
     """Append changes to the table each one names, in that table's own columns.
 
-    ``table_of`` gives the table of a destination, by default of the same name.
-    Every destination must exist; record fields it lacks are ignored. Rows carry
-    their change columns, so ``current_table`` can apply them. A value that does
-    not parse sends its record to the dead letters, or fails the batch without.
+    ``table_of`` gives the table of a destination, by default of the same name. Names
+    that differ only in case are one table. Record fields a table lacks are ignored.
+    Rows carry their change columns, so ``current_table`` can apply them. A change
+    whose destination is no table, or with a value that does not parse, goes to the
+    dead letters with its reason. Envelopes are parsed and exploded once.
     """
 
     def body(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         with kept(cdc.parse_changes(batch, [arrival])) as parsed:
-            changes = cdc.changed_records(parsed, arrival)
-            dead: list[DataFrame] = []
-            dead_columns = (
-                F.col("arrival").alias(arrival),
-                F.to_json("record").alias("value"),
-                F.lit("bad field").alias("reason"),
+            changes = cdc.changed_records(parsed, arrival).withColumn(
+                "record_key", cdc.record_key(F.col("pk_names"), F.col("record"))
             )
-            names = changes.select("destination").distinct().limit(max_tables + 1).collect()
-            if len(names) > max_tables:
-                raise ValueError(f"more than {max_tables} destinations in one micro-batch")
-            for name in sorted(r["destination"] for r in names):
-                target = data_columns(spark, table_of(name), cdc.CHANGE_COLUMNS)
-                own = changes.filter(F.col("destination") == name).withColumn(
-                    "record_key", cdc.record_key(F.col("pk_names"), F.col("record"))
-                )
-                if dead_table:
-                    bad = cdc.bad_record(F.col("record"), target)
-                    dead.append(own.filter(bad).select(*dead_columns))
-                    own = own.filter(~bad)
-                rows = cdc.record_columns(own, target, cdc.CHANGE_COLUMNS)
-                last = latest_by(rows, ["record_key"], cdc.CHANGE_ORDER)
-                tables.append_batch(last, table_of(name), batch_id)
-            if dead_table:
+            with kept(changes) as changes:
+                names = changes.select("destination").distinct().collect()
+                found = tables.known_tables(spark, (r[0] for r in names), table_of)
                 letters = logs.dead_letters(parsed, [arrival])
-                for rows in dead:
-                    letters = letters.unionByName(rows)
+                known = [n for own in found.values() for n in own]
+                lost = changes.filter(~F.col("destination").isin(known))
+                letters = letters.unionByName(_dead_changes(lost, arrival, "no table"))
+                for table, own_names in found.items():
+                    target = data_columns(spark, table, cdc.CHANGE_COLUMNS)
+                    own = changes.filter(F.col("destination").isin(own_names))
+                    bad = cdc.bad_record(F.col("record"), target)
+                    letters = letters.unionByName(_dead_changes(own.filter(bad), arrival, "bad field"))
+                    rows = cdc.record_columns(own.filter(~bad), target, cdc.CHANGE_COLUMNS)
+                    last = latest_by(rows, ["record_key"], cdc.CHANGE_ORDER)
+                    tables.append_batch(last, table, batch_id)
                 tables.append_batch(letters, dead_table, batch_id, create=True)
 
     return body
 
 
+def _dead_changes(changes: DataFrame, arrival: str, reason: str) -> DataFrame:
+    return changes.select(
+        F.col("arrival").alias(arrival), F.to_json("record").alias("value"), F.lit(reason).alias("reason")
+    )
+
+
 def create_change_table(
     spark: SparkSession, table: str, schema: T.StructType, location: str | None = None
 ) -> None:
@@ -144,7 +146,7 @@ def current_table(changes: DataFrame) -> DataFrame:
     """Live rows of one destination table, without the change columns."""
     last = latest_by(changes, ["record_key"], cdc.CHANGE_ORDER)
     live = last.filter(F.coalesce(F.col("change_type"), F.lit("UPSERT")) != "DELETE")
-    return live.drop(*cdc.CHANGE_COLUMNS, tables.BATCH)
+    return live.drop(*cdc.CHANGE_COLUMNS, *tables.RESERVED)
 
 
 def append_body(table: str) -> Body:
@@ -190,17 +192,20 @@ def event_body(
     """
 
     def body(batch: DataFrame, batch_id: int) -> None:
-        with kept(events.type_lines(batch, delimiter=delimiter, keep=["ingested"])) as parsed:
-            good = logs.good_rows(parsed)
-            timed = events.with_process_time(good).withColumn("ts", from_millis(F.col("event_ts")))
-            enriched = with_lookup(timed, load_lookup(), "dim1", "dim1_val")
+        # Written first, so Spark knows its size: a small lookup is broadcast, and all
+        # sinks see the same one.
+        lookup = materialize(load_lookup(), "lookup")
+        parsed = events.type_lines(batch, delimiter=delimiter, keep=["ingested"])
+        timed = events.with_process_time(parsed).withColumn("ts", from_millis(F.col("event_ts")))
+        with kept(with_lookup(timed, lookup, "dim1", "dim1_val")) as stamped:
+            enriched = logs.good_rows(stamped)
             windowed = windows.with_plain_pane(windows.with_window(enriched, "ts", size), "event_ts")
             end = F.col("window.end")
             if table:
                 rows = events.table_rows(windowed)
                 day = F.to_date(F.timestamp_seconds("event_ts"))
                 append = rows.withColumn("event_day", day)
-                if not batch.sparkSession.catalog.tableExists(table):
+                if not tables.table_exists(batch.sparkSession, table):
                     tables.create_table(
                         batch.sparkSession, table, append.schema, partitions=["event_day"]
                     )
@@ -216,7 +221,7 @@ def event_body(
                 docs = events.search_documents(enriched)
                 bulk.bulk_totals(bulk.send_bulk(docs, post)).collect()
             if error_folder:
-                dead = windows.with_window(logs.dead_letters(parsed, ["ingested"]), "ingested", size)
+                dead = windows.with_window(logs.dead_letters(stamped, ["ingested"]), "ingested", size)
                 files.write_window_text(dead, end, error_folder, shards, batch_id)
 
     return body
@@ -229,13 +234,12 @@ def basic_event_body(table: str, schema: T.StructType, dead_table: str | None =
         spark = batch.sparkSession
         target = T.StructType([f for f in schema.fields if f.name != "event_ts"])
         checked = drift.strict_split(events.basic_events(batch), target, ignore_unknown=True)
-        with kept(checked, bool(dead_table)) as parsed:
+        with kept(checked) as parsed:
             rows = drift.as_columns(logs.good_rows(parsed), target, ["event_ts"])
             dated = rows.withColumn("event_day", F.to_date(F.timestamp_seconds("event_ts")))
             tables.create_table(spark, table, dated.schema, partitions=["event_day"])
             tables.append_batch(dated, table, batch_id)
-            if dead_table:
-                tables.append_batch(logs.dead_letters(parsed), dead_table, batch_id, create=True)
+            tables.append_batch(logs.dead_letters(parsed), dead_of(table, dead_table), batch_id, create=True)
 
     return body
 
@@ -245,36 +249,61 @@ def json_column_body(table: str, dead_table: str | None = None) -> Body:
 
     def body(batch: DataFrame, batch_id: int) -> None:
         parsed = compute_once(batch, ["value"], r=split_metadata(F.col("value")))
-        with kept(parsed, bool(dead_table)) as split:
+        with kept(parsed) as split:
             good = split.filter("r.parsed").select("r.ID", "r.SENDER_NAME", "r.METADATA")
             tables.append_batch(good, table, batch_id, create=True)
-            if dead_table:
-                dead = split.filter("NOT r.parsed")
-                dead = dead.select("value", F.lit("malformed").alias("reason"))
-                tables.append_batch(dead, dead_table, batch_id, create=True)
+            dead = split.filter("NOT r.parsed")
+            dead = dead.select("value", F.lit("malformed").alias("reason"))
+            tables.append_batch(dead, dead_of(table, dead_table), batch_id, create=True)
 
     return body
 
 
-def declared_body(table: str, schema: T.StructType, location: str | None = None) -> Body:
-    """Rows under a declared schema version; the table gains the version's new fields first."""
+def declared_body(
+    table: str, schema: T.StructType, location: str | None = None, dead_table: str | None = None
+) -> Body:
+    """Rows under a declared schema version; the table gains the version's new fields first.
+
+    Text that is no object, a missing required field and a value that does not parse
+    send the row to the dead letters. A row with a field the version lacks is written
+    without it, and its text is also kept there, as ``unknown field``.
+    """
 
     def body(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        rows = compute_once(batch, [], r=F.from_json("value", schema)).filter("r IS NOT NULL")
-        tables.create_table(spark, table, schema, location)
-        tables.add_fields(spark, table, schema)
-        tables.append_batch(rows.select("r.*"), table, batch_id)
+        checked = drift.strict_split(drift.dynamic_rows(batch), schema, ignore_unknown=True)
+        with kept(checked) as rows:
+            tables.create_table(spark, table, schema, location)
+            tables.add_fields(spark, table, schema)
+            good = rows.filter(F.col("reason").isNull())
+            tables.append_batch(drift.as_columns(good, schema), table, batch_id)
+            more = good.filter(F.size(drift.new_keys(F.col("row"), schema.names)) > 0)
+            letters = logs.dead_letters(rows).unionByName(
+                more.select("value", F.lit("unknown field").alias("reason"))
+            )
+            tables.append_batch(letters, dead_of(table, dead_table), batch_id, create=True)
 
     return body
 
 
-def staged_load_body(table: str, stage_folder: str, location: str | None = None) -> Body:
-    """Stage each window's messages as files, then load them with inferred new columns."""
+def staged_load_body(
+    table: str, stage_folder: str, location: str | None = None, dead_table: str | None = None
+) -> Body:
+    """Stage each window's messages as files, then load them with inferred new columns.
+
+    Text that is no object is a dead letter and never staged: it would fail each load.
+    """
 
     def body(batch: DataFrame, batch_id: int) -> None:
-        path = files.stage_text(batch, stage_folder, batch_id)
-        files.load_inferred(batch.sparkSession, path, table, batch_id, location)
+        rows = drift.dynamic_rows(batch)
+        with kept(rows.select("value", "reason")) as checked:
+            dead = logs.dead_letters(checked)
+            tables.append_batch(dead, dead_of(table, dead_table), batch_id, create=True)
+            good = checked.filter(F.col("reason").isNull()).select("value")
+            if good.isEmpty():
+                return
+            path = files.stage_text(good, stage_folder, batch_id)
+            files.load_inferred(batch.sparkSession, path, table, batch_id, location)
 
     return body
 
@@ -291,26 +320,27 @@ def healing_body(
 
     The schema is read once per micro-batch; columns are added before any drifted
     row is written, so the barrier between the two is the order of statements.
-    Normal and drifted rows then go out in one append. A value that does not parse
-    as its column's type sends its row to the dead letters, or fails the batch
-    where there is no table for them. ``keep`` columns come from the source: give
-    them names no message uses.
+    Normal and drifted rows then go out in one append. Only rows that will be written
+    widen the table: a value that does not parse as its column's type, or a field with
+    a reserved name (a partition column's or one of ``keep``, which come from the
+    source) sends its row to the dead letters.
     """
 
     def body(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         with kept(drift.dynamic_rows(batch, keep)) as rows:
-            good = rows.filter(F.col("reason").isNull())
-            if not spark.catalog.tableExists(table):
+            if not tables.table_exists(spark, table):
                 first = [T.StructField("ID", T.StringType()), *[batch.schema[c] for c in keep]]
                 tables.create_table(spark, table, T.StructType(first), location)
-            tables.evolve(good, table)
+            before = drift.strict_split(
+                rows, data_columns(spark, table, keep), ignore_unknown=True, refused=[*keep, *tables.RESERVED]
+            )
+            tables.evolve(before.filter(F.col("reason").isNull()), table)
             target = data_columns(spark, table, keep)
-            if dead_table:
-                checked = drift.strict_split(rows, target)
-                dead = logs.dead_letters(checked, keep)
-                tables.append_batch(dead, dead_table, batch_id, create=True)
-                good = checked.filter(F.col("reason").isNull())
+            checked = drift.strict_split(before, target)
+            dead = logs.dead_letters(checked, keep)
+            tables.append_batch(dead, dead_of(table, dead_table), batch_id, create=True)
+            good = checked.filter(F.col("reason").isNull())
             tables.append_batch(drift.as_columns(good, target, keep), table, batch_id)
             if registry_table and ts:
                 seen = drift.field_registry(good.withColumn("table", F.lit(table)), "table", ts)
@@ -331,17 +361,19 @@ def failed_rows_body(
     def body(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         with kept(drift.dynamic_rows(batch, keep)) as rows:
-            before = drift.strict_split(rows, data_columns(spark, table, keep))
-            tables.evolve(before.filter(F.col("reason") == "unknown field"), table)
+            # A row that would fail for another reason too does not widen the table.
+            sound = drift.strict_split(
+                rows, data_columns(spark, table, keep), ignore_unknown=True, refused=[*keep, *tables.RESERVED]
+            ).filter(F.col("reason").isNull())
+            tables.evolve(sound, table)
             target = data_columns(spark, table, keep)
             checked = drift.strict_split(rows, target)
             good = checked.filter(F.col("reason").isNull())
             tables.append_batch(drift.as_columns(good, target, keep), table, batch_id)
-            if dead_table:
-                dead = checked.filter(F.col("reason").isNotNull())
-                tables.append_batch(
-                    dead.select(*keep, "value", "reason"), dead_table, batch_id, create=True
-                )
+            dead = checked.filter(F.col("reason").isNotNull())
+            tables.append_batch(
+                dead.select(*keep, "value", "reason"), dead_of(table, dead_table), batch_id, create=True
+            )
 
     return body
 

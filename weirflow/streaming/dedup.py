@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Row, functions as F, types as T
 from pyspark.sql.streaming.stateful_processor import (
     StatefulProcessor,
@@ -45,14 +47,16 @@ def dedup_stream(rows: DataFrame, key: str, order: str, ttl_seconds: int = 300)
     an available-now trigger.
     """
 
-    def firsts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            yield frame.sort_values(order).drop_duplicates(key)
+    def firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:  # Arrow keeps every value as it is, nulls beside integers too
+            ranked = batch.take(pc.sort_indices(batch, [(order, "ascending")]))
+            codes = ranked.column(key).dictionary_encode().indices.to_numpy()
+            yield ranked.take(pa.array(np.sort(np.unique(codes, return_index=True)[1])))
 
     schema = T.StructType(rows.schema.fields)
     return (
         has_key(rows, key)
-        .mapInPandas(firsts, schema)
+        .mapInArrow(firsts, schema)
         .groupBy(key)
         .transformWithState(
             FirstSeen(ttl_seconds * 1000, order),

@@ -106,7 +106,11 @@ def bundle_job(
             for table in sorted(set(tables_by_bundle.values())):
                 target = tables.table_columns(batch.sparkSession, table)
                 own = drift.dynamic_rows(stored.filter(F.col("destination") == table))
-                tables.append_batch(drift.as_columns(own, target), table, batch_id)
+                checked = drift.strict_split(own, target, ignore_unknown=True)
+                good = checked.filter(F.col("reason").isNull())
+                tables.append_batch(drift.as_columns(good, target), table, batch_id)
+                dead = logs.dead_letters(checked)
+                tables.append_batch(dead, bodies.dead_of(table, None), batch_id, create=True)
 
     return tables.write_each_batch(passed, body, checkpoint, seconds)
 
@@ -125,10 +129,12 @@ def bundle_side_job(
     rows = stamp_ingest(bundle_rows(messages, tables_by_bundle, **keys))
 
     def body(batch: DataFrame, batch_id: int) -> None:
-        tables.append_batch(logs.dead_letters(batch, [arrival]), dead_table, batch_id, create=True)
-        good = drift.dynamic_rows(batch.filter("reason IS NULL"), ["destination", "ingested"])
-        seen = drift.field_registry(good, "destination", "ingested")
-        tables.append_batch(seen, registry_table, batch_id, create=True)
+        with bodies.kept(batch) as stored:
+            letters = logs.dead_letters(stored, [arrival])
+            tables.append_batch(letters, dead_table, batch_id, create=True)
+            good = drift.dynamic_rows(stored.filter("reason IS NULL"), ["destination", "ingested"])
+            seen = drift.field_registry(good, "destination", "ingested")
+            tables.append_batch(seen, registry_table, batch_id, create=True)
 
     return tables.write_each_batch(rows, body, checkpoint, seconds)
 
