@@ -17,6 +17,8 @@ RUNTIME_CONF = {
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Rows reach Python in batches of bounded size, however long their texts are.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "16m",
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
