@@ -176,6 +176,20 @@ def nested_messages(orders: DataFrame) -> DataFrame:
     return orders.select(F.col("o_orderkey").alias("seq"), value.alias("value"))
 
 
+def bundle_messages(events: DataFrame) -> DataFrame:
+    """Objects that name their bundle and mostly a uuid: ``seq, value``; some are broken."""
+    message = F.to_json(
+        F.struct(
+            F.col("event_type").alias("bundle_id"),
+            F.when(~_every("event_id", 17), F.concat(F.lit("u"), _text("user_id"))).alias("uuid"),
+            F.concat(F.lit("v"), _text("event_id")).alias("v"),
+            F.when(_every("event_id", 5), F.lit("more")).alias("extra"),
+        )
+    )
+    value = F.when(_every("event_id", 103), F.lit("{broken")).otherwise(message)
+    return events.select(F.col("event_id").alias("seq"), value.alias("value"))
+
+
 def sender_messages(customer: DataFrame) -> DataFrame:
     """Objects with two flat keys and free metadata: ``value``."""
     text = F.concat(

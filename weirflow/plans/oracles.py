@@ -362,3 +362,16 @@ FROM t"""
 ORACLES["typed_record"] = """SELECT event_id AS seq, event_type AS kind, user_id % 2 = 0 AS even,
   CAST(user_id AS INTEGER) AS user, epoch_us(ts) // 1000 AS at_ms,
   CAST(value AS FLOAT) AS about, value AS exactly FROM events"""
+_BUNDLES = """sent AS (SELECT *, event_id % 103 = 0 AS broken,
+    CASE event_type WHEN 'purchase' THEN 'orders' WHEN 'click' THEN 'visits' WHEN 'view' THEN 'visits' END AS name,
+    CASE WHEN event_id % 17 <> 0 THEN 'u' || user_id END AS uuid FROM events)"""
+ORACLES["bundle_tables"] = f"""WITH {_BUNDLES}
+SELECT name, coalesce(uuid, '') AS uuid, 'v' || event_id AS v FROM sent WHERE NOT broken AND name IS NOT NULL
+QUALIFY uuid IS NULL OR row_number() OVER (PARTITION BY name, uuid ORDER BY event_id) = 1"""
+ORACLES["bundle_registry"] = f"""WITH {_BUNDLES}, good AS (SELECT * FROM sent WHERE NOT broken AND name IS NOT NULL)
+SELECT 'dead' AS kind, CASE WHEN broken THEN 'malformed' ELSE 'unknown bundle' END AS what, count(*) AS n
+FROM sent WHERE broken OR name IS NULL GROUP BY ALL
+UNION ALL SELECT 'field', name || '.bundle_id', count(*) FROM good GROUP BY name
+UNION ALL SELECT 'field', name || '.v', count(*) FROM good GROUP BY name
+UNION ALL SELECT 'field', name || '.uuid', count(uuid) FROM good GROUP BY name
+UNION ALL SELECT 'field', name || '.extra', count(*) FROM good WHERE event_id % 5 = 0 GROUP BY name"""

@@ -22,7 +22,7 @@ from weirflow.session import prepare_session, scratch_dir
 from weirflow.sinks import bulk, files, tables
 from weirflow.sources.messages import envelope_rows, spread, stream_table, with_fresh_lookup
 from weirflow.sources.schemas import record_schema, table_schema
-from weirflow.streaming import bodies
+from weirflow.streaming import bodies, jobs
 from weirflow.streaming.dedup import dedup_stream, without_key
 from weirflow.streaming.panes import pane_stream
 
@@ -914,6 +914,54 @@ def stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return spark.table(table).drop(*tables.RESERVED)
 
 
+# Bundles and their tables; other event types are unknown bundles.
+BUNDLES = {"purchase": "orders", "click": "visits", "view": "visits"}
+
+
+def _bundle_tables(spark: SparkSession) -> tuple[dict[str, str], dict[str, str]]:
+    made = {
+        name: _sink_table(spark, f"bundle_{name}", "uuid string, v string")
+        for name in sorted(set(BUNDLES.values()))
+    }
+    return {bundle: made[name] for bundle, name in BUNDLES.items()}, made
+
+
+def bundle_tables(spark: SparkSession, folder: str) -> DataFrame:
+    """Bundled messages to their tables over several micro-batches, repeats of a uuid dropped."""
+    messages = adapters.bundle_messages(_ticks(spark, folder, "events", "event_id"))
+    by_bundle, made = _bundle_tables(spark)
+    setting = "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "false")
+    try:
+        progress = scratch_dir(spark, "bundle-progress")
+        jobs.bundle_job(messages, by_bundle, progress, DEDUP_TTL, None).start().awaitTermination()
+    finally:
+        spark.conf.set(setting, before)
+    parts = [
+        spark.table(table).select(F.lit(name).alias("name"), F.coalesce("uuid", F.lit("")).alias("uuid"), "v")
+        for name, table in made.items()
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+def bundle_registry(spark: SparkSession, folder: str) -> DataFrame:
+    """Dead letters by reason and the fields seen per table, over several micro-batches."""
+    messages = adapters.bundle_messages(_ticks(spark, folder, "events", "event_id"))
+    by_bundle, made = _bundle_tables(spark)
+    dead, registry = _fresh_table("bundle_dead"), _fresh_table("bundle_registry")
+    progress = scratch_dir(spark, "bundle-side-progress")
+    jobs.bundle_side_job(messages, by_bundle, dead, registry, progress, None).start().awaitTermination()
+    name = F.create_map(*[F.lit(x) for pair in made.items() for x in reversed(pair)])[F.col("destination")]
+    letters = spark.table(dead).groupBy(F.lit("dead").alias("kind"), F.col("reason").alias("what")).agg(
+        F.count("*").alias("n")
+    )
+    fields = spark.table(registry).groupBy(
+        F.lit("field").alias("kind"), F.concat_ws(".", name, "field").alias("what")
+    ).agg(F.sum("seen").alias("n"))
+    return letters.unionByName(fields)
+
+
 def stream_drift(spark: SparkSession, folder: str) -> DataFrame:
     messages = adapters.drift_messages(_stream(spark, folder, "events"))
     table = _drift_table(spark, "stream_drift")
@@ -982,6 +1030,8 @@ QUERIES: dict[str, Query] = {
         stream_log,
         stream_upsert,
         stream_shared_dead,
+        bundle_tables,
+        bundle_registry,
         stream_cdc_batches,
         stream_drift_batches,
         stream_cdc,
