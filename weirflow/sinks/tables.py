@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterable, Sequence
 from typing import NamedTuple
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from weirflow.operators.drift import lower_names, new_fields, shaped, widened
@@ -273,10 +273,15 @@ def upsert_batch(
 
 
 class Fold(NamedTuple):
-    """A folder with the last row per key over all batches up to ``upto``."""
+    """A folder with the last row per key over all batches up to ``upto`` of each writer."""
 
     path: str
-    upto: int
+    upto: dict[str, int]
+
+    def covers(self) -> Column:
+        """Whether a row of the table is in the fold."""
+        last = F.create_map(*[F.lit(x) for pair in self.upto.items() for x in pair])
+        return F.coalesce(F.col(BATCH) <= F.try_element_at(last, F.col(WRITER)), F.lit(False))
 
 
 def fold_batches(
@@ -293,20 +298,29 @@ def fold_batches(
     Keeps reading cheap while batches add up: work grows with the new batches and
     the keys, not with the history. The old fold stays valid until the caller
     turns to the new one, so a failed run changes nothing. Delete markers are rows
-    like others and stay, so an older change that comes later finds them.
+    like others and stay, so an older change that comes later finds them. Of each
+    writer the fold takes the batches that are there now, up to number ``upto``.
     """
-    path = f"{folder}/upto={int(upto)}"
-    rows = unfolded(spark, table, previous).filter(F.col(BATCH) <= upto)
+    path = f"{folder}/upto={int(upto)}-{uuid.uuid4().hex}"
+    there = spark.table(quoted(table)).filter(F.col(BATCH) <= upto)
+    last = there.groupBy(WRITER).agg(F.max(BATCH).alias("last")).collect()  # a row per writer
+    covered = dict(previous.upto) if previous else {}
+    for r in last:
+        covered[r[WRITER]] = max(r["last"], covered.get(r[WRITER], r["last"]))
+    fold = Fold(path, covered)
+    rows = unfolded(spark, table, previous)
+    if covered:
+        rows = rows.filter(fold.covers())
     latest_by(rows, keys, order).write.mode("overwrite").parquet(path)
-    return Fold(path, upto)
+    return fold
 
 
 def unfolded(spark: SparkSession, table: str, fold: Fold | None = None) -> DataFrame:
-    """All rows of the table, or the fold's rows and the batches after it."""
+    """All rows of the table, or the fold's rows and those it does not cover."""
     rows = spark.table(quoted(table))
-    if fold is None:
+    if fold is None or not fold.upto:
         return rows
-    later = rows.filter(F.col(BATCH) > fold.upto)
+    later = rows.filter(~fold.covers())
     return later.unionByName(spark.read.parquet(fold.path), allowMissingColumns=True)
 
 
