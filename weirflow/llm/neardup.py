@@ -340,8 +340,9 @@ def link_classes(
             )
             yield rest.append_column("grams", grams)
 
+    # The candidates grow with the corpus, so this is a shuffle join at every size.
     texts = keyed.join(
-        wanted, (F.col("_rid") == F.col("rid")) & (F.col("_t1") == F.col("t1"))
+        wanted.hint("merge"), (F.col("_rid") == F.col("rid")) & (F.col("_t1") == F.col("t1"))
     ).select("text", "cid", "k1", "k2", "rows", "tiles")
     members = (
         texts.mapInArrow(
