@@ -72,10 +72,11 @@ def stream_table(spark: SparkSession, folder: str, name: str, **options: str) ->
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Deal a batch source with fewer splits than cores out to all cores.
+    """Deal a source with fewer splits than cores out to all cores.
 
-    One unsplittable file would parse in one task. A source with enough splits,
-    as any large one has, is left alone and pays no shuffle.
+    One unsplittable file would parse in one task. This shuffles the source's rows, so
+    it is for few large files or topic partitions; where splits can be made smaller
+    (``spark.sql.files.maxPartitionBytes``, ``minPartitions``), do that instead.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
