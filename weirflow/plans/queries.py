@@ -326,7 +326,7 @@ def window_files(spark: SparkSession, folder: str) -> DataFrame:
     out = scratch_dir(spark, "window-files")
     line = F.concat_ws(",", "event_ts", "seq", "dim1", "metrics1")
     lines = windowed.select(line.alias("value"), "window")
-    files.write_window_text(lines, F.col("window.end"), out, shards=1)
+    files.write_window_text(lines, F.col("window.end"), out)
     schema = "value string, yyyy string, mm string, dd string, hh string"
     back = spark.read.schema(schema).text(out)
     return back.select("value", F.concat_ws("/", "yyyy", "mm", "dd", "hh").alias("folder"))
