@@ -32,9 +32,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from weirflow.llm.words import WordTable, text_groups
 
-MAX_ROWS = 12_000
+MAX_ROWS = 8_000
 MAX_CHARS = 50_000
 THRESHOLD = 0.3
+LEARN_GROUP = 500
 
 _LINE = "\ue000"  # stands for a line's end among the words
 _WORD = re.compile(r"\w+")
@@ -82,27 +83,42 @@ def learn(texts: list[str | None], labels: np.ndarray, rounds: int = 150, l2: fl
         found = [names.setdefault(w, len(names)) for w in _WORD.findall(token)]
         return np.array(found + [_END] * bool(_STOP.search(token)), "<i4").tobytes()
 
-    values, bounds = WordTable(resolve, "<i4", _prepare).batch(texts)
-    values, sentence, doc_of = _bags(values, bounds, _END)
+    # Some texts at a time, so that what is kept of them is a number per word.
+    table = WordTable(resolve, "<i4", _prepare, limit=50_000)
+    groups = [table.batch(texts[at : at + LEARN_GROUP]) for at in range(0, len(texts), LEARN_GROUP)]
+    n, toxic, words = len(labels), labels.sum(), max(len(names), 1)
     # Words that go with the label: chi-square of presence in a document.
-    pairs = np.unique(doc_of[sentence].astype(np.int64) * len(names) + values)
-    doc, word = pairs // max(len(names), 1), pairs % max(len(names), 1)
-    n, toxic = len(labels), labels.sum()
-    seen = np.bincount(word, minlength=len(names))
-    hits = np.bincount(word, weights=labels[doc], minlength=len(names))
+    seen, hits = np.zeros(words), np.zeros(words)
+    for g, (values, bounds) in enumerate(groups):
+        values, sentence, doc_of = _bags(values, bounds, _END)
+        pairs = np.unique(doc_of[sentence].astype(np.int64) * words + values)
+        own = labels[g * LEARN_GROUP + pairs // words]
+        seen += np.bincount(pairs % words, minlength=words)
+        hits += np.bincount(pairs % words, weights=own, minlength=words)
     with np.errstate(divide="ignore", invalid="ignore"):
         chi = (hits * n - seen * toxic) ** 2 * n / (seen * (n - seen) * toxic * (n - toxic))
     chosen = np.flatnonzero((seen >= 3) & (chi > 27))
     if not len(chosen):
         return nothing
-    place = np.full(len(names), -1)
+    place = np.full(words, -1)
     place[chosen] = np.arange(len(chosen))
-    known = place[values] >= 0
-    cells = np.unique(sentence[known].astype(np.int64) * len(chosen) + place[values[known]])
-    active, row = np.unique(cells // len(chosen), return_inverse=True)
-    feature = cells % len(chosen)
-    owner = doc_of[active]
-    plain = np.bincount(doc_of, minlength=n) - np.bincount(owner, minlength=n)
+    plain = np.zeros(n)  # sentences without a chosen word, per document
+    rows, features, owners, at = [], [], [], 0
+    for g, (values, bounds) in enumerate(groups):
+        values, sentence, doc_of = _bags(values, bounds, _END)
+        known = place[values] >= 0
+        cells = np.unique(sentence[known].astype(np.int64) * len(chosen) + place[values[known]])
+        active, row = np.unique(cells // len(chosen), return_inverse=True)
+        rows.append(row + at)
+        features.append(cells % len(chosen))
+        owners.append(doc_of[active] + g * LEARN_GROUP)
+        at += len(active)
+        docs = len(bounds) - 1
+        plain[g * LEARN_GROUP :][:docs] = np.bincount(doc_of, minlength=docs) - np.bincount(
+            doc_of[active], minlength=docs
+        )
+    row, feature, owner = map(np.concatenate, (rows, features, owners))
+    active = np.arange(at)
 
     weights, bias = np.zeros(len(chosen)), -6.0
     first, second = np.zeros(len(chosen) + 1), np.zeros(len(chosen) + 1)
@@ -121,8 +137,8 @@ def learn(texts: list[str | None], labels: np.ndarray, rounds: int = 150, l2: fl
         second = 0.99 * second + 0.01 * gradient**2
         move = 0.15 * first / (1 - 0.9**t) / (np.sqrt(second / (1 - 0.99**t)) + 1e-9)
         weights, bias = weights - move[:-1], bias - move[-1]
-    words = list(names)
-    return ToxicityModel({words[c]: float(w) for c, w in zip(chosen, weights)}, float(bias))
+    spelled = list(names)
+    return ToxicityModel({spelled[c]: float(w) for c, w in zip(chosen, weights)}, float(bias))
 
 
 def learning_rows(
@@ -141,8 +157,8 @@ def learning_rows(
 
 def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_chars: int = MAX_CHARS) -> ToxicityModel:
     """Learn from the labelled documents; ``labels`` holds only rows to learn from."""
-    rows = learning_rows(docs, labels, max_rows, max_chars).toPandas()
-    return learn(rows["text"].tolist(), rows["toxic"].to_numpy())
+    rows = learning_rows(docs, labels, max_rows, max_chars).toArrow()
+    return learn(rows.column("text").to_pylist(), rows.column("toxic").to_numpy())
 
 
 def offending(model: ToxicityModel, text: str, threshold: float) -> list[dict]:
