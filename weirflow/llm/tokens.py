@@ -35,7 +35,7 @@ def _byte_characters() -> dict[int, str]:
 class Encoder:
     """Ids of texts for the tokenizer file ``path``: NFC, lower case, BPE with word ends."""
 
-    def __init__(self, path: str, limit: int = 800_000) -> None:
+    def __init__(self, path: str, limit: int = 400_000) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)

@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 import xxhash
 
 # Characters of a batch handled at once; one longer text is a batch of its own.
-BATCH_CHARS = 8_000_000
+BATCH_CHARS = 4_000_000
 _WORD = re.compile(r"\w+")
 
 
@@ -35,7 +35,7 @@ class WordTable:
         resolve: Callable[[str], bytes],
         dtype: str,
         prepare: Callable[[pa.Array], pa.Array] = pc.utf8_lower,
-        limit: int = 800_000,
+        limit: int = 300_000,
     ) -> None:
         self.resolve, self.dtype, self.prepare, self.limit = resolve, np.dtype(dtype), prepare, limit
         self.known: dict[str, bytes] = {}
@@ -88,10 +88,12 @@ def per_worker(name: str, make: Callable[[], object]) -> object:
     """One object per Python process: a worker keeps it from task to task.
 
     Functions reach workers as copies, with fresh globals for each task, so what must
-    last is kept with the interpreter.
+    last is kept with the interpreter. The object of another name makes room: stages that
+    follow each other in the same workers don't add up.
     """
     kept = sys.__dict__.setdefault("_weirflow_llm", {})
     if name not in kept:
+        kept.clear()
         kept[name] = make()
     return kept[name]
 
