@@ -58,6 +58,16 @@ def test_odd_texts(spark, model):
     assert got[6].score > 0.5 and got[7].score > 0.5 and got[None].score > 0.5
 
 
+def test_length_alone_is_not_toxic(spark, model):
+    long = ["alpha beta. " * 20_000, "alpha\n" + "\n" * 20_000, "\n" * 20_000, "x. \n" * 20_000]
+    assert toxicity.Scorer(model).scores(long).tolist() == [0] * 4
+    docs = spark.createDataFrame([(i, t, "s", "x") for i, t in enumerate(long)], DOCS)
+    assert toxicity.without_toxic(docs, model).count() == 4
+    bad = long[0] + "You vile thing."
+    assert toxicity.Scorer(model).scores([bad])[0] > 0.5
+    assert [bad[s["start"] :] for s in toxicity.offending(model, bad, 0.3)] == ["You vile thing."]
+
+
 def test_nothing_to_learn(spark):
     docs = spark.createDataFrame([(1, "a b", "s", "en"), (2, None, "s", None)], DOCS)
     labels = spark.createDataFrame([(1, 0), (2, None), (None, 1)], "doc_id bigint, toxic int")
