@@ -68,6 +68,18 @@ def test_length_alone_is_not_toxic(spark, model):
     assert [bad[s["start"] :] for s in toxicity.offending(model, bad, 0.3)] == ["You vile thing."]
 
 
+def test_words_are_counted_over_all_labelled_documents(spark):
+    rows = [(i, f"alpha beta {i % 7}. gamma", 0) for i in range(900)] + [(900 + i, "alpha vile. beta", 1) for i in range(90)]
+    rows += [(2000 + i, "x. " * 20_000 + "rareword alpha." if i == 0 else "beta. rareword", 1) for i in range(5)]
+    docs = spark.createDataFrame([(i, t, "s", "x") for i, t, _ in rows] + [(None, "vile", "s", "x")], DOCS).repartition(3)
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id bigint, toxic int")
+    counted = {r.word: (r.seen, r.hits) for r in toxicity.word_counts(docs.join(labels, "doc_id")).collect()}
+    assert counted[None] == (995, 95) and counted["rareword"] == (5, 5) and counted["alpha"] == (991, 91)
+    model = toxicity.fit(docs, labels, max_rows=40)  # far fewer rows than there are
+    assert set(model.weights) == {"vile", "rareword"}
+    assert (toxicity.Scorer(model).scores(["A vile one", "rareword", "alpha. beta"]) >= toxicity.THRESHOLD).tolist() == [True, True, False]
+
+
 def test_nothing_to_learn(spark):
     docs = spark.createDataFrame([(1, "a b", "s", "en"), (2, None, "s", None)], DOCS)
     labels = spark.createDataFrame([(1, 0), (2, None), (None, 1)], "doc_id bigint, toxic int")

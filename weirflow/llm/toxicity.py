@@ -10,9 +10,12 @@ line. A word is a lower-case run of letters, digits and underscores. A sentence
 learned word, an empty one included, has probability 0 in learning and scoring: length
 alone makes no document toxic.
 
-Learning uses a sample of at most about ``MAX_ROWS`` labelled documents of at most
-``MAX_CHARS`` characters (the documented bound); its words are screened by their
-association with the label. Scoring reads every whole text.
+Words are counted by Spark over all labelled whole texts and screened by their association
+with the label. The gradient steps use a sample of at most about ``MAX_ROWS`` labelled
+documents that hold a screened word (the documented bound; at least ``LEAST`` of each
+word), in which rare words have all their documents and others stand for what was left
+out. Only word and sentence numbers of the sample reach the driver, never texts. Scoring
+reads every whole text.
 
 Nulls and texts without learned words score 0. Rows without label are
 not learned from; if a document has several labels the highest counts. Repeated rows are
@@ -33,11 +36,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from weirflow.llm.words import WordTable, text_groups
+from weirflow.session import materialize
 
-MAX_ROWS = 8_000
-MAX_CHARS = 50_000
+MAX_ROWS = 12_000
+LEAST = 8
+TALLY_WORDS = 200_000
 THRESHOLD = 0.3
-LEARN_GROUP = 500
 # Fixed: learned from sentences with learned words only, it would rise until each such word
 # counts by itself, the accidental ones too. A word has to earn its weight from here.
 BIAS = -9.5
@@ -55,6 +59,9 @@ class ToxicityModel:
     bias: float
 
 
+NOTHING = ToxicityModel({}, -math.inf)
+
+
 def _prepare(texts: pa.Array) -> pa.Array:
     return pc.replace_substring(pc.utf8_lower(texts), "\n", f" {_LINE} ")
 
@@ -74,87 +81,179 @@ def _softplus(z: np.ndarray) -> np.ndarray:
     return np.logaddexp(0, z)
 
 
-def learn(texts: list[str | None], labels: np.ndarray, rounds: int = 150, l2: float = 0.05) -> ToxicityModel:
-    """Fit sentence weights from document labels."""
-    labels = np.asarray(labels, dtype=float)
-    nothing = ToxicityModel({}, -math.inf)
-    if not len(labels) or labels.min() == labels.max():
-        return nothing
-    names: dict[str, int] = {}
+class _Tally:
+    """In how many documents each word is, and how many of those are toxic."""
 
-    def resolve(token: str) -> bytes:
-        if token == _LINE:
-            return np.array([_END], "<i4").tobytes()
-        found = [names.setdefault(w, len(names)) for w in _WORD.findall(token)]
-        return np.array(found + [_END] * bool(_STOP.search(token)), "<i4").tobytes()
+    def __init__(self) -> None:
+        self.docs = self.toxic = 0
+        self._clear()
 
-    # Some texts at a time, so that what is kept of them is a number per word.
-    table = WordTable(resolve, "<i4", _prepare, limit=50_000)
-    groups = [table.batch(texts[at : at + LEARN_GROUP]) for at in range(0, len(texts), LEARN_GROUP)]
-    n, toxic, words = len(labels), labels.sum(), max(len(names), 1)
-    # Words that go with the label: chi-square of presence in a document.
-    seen, hits = np.zeros(words), np.zeros(words)
-    for g, (values, bounds) in enumerate(groups):
-        values, sentence, doc_of = _bags(values, bounds, _END)
-        pairs = np.unique(doc_of[sentence].astype(np.int64) * words + values)
-        own = labels[g * LEARN_GROUP + pairs // words]
-        seen += np.bincount(pairs % words, minlength=words)
-        hits += np.bincount(pairs % words, weights=own, minlength=words)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        chi = (hits * n - seen * toxic) ** 2 * n / (seen * (n - seen) * toxic * (n - toxic))
-    chosen = np.flatnonzero((seen >= 3) & (chi > 27) & (hits * n > seen * toxic))
-    if not len(chosen):
-        return nothing
-    place = np.full(words, -1)
-    place[chosen] = np.arange(len(chosen))
-    rows, features, owners, at = [], [], [], 0
-    for g, (values, bounds) in enumerate(groups):
-        values, sentence, doc_of = _bags(values, bounds, _END)
-        known = place[values] >= 0
-        cells = np.unique(sentence[known].astype(np.int64) * len(chosen) + place[values[known]])
-        active, row = np.unique(cells // len(chosen), return_inverse=True)
-        rows.append(row + at)
-        features.append(cells % len(chosen))
-        owners.append(doc_of[active] + g * LEARN_GROUP)
-        at += len(active)
-    row, feature, owner = map(np.concatenate, (rows, features, owners))
-    active = np.arange(at)
-
-    weights = np.zeros(len(chosen))
-    first, second = np.zeros(len(chosen)), np.zeros(len(chosen))
+    def _clear(self) -> None:
+        self.names: dict[str, int] = {}
+        self.seen, self.hits = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        self.table = WordTable(self._word, "<i4", limit=50_000)
+
+    def _word(self, token: str) -> bytes:
+        return np.array([self.names.setdefault(w, len(self.names)) for w in _WORD.findall(token)], "<i4").tobytes()
+
+    def add(self, texts: list[str | None], labels: np.ndarray) -> None:
+        values, bounds = self.table.batch(texts)
+        words = max(len(self.names), 1)
+        doc = np.repeat(np.arange(len(texts)), np.diff(bounds))
+        pairs = np.unique(doc * words + values)  # each word once a document
+        for name, found in (("seen", pairs), ("hits", pairs[labels[pairs // words] > 0])):
+            total = np.bincount(found % words, minlength=words)
+            old = getattr(self, name)
+            total[: len(old)] += old
+            setattr(self, name, total)
+        self.docs += len(texts)
+        self.toxic += int((labels > 0).sum())
+
+    def taken(self) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """``(words, seen, hits)``; the words are forgotten."""
+        n = len(self.names)
+        out = list(self.names), self.seen[:n], self.hits[:n]
+        self._clear()
+        return out
+
+
+def _offends(seen, hits, docs, toxic):
+    """Whether a word goes with toxic documents, by chi-square; for numpy and for columns."""
+    off = hits * docs - seen * toxic
+    return (seen >= 3) & (off > 0) & (off * off * docs > 27.0 * seen * (docs - seen) * toxic * (docs - toxic))
+
+
+def _descend(
+    cells: tuple[np.ndarray, np.ndarray, np.ndarray], labels: np.ndarray, counts: np.ndarray,
+    words: int, rounds: int, l2: float,
+) -> np.ndarray:
+    """A weight per word. ``cells``: sentence of each occurrence, its word, document of each
+    sentence. A document stands for ``counts`` like it."""
+    row, feature, owner = cells
+    n = max(len(labels), 1)
+    weights, first, second = np.zeros(words), np.zeros(words), np.zeros(words)
     for t in range(1, rounds + 1):  # Adam on the whole sample
-        z = BIAS + np.bincount(row, weights=weights[feature], minlength=len(active))
+        z = BIAS + np.bincount(row, weights=weights[feature], minlength=len(owner))
         total = np.bincount(owner, weights=_softplus(z), minlength=n)
         odds = np.exp(-total) / np.maximum(-np.expm1(-total), 1e-12)
-        blame = np.where(labels == 1, -np.minimum(odds, 1e4), 1.0)
+        blame = counts * np.where(labels == 1, -np.minimum(odds, 1e4), 1.0)
         p = 1 / (1 + np.exp(-z))
         step = blame[owner] * p
-        gradient = (np.bincount(feature, weights=step[row], minlength=len(chosen)) + l2 * weights) / n
+        gradient = (np.bincount(feature, weights=step[row], minlength=words) + l2 * weights) / n
         first = 0.9 * first + 0.1 * gradient
         second = 0.99 * second + 0.01 * gradient**2
         weights = weights - 0.15 * first / (1 - 0.9**t) / (np.sqrt(second / (1 - 0.99**t)) + 1e-9)
-    spelled = list(names)
-    return ToxicityModel({spelled[c]: float(w) for c, w in zip(chosen, weights)}, BIAS)
-
-
-def learning_rows(
-    docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_chars: int = MAX_CHARS
-) -> DataFrame:
-    """A sample of ``(text, toxic)``, chosen by a hash of the id, of about ``max_rows`` rows."""
-    one = labels.where(F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    share = min(1.0, max_rows / max(one.count(), 1))
-    sample = one.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
-    # About max_rows rows of two numbers: small enough to send to every task.
+    return weights
+
+
+def learn(texts: list[str | None], labels: np.ndarray, rounds: int = 150, l2: float = 0.05) -> ToxicityModel:
+    """Fit sentence weights from document labels."""
+    labels = np.asarray(labels, dtype=float)
+    tally = _Tally()
+    tally.add(texts, labels)
+    words, seen, hits = tally.taken()
+    chosen = [words[i] for i in np.flatnonzero(_offends(seen * 1.0, hits * 1.0, tally.docs, tally.toxic))]
+    if not chosen:
+        return NOTHING
+    cells = Scorer(ToxicityModel(dict.fromkeys(chosen, 0.0), BIAS)).cells(texts)
+    weights = _descend(cells, labels, np.ones(len(labels)), len(chosen), rounds, l2)
+    return ToxicityModel(dict(zip(chosen, weights.tolist())), BIAS)
+
+
+def document_labels(labels: DataFrame) -> DataFrame:
+    return labels.where(F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+
+
+def word_counts(rows: DataFrame) -> DataFrame:
+    """``word, seen, hits`` of all ``rows(text, toxic)``; the null word is every row."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tally = _Tally()
+
+        def counted(words: list, seen: np.ndarray, hits: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array(words, pa.string()), pa.array(seen, pa.int64()), pa.array(hits, pa.int64())],
+                names=["word", "seen", "hits"],
+            )
+
+        for part, texts in (g for batch in batches for g in text_groups(batch, 0)):
+            tally.add(texts, part.column(1).to_numpy(zero_copy_only=False))
+            if len(tally.names) > TALLY_WORDS:
+                yield counted(*tally.taken())
+        yield counted(*tally.taken())
+        yield counted([None], np.array([tally.docs]), np.array([tally.toxic]))
+
+    return (
+        rows.where(F.col("text").isNotNull()).select("text", F.col("toxic").cast("int").alias("toxic"))
+        .mapInArrow(count, "word string, seen bigint, hits bigint")
+        .groupBy("word").agg(F.sum("seen").alias("seen"), F.sum("hits").alias("hits"))
+    )
+
+
+def learning_rows(docs: DataFrame, words: list[str], seen: np.ndarray, max_rows: int = MAX_ROWS) -> DataFrame:
+    """``doc_id, share, sentences, words``: the documents that hold some of ``words``, as the
+    numbers of those words and of the sentences they are in.
+
+    A sample by a hash of the id, which takes a document with probability ``share``: about
+    ``max_rows / len(words)`` labelled documents of each word, or ``LEAST``, or all it has.
+    """
+    odds = np.minimum(1.0, max(LEAST, max_rows / len(words)) / np.maximum(seen, 1))
+    known = ToxicityModel(dict.fromkeys(words, 0.0), BIAS)
+
+    def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(known)
+        for part, texts in (g for batch in batches for g in text_groups(batch, 2)):
+            row, feature, owner = scorer.cells(texts)
+            share = np.zeros(len(texts))
+            np.maximum.at(share, owner[row], odds[feature])
+            taken = part.column(1).to_numpy() < share * (1 << 20)
+            cells = taken[owner[row]]
+            bounds = pa.array(np.append(0, np.cumsum(np.bincount(owner[row], minlength=len(texts))[taken])), pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column(0).filter(pa.array(taken)),
+                    pa.array(share[taken]),
+                    pa.ListArray.from_arrays(bounds, pa.array(row[cells], pa.int32())),
+                    pa.ListArray.from_arrays(bounds, pa.array(feature[cells], pa.int32())),
+                ],
+                names=["doc_id", "share", "sentences", "words"],
+            )
+
+    chance = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)).cast("double")
     return (
-        docs.select("doc_id", "text").where(F.char_length("text") <= max_chars)
-        .join(F.broadcast(sample), "doc_id").select("text", "toxic")
+        docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
+        .select(F.col("doc_id").cast("bigint"), chance, "text")
+        .mapInArrow(take, "doc_id bigint, share double, sentences array<int>, words array<int>")
     )
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_chars: int = MAX_CHARS) -> ToxicityModel:
+def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, rounds: int = 150, l2: float = 0.05) -> ToxicityModel:
     """Learn from the labelled documents; ``labels`` holds only rows to learn from."""
-    rows = learning_rows(docs, labels, max_rows, max_chars).toArrow()
-    return learn(rows.column("text").to_pylist(), rows.column("toxic").to_numpy())
+    one = document_labels(labels)
+    # Labels grow with the corpus, so this is a shuffle join at every size.
+    labelled = docs.select("doc_id", "text").join(one.hint("merge"), "doc_id")
+    counts = materialize(word_counts(labelled), "word-counts")
+    every = counts.where(F.col("word").isNull()).first()
+    if every is None or not 0 < every.hits < every.seen:
+        return NOTHING
+    seen, hits = F.col("seen").cast("double"), F.col("hits").cast("double")
+    chosen = (
+        counts.where(F.col("word").isNotNull() & _offends(seen, hits, float(every.seen), float(every.hits)))
+        .select("word", "seen").orderBy("word").toArrow()
+    )
+    words = chosen.column("word").to_pylist()
+    if not words:
+        return NOTHING
+    rows = learning_rows(docs, words, chosen.column("seen").to_numpy(), max_rows).join(one, "doc_id").toArrow()
+    sizes = rows.column("words").combine_chunks().value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    sentence = rows.column("sentences").combine_chunks().flatten().to_numpy()
+    feature = rows.column("words").combine_chunks().flatten().to_numpy()
+    doc = np.repeat(np.arange(len(sizes)), sizes)
+    starts = np.append(True, (np.diff(doc) != 0) | (np.diff(sentence) != 0))[: len(doc)]
+    cells = np.cumsum(starts) - 1, feature, doc[starts]
+    likes = 1 / rows.column("share").to_numpy()
+    weights = _descend(cells, rows.column("toxic").to_numpy(), likes, len(words), rounds, l2)
+    return ToxicityModel(dict(zip(words, weights.tolist())), BIAS)
 
 
 def offending(model: ToxicityModel, text: str, threshold: float) -> list[dict]:
@@ -196,16 +295,22 @@ class Scorer:
         found = [self.places[w] for w in _WORD.findall(token) if w in self.places]
         return np.array(found + [_END] * bool(_STOP.search(token)), "<i4").tobytes()
 
+    def cells(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``(sentence of each known word, the word, text of each sentence)``: each word once a
+        sentence, and sentences without a known word are none."""
+        words = max(len(self.weights), 1)
+        values, sentence, doc_of = _bags(*self.table.batch(texts), _END)
+        found = np.unique(sentence.astype(np.int64) * words + values)
+        active, row = np.unique(found // words, return_inverse=True)
+        return row, found % words, doc_of[active]
+
     def scores(self, texts: list[str | None]) -> np.ndarray:
         """The noisy-or of each text's sentences; 0 for a text without learned words."""
-        n, words = len(texts), len(self.weights)
-        if not words:
-            return np.zeros(n)
-        values, sentence, doc_of = _bags(*self.table.batch(texts), _END)
-        cells = np.unique(sentence.astype(np.int64) * words + values)  # each word once a sentence
-        active, row = np.unique(cells // words, return_inverse=True)
-        z = self.bias + np.bincount(row, weights=self.weights[cells % words], minlength=len(active))
-        return -np.expm1(-np.bincount(doc_of[active], weights=_softplus(z), minlength=n))
+        if not len(self.weights):
+            return np.zeros(len(texts))
+        row, feature, owner = self.cells(texts)
+        z = self.bias + np.bincount(row, weights=self.weights[feature], minlength=len(owner))
+        return -np.expm1(-np.bincount(owner, weights=_softplus(z), minlength=len(texts)))
 
 
 def scored(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD) -> DataFrame:
