@@ -3,7 +3,8 @@
 Within a host, a line's frequency is the number of pages that contain it divided by
 the host's number of pages. Lines above a boilerplate ratio go. Pages of a host with
 exactly equal text count as one page in both numbers: copies of a page are the
-business of document dedup, and must not turn a page's own text into boilerplate.
+business of document dedup, and must not turn a page's own text into boilerplate. Near
+copies count one by one: lines that a large group of them shares can go as boilerplate.
 
 Lines are compared without surrounding white space. Empty lines are never judged.
 A host with fewer than ``min_pages`` different pages has too few to tell, and keeps
