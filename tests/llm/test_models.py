@@ -109,6 +109,17 @@ def test_languages_are_told_apart(spark):
     assert all(0 <= r.score <= 1 for r in got.values())
 
 
+def test_rare_languages_are_learned(spark):
+    rows = [(i, t, s, lang) for i, t, s, lang in texts(3, 1200)]
+    rows += [(5000 + i, f"жук{i} лес мир", "s", "rare") for i in range(4)]
+    model = language.fit(spark.createDataFrame(rows, DOCS), max_rows=100)
+    assert model.languages == ("rare", "xx", "yy", "zz")
+    assert model.predict("лес и мир")[0] == "rare"
+    common, own = language.shares({"a": 10**6, "b": 500, "c": 7}, 6000)
+    assert own == {"b": 30 / 500, "c": 1.0} and common * (10**6 + 507) + 60 == 6000
+    assert language.shares({"a": 10**6, "b": 10**5}, 6000) == (6000 / 1.1e6, {})
+
+
 def test_frequencies_count_every_document(spark):
     rows = [(i, "ab", "s", "x") for i in range(50)] + [(99, None, "s", "x")]
     seen, n = language.document_frequencies(spark.createDataFrame(rows, DOCS).repartition(4))

@@ -5,8 +5,9 @@ characters are hashed into ``BUCKETS`` features, weighted by ``(1 + log tf) * id
 scaled to unit length. Document frequencies are counted by Spark over *all* documents
 learned from; at most ``BUCKETS`` numbers reach the driver. Weights are learned by
 follow-the-regularised-leader with an elastic net on a sample of about ``MAX_ROWS``
-documents of at most ``MAX_CHARS`` characters (the documented bound). A temperature is
-then fitted on a part of the sample kept out of learning.
+documents of at most ``MAX_CHARS`` characters (the documented bound). Languages too rare
+for it have about ``LEAST`` documents in it, or all they have. A temperature is then
+fitted on a part of the sample kept out of learning.
 
 A text that is null or has no letter is ``und`` with score 0; so is every text if there
 is nothing to learn from. Repeated rows are predicted alike. Very long texts are read
@@ -28,6 +29,7 @@ from weirflow.llm.words import per_worker
 BUCKETS = 1 << 15
 MAX_ROWS = 6_000
 MAX_CHARS = 20_000
+LEAST = 30
 UNKNOWN = "und"
 
 
@@ -155,16 +157,37 @@ def _temperature(scores: np.ndarray, classes: np.ndarray) -> float:
     return float(min(grid, key=loss))
 
 
+def shares(sizes: dict[str, int], max_rows: int) -> tuple[float, dict[str, float]]:
+    """The share of documents to learn from, and that of the languages too rare for it."""
+    n = max(sum(sizes.values()), 1)
+    least = max(1, min(LEAST, max_rows // (2 * max(len(sizes), 1))))
+    rare = [name for name, size in sizes.items() if size * max_rows < least * n and max_rows < n]
+    return (
+        min(1.0, max(0, max_rows - least * len(rare)) / n),
+        {name: min(1.0, least / sizes[name]) for name in rare},
+    )
+
+
 def fit(docs: DataFrame, max_rows: int = MAX_ROWS, max_chars: int = MAX_CHARS) -> LanguageModel:
     """Learn from ``docs(doc_id, text, lang)``; the caller has left out what must be held out."""
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     frequency, n = document_frequencies(known)
     idf = np.log((1 + n) / (1 + frequency)) + 1
-    share = min(1.0, max_rows / max(n, 1))
+    short = known.where(F.char_length("text") <= max_chars)
+    sizes = {r["lang"]: r["count"] for r in short.groupBy("lang").count().collect()}
+    common, rare = shares(sizes, max_rows)
+    share = F.lit(int(common * (1 << 20)))
+    if rare:
+        own = F.create_map(*[F.lit(x) for name, s in rare.items() for x in (name, int(s * (1 << 20)))])
+        share = F.coalesce(F.element_at(own, F.col("lang")), share)
+    few = [name for name, size in sizes.items() if size < LEAST]  # all of them are learned from
     pick = F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(-1)), F.lit("learn")), F.lit(1 << 20))
     sample = (
-        known.where(pick < int(share * (1 << 20))).where(F.char_length("text") <= max_chars)
-        .select("text", "lang", (F.pmod(F.xxhash64("doc_id", F.lit("calibrate")), F.lit(5)) == 0).alias("late"))
+        short.where(pick < share)
+        .select(
+            "text", "lang",
+            ((F.pmod(F.xxhash64("doc_id", F.lit("calibrate")), F.lit(5)) == 0) & ~F.col("lang").isin(few)).alias("late"),
+        )
         .toPandas()
     )
     languages = tuple(sorted(sample["lang"].unique()))
