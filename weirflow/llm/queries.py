@@ -1,10 +1,10 @@
-"""The ten operators as queries over the given tables: ``(spark, folder) -> DataFrame``."""
+"""The operators as queries over the given tables: ``(spark, folder) -> DataFrame``."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from weirflow.llm import chat, decontam, hamming, language, lines, neardup, packing, shards, simple8b, toxicity
+from weirflow.llm import chat, decontam, hamming, language, lines, neardup, packing, piece_table, shards, simple8b, toxicity
 from weirflow.llm.tokens import default_vocabulary
 from weirflow.session import prepare_session
 
@@ -154,6 +154,14 @@ def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontam.contaminated(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
 
 
+def op13_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents cut and arranged for filling in the middle, and rebuilt from that."""
+    written = piece_table.transformed(read(spark, folder, "documents").select("doc_id", "text"))
+    return piece_table.restored(written.drop("pieces")).withColumn(
+        "restored_sha256", F.sha2("restored", 256)
+    ).drop("restored")
+
+
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_jaccard_join": op2_jaccard_join,
@@ -165,6 +173,7 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_line_dedup": op9_line_dedup,
     "op10_language": op10_language,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
 
 # SQL for what SQL can say. The digests of op1 are taken of the rows themselves, not of
@@ -213,4 +222,18 @@ ORACLES = {
         SELECT doc_id, CASE WHEN text IS NULL THEN NULL ELSE array_to_string(kept, chr(10)) END AS text,
             coalesce(len(lines), 0)::BIGINT AS n_lines, coalesce(len(lines) - len(kept), 0)::BIGINT AS n_dropped
         FROM kept""",
+    "op13_fill_in_middle": """
+        WITH docs AS (SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n,
+                sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+        drawn AS (SELECT doc_id, text, n, ('0x' || h[1:8])::UBIGINT % (n + 1) AS a, ('0x' || h[9:16])::UBIGINT % (n + 1) AS b,
+                CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                    OR ('0x' || h[17:24])::UBIGINT % 100 >= 90 THEN 'plain'
+                    WHEN ('0x' || h[25:32])::UBIGINT % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM docs),
+        cut AS (SELECT *, least(a, b)::BIGINT AS x, greatest(a, b)::BIGINT AS y FROM drawn),
+        parts AS (SELECT *, substr(text, 1, x) AS p, substr(text, x + 1, y - x) AS m, substr(text, y + 1) AS s FROM cut)
+        SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN x END AS prefix_chars,
+            CASE WHEN form <> 'plain' THEN y - x END AS middle_chars,
+            sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+            sha256(text) AS restored_sha256 FROM parts""",
 }
