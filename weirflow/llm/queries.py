@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from weirflow.llm import chat, decontam, hamming, language, lines, neardup, packing, piece_table, shards, simple8b, toxicity
+from weirflow.llm import chat, decontam, hamming, language, lines, neardup, packing, piece_table, secret_scan, shards, simple8b, toxicity
 from weirflow.llm.tokens import default_vocabulary
 from weirflow.session import prepare_session
 
@@ -154,6 +154,32 @@ def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontam.contaminated(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
 
 
+def op11_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents' secrets; a source is an owner, a different text a repository."""
+    found = secret_scan.scan(read(spark, folder, "documents").select("doc_id", "text", "source"))
+
+    def count(field: str, value: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s[field] == value)).cast("long")
+
+    def written(spans: Column) -> Column:
+        return F.array_join(
+            F.transform(
+                spans,
+                lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string")),
+            ),
+            ",",
+        )
+
+    return found.select(
+        "doc_id",
+        *(count("kind", k.name).alias(f"n_{k.name}") for k in secret_scan.BASE),
+        F.sha2(written(F.filter("spans", lambda s: s["base"])), 256).alias("base_sha256"),
+        written(F.col("spans")).alias("spans"),
+        count("verdict", "live").alias("n_live"),
+        count("verdict", "example").alias("n_example"),
+    )
+
+
 def op13_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
     """All documents cut and arranged for filling in the middle, and rebuilt from that."""
     written = piece_table.transformed(read(spark, folder, "documents").select("doc_id", "text"))
@@ -173,6 +199,7 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_line_dedup": op9_line_dedup,
     "op10_language": op10_language,
+    "op11_secret_scan": op11_secret_scan,
     "op13_fill_in_middle": op13_fill_in_middle,
 }
 
@@ -184,6 +211,26 @@ _ESCAPED_CHARS = "char_length({c})" + "".join(
     for s in _ESCAPES
 )
 
+
+def _found(number: int, pattern: str, group: int, least: int) -> str:
+    """SQL for the matches of one pattern: text between matches, then the match."""
+    quoted = pattern.replace("'", "''")
+    return f"""
+        SELECT r, {number} AS kind, value, whole, e - length(whole) AS s, e FROM (
+            SELECT r, value, whole, sum(length(gap) + length(whole)) OVER (PARTITION BY r ORDER BY i)::BIGINT AS e FROM (
+                SELECT r, unnest(range(1, len(whole) + 1)) AS i, unnest(gaps[1:len(whole)]) AS gap, unnest(whole) AS whole,
+                    unnest(value) AS value FROM (
+                    SELECT r, string_split_regex(text, '{quoted}') AS gaps, regexp_extract_all(text, '{quoted}') AS whole,
+                        regexp_extract_all(text, '{quoted}', {group}) AS value FROM docs)))
+        WHERE length(value) >= {least}"""
+
+
+_WIDER = " ".join(
+    f"WHEN regexp_full_match(whole, '{k.pattern}') THEN {len(secret_scan.BASE) + i}"
+    for i, k in enumerate(secret_scan.WIDER[:-1])
+)
+_KINDS = ", ".join(f"'{k.name}'" for k in (*secret_scan.BASE, *secret_scan.WIDER))
+
 ORACLES = {
     "op6_hamming_search": f"""
         WITH codes AS (SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CASE WHEN x > 0 THEN 1 ELSE 0 END) AS b
@@ -222,6 +269,30 @@ ORACLES = {
         SELECT doc_id, CASE WHEN text IS NULL THEN NULL ELSE array_to_string(kept, chr(10)) END AS text,
             coalesce(len(lines), 0)::BIGINT AS n_lines, coalesce(len(lines) - len(kept), 0)::BIGINT AS n_dropped
         FROM kept""",
+    "op11_secret_scan": f"""
+        WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text, source FROM documents),
+        base AS ({" UNION ALL ".join(_found(i, k.pattern, k.value, k.least) for i, k in enumerate(secret_scan.BASE))}),
+        wider AS (SELECT r, CASE {_WIDER} ELSE {len(secret_scan.BASE) + len(secret_scan.WIDER) - 1} END AS kind, value, whole, s, e
+            FROM ({_found(0, secret_scan.WIDER_PATTERN, 0, 1)})
+            WHERE regexp_matches(whole, '[^A-Za-z0-9+/_=-]') OR (regexp_matches(whole, '[0-9]')
+                AND regexp_matches(whole, '[a-z]') AND regexp_matches(whole, '[A-Z]'))),
+        held AS (SELECT value, count(*) AS owners, sum(n) AS repositories FROM (
+                SELECT value, source, count(DISTINCT text) AS n FROM (SELECT * FROM base UNION ALL SELECT * FROM wider)
+                    JOIN docs USING (r) GROUP BY value, source) GROUP BY value),
+        spans AS (SELECT r, kind, s, e, CASE WHEN owners > {secret_scan.MAX_OWNERS}
+                    OR (owners > 1 AND repositories > {secret_scan.MAX_REPOSITORIES}) THEN 'example'
+                WHEN length(value) >= {secret_scan.RANDOM_CHARS} AND regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]')
+                    AND len(list_distinct(string_split(value, ''))) >= {secret_scan.RANDOM_DIFFERENT} THEN 'live' ELSE 'plain' END AS verdict
+            FROM (SELECT * FROM base UNION ALL SELECT * FROM wider) JOIN held USING (value)),
+        kept AS (SELECT *, [{_KINDS}][kind + 1] || ':' || s || ':' || e AS written FROM spans x
+            WHERE kind < {len(secret_scan.BASE)} OR (verdict = 'live' AND NOT EXISTS (
+                SELECT 1 FROM base b WHERE b.r = x.r AND b.s < x.e AND b.e > x.s)))
+        SELECT doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access,
+            count(*) FILTER (kind = 2) AS n_hex,
+            sha256(coalesce(string_agg(written, ',' ORDER BY s, kind) FILTER (kind < {len(secret_scan.BASE)}), '')) AS base_sha256,
+            coalesce(string_agg(written, ',' ORDER BY s, kind), '') AS spans,
+            count(*) FILTER (verdict = 'live') AS n_live, count(*) FILTER (verdict = 'example') AS n_example
+        FROM docs LEFT JOIN kept USING (r) GROUP BY r, doc_id""",
     "op13_fill_in_middle": """
         WITH docs AS (SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n,
                 sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
