@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from weirflow.llm import chat, decontam, hamming, language, lines, neardup, packing, piece_table, secret_scan, shards, simple8b, toxicity
+from weirflow.llm import chat, decontam, hamming, language, lines, neardup, packing, piece_table, prefix_trie, secret_scan, shards, simple8b, toxicity
 from weirflow.llm.tokens import default_vocabulary
 from weirflow.session import prepare_session
 
@@ -180,6 +180,12 @@ def op11_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """The trie of all conversations, each rebuilt on the start of its hundred's first."""
+    rows = read(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    return prefix_trie.trie(*prefix_trie.shared_start_paths(rows))
+
+
 def op13_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
     """All documents cut and arranged for filling in the middle, and rebuilt from that."""
     written = piece_table.transformed(read(spark, folder, "documents").select("doc_id", "text"))
@@ -200,6 +206,7 @@ QUERIES = {
     "op9_line_dedup": op9_line_dedup,
     "op10_language": op10_language,
     "op11_secret_scan": op11_secret_scan,
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_fill_in_middle": op13_fill_in_middle,
 }
 
@@ -293,6 +300,33 @@ ORACLES = {
             coalesce(string_agg(written, ',' ORDER BY s, kind), '') AS spans,
             count(*) FILTER (verdict = 'live') AS n_live, count(*) FILTER (verdict = 'example') AS n_example
         FROM docs LEFT JOIN kept USING (r) GROUP BY r, doc_id""",
+    "op12_prefix_trie": """
+        WITH turns AS (SELECT conv_id AS c, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS h,
+                length(coalesce(text, '')) AS chars, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+                    coalesce(role, ''), coalesce(text, '')) - 1 AS nth FROM conversations),
+        convs AS (SELECT c, xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(range(1, length(c::VARCHAR) + 1),
+                    lambda i: [ascii((c::VARCHAR)[i])::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+                    lambda r, x: xor(xor(r, x) >> 1, 3988292384 * (xor(r, x) & 1))), 4294967295) % 6 AS h,
+                c - c % 100 AS base, count(*) AS n FROM turns GROUP BY c),
+        shape AS (SELECT v.c, v.h, v.base, least(v.h, coalesce(b.n, 0)) AS taken,
+                least(v.h, coalesce(b.n, 0)) + greatest(v.n - v.h, 0) AS length
+            FROM convs v LEFT JOIN convs b ON b.c = v.base),
+        steps AS (SELECT s.c, length, taken + nth - s.h + 1 AS depth, t.h, chars FROM shape s JOIN turns t ON t.c = s.c AND nth >= s.h
+            UNION ALL SELECT s.c, length, nth + 1, t.h, chars FROM shape s JOIN turns t ON t.c = s.base AND nth < taken),
+        paths AS (SELECT c, length, depth, chars, string_agg(h, '') OVER (PARTITION BY c ORDER BY depth) AS k FROM steps
+            UNION ALL SELECT c, length, 0, 0, '' FROM shape),
+        nodes AS (SELECT k, depth, min(c) AS c, count(*) AS n_convs, any_value(chars) AS chars,
+                sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (depth = length), '')) AS ends_sha256
+            FROM paths GROUP BY k, depth),
+        children AS (SELECT substr(k, 1, 64 * (depth - 1)::BIGINT) AS k, depth - 1 AS depth, count(*) AS n_children FROM nodes
+            WHERE depth > 0 GROUP BY ALL),
+        facts AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM nodes n LEFT JOIN children USING (k, depth)),
+        below AS (SELECT substr(k, 1, 64 * d) AS k, d AS depth, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves,
+                sum((n_convs - 1) * chars) AS saved FROM (SELECT *, unnest(range(0, depth::BIGINT + 1)) AS d FROM facts) GROUP BY ALL)
+        SELECT f.c AS conv_id, f.depth::BIGINT AS depth, p.c AS parent_conv_id, f.n_convs, f.n_children::BIGINT AS n_children,
+            n_leaves::BIGINT AS n_leaves, saved::BIGINT AS saved_tokens, f.ends_sha256
+        FROM facts f JOIN below b ON b.k = f.k AND b.depth = f.depth
+            LEFT JOIN nodes p ON p.depth = f.depth - 1 AND p.k = substr(f.k, 1, 64 * (f.depth - 1)::BIGINT)""",
     "op13_fill_in_middle": """
         WITH docs AS (SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n,
                 sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
