@@ -8,11 +8,14 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from weirflow.functions.casts import from_text
 from weirflow.functions.json_text import (
-    VALUE_MAP,
-    has_long_fraction,
-    last_of_equal,
+    is_literal,
+    let,
+    literal,
+    marked,
+    needs_marks,
     parsed_json,
-    with_exact_fractions,
+    plain_map,
+    plain_text,
 )
 from weirflow.operators.rows import compute_once, latest_by
 
@@ -40,8 +43,6 @@ CHANGE_SCHEMA = T.StructType(
 APPLY_FIELDS = ("table", "database", "type", "ts", "es", "isDdl", "data", "pkNames")
 APPLY_SCHEMA = T.StructType([f for f in CHANGE_SCHEMA.fields if f.name in APPLY_FIELDS])
 
-EXACT_DATA = T.StructType([T.StructField("data", T.ArrayType(VALUE_MAP))])
-
 # Columns that order changes of one record: source times, then arrival, then place in message.
 CHANGE_ORDER = ("ts", "es", "arrival", "pos")
 
@@ -70,6 +71,54 @@ def destination(database: Column, table: Column) -> Column:
     return F.concat(database, F.lit("."), table)
 
 
+def _marked_schema(kind: T.DataType) -> T.DataType:
+    """The same shape with text for every scalar, as marked values are text."""
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _marked_schema(f.dataType)) for f in kind.fields])
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_marked_schema(kind.elementType))
+    if isinstance(kind, T.MapType):
+        return T.MapType(T.StringType(), _marked_schema(kind.valueType))
+    return T.StringType()
+
+
+def _unmarked(value: Column, kind: T.DataType) -> Column:
+    """A marked value in its type; NULL where it is not of that JSON type."""
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda v: _unmarked(v, kind.elementType))
+    if isinstance(kind, T.MapType):
+        if isinstance(kind.valueType, T.StringType):
+            return plain_map(value)
+        return F.transform_values(value, lambda _, v: _unmarked(v, kind.valueType))
+    if isinstance(kind, T.StringType):
+        return plain_text(value)
+    return F.when(is_literal(value), literal(value).try_cast(kind))
+
+
+def _message(value: Column, schema: T.StructType) -> Column:
+    """The envelope's fields, every number of a record digit for digit, and ``_bad``."""
+    corrupt = T.StructField("_bad", T.StringType())
+    checked = T.StructType([*schema.fields, corrupt])
+    plain = parsed_json(value, checked, columnNameOfCorruptRecord="_bad")
+
+    shape = T.StructType([*_marked_schema(schema).fields, corrupt])
+
+    def fields(found: Column) -> Column:
+        # A scalar of another JSON type than the envelope's makes the message malformed.
+        wrong = F.lit(False)
+        for f in schema.fields:
+            if not isinstance(f.dataType, (T.StringType, T.ArrayType, T.MapType)):
+                given = plain_text(found[f.name]).isNotNull()
+                wrong = wrong | (given & _unmarked(found[f.name], f.dataType).isNull())
+        return F.struct(
+            *[_unmarked(found[f.name], f.dataType).alias(f.name) for f in schema.fields],
+            F.coalesce(found["_bad"], F.when(wrong, "type")).alias("_bad"),
+        )
+
+    exact = let(parsed_json(marked(value), shape, columnNameOfCorruptRecord="_bad"), fields)
+    return F.when(needs_marks(value), exact).otherwise(plain)
+
+
 def parse_changes(
     messages: DataFrame, keep: Sequence[str] = (), schema: T.StructType = APPLY_SCHEMA
 ) -> DataFrame:
@@ -77,17 +126,9 @@ def parse_changes(
 
     ``CHANGE_SCHEMA`` as schema also gives the old values and the source types.
     """
-    checked = T.StructType([*schema.fields, T.StructField("_bad", T.StringType())])
-    message = parsed_json("value", checked, columnNameOfCorruptRecord="_bad")
-    # Records with a fraction longer than a double holds: the same once more as exact values.
-    exact = F.when(has_long_fraction("value"), parsed_json("value", EXACT_DATA)["data"])
-    parsed = compute_once(messages, [*keep, "value"], m=message, x=exact).select(
-        *keep, "value", "m.*", "x"
+    parsed = compute_once(messages, [*keep, "value"], m=_message(F.col("value"), schema)).select(
+        *keep, "value", "m.*"
     )
-    whole = F.zip_with("data", "x", lambda text, value: with_exact_fractions(last_of_equal(text), last_of_equal(value)))
-    parsed = parsed.withColumn(
-        "data", F.when(F.size("x") == F.size("data"), whole).otherwise(F.col("data"))
-    ).drop("x")
     blank = F.col("value").isNull() | F.trim("value").isin("", "null")
     target = destination(F.col("database"), F.col("table"))
     ddl = F.coalesce(F.col("isDdl"), F.lit(False))
