@@ -41,7 +41,7 @@ def test_events_reach_every_sink(spark, texts, table, tmp_path):
     assert spark.read.parquet(str(tmp_path / "records")).count() == 3
     errors = spark.read.text(str(tmp_path / "errors")).collect()
     assert [r["value"] for r in errors] == [LINES[3]]
-    assert (tmp_path / "text/batch_id=0/yyyy=2024/mm=01/dd=01/hh=01").is_dir()
+    assert (tmp_path / "text/ingest_writer=batch/batch_id=0/yyyy=2024/mm=01/dd=01/hh=01").is_dir()
 
 
 def test_failed_post_fails_the_batch(spark, texts):

@@ -243,3 +243,30 @@ def split_metadata(value: Column, flat_keys: tuple[str, ...] = ("id", "sender_na
         )
 
     return let(last_of_equal(_sole(marked(value), TEXT_MAP)), split)
+
+
+def json_values(value: Column) -> Column:
+    """JSON object text to a key -> ``(kind, text)`` map; NULL when it is not one object.
+
+    ``kind`` is ``null``, ``boolean``, ``number``, ``text`` or ``nested``; ``text`` is as in
+    ``json_map``.
+    """
+
+    def kind(v: Column) -> Column:
+        word = literal(v)
+        return (
+            F.when(is_text(v), "text")
+            .when(~v.startswith(OPEN), "nested")
+            .when(word == "null", "null")
+            .otherwise(F.when(word.isin("true", "false"), "boolean").otherwise("number"))
+        )
+
+    return F.map_from_entries(
+        F.transform(
+            F.map_entries(_sole(marked(value), TEXT_MAP)),
+            lambda e: F.struct(
+                _finished(e["key"]).alias("key"),
+                F.struct(kind(e["value"]).alias("kind"), plain_text(e["value"]).alias("text")).alias("value"),
+            ),
+        )
+    )

@@ -119,6 +119,8 @@ def strict_split(
 ) -> DataFrame:
     """Adds ``reason`` for rows a strict write would refuse, NULL for the others.
 
+    ``repeated field``: two fields whose names differ in case only, as one column can't
+    hold both;
     ``unknown field``: a key the table lacks, unless those are ignored, or one of the
     ``refused`` names; ``missing
     field``: a required column is absent; ``bad field``: a value does not parse as
@@ -143,8 +145,13 @@ def strict_split(
         unknown = F.arrays_overlap(names, banned)
     else:
         unknown = F.size(new_keys(F.col("row"), list(lookup))) > 0
+    lowered = F.transform(F.map_keys("row"), F.lower)
+    repeated = F.size(F.array_distinct(lowered)) < F.size(lowered)
     checked = (
-        F.when(unknown, "unknown field").when(missing, "missing field").when(bad, "bad field")
+        F.when(repeated, "repeated field")
+        .when(unknown, "unknown field")
+        .when(missing, "missing field")
+        .when(bad, "bad field")
     )
     known = F.col("reason") if "reason" in rows.columns else F.lit(None)
     return rows.withColumn("reason", F.coalesce(known, checked))

@@ -7,8 +7,18 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from weirflow.functions.times import window_path
-from weirflow.operators.rows import sharded
-from weirflow.sinks.tables import add_columns, append_batch, create_table, table_exists
+from weirflow.operators import lattice
+from weirflow.operators.rows import compute_once, sharded
+from weirflow.sinks.tables import (
+    RESERVED,
+    WRITER,
+    add_columns,
+    append_batch,
+    create_table,
+    stream_id,
+    table_columns,
+    table_exists,
+)
 from weirflow.sources.messages import read_staged
 
 # Folder levels of a window's end.
@@ -21,11 +31,15 @@ def window_folders(df: DataFrame, window_end: Column) -> DataFrame:
     return df.withColumns({n: F.get(parts, i) for i, n in enumerate(PARTS)})
 
 
-def batch_folder(folder: str, batch_id: int | None) -> tuple[str, str]:
-    """Path and write mode: a micro-batch owns a folder, which a second run replaces."""
+def batch_folder(spark: SparkSession, folder: str, batch_id: int | None) -> tuple[str, str]:
+    """Path and write mode: a micro-batch of a writer owns a folder, which a second run replaces.
+
+    The writer is the stream's own id, so jobs that share a folder, and a stream started
+    anew with a new checkpoint, leave each other's files alone.
+    """
     if batch_id is None:
         return folder, "append"
-    return f"{folder}/batch_id={int(batch_id)}", "overwrite"
+    return f"{folder}/{WRITER}={stream_id(spark)}/batch_id={int(batch_id)}", "overwrite"
 
 
 def write_window_text(
@@ -36,7 +50,7 @@ def write_window_text(
     batch_id: int | None = None,
 ) -> None:
     """One ``value`` line per row below ``yyyy=/mm=/dd=/hh=`` folders."""
-    path, mode = batch_folder(folder, batch_id)
+    path, mode = batch_folder(lines.sparkSession, folder, batch_id)
     rows = window_folders(lines, window_end).select("value", *PARTS)
     sharded(rows, shards, *PARTS).write.mode(mode).partitionBy(*PARTS).text(path)
 
@@ -50,22 +64,30 @@ def write_window_records(
     fmt: str = "parquet",
 ) -> None:
     """Typed records in window folders, snappy-compressed; ``avro`` where it is deployed."""
-    path, mode = batch_folder(folder, batch_id)
+    path, mode = batch_folder(rows.sparkSession, folder, batch_id)
     out = sharded(window_folders(rows, window_end), shards, *PARTS)
     writer = out.write.mode(mode).partitionBy(*PARTS).option("compression", "snappy")
     writer.format(fmt).save(path)
 
 
-def write_by_day(df: DataFrame, event_seconds: str, path: str) -> None:
-    """Table files partitioned by the UTC day of an epoch-second column."""
+def write_by_day(df: DataFrame, event_seconds: str, path: str, batch_id: int | None = None) -> None:
+    """Table files partitioned by the UTC day of an epoch-second column.
+
+    A micro-batch that runs again replaces its own files; without a number rows are added.
+    """
     day = F.to_date(F.timestamp_seconds(event_seconds))
+    path, mode = batch_folder(df.sparkSession, path, batch_id)
     rows = df.withColumn("event_day", day)
-    sharded(rows, 0, "event_day").write.mode("append").partitionBy("event_day").parquet(path)
+    sharded(rows, 0, "event_day").write.mode(mode).partitionBy("event_day").parquet(path)
+
+
+def staged_folder(folder: str, batch_id: int, writer: str) -> str:
+    return f"{folder.rstrip('/')}/window={int(batch_id)}/{WRITER}={writer}"
 
 
 def stage_rows(rows: DataFrame, folder: str, batch_id: int, shards: int = 0) -> str:
-    """The rows of one micro-batch as newline JSON; returns their folder."""
-    path = f"{folder}/window={int(batch_id)}"
+    """The rows of one micro-batch as newline JSON; returns their folder, the writer's own."""
+    path = staged_folder(folder, batch_id, stream_id(rows.sparkSession))
     sharded(rows, shards).select(F.to_json(F.struct("*")).alias("value")).write.mode(
         "overwrite"
     ).text(path)
@@ -73,14 +95,21 @@ def stage_rows(rows: DataFrame, folder: str, batch_id: int, shards: int = 0) ->
 
 
 def stage_text(rows: DataFrame, folder: str, batch_id: int, column: str = "value") -> str:
-    """Message text of one micro-batch as it came; returns its folder."""
-    path = f"{folder}/window={int(batch_id)}"
-    rows.select(F.col(column).alias("value")).write.mode("overwrite").text(path)
+    """Message text of one micro-batch, a line each; returns its folder, the writer's own.
+
+    A line break in JSON text is white space between tokens, so it becomes a blank.
+    """
+    path = staged_folder(folder, batch_id, stream_id(rows.sparkSession))
+    line = F.translate(F.col(column), "\r\n", "  ").alias("value")
+    rows.select(line).write.mode("overwrite").text(path)
     return path
 
 
 def staged_paths(rows: DataFrame, table: str, batch: str, folder: str) -> DataFrame:
-    """Folder, rows and window per table of what is staged: one load each."""
+    """Folder, rows and window per table of what is staged: one load each.
+
+    Below a window's folder each writer has its own.
+    """
     path = F.concat(F.lit(folder.rstrip("/") + "/"), F.col(table), F.lit("/window="), F.col(batch))
     return (
         rows.groupBy(table, batch)
@@ -102,18 +131,43 @@ def load_inferred(
     table: str,
     batch_id: int,
     location: str | None = None,
+    dead_table: str | None = None,
 ) -> list[str]:
-    """The same with column types inferred from the files; new columns are added first.
+    """The same with column types inferred from the files; returns the columns added.
 
-    A value that does not fit an existing column fails the load, so the
-    micro-batch is run again and nothing is dropped.
+    Types are joined by ``operators.lattice``: a value that an existing column can't
+    hold exactly goes to the field's next column, so no value is lost or rewritten
+    and none fails the load. Text that is no object, a field given in two
+    spellings and a field with a reserved name go to the dead letters.
     """
-    rows = read_staged(spark, paths)
-    if not table_exists(spark, table):
-        create_table(spark, table, rows.schema, location)
-        added = rows.columns
-    else:
-        types = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
-        added = add_columns(spark, table, types)
-    append_batch(rows, table, batch_id)
-    return added
+    lines = spark.read.text(paths)
+    parsed = compute_once(lines, ["value"], fields=lattice.value_kinds(F.col("value"))).persist()
+    try:
+        names = F.transform("fields", lambda f: f["name"])
+        reserved = F.array(*[F.lit(n) for n in RESERVED])
+        checked = parsed.withColumn(
+            "reason",
+            F.when(F.col("fields").isNull(), "malformed")
+            .when(F.size(F.array_distinct(names)) < F.size(names), "repeated field")
+            .when(F.arrays_overlap(names, reserved), "unknown field"),
+        )
+        good = checked.filter(F.col("reason").isNull())
+        there = table_exists(spark, table)
+        have = table_columns(spark, table) if there else T.StructType([])
+        wanted = lattice.columns_for(lattice.misfits(good, have).collect(), have)
+        letters = checked.filter(F.col("reason").isNotNull()).select("value", "reason")
+        added = list(wanted)
+        if there:
+            added = add_columns(spark, table, {n: t.simpleString() for n, t in wanted.items()})
+        elif wanted:
+            create_table(spark, table, T.StructType([T.StructField(n, t) for n, t in wanted.items()]), location)
+        if there or wanted:
+            rows = lattice.placed(good, table_columns(spark, table), ["value"])
+            append_batch(rows.filter("NOT misplaced"), table, batch_id)
+            lost = rows.filter("misplaced").select("value", F.lit("bad field").alias("reason"))
+        else:  # no message has a value, so there is nothing to make a table of
+            lost = good.select("value", F.lit("no field").alias("reason"))
+        append_batch(letters.unionByName(lost), dead_table or f"{table}_dead", batch_id, create=True)
+        return added
+    finally:
+        parsed.unpersist()

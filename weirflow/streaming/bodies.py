@@ -291,19 +291,12 @@ def staged_load_body(
 ) -> Body:
     """Stage each window's messages as files, then load them with inferred new columns.
 
-    Text that is no object is a dead letter and never staged: it would fail each load.
+    All text is staged as it came. What the load can't place goes to the dead letters.
     """
 
     def body(batch: DataFrame, batch_id: int) -> None:
-        rows = drift.dynamic_rows(batch)
-        with kept(rows.select("value", "reason")) as checked:
-            dead = logs.dead_letters(checked)
-            tables.append_batch(dead, dead_of(table, dead_table), batch_id, create=True)
-            good = checked.filter(F.col("reason").isNull()).select("value")
-            if good.isEmpty():
-                return
-            path = files.stage_text(good, stage_folder, batch_id)
-            files.load_inferred(batch.sparkSession, path, table, batch_id, location)
+        path = files.stage_text(batch.filter(F.col("value").isNotNull()), stage_folder, batch_id)
+        files.load_inferred(batch.sparkSession, path, table, batch_id, location, dead_of(table, dead_table))
 
     return body
 
