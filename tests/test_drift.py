@@ -167,13 +167,22 @@ def test_staged_load_with_schema(spark, table, tmp_path):
     assert {(r["ID"], r["n"]) for r in spark.table(table).collect()} == {("a", 1), ("b", None)}
 
 
-def test_replayed_routes(texts, spark):
-    df = spark.createDataFrame(
-        [(1, '{"ID":1}'), (2, '{"ID":1,"A":1}'), (2, '{"ID":1}'), (3, '{"ID":1,"a":1}'), (3, '{"B":1}')],
-        "batch bigint, value string",
-    )
-    rows = drift.dynamic_rows(df, ["batch"])
-    live = drift.replay_routes(rows, "batch", ["ID"]).groupBy("batch", "route").count().collect()
-    assert {(r["batch"], r["route"]): r["count"] for r in live} == {
-        (1, "NORMAL"): 1, (2, "DRIFTED"): 1, (2, "NORMAL"): 1, (3, "NORMAL"): 1, (3, "DRIFTED"): 1,
+def test_rows_are_routed_by_the_table_as_it_is(spark, texts, table):
+    tables.create_table(spark, table, T.StructType.fromDDL("ID string"))
+    body = bodies.healing_body(table, ["seq"], route_table=table + "_routes")
+    for number, batch in enumerate((['{"ID":1}'], ['{"ID":1,"A":1}', '{"ID":1}'], ['{"ID":1,"a":1}', '{"B":1}', "x"])):
+        body(texts(*batch).withColumn("seq", F.col("seq") + 10 * number), number)
+    routes = {r.seq: (r.route, r.missing) for r in spark.table(table + "_routes").collect()}
+    assert routes == {
+        0: ("NORMAL", []), 10: ("DRIFTED", ["a"]), 11: ("NORMAL", []), 20: ("NORMAL", []), 21: ("DRIFTED", ["b"]),
     }
+    tables.drop_table(spark, table + "_routes")
+
+
+def test_two_spellings_in_one_row(spark, texts, table):
+    tables.create_table(spark, table, T.StructType.fromDDL("ID string, FOO string"))
+    batch = texts('{"ID":"2","FOO":"w","foo":"z"}', '{"ID":"3","foo":"z"}').select("value")
+    bodies.healing_body(table)(batch, 0)
+    assert [(r.ID, r.FOO) for r in spark.table(table).collect()] == [("3", "z")]
+    dead = spark.table(table + "_dead").collect()
+    assert [(r.value, r.reason) for r in dead] == [('{"ID":"2","FOO":"w","foo":"z"}', "repeated field")]

@@ -129,6 +129,49 @@ def test_dedup_ttl_expires(spark, feed, run, table):
     assert [r["seq"] for r in spark.table(table).orderBy("seq").collect()] == [1, 2]
 
 
+def test_dedup_by_a_column_equals_rules(spark, feed, run, table):
+    """Micro-batches in order of time, each with many times: a key is free again by those."""
+    rng = random.Random(4)
+    source = feed("k string, o bigint, s bigint")
+    rows_ = [(rng.choice(["hot"] * 5 + ["a", "b"]), i, s) for i, s in enumerate(sorted(rng.sample(range(40_000), 300)))]
+    for part in range(3):
+        source.send([{"k": k, "o": o, "s": s} for k, o, s in rows_[part * 100 : part * 100 + 100]])
+    setting = "spark.sql.streaming.noDataMicroBatches.enabled"
+    spark.conf.set(setting, "false")
+    try:
+        timed = source.stream().withColumn("at", F.timestamp_seconds("s"))
+        run(dedup.dedup_stream(timed, "k", "o", 300, at="at"), bodies.append_body(table))
+    finally:
+        spark.conf.set(setting, "true")
+    expected, free = set(), {}
+    for key, order, at in rows_:
+        if key not in free or at >= free[key]:
+            free[key] = at + 300
+            expected.add((key, order))
+    assert {(r["k"], r["o"]) for r in spark.table(table).collect()} == expected
+
+
+def test_late_rows_over_a_restart(spark, feed, run, table):
+    source = feed("n bigint, at bigint")
+    marks = table + "_dead"
+    for part in ([(1, 100), (2, 500)], [(3, 430), (4, 150), (5, 800)], [(6, 500), (7, 790)]):
+        source.send([{"n": n, "at": at} for n, at in part])
+        df = source.stream().withColumn("ts", F.timestamp_seconds("at"))
+        run(df, bodies.late_body(table, marks, "ts", "1 minute", "2 minutes"))
+    assert {r["n"]: r["timing"] for r in spark.table(table).collect()} == {
+        1: "IN_TIME", 2: "IN_TIME", 3: "LATE", 4: "DROPPED", 5: "IN_TIME", 6: "DROPPED", 7: "IN_TIME",
+    }
+
+
+def test_ticks_take_every_row_in_order(spark, run, table):
+    from weirflow.plans.queries import ticks
+
+    rows_ = spark.range(50).select(F.when(F.col("id") != 7, F.col("id")).alias("id"))
+    run(ticks(rows_, F.call_function("div", F.col("id"), F.lit(20)) - 1, "test"), bodies.append_body(table))
+    got = sorted((r["ingest_batch"], -1 if r["id"] is None else r["id"]) for r in spark.table(table).collect())
+    assert got == [(0, -1), *((1 + i // 20, i) for i in range(50) if i != 7)]
+
+
 def test_dedup_in_event_time(spark, feed, run, table):
     source = feed("uuid string, at bigint")
     source.send([{"uuid": "a", "at": 1000}, {"uuid": "a", "at": 1001}, {"uuid": "b", "at": 1000}])

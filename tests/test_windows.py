@@ -1,65 +1,26 @@
-import random
 from datetime import UTC, datetime, timedelta
 
-import pytest
-from panes_by_hand import firings, random_ticks
 from pyspark.sql import functions as F
 
-from weirflow.operators import dedup, windows
+from weirflow.operators import windows
 from weirflow.streaming import jobs
+from weirflow.streaming.panes import PANES
 
-SIZE = 60_000
-PERIOD = 10
+def test_late_rows_by_a_watermark(spark):
+    base = datetime(2024, 1, 1)
+    rows = [(i, base + timedelta(seconds=10 * i)) for i in range(60)]
+    df = spark.createDataFrame(rows, "n long, ts timestamp")
 
+    def timings(watermark):
+        marked = windows.mark_late(df, "ts", "1 minute", "2 minutes", watermark)
+        return {r["n"]: r["timing"] for r in marked.collect()}
 
-def frame(spark, ticks):
-    rows = [(d, at, m, t * PERIOD * 1000) for t, rows in ticks.items() for d, at, m in rows]
-    df = spark.createDataFrame(rows, "dim1 string, at bigint, metrics1 bigint, arr bigint")
-    return df.select(
-        "dim1", F.timestamp_millis("at").alias("ts"), "metrics1", F.timestamp_millis("arr").alias("arrival")
-    )
-
-
-def as_tuples(panes):
-    return sorted(
-        (
-            r["dim1"], int(r["window_start"].timestamp() * 1000), r["timing"], r["pane_idx"],
-            r["nonspeculative_idx"], r["is_first"], r["is_last"], r["num_records"], r["sum"] or 0,
-            r["min"], r["max"], r["acc_num_records"], r["acc_sum"],
-        )
-        for r in panes.withColumn("window_start", F.col("window_start").cast("timestamp")).collect()
-    )
-
-
-@pytest.mark.parametrize("seed, late_count", [(1, 1), (2, 1), (3, 1), (4, 3), (5, 2), (6, 9)])
-def test_replay_equals_rules_row_by_row(spark, seed, late_count, monkeypatch):
-    # Small blocks, so the watermark is carried over several of them.
-    monkeypatch.setattr(windows, "TICK_BLOCK", 3)
-    ticks = random_ticks(random.Random(seed), SIZE)
-    panes = windows.replay_panes(
-        frame(spark, ticks), "ts", "arrival", "1 minute", "2 minutes", PERIOD, late_count=late_count
-    )
-    expected = firings(ticks, SIZE, 2 * SIZE, late_count)
-    assert {p[2] for p in expected} == {"EARLY", "ON_TIME", "LATE"}
-    assert late_count < 9 or any(p[6] for p in expected)
-    assert as_tuples(panes) == sorted(expected)
-
-
-def test_late_rows(spark):
-    ticks = random_ticks(random.Random(9), SIZE, 20)
-    out = windows.late_rows(frame(spark, ticks), "ts", "arrival", "1 minute", "2 minutes", PERIOD)
-    found = {r["timing"]: r["count"] for r in out.groupBy("timing").count().collect()}
-    expected, mark = {}, None
-    for tick in sorted(ticks):
-        for _, at, _ in ticks[tick]:
-            end = at // SIZE * SIZE + SIZE
-            timing = "IN_TIME"
-            if mark is not None and mark >= end:
-                timing = "DROPPED" if mark >= end + 2 * SIZE else "LATE"
-            expected[timing] = expected.get(timing, 0) + 1
-        newest = max(at for _, at, _ in ticks[tick])
-        mark = newest if mark is None else max(mark, newest)
-    assert found == expected and len(found) == 3
+    assert set(timings(None).values()) == {"IN_TIME"}
+    mark = base + timedelta(minutes=5)
+    for n, timing in timings(mark).items():
+        end = rows[n][1].replace(second=0) + timedelta(minutes=1)
+        want = "DROPPED" if mark >= end + timedelta(minutes=2) else "LATE" if mark >= end else "IN_TIME"
+        assert timing == want
 
 
 def test_stats_are_64_bit(spark):
@@ -78,8 +39,14 @@ def test_stats_combine_before_the_shuffle(spark):
 
 
 def test_tall_and_wide_forms(spark):
-    ticks = {0: [("a", 1_704_067_200_000, 4), ("a", 1_704_067_201_000, 6)], 1: [("a", 1_704_067_202_000, 1)]}
-    panes = windows.replay_panes(frame(spark, ticks), "ts", "arrival", "1 minute", "1 minute", PERIOD)
+    start, end = datetime(2024, 1, 1), datetime(2024, 1, 1, 0, 1)
+    panes = spark.createDataFrame(
+        [
+            ("a", start, end, "EARLY", 0, -1, True, False, 2, 10, 4, 6, 2, 10, 4, 6),
+            ("a", start, end, "EARLY", 1, -1, False, False, 1, 1, 1, 1, 3, 11, 1, 6),
+        ],
+        PANES,
+    )
     tall = windows.tall_rows(panes, process_ts=F.lit(1000)).orderBy("pane_idx").collect()
     assert [(r["row_key"], r["sum"], r["num_records"]) for r in tall] == [
         ("a#9223372036854774807", 10, 2),
@@ -93,28 +60,6 @@ def test_tall_and_wide_forms(spark):
     assert (pivot["0_sum"], pivot["1_sum"], pivot["1_num_records"]) == (10, 1, 1)
 
 
-def test_replay_dedup_equals_rules(spark):
-    rng = random.Random(4)
-    ttl, period = 300, 60
-    rows = []
-    for i in range(400):
-        key = rng.choice(["hot"] * 5 + ["a", "b", None])
-        rows.append((key, i, rng.randrange(0, 40_000)))
-    df = spark.createDataFrame(rows, "k string, o bigint, s bigint").select(
-        "k", "o", F.timestamp_seconds("s").alias("at")
-    )
-    out = dedup.replay_dedup(df.repartition(3), "k", "at", "o", ttl, period)
-    found = {(r["k"], r["o"]) for r in out.filter("not unkeyed").collect()}
-    expected, free = set(), {}
-    for key, order, at in sorted((r for r in rows if r[0]), key=lambda r: (r[2] // period, r[1])):
-        now = at // period * period
-        if key not in free or now >= free[key]:
-            free[key] = now + ttl
-            expected.add((key, order))
-    assert found == expected
-    assert out.filter("unkeyed").count() == sum(r[0] is None for r in rows)
-
-
 def test_failures_in_processing_time_windows(spark, texts):
     stamped = jobs.stamp_ingest(texts("bad", "worse"))
     counted = windows.with_window(stamped, "ingested", "10 minutes").groupBy("window").count()

@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from weirflow.functions.casts import from_text
 from weirflow.functions.json_text import json_map
 from weirflow.operators.rows import compute_once
-from weirflow.session import materialize
 
 
 def dynamic_rows(messages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -54,46 +53,6 @@ def route_rows(
     )
 
 
-def judged_key_sets(rows: DataFrame, batch: str, columns: Sequence[str]) -> DataFrame:
-    """Distinct key sets per micro-batch with ``messages`` and ``route``.
-
-    A set drifts when it has a field first seen in its own batch: the table gains
-    the fields of each batch before the next one. Messages share few key sets, so
-    all judging works on those, and the messages are parsed once.
-    """
-    sets = materialize(
-        rows.groupBy(batch, _key_set().alias("keys")).agg(F.count("*").alias("messages")),
-        "key-sets",
-    )
-    fields = sets.select(batch, "keys", F.explode_outer("keys").alias("field"))
-    first = (
-        fields.filter(~F.col("field").isin(lower_names(columns)))
-        .groupBy("field")
-        .agg(F.min(batch).alias("_first"))
-    )
-    drifts = F.max(F.coalesce(F.col("_first") == F.col(batch), F.lit(False)))
-    judged = fields.join(first, "field", "left").groupBy(batch, "keys").agg(drifts.alias("_d"))
-    route = F.when(F.col("_d"), "DRIFTED").otherwise("NORMAL")
-    return sets.join(judged, [batch, "keys"]).withColumn("route", route).drop("_d")
-
-
-def _key_set() -> Column:
-    return F.array_sort(F.transform(F.map_keys("row"), F.lower))
-
-
-def replay_routes(
-    rows: DataFrame, batch: str, columns: Sequence[str], by_startup: bool = False
-) -> DataFrame:
-    """Adds ``route`` over a sequence of micro-batches, the table evolving after each.
-
-    Judged by the start-up columns a row drifts for any field beyond them.
-    """
-    if by_startup:
-        return route_rows(rows, columns)
-    judged = judged_key_sets(rows, batch, columns).select(batch, "keys", "route")
-    return rows.withColumn("keys", _key_set()).join(judged, [batch, "keys"]).drop("keys")
-
-
 def as_columns(rows: DataFrame, schema: T.StructType, keep: Sequence[str] = ()) -> DataFrame:
     """Row map to the columns of the table by name, whatever the case of the key.
 

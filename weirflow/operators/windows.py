@@ -1,20 +1,17 @@
-"""Event-time windows: statistics, panes of a given arrival order, late rows."""
+"""Event-time windows: statistics, forms of panes, late rows."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from weirflow.functions.times import epoch_millis, newest_first_key, now_millis
-from weirflow.session import materialize
 
 # Fixed value: text of a pane that no trigger has fired.
 NO_FIRING = "PaneInfo.NO_FIRING"
 
-# Ticks per block when the watermark is carried over ticks.
-TICK_BLOCK = 1440
-
 
 def with_window(df: DataFrame, ts: str, size: str) -> DataFrame:
     """Adds the tumbling ``window`` (start, end) of the event time."""
@@ -140,231 +137,22 @@ def wide_pivot(panes: DataFrame, pane_indexes: Sequence[int], dim: str = "dim1")
     )
 
 
-def tick_watermarks(ticks: DataFrame) -> DataFrame:
-    """``tick, min_ts, max_ts`` plus ``watermark``: the highest time of all earlier ticks.
-
-    Ticks are carried in blocks, so no task sees more than one block of ticks or
-    one row per block.
-    """
-    blocks = ticks.withColumn("_block", F.call_function("div", F.col("tick"), F.lit(TICK_BLOCK)))
-    carried = (
-        blocks.groupBy("_block")
-        .agg(F.max("max_ts").alias("_max"))
-        .select(
-            "_block",
-            F.max("_max")
-            .over(Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1))
-            .alias("_before"),
-        )
-    )
-    inside = F.max("max_ts").over(
-        Window.partitionBy("_block").orderBy("tick").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    return (
-        blocks.withColumn("_inside", inside)
-        .join(carried, "_block")
-        .select("tick", "min_ts", "max_ts", F.greatest("_inside", "_before").alias("watermark"))
-    )
-
-
-def arrival_tick(arrival: str, period: int) -> Column:
-    """Number of the trigger interval (``period`` seconds) in which a row arrives."""
-    return F.call_function("div", epoch_millis(F.col(arrival)), F.lit(period * 1000))
-
-
-def _ticks(rows: DataFrame, ts: str) -> DataFrame:
-    """Event-time bounds per trigger interval."""
-    return rows.groupBy("tick").agg(F.min(ts).alias("min_ts"), F.max(ts).alias("max_ts"))
-
-
-def late_rows(
-    df: DataFrame, ts: str, arrival: str, size: str, lateness: str, period: int
+def mark_late(
+    rows: DataFrame, ts: str, size: str, lateness: str, watermark: datetime | None
 ) -> DataFrame:
-    """Adds ``timing`` to each row: ``IN_TIME``, ``LATE`` or ``DROPPED``.
+    """Adds ``window`` and ``timing``: ``IN_TIME``, ``LATE`` or ``DROPPED``.
 
-    A row is late once the watermark at its arrival has reached its window's end
-    and dropped once that is ``lateness`` ago. The watermark is the highest event
-    time of all earlier trigger intervals, as in a running query.
+    A row is late once the watermark has reached its window's end, and dropped once
+    that is ``lateness`` ago. Without a watermark all rows are in time.
     """
-    rows = df.withColumns({"window": F.window(ts, size), "tick": arrival_tick(arrival, period)})
-    ticks = materialize(_ticks(rows.select(ts, "tick"), ts), "ticks")
-    marks = tick_watermarks(ticks).select("tick", "watermark")
-    timing = _timing(F.col("window.end"), lateness)
-    return rows.join(marks, "tick").withColumn("timing", timing).drop("tick", "watermark")
-
-
-def _timing(window_end: Column, lateness: str) -> Column:
-    closed = window_end + F.expr(f"INTERVAL {lateness}")
-    return (
-        F.when(F.col("watermark") >= closed, "DROPPED")
-        .when(F.col("watermark") >= window_end, "LATE")
+    end = F.col("window.end")
+    mark = F.lit(watermark).cast("timestamp")
+    timing = (
+        F.when(mark >= end + F.expr(f"INTERVAL {lateness}"), "DROPPED")
+        .when(mark >= end, "LATE")
         .otherwise("IN_TIME")
     )
-
-
-def _passing_ticks(marks: DataFrame, size: str, after: str = "0 seconds") -> DataFrame:
-    """``window_end, passed_at``: the tick whose rows move the watermark to a window's end.
-
-    With ``after``, to that long after the end.
-    """
-    back = F.expr(f"INTERVAL {after}")
-    first = F.window(F.coalesce("watermark", "min_ts") - back, size)["end"]
-    reached = F.col("max_ts") - back
-    steps = F.sequence("_from", reached, F.expr(f"INTERVAL {size}"))
-    ends = F.when(F.col("_from") <= reached, steps)
-    return marks.withColumn("_from", first).select(
-        F.explode(ends).alias("window_end"), F.col("tick").alias("passed_at")
-    )
-
-
-def replay_panes(
-    df: DataFrame,
-    ts: str,
-    arrival: str,
-    size: str,
-    lateness: str,
-    period: int,
-    dim: str = "dim1",
-    metric: str = "metrics1",
-    late_count: int = 1,
-) -> DataFrame:
-    """Every firing of every window for a given arrival order.
-
-    Each trigger interval (``period`` seconds) with rows fires one EARLY pane
-    before the watermark passes the window's end; the passing itself fires one
-    ON_TIME pane after the interval's rows, with nothing pending. After it a LATE
-    pane fires once ``late_count`` rows are pending, and what is still pending
-    when the lateness is over fires as the last pane. Rows beyond the allowed lateness are dropped. ``num_records, sum,
-    min, max`` are the pane's own values (discarding), the ``acc_`` columns run
-    over all panes so far (accumulating). Rows shrink to one partial per window,
-    dimension and interval, which is written out; all ordering works on those.
-    """
-    rows = df.select(dim, ts, metric, arrival_tick(arrival, period).alias("tick"))
-    sums = materialize(
-        rows.groupBy(F.window(ts, size).alias("window"), dim, "tick").agg(
-            F.count(metric).alias("num_records"),
-            F.sum(metric).alias("sum"),
-            F.min(metric).alias("min"),
-            F.max(metric).alias("max"),
-            F.min(ts).alias("min_ts"),
-            F.max(ts).alias("max_ts"),
-        ),
-        "pane-sums",
-    )
-    ticks = sums.groupBy("tick").agg(
-        F.min("min_ts").alias("min_ts"), F.max("max_ts").alias("max_ts")
-    )
-    marks = tick_watermarks(ticks)
-    partial = (
-        sums.drop("min_ts", "max_ts")
-        .withColumns({"window_start": F.col("window.start"), "window_end": F.col("window.end")})
-        .join(marks.select("tick", "watermark"), "tick")
-        .withColumn("timing", _timing(F.col("window_end"), lateness))
-        .filter("timing <> 'DROPPED'")
-    )
-    key = [dim, "window_start", "window_end"]
-    early = F.col("timing") == "IN_TIME"
-    last_early = F.max(F.when(early, F.col("tick"))).over(Window.partitionBy(*key))
-    values = ["num_records", "sum", "min", "max"]
-    own = F.struct(
-        "tick", F.when(early, "EARLY").otherwise("LATE").alias("timing"), *values
-    )
-    on_time = F.struct(
-        F.col("passed_at").alias("tick"),
-        F.lit("ON_TIME").alias("timing"),
-        F.lit(0).cast("bigint").alias("num_records"),
-        *[F.lit(None).cast("bigint").alias(v) for v in values[1:]],
-    )
-    fires = early & (F.col("tick") == F.col("_last")) & F.col("passed_at").isNotNull()
-    panes = (
-        partial.withColumn("_last", last_early)
-        .join(_passing_ticks(marks, size), "window_end", "left")
-        .select(
-            *key,
-            F.explode(F.when(fires, F.array(own, on_time)).otherwise(F.array(own))).alias("p"),
-        )
-        .select(*key, "p.*", F.lit(False).alias("is_last"))
-    )
-    if late_count > 1:
-        closes = _passing_ticks(marks, size, lateness).withColumnRenamed("passed_at", "closed_at")
-        late = panes.filter("timing = 'LATE'").join(closes, "window_end", "left")
-        merged = _merge_late(late, key, late_count)
-        panes = panes.filter("timing <> 'LATE'").unionByName(merged)
-    by_key = Window.partitionBy(*key).orderBy("tick", F.col("timing") != "EARLY")
-    so_far = by_key.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    late_or_final = F.sum(F.when(F.col("timing") == "EARLY", 0).otherwise(1)).over(so_far)
-    return panes.select(
-        *key,
-        "tick",
-        "timing",
-        (F.row_number().over(by_key) - 1).cast("bigint").alias("pane_idx"),
-        F.when(F.col("timing") == "EARLY", -1)
-        .otherwise(late_or_final - 1)
-        .cast("bigint")
-        .alias("nonspeculative_idx"),
-        (F.row_number().over(by_key) == 1).alias("is_first"),
-        "is_last",
-        "num_records",
-        F.coalesce("sum", F.lit(0)).alias("sum"),
-        "min",
-        "max",
-        F.sum("num_records").over(so_far).alias("acc_num_records"),
-        F.sum("sum").over(so_far).alias("acc_sum"),
-        F.min("min").over(so_far).alias("acc_min"),
-        F.max("max").over(so_far).alias("acc_max"),
-    )
-
-
-def _merge_late(late: DataFrame, key: Sequence[str], late_count: int) -> DataFrame:
-    """Late partials put together until ``late_count`` rows are pending, key by key.
-
-    Each firing depends on the one before, so a key's partials are folded in
-    order. They are one per interval within the lateness, so the list is short.
-    """
-    values = ["num_records", "sum", "min", "max"]
-    pane = "struct<tick: bigint, num_records: bigint, sum: bigint, min: bigint, max: bigint>"
-    empty = F.lit(None).cast("bigint")
-
-    def add(state, row):
-        pending = state["pending"]
-        total = F.struct(
-            row["tick"].alias("tick"),
-            (pending["num_records"] + row["num_records"]).alias("num_records"),
-            (pending["sum"] + row["sum"]).alias("sum"),
-            F.least(pending["min"], row["min"]).alias("min"),
-            F.greatest(pending["max"], row["max"]).alias("max"),
-        )
-        fires = total["num_records"] >= late_count
-        fired = F.when(fires, F.concat(state["fired"], F.array(total))).otherwise(state["fired"])
-        return F.struct(
-            fired.alias("fired"), F.when(fires, none).otherwise(total).alias("pending")
-        )
-
-    none = F.struct(
-        empty.alias("tick"),
-        F.lit(0).cast("bigint").alias("num_records"),
-        F.lit(0).cast("bigint").alias("sum"),
-        empty.alias("min"),
-        empty.alias("max"),
-    )
-    start = F.struct(F.array().cast(f"array<{pane}>").alias("fired"), none.alias("pending"))
-    folded = late.groupBy(*key).agg(
-        F.array_sort(F.collect_list(F.struct("tick", *values))).alias("_rows"),
-        F.max("closed_at").alias("_closed"),
-    ).withColumn("_fold", F.aggregate("_rows", start, add))
-    pending = F.col("_fold.pending")
-    last = F.struct(
-        F.col("_closed").alias("tick"), *[pending[v].alias(v) for v in values]
-    )
-    closes = F.col("_closed").isNotNull() & (pending["num_records"] > 0)
-    fired = F.transform(
-        "_fold.fired", lambda p: F.struct(p.alias("pane"), F.lit(False).alias("is_last"))
-    )
-    closing = F.array(F.struct(last.alias("pane"), F.lit(True).alias("is_last")))
-    firings = F.when(closes, F.concat(fired, closing)).otherwise(fired)
-    return folded.select(*key, F.explode(firings).alias("f")).select(
-        *key, "f.pane.tick", F.lit("LATE").alias("timing"), *[f"f.pane.{v}" for v in values], "f.is_last"
-    )
+    return with_window(rows, ts, size).withColumn("timing", timing)
 
 
 def non_empty(panes: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 HOUR = 3_600_000
 LATENESS = 12 * HOUR
 PERIOD = 1_800_000
+PANE_TICK = 5 * 24 * HOUR
 BIG = "900000000000000000"
 BIG_2 = "950000000000000000"
 
@@ -70,10 +71,13 @@ SELECT event_ts // {HOUR} * {HOUR} AS window_start, event_ts // {HOUR} * {HOUR}
 FROM csv GROUP BY ALL"""
 
 
-def _panes(tick: str) -> str:
-    """Firings for an arrival order; ``tick`` numbers the trigger interval of a row."""
+def _panes(tick: str, late_count: int = 1) -> str:
+    """Firings for an arrival order; ``tick`` is the micro-batch of a row.
+
+    A micro-batch is longer than the lateness, so late rows of a window come in one.
+    """
     return f"""{CSV}, e AS (
-  SELECT dim1, event_ts AS t, metrics1 AS m, {tick} AS tick FROM csv),
+  SELECT dim1, event_ts AS t, metrics1 AS m, dense_rank() OVER (ORDER BY {tick}) - 1 AS tick FROM csv),
 marks AS (
   SELECT tick, hi,
     max(hi) OVER (ORDER BY tick ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS wm
@@ -91,17 +95,24 @@ passes AS (
   SELECT w.window_end, min(marks.tick) AS tick
   FROM (SELECT DISTINCT window_end FROM open_windows) w JOIN marks ON marks.hi >= w.window_end
   GROUP BY w.window_end),
+closes AS (
+  SELECT w.window_end, min(marks.tick) AS tick
+  FROM (SELECT DISTINCT window_end FROM fired) w JOIN marks ON marks.hi >= w.window_end + {LATENESS}
+  GROUP BY w.window_end),
 firings AS (
-  SELECT * FROM fired
+  SELECT *, FALSE AS is_last FROM fired WHERE timing = 'EARLY' OR n >= {late_count}
+  UNION ALL
+  SELECT dim1, window_start, window_end, closes.tick, n, s, lo, hi, timing, TRUE
+  FROM fired JOIN closes USING (window_end) WHERE timing = 'LATE' AND n < {late_count}
   UNION ALL
-  SELECT dim1, window_start, window_end, tick, 0, NULL, NULL, NULL, 'ON_TIME'
+  SELECT dim1, window_start, window_end, tick, 0, NULL, NULL, NULL, 'ON_TIME', FALSE
   FROM open_windows JOIN passes USING (window_end)),
 panes AS (
   SELECT dim1, window_start, window_end, tick, timing,
     row_number() OVER k - 1 AS pane_idx,
     CASE WHEN timing = 'EARLY' THEN -1 ELSE
       count(*) FILTER (WHERE timing <> 'EARLY') OVER k - 1 END AS nonspeculative_idx,
-    row_number() OVER k = 1 AS is_first, FALSE AS is_last,
+    row_number() OVER k = 1 AS is_first, is_last,
     n AS num_records, CAST(coalesce(s, 0) AS BIGINT) AS sum,
     coalesce(lo, 0) AS min, coalesce(hi, 0) AS max,
     CAST(sum(n) OVER k AS BIGINT) AS acc_num_records, CAST(sum(s) OVER k AS BIGINT) AS acc_sum,
@@ -111,7 +122,7 @@ panes AS (
     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))"""
 
 
-PANES = _panes(f"arrival // {PERIOD}")
+PANES = _panes(f"arrival // {PANE_TICK}", 2)
 
 DEDUP = """WITH RECURSIVE keyed AS (
   SELECT event_id AS seq, 'u' || user_id AS uuid, epoch_us(ts) // 60000000 AS tick
@@ -235,7 +246,7 @@ UNION ALL SELECT row_key, 'sum#' || pane_idx, CAST(sum AS VARCHAR) FROM cells
 UNION ALL SELECT row_key, 'max#' || pane_idx, CAST(max AS VARCHAR) FROM cells
 UNION ALL SELECT row_key, 'min#' || pane_idx, CAST(min AS VARCHAR) FROM cells
 UNION ALL SELECT row_key, 'avg#' || pane_idx, CAST(sum / num_records AS VARCHAR) FROM cells""",
-    "late_drop": f"""WITH {CSV}, e AS (SELECT *, arrival // {PERIOD} AS tick FROM csv),
+    "late_drop": f"""WITH {CSV}, e AS (SELECT *, arrival // {PANE_TICK} AS tick FROM csv),
 marks AS (
   SELECT tick, max(hi) OVER (ORDER BY tick ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS wm
   FROM (SELECT tick, max(event_ts) AS hi FROM e GROUP BY tick))

@@ -16,11 +16,11 @@ from weirflow.functions.json_text import (
 )
 from weirflow.functions import times
 from weirflow.functions.times import epoch_millis, from_millis
-from weirflow.operators import cdc, compare, dedup, drift, events, logs, rows, windows
+from weirflow.operators import cdc, compare, drift, events, logs, rows, windows
 from weirflow.plans import adapters
 from weirflow.session import prepare_session, scratch_dir
 from weirflow.sinks import bulk, files, tables
-from weirflow.sources.messages import envelope_rows, spread, stream_table, with_fresh_lookup
+from weirflow.sources.messages import envelope_rows, stream_table, with_fresh_lookup
 from weirflow.sources.schemas import record_schema, table_schema
 from weirflow.streaming import bodies, jobs
 from weirflow.streaming.dedup import dedup_stream, without_key
@@ -36,6 +36,9 @@ PERIOD = 1800
 DEDUP_TTL = 86_400
 DEDUP_PERIOD = 60
 PROCESS_DELAY_MS = 1500
+PANE_TICK_MS = 5 * 86_400_000
+LATE_COUNT = 2
+TICK_FILES = 4
 
 DRIFT_START = ("ID", "SENDER_NAME")
 
@@ -69,11 +72,6 @@ def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return prepare_session(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
-def read_spread(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A table whose rows are costly to parse, dealt out to all cores."""
-    return spread(read(spark, folder, name))
-
-
 def _fresh_table(label: str) -> str:
     return f"{label}_{uuid.uuid4().hex}"
 
@@ -82,7 +80,7 @@ def _fresh_table(label: str) -> str:
 
 
 def _logs(spark: SparkSession, folder: str) -> DataFrame:
-    return logs.parse_logs(adapters.log_messages(read_spread(spark, folder, "events")), ["seq"])
+    return logs.parse_logs(adapters.log_messages(read(spark, folder, "events")), ["seq"])
 
 
 def log_parse(spark: SparkSession, folder: str) -> DataFrame:
@@ -92,7 +90,7 @@ def log_parse(spark: SparkSession, folder: str) -> DataFrame:
 def log_millis(spark: SparkSession, folder: str) -> DataFrame:
     """Good log rows whose time keeps its milliseconds."""
     parsed = logs.parse_logs(
-        adapters.log_messages(read_spread(spark, folder, "events")), ["seq"], millis=True
+        adapters.log_messages(read(spark, folder, "events")), ["seq"], millis=True
     )
     return logs.good_rows(parsed).select(
         "seq", epoch_millis(F.col("timestamp")).alias("at_ms"), "severity"
@@ -132,7 +130,7 @@ def log_upsert(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def bigint_flatten(spark: SparkSession, folder: str) -> DataFrame:
-    messages = adapters.big_number_messages(read_spread(spark, folder, "lineitem"))
+    messages = adapters.big_number_messages(read(spark, folder, "lineitem"))
     names = ("ID", "wide", "wrapper", "code", "qty", "old", "flag")
     m = rows.compute_once(messages, [], m=json_texts(F.col("value"), names)).select("m.*")
     return m.select(
@@ -149,7 +147,7 @@ def bigint_flatten(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _envelopes(spark: SparkSession, folder: str, as_string: bool) -> DataFrame:
-    messages = adapters.nested_messages(read_spread(spark, folder, "orders"))
+    messages = adapters.nested_messages(read(spark, folder, "orders"))
     flat = rows.compute_once(messages, ["seq"], envelope=flatten_json(F.col("value"), as_string))
     return flat.filter(F.col("envelope").isNotNull())
 
@@ -163,7 +161,7 @@ def bigint_envelope_text(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def json_metadata_split(spark: SparkSession, folder: str) -> DataFrame:
-    messages = adapters.sender_messages(read_spread(spark, folder, "customer"))
+    messages = adapters.sender_messages(read(spark, folder, "customer"))
     split = rows.compute_once(messages, [], r=split_metadata(F.col("value"))).filter("r.parsed")
     return split.select(
         "r.ID",
@@ -221,7 +219,7 @@ def table_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def basic_event_rows(spark: SparkSession, folder: str) -> DataFrame:
-    parsed = events.basic_events(adapters.basic_messages(read_spread(spark, folder, "events")), ["seq"])
+    parsed = events.basic_events(adapters.basic_messages(read(spark, folder, "events")), ["seq"])
     return logs.good_rows(parsed).select(
         "seq",
         "event_ts",
@@ -269,9 +267,24 @@ def window_stats(spark: SparkSession, folder: str) -> DataFrame:
     return _stats_in_millis(windows.window_stats(_timed_events(spark, folder), "ts", WINDOW))
 
 
+def _by_arrival(spark: SparkSession, folder: str) -> DataFrame:
+    """Events as a stream that takes a micro-batch per five days of arrival."""
+    lines = adapters.csv_lines(read(spark, folder, "events"))
+    timed = logs.good_rows(events.type_lines(lines, keep=["arrival"])).withColumn("ts", from_millis(F.col("event_ts")))
+    return ticks(timed, F.call_function("div", epoch_millis(F.col("arrival")), F.lit(PANE_TICK_MS)), "arrivals")
+
+
 def _panes(spark: SparkSession, folder: str) -> DataFrame:
-    timed = _timed_events(spark, folder)
-    return windows.replay_panes(timed, "ts", "arrival", WINDOW, LATENESS, PERIOD)
+    """Panes of a stream, and the ``tick`` that made each fire.
+
+    A passing watermark fires with the next micro-batch.
+    """
+    panes = pane_stream(_by_arrival(spark, folder), "ts", WINDOW_SECONDS, LATENESS_SECONDS, LATE_COUNT)
+    table = _sink_table(spark, "panes", panes.schema)
+    _drain(panes, bodies.append_body(table), spark, "panes")
+    passing = ((F.col("timing") == "ON_TIME") | F.col("is_last")).cast("bigint")
+    fired = spark.table(table).withColumn("tick", F.col(tables.BATCH) - passing)
+    return fired.drop(*tables.RESERVED)
 
 
 def _whole_panes(panes: DataFrame) -> DataFrame:
@@ -281,6 +294,7 @@ def _whole_panes(panes: DataFrame) -> DataFrame:
 
 
 def pane_replay(spark: SparkSession, folder: str) -> DataFrame:
+    """Early, on-time, late and closing panes of a stream over several micro-batches."""
     return _whole_panes(_panes(spark, folder))
 
 
@@ -295,9 +309,11 @@ def window_wide(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def late_drop(spark: SparkSession, folder: str) -> DataFrame:
-    timed = _timed_events(spark, folder)
-    marked = windows.late_rows(timed, "ts", "arrival", WINDOW, LATENESS, PERIOD)
-    return marked.select("seq", "dim1", "event_ts", "timing")
+    """Each row in time, late or dropped, by the watermark of a stream."""
+    table, marks = _fresh_table("timed"), _fresh_table("marks")
+    body = bodies.late_body(table, marks, "ts", WINDOW, LATENESS)
+    _drain(_by_arrival(spark, folder), body, spark, "late-drop")
+    return spark.table(table).select("seq", "dim1", "event_ts", "timing")
 
 
 def error_windows(spark: SparkSession, folder: str) -> DataFrame:
@@ -333,15 +349,25 @@ def window_files(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def dedup_ttl(spark: SparkSession, folder: str) -> DataFrame:
-    kept = dedup.replay_dedup(
-        _keyed_events(read(spark, folder, "events")),
-        "uuid",
-        "arrival",
-        "seq",
-        DEDUP_TTL,
-        DEDUP_PERIOD,
-    )
-    return kept.select("seq", "uuid", "unkeyed")
+    """First rows per key over several micro-batches; a key is free again after a day."""
+    arrivals = tick_stream(spark, folder, "events", "event_id")
+    minute = F.timestamp_seconds(F.unix_seconds("arrival") - F.pmod(F.unix_seconds("arrival"), F.lit(DEDUP_PERIOD)))
+    keyed = _keyed_events(arrivals).withColumn("arrival", minute)
+    return _deduped(spark, keyed, "dedup-ttl", ttl_seconds=DEDUP_TTL, at="arrival")
+
+
+def _deduped(spark: SparkSession, keyed: DataFrame, label: str, **options) -> DataFrame:
+    table = _sink_table(spark, label.replace("-", "_"), "seq bigint, uuid string, unkeyed boolean")
+    setting = "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "false")
+    try:
+        deduped = dedup_stream(keyed, "uuid", "seq", **options).withColumn("unkeyed", F.lit(False))
+        unkeyed = without_key(keyed, "uuid").withColumn("unkeyed", F.lit(True))
+        _drain(deduped.unionByName(unkeyed), bodies.append_body(table), spark, label)
+    finally:
+        spark.conf.set(setting, before)
+    return spark.table(table).drop(*tables.RESERVED)
 
 
 def _keyed_events(source: DataFrame) -> DataFrame:
@@ -349,7 +375,7 @@ def _keyed_events(source: DataFrame) -> DataFrame:
     return source.select(
         F.col("event_id").alias("seq"),
         F.when(F.col("event_id") % 17 != 0, uuid_text).alias("uuid"),
-        F.col("ts").alias("arrival"),
+        F.col("ts").cast("timestamp").alias("arrival"),
     )
 
 
@@ -375,7 +401,7 @@ def day_table(spark: SparkSession, folder: str) -> DataFrame:
         prepare_session(spark), table, schema, scratch_dir(spark, "day-table"), partitions=["event_day"]
     )
     body = bodies.basic_event_body(table, T.StructType(schema.fields[:3]))
-    body(adapters.basic_messages(read_spread(spark, folder, "events")), 0)
+    body(adapters.basic_messages(read(spark, folder, "events")), 0)
     stored = spark.table(table)
     return stored.groupBy(F.col("event_day").cast("string").alias("event_day"), "kind").agg(
         F.count("*").alias("num_records"),
@@ -429,7 +455,7 @@ def bulk_counters(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def staged_paths(spark: SparkSession, folder: str) -> DataFrame:
-    source = adapters.drift_messages(read_spread(spark, folder, "events"))
+    source = adapters.drift_messages(read(spark, folder, "events"))
     named = source.withColumn("table_name", F.lit("orders"))
     return files.staged_paths(named, "table_name", "batch", "stage")
 
@@ -439,7 +465,7 @@ def staged_paths(spark: SparkSession, folder: str) -> DataFrame:
 
 def _changes(spark: SparkSession, folder: str) -> DataFrame:
     return cdc.parse_changes(
-        adapters.change_messages(read_spread(spark, folder, "orders")), ["arrival"]
+        adapters.change_messages(read(spark, folder, "orders")), ["arrival"]
     )
 
 
@@ -482,7 +508,7 @@ def cdc_tables(spark: SparkSession, folder: str) -> DataFrame:
     for table in own_tables.values():
         bodies.create_change_table(spark, table, schema, scratch_dir(spark, table))
     body = bodies.routed_change_body("arrival", f"{label}_dead", table_of=lambda name: own_tables.get(name, name))
-    body(adapters.change_messages(read_spread(spark, folder, "orders")), 0)
+    body(adapters.change_messages(read(spark, folder, "orders")), 0)
     parts = [
         bodies.current_table(spark.table(table)).withColumn("destination", F.lit(name))
         for name, table in own_tables.items()
@@ -511,7 +537,7 @@ def latest_view(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _drift(spark: SparkSession, folder: str) -> DataFrame:
-    messages = adapters.drift_messages(read_spread(spark, folder, "events"))
+    messages = adapters.drift_messages(read(spark, folder, "events"))
     return drift.dynamic_rows(messages, ["seq", "ts", "batch"])
 
 
@@ -523,20 +549,27 @@ def drift_detect(spark: SparkSession, folder: str) -> DataFrame:
     return drift.new_fields(_drift_good(spark, folder), DRIFT_START, by=["batch"]).drop("spelling")
 
 
+def _routed(spark: SparkSession, folder: str) -> DataFrame:
+    """The route of every message of a stream whose table gains the fields of each micro-batch."""
+    table, routes = _drift_table(spark, "routed"), _fresh_table("routes")
+    messages = ticks(adapters.drift_messages(read(spark, folder, "events")), F.col("batch"), "drift")
+    body = bodies.healing_body(table, ["seq", "batch"], route_table=routes)
+    _drain(messages, body, spark, "drift-route")
+    return spark.table(routes)
+
+
 def drift_route(spark: SparkSession, folder: str) -> DataFrame:
-    judged = drift.judged_key_sets(_drift_good(spark, folder), "batch", DRIFT_START)
-    return judged.groupBy("batch", "route").agg(F.sum("messages").alias("messages"))
+    return _routed(spark, folder).groupBy("batch", "route").agg(F.count("*").alias("messages"))
 
 
 def drift_route_rows(spark: SparkSession, folder: str) -> DataFrame:
     """The route of every message."""
-    routed = drift.replay_routes(_drift_good(spark, folder), "batch", DRIFT_START)
-    return routed.select("seq", "batch", "route")
+    return _routed(spark, folder).select("seq", "batch", "route")
 
 
 def drift_route_startup(spark: SparkSession, folder: str) -> DataFrame:
     good = _drift_good(spark, folder)
-    routed = drift.replay_routes(good, "batch", DRIFT_START, by_startup=True)
+    routed = drift.route_rows(good, DRIFT_START)
     return routed.groupBy("batch", "route").agg(F.count("*").alias("messages"))
 
 
@@ -568,7 +601,7 @@ def _healed(spark: SparkSession, table: str) -> DataFrame:
 
 
 def drift_heal(spark: SparkSession, folder: str) -> DataFrame:
-    messages = adapters.drift_messages(read_spread(spark, folder, "events"))
+    messages = adapters.drift_messages(read(spark, folder, "events"))
     table = _drift_table(spark, "healed")
     body = bodies.healing_body(table, ["seq"])
     for batch in (1, 2, 3):
@@ -578,7 +611,7 @@ def drift_heal(spark: SparkSession, folder: str) -> DataFrame:
 
 def ordered_dump(spark: SparkSession, folder: str) -> DataFrame:
     """A table made from its first rows, listed by ID."""
-    messages = adapters.drift_messages(read_spread(spark, folder, "events"))
+    messages = adapters.drift_messages(read(spark, folder, "events"))
     table = _fresh_table("created")
     bodies.healing_body(table, ["seq"], location=scratch_dir(spark, "created"))(messages, 1)
     return tables.ordered_dump(spark, table).select(
@@ -587,7 +620,7 @@ def ordered_dump(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def failed_rows_heal(spark: SparkSession, folder: str) -> DataFrame:
-    messages = adapters.drift_messages(read_spread(spark, folder, "events"))
+    messages = adapters.drift_messages(read(spark, folder, "events"))
     table = _drift_table(spark, "failed_rows")
     body = bodies.failed_rows_body(table, ["seq"])
     for batch in (1, 2, 3):
@@ -692,7 +725,7 @@ def json_column_load(spark: SparkSession, folder: str) -> DataFrame:
         prepare_session(spark), "json_column", "ID string, SENDER_NAME string, METADATA string"
     )
     body = bodies.json_column_body(table)
-    body(adapters.sender_messages(read_spread(spark, folder, "customer")), 0)
+    body(adapters.sender_messages(read(spark, folder, "customer")), 0)
     return spark.table(table).select(
         "ID", "SENDER_NAME", json_field("METADATA", "profile.nation").alias("nation")
     )
@@ -759,23 +792,49 @@ def field_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 def _drain(df: DataFrame, body, spark: SparkSession, label: str, mode: str = "append") -> None:
     checkpoint = scratch_dir(spark, f"{label}-progress")
-    writer = tables.write_each_batch(df, body, checkpoint, None, mode, deal=mode == "append")
-    writer.start().awaitTermination()
+    tables.write_each_batch(df, body, checkpoint, None, mode).start().awaitTermination()
 
 
 def _stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return stream_table(prepare_session(spark), folder, name)
 
 
-def _ticks(spark: SparkSession, folder: str, name: str, order: str, ticks: int = 5) -> DataFrame:
-    """A stream over a given table that takes ``ticks`` micro-batches, in the order of an id."""
+def ticks(rows_: DataFrame, tick: Column, label: str) -> DataFrame:
+    """The rows as a stream that takes a micro-batch per value of ``tick``, in its order.
+
+    Rows without a tick come first. The rows are read once and dealt to a folder per
+    tick; each then becomes the same number of files, and a file source takes files
+    in the order of writing.
+    """
+    spark = rows_.sparkSession
+    staged, path = scratch_dir(spark, f"{label}-staged"), scratch_dir(spark, f"{label}-ticks")
+    first = F.lit(-(2**62)).cast("bigint")
+    dealt = rows_.withColumn("_tick", F.coalesce(tick.cast("bigint"), first))
+    dealt.write.partitionBy("_tick").parquet(staged)
+    numbers = spark.read.schema("_tick bigint").parquet(staged).distinct().collect()  # a row per tick
+    files_sent = 0
+    empty = spark.createDataFrame([], rows_.schema)
+    for number in sorted(r[0] for r in numbers):
+        part = spark.read.schema(rows_.schema).parquet(f"{staged}/_tick={number}")
+        part.repartition(TICK_FILES).write.mode("append").parquet(path)
+        files_sent += TICK_FILES
+        # A partition that got no row leaves no file.
+        while len(spark.read.schema(rows_.schema).parquet(path).inputFiles()) < files_sent:
+            empty.coalesce(1).write.mode("append").parquet(path)
+    if not numbers:
+        empty.coalesce(1).write.parquet(path)
+    return spark.readStream.schema(rows_.schema).option("maxFilesPerTrigger", TICK_FILES).parquet(path)
+
+
+def tick_stream(spark: SparkSession, folder: str, name: str, order: str, count: int = 5) -> DataFrame:
+    """A stream over a given table that takes about ``count`` micro-batches, in the order of an id.
+
+    Rows whose id is null or negative come first.
+    """
     whole = read(spark, folder, name)
-    path = scratch_dir(spark, f"{name}-ticks")
     last = whole.agg(F.max(order)).first()[0] or 0
-    tick = F.call_function("div", F.col(order) * ticks, F.lit(last + 1))
-    for n in range(ticks):  # one file per tick; a file source takes them in order of writing
-        whole.filter(tick == n).coalesce(1).write.mode("append").parquet(path)
-    return spark.readStream.schema(whole.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    width = max(1, -(-(last + 1) // count))
+    return ticks(whole, F.greatest(F.call_function("div", F.col(order), F.lit(width)), F.lit(0)), name)
 
 
 def _sink_table(spark: SparkSession, label: str, schema: T.StructType | str) -> str:
@@ -813,7 +872,7 @@ def stream_shared_dead(spark: SparkSession, folder: str) -> DataFrame:
 
 def stream_upsert(spark: SparkSession, folder: str) -> DataFrame:
     """Upserts over several micro-batches."""
-    messages = adapters.log_messages(_ticks(spark, folder, "events", "event_id"))
+    messages = adapters.log_messages(tick_stream(spark, folder, "events", "event_id"))
     table = _sink_table(spark, "stream_upsert", LOG_DDL)
     body = bodies.upsert_body(
         table, ["trace_id"], "seq", lambda b: logs.good_rows(logs.parse_logs(b, ["seq"]))
@@ -836,7 +895,7 @@ def stream_cdc(spark: SparkSession, folder: str) -> DataFrame:
 
 def stream_cdc_batches(spark: SparkSession, folder: str) -> DataFrame:
     """Changes over several micro-batches, folded in between."""
-    messages = adapters.change_messages(_ticks(spark, folder, "orders", "o_orderkey"))
+    messages = adapters.change_messages(tick_stream(spark, folder, "orders", "o_orderkey"))
     table = _sink_table(
         spark,
         "stream_cdc_batches",
@@ -853,7 +912,7 @@ def stream_cdc_batches(spark: SparkSession, folder: str) -> DataFrame:
 
 def stream_drift_batches(spark: SparkSession, folder: str) -> DataFrame:
     """A table that gains fields over several micro-batches."""
-    messages = adapters.drift_messages(_ticks(spark, folder, "events", "event_id"))
+    messages = adapters.drift_messages(tick_stream(spark, folder, "events", "event_id"))
     table = _drift_table(spark, "stream_drift_batches")
     _drain(messages, bodies.healing_body(table, ["seq"]), spark, "stream-drift-batches")
     return _healed(spark, table)
@@ -887,7 +946,7 @@ def stream_panes(spark: SparkSession, folder: str) -> DataFrame:
 
 def stream_lookup(spark: SparkSession, folder: str) -> DataFrame:
     """Enriched events from a stream whose lookup is read again per micro-batch."""
-    lines = adapters.csv_lines(_ticks(spark, folder, "events", "event_id"))
+    lines = adapters.csv_lines(tick_stream(spark, folder, "events", "event_id"))
     table = _sink_table(spark, "stream_lookup", "seq bigint, dim1 string, dim1_val string")
 
     def apply(batch: DataFrame, lookup: DataFrame, batch_id: int) -> None:
@@ -901,17 +960,7 @@ def stream_lookup(spark: SparkSession, folder: str) -> DataFrame:
 
 def stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
     keyed = _keyed_events(_stream(spark, folder, "events")).drop("arrival")
-    table = _sink_table(spark, "stream_dedup", "seq bigint, uuid string, unkeyed boolean")
-    setting = "spark.sql.streaming.noDataMicroBatches.enabled"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, "false")
-    try:
-        deduped = dedup_stream(keyed, "uuid", "seq").withColumn("unkeyed", F.lit(False))
-        unkeyed = without_key(keyed, "uuid").withColumn("unkeyed", F.lit(True))
-        _drain(deduped.unionByName(unkeyed), bodies.append_body(table), spark, "stream-dedup")
-    finally:
-        spark.conf.set(setting, before)
-    return spark.table(table).drop(*tables.RESERVED)
+    return _deduped(spark, keyed, "stream-dedup")
 
 
 # Bundles and their tables; other event types are unknown bundles.
@@ -928,7 +977,7 @@ def _bundle_tables(spark: SparkSession) -> tuple[dict[str, str], dict[str, str]]
 
 def bundle_tables(spark: SparkSession, folder: str) -> DataFrame:
     """Bundled messages to their tables over several micro-batches, repeats of a uuid dropped."""
-    messages = adapters.bundle_messages(_ticks(spark, folder, "events", "event_id"))
+    messages = adapters.bundle_messages(tick_stream(spark, folder, "events", "event_id"))
     by_bundle, made = _bundle_tables(spark)
     setting = "spark.sql.streaming.noDataMicroBatches.enabled"
     before = spark.conf.get(setting)
@@ -947,7 +996,7 @@ def bundle_tables(spark: SparkSession, folder: str) -> DataFrame:
 
 def bundle_registry(spark: SparkSession, folder: str) -> DataFrame:
     """Dead letters by reason and the fields seen per table, over several micro-batches."""
-    messages = adapters.bundle_messages(_ticks(spark, folder, "events", "event_id"))
+    messages = adapters.bundle_messages(tick_stream(spark, folder, "events", "event_id"))
     by_bundle, made = _bundle_tables(spark)
     dead, registry = _fresh_table("bundle_dead"), _fresh_table("bundle_registry")
     progress = scratch_dir(spark, "bundle-side-progress")

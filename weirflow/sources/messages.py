@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from weirflow.functions.json_text import parsed_json, payload_text
+from weirflow.session import materialize
 
 # Envelope of a message service: payload bytes plus attributes.
 ENVELOPE_SCHEMA = T.StructType(
@@ -71,17 +72,6 @@ def stream_table(spark: SparkSession, folder: str, name: str, **options: str) ->
     return spark.readStream.schema(schema).options(**options).parquet(pattern)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal a source with fewer splits than cores out to all cores.
-
-    One unsplittable file would parse in one task. This shuffles the source's rows, so
-    it is for few large files or topic partitions; where splits can be made smaller
-    (``spark.sql.files.maxPartitionBytes``, ``minPartitions``), do that instead.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def read_lookup(
     spark: SparkSession, url: str, query: str = "select dim1, dim1_val from t_dim1", **options: str
 ) -> DataFrame:
@@ -93,10 +83,13 @@ def read_lookup(
 def with_fresh_lookup(
     load: Callable[[], DataFrame], apply: Callable[[DataFrame, DataFrame, int], None]
 ) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` body that reads the lookup again for each micro-batch."""
+    """A ``foreachBatch`` body that reads the lookup again for each micro-batch.
+
+    It is written first, so Spark knows its size: a small one is broadcast.
+    """
 
     def body(batch: DataFrame, batch_id: int) -> None:
-        apply(batch, load(), batch_id)
+        apply(batch, materialize(load(), "lookup"), batch_id)
 
     return body
 

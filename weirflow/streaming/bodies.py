@@ -227,6 +227,27 @@ def event_body(
     return body
 
 
+def late_body(table: str, marks_table: str, ts: str, size: str, lateness: str) -> Body:
+    """Rows with their ``window`` and ``timing``; the watermark survives a restart.
+
+    The watermark is the highest event time of all earlier micro-batches of this
+    stream, kept as one row per micro-batch; only that one time reaches the driver.
+    """
+
+    def body(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        with kept(batch) as rows:
+            newest = rows.agg(F.max(F.col(ts).cast("timestamp")).alias("newest"))
+            tables.append_batch(newest, marks_table, batch_id, create=True)
+            own = F.col(tables.WRITER) == tables.stream_id(spark)
+            before = spark.table(marks_table).filter(own & (F.col(tables.BATCH) < batch_id))
+            watermark = before.agg(F.max("newest")).first()[0]
+            marked = windows.mark_late(rows, ts, size, lateness, watermark)
+            tables.append_batch(marked, table, batch_id, create=True)
+
+    return body
+
+
 def basic_event_body(table: str, schema: T.StructType, dead_table: str | None = None) -> Body:
     """JSON events to a declared table partitioned by the day of ``event_ts``."""
 
@@ -308,9 +329,14 @@ def healing_body(
     registry_table: str | None = None,
     ts: str | None = None,
     location: str | None = None,
+    route_table: str | None = None,
 ) -> Body:
     """Route by schema, widen the table, then write: no row and no value is lost.
 
+    Each row is judged by the table as it is when its micro-batch starts: NORMAL, or
+    DRIFTED with the fields to be added. ``route_table`` gets that for every message
+    that is an object, ahead of the write.
+
     The schema is read once per micro-batch; columns are added before any drifted
     row is written, so the barrier between the two is the order of statements.
     Normal and drifted rows then go out in one append. Only rows that will be written
@@ -325,6 +351,10 @@ def healing_body(
             if not tables.table_exists(spark, table):
                 first = [T.StructField("ID", T.StringType()), *[batch.schema[c] for c in keep]]
                 tables.create_table(spark, table, T.StructType(first), location)
+            if route_table:
+                live = data_columns(spark, table, keep).names
+                routed = drift.route_rows(rows.filter(F.col("reason").isNull()), live)
+                tables.append_batch(routed.select(*keep, "route", "missing"), route_table, batch_id, create=True)
             before = drift.strict_split(
                 rows, data_columns(spark, table, keep), ignore_unknown=True, refused=[*keep, *tables.RESERVED]
             )

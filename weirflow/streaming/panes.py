@@ -200,7 +200,8 @@ def pane_stream(
     Each micro-batch with rows for an open window fires EARLY (the trigger
     interval is the early-firing period), the watermark passing its end fires
     ON_TIME, and ``late_count`` late rows fire LATE until the lateness is over.
-    Numbering and values equal ``replay_panes`` with one tick per micro-batch.
+    Panes of no rows of their own are the ON_TIME ones. What still waits when the
+    lateness is over fires as the last pane, LATE.
     """
     size_ms, lateness_ms = size_seconds * 1000, lateness_seconds * 1000
     partials = partial_sums(events, ts, size_ms, dim, metric)
