@@ -20,8 +20,10 @@ Steps, each a Spark job over the whole input:
 
 Nulls and empty texts: a document without words has no n-gram, links to none and is its
 own class. A null id is a value like any other; a group's class id is its smallest id
-that is not null. Repeated rows are copies. Empty tables give empty results. Only the id
-and text columns are read.
+that is not null. Ties, rows of equal id, go by a hash of the text. Repeated rows are
+copies. Very long texts are read whole, one at a time where they are larger than a batch.
+Empty tables give empty results. Only the id and text columns are read; ``keep_one`` passes
+the others as they are, whatever their names.
 """
 
 from __future__ import annotations
@@ -32,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from weirflow.llm.words import WordTable, hash_table, mix, shingles, text_groups
 from weirflow.session import materialize
@@ -100,11 +102,12 @@ def band_hashes(minima: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return out
 
 
-def _keyed(docs: DataFrame, id_column: str, text: str) -> DataFrame:
+def _keys(id_column: str, text: str) -> list[Column]:
     """``_rid`` (the id, or the smallest number for null), ``_t1`` (a hash of the text)."""
-    return docs.withColumn("_rid", F.coalesce(F.col(id_column).cast("bigint"), F.lit(_NONE))).withColumn(
-        "_t1", F.xxhash64(F.col(text))
-    )
+    return [
+        F.coalesce(F.col(id_column).cast("bigint"), F.lit(_NONE)).alias("_rid"),
+        F.xxhash64(F.col(text)).alias("_t1"),
+    ]
 
 
 def signatures(docs: DataFrame, bands: int, rows: int, n: int = N) -> DataFrame:
@@ -296,9 +299,7 @@ def link_classes(
     rows, links`` and the class's first document ``rid, t1`` and smallest id ``least``.
     """
     bands, rows = choose_bands(threshold, recall, hashes)
-    keyed = _keyed(docs.select(F.col(id_column), F.col(text)), id_column, text).select(
-        "_rid", "_t1", F.col(text).alias("text")
-    )
+    keyed = docs.select(*_keys(id_column, text), F.col(text).alias("text"))
     signed = materialize(signatures(keyed, bands, rows, n), "signatures")
     classes = materialize(
         signed.where(F.col("k1").isNotNull())
@@ -402,5 +403,7 @@ def keep_one(docs: DataFrame, id_column: str = "doc_id", text: str = "text", **o
         F.min("rid").alias("_rid"), F.min_by("t1", "rid").alias("_t1")
     ).select("_rid", "_t1")
     wordless = signed.where(F.col("k1").isNull()).select("_rid", "_t1").distinct()
-    keyed = _keyed(docs, id_column, text).dropDuplicates(["_rid", "_t1"])
-    return keyed.join(chosen.union(wordless), ["_rid", "_t1"], "left_semi").select(*docs.columns)
+    # A row passes as one value, so its columns may have any names.
+    rows = docs.select(*_keys(id_column, text), F.struct(*docs.columns).alias("row"))
+    one = rows.dropDuplicates(["_rid", "_t1"]).join(chosen.union(wordless), ["_rid", "_t1"], "left_semi")
+    return one.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

@@ -265,9 +265,23 @@ ORACLES = {
         totals AS (SELECT source, count(*) AS pages FROM pages GROUP BY source),
         split AS (SELECT DISTINCT source, text, trim(line, ' ' || chr(9) || chr(13)) AS line
             FROM (SELECT source, text, unnest(string_split(text, chr(10))) AS line FROM pages)),
-        bad AS (SELECT s.source, line FROM split s JOIN totals t ON s.source IS NOT DISTINCT FROM t.source
+        frequent AS (SELECT s.source, line, pages, count(*) AS n FROM split s JOIN totals t ON s.source IS NOT DISTINCT FROM t.source
             WHERE line <> '' AND pages >= {lines.MIN_PAGES} GROUP BY s.source, line, pages
             HAVING count(*) >= {lines.MIN_LINE_PAGES} AND count(*) > {lines.RATIO} * pages),
+        sharing AS (SELECT f.source, f.line, s.text FROM frequent f JOIN split s ON s.source IS NOT DISTINCT FROM f.source AND s.line = f.line),
+        worded AS (SELECT text, regexp_extract_all(text, '[^ \t\r\n]+') AS w FROM (SELECT DISTINCT text FROM sharing)),
+        digests AS (SELECT text, unnest(list_transform(range(1, greatest(len(w) - {lines.WORDS - 1}, 1) + 1),
+            lambda i: md5(array_to_string(w[i:i + {lines.WORDS - 1}], ' ')))) AS d FROM worded),
+        sketches AS (SELECT text, j, min(substr(d, 2 * j + 1, 16)) AS s FROM digests CROSS JOIN range({lines.SKETCHES}) t(j) GROUP BY text, j),
+        seen AS (SELECT source, line, text, j, s FROM sharing JOIN sketches USING (text)),
+        modes AS (SELECT source, line, j, s FROM (SELECT source, line, j, s, count(*) AS n FROM seen GROUP BY ALL)
+            QUALIFY row_number() OVER (PARTITION BY source, line, j ORDER BY n DESC, s) = 1),
+        agreed AS (SELECT x.source, x.line, x.text FROM seen x JOIN modes m ON m.source IS NOT DISTINCT FROM x.source
+            AND m.line = x.line AND m.j = x.j AND m.s = x.s GROUP BY ALL HAVING count(*) >= {lines.AGREE}),
+        copies AS (SELECT source, line, count(*) AS c FROM agreed GROUP BY ALL),
+        bad AS (SELECT source, line FROM (SELECT f.source, f.line, pages, n - greatest(coalesce(c, 0) - 1, 0) AS n
+                FROM frequent f LEFT JOIN copies p ON p.source IS NOT DISTINCT FROM f.source AND p.line = f.line)
+            WHERE n >= {lines.MIN_LINE_PAGES} AND n > {lines.RATIO} * pages),
         lists AS (SELECT source, list(line) AS bad FROM bad GROUP BY source),
         kept AS (SELECT doc_id, d.text, string_split(d.text, chr(10)) AS lines,
                 CASE WHEN bad IS NULL THEN string_split(d.text, chr(10)) ELSE list_filter(string_split(d.text, chr(10)),
