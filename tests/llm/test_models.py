@@ -1,4 +1,5 @@
 import random
+import re
 
 import numpy as np
 import pytest
@@ -41,13 +42,17 @@ def test_held_out_documents_and_their_sentences(spark, model):
     assert clean.columns == docs.columns and clean.count() == sum(not y for *_, y in rows)
 
 
-def test_noisy_or_of_sentences(model):
-    text = "You vile thing.\nalpha beta. rotten!"
-    one = {w: model.weights.get(w, 0) for w in ("vile", "rotten", "you", "thing", "alpha", "beta")}
-    p = [1 / (1 + np.exp(-(model.bias + sum(one[w] for w in s)))) for s in (("you", "vile", "thing"), ("alpha", "beta"), ("rotten",))]
-    empty = 1 / (1 + np.exp(-model.bias))  # behind a sentence's end and a line's end
-    want = 1 - np.prod([1 - x for x in p]) * (1 - empty) ** 2
-    assert toxicity.Scorer(model).scores([text])[0] == pytest.approx(want)
+def test_noisy_or_of_sentences():
+    """Scores in the middle, where each factor shows; sentences without a learned word count 0."""
+    weights = {"bad": 9.0, "worse": 9.3, "odd": 8.5}
+    known = toxicity.ToxicityModel(weights, toxicity.BIAS)
+    draw = random.Random(3)
+    for _ in range(200):
+        said = [draw.choices(["bad", "worse", "odd", "fine", "so", ""], k=draw.randrange(4)) for _ in range(draw.randrange(1, 5))]
+        text = "".join(" ".join(s) + draw.choice([". ", "!\n", "\n"]) for s in said)
+        z = [toxicity.BIAS + sum(weights.get(w, 0) for w in set(s)) for s in said if set(s) & set(weights)]
+        want = 1 - np.prod([1 - 1 / (1 + np.exp(-x)) for x in z])
+        assert toxicity.Scorer(known).scores([text])[0] == pytest.approx(want)
 
 
 def test_odd_texts(spark, model):
@@ -80,6 +85,75 @@ def test_words_are_counted_over_all_labelled_documents(spark):
     assert (toxicity.Scorer(model).scores(["A vile one", "rareword", "alpha. beta"]) >= toxicity.THRESHOLD).tolist() == [True, True, False]
 
 
+def test_the_sample_is_bounded_for_any_number_of_words(spark):
+    rows = [(20_000 + i, f"plain words only {i % 50}", 0) for i in range(12_000)]
+    rows += [(5000 + i, " ".join(f"bad{(i * 5 + j) % 1500}x" for j in range(5)) + ". plain", 1) for i in range(3000)]
+    docs = spark.createDataFrame([(i, t, "s", "x") for i, t, _ in rows], DOCS).repartition(3)
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id bigint, toxic int")
+    words = sorted(f"bad{j}x" for j in range(1500))
+    taken = toxicity.learning_rows(docs, words, np.full(1500, 10), 100).count()
+    assert 0 < taken < 150
+    model = toxicity.fit(docs, labels, max_rows=100)
+    assert set(model.weights) == set(words)
+    # Words none of whose documents was sampled have the weight of their counts.
+    scores = toxicity.Scorer(model).scores([f"{w}." for w in words])
+    assert (scores >= toxicity.THRESHOLD).mean() > 0.95
+    assert toxicity.Scorer(model).scores(["plain words only 7."])[0] == 0
+
+
+def test_words_by_chance_are_screened_out(spark):
+    """Each word in three documents, toxic ones by a coin: 3 of 3 toxic by chance passes a fixed test."""
+    draw = random.Random(8)
+    rows = [(i, " ".join(f"w{draw.randrange(20_000)}" for _ in range(20)), int(draw.random() < 0.3)) for i in range(3000)]
+    rows = [(i, t + (" vile." if y and i % 2 else "."), y) for i, t, y in rows]
+    docs = spark.createDataFrame([(i, t, "s", "x") for i, t, _ in rows], DOCS).repartition(3)
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id bigint, toxic int")
+    assert set(toxicity.fit(docs, labels).weights) == {"vile"}
+
+
+def brute_force(rows):
+    """Weights from dense loops over every document and sentence, and scores from them."""
+    def sentences(text):
+        return [set(re.findall(r"\w+", s)) for s in re.split(r"[.!?]\W*(?:\s|$)|\n", text.lower())]
+
+    bags = [[s for s in sentences(t)] for _, t, _ in rows]
+    labels = np.array([y for *_, y in rows])
+    n, k = len(rows), labels.sum()
+    held = {}
+    for bag, y in zip(bags, labels):
+        for w in set().union(*bag):
+            a, b = held.get(w, (0, 0))
+            held[w] = a + 1, b + y
+    words = sorted(w for w, (s, h) in held.items() if s >= 3 and h * n > s * k
+                   and (h * n - s * k) ** 2 * n > 27 * s * (n - s) * k * (n - k))
+    at = {w: i for i, w in enumerate(words)}
+    w, m, v = np.zeros(len(words)), np.zeros(len(words)), np.zeros(len(words))
+    for t in range(1, 151):
+        g = 0.05 * w
+        for bag, y in zip(bags, labels):
+            known = [[at[x] for x in s if x in at] for s in bag]
+            z = np.array([toxicity.BIAS + w[s].sum() for s in known if s])
+            if not len(z):
+                continue
+            clean = np.exp(-np.logaddexp(0, z).sum())
+            blame = -min(clean / max(1 - clean, 1e-12), 1e4) if y else 1.0
+            for s, x in zip([s for s in known if s], z):
+                g[s] += blame / (1 + np.exp(-x))
+        g = g / n
+        m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
+        w = w - 0.15 * m / (1 - 0.9**t) / (np.sqrt(v / (1 - 0.99**t)) + 1e-9)
+    return dict(zip(words, w))
+
+
+def test_fit_equals_brute_force(spark):
+    rows = bags(7, 150)
+    docs = spark.createDataFrame([(i, t, "s", "x") for i, t, _ in rows], DOCS).repartition(3)
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id bigint, toxic int")
+    model, want = toxicity.fit(docs, labels), brute_force(rows)
+    assert set(model.weights) == set(want)
+    assert all(model.weights[w] == pytest.approx(want[w], abs=1e-6) for w in want)
+
+
 def test_nothing_to_learn(spark):
     docs = spark.createDataFrame([(1, "a b", "s", "en"), (2, None, "s", None)], DOCS)
     labels = spark.createDataFrame([(1, 0), (2, None), (None, 1)], "doc_id bigint, toxic int")
@@ -120,6 +194,57 @@ def test_rare_languages_are_learned(spark):
     assert language.shares({"a": 10**6, "b": 10**5}, 6000) == (6000 / 1.1e6, {})
 
 
+def test_long_documents_are_learned_from(spark):
+    draw = random.Random(4)
+    word = {"de": lambda: draw.choice(["schule", "ung", "eine", "über"]), "fr": lambda: draw.choice(["eau", "école", "que", "oui"])}
+    rows = [(i, " ".join(word["de"]() for _ in range(40)), "s", "de") for i in range(40)]
+    rows += [(100 + i, " ".join(word["fr"]() for _ in range(6000)), "s", "fr") for i in range(40)]
+    model = language.fit(spark.createDataFrame(rows, DOCS))
+    assert model.languages == ("de", "fr")
+    assert [model.predict(t)[0] for t in ("eau que oui", "schule über eine")] == ["fr", "de"]
+
+
+def test_predictions_equal_brute_force(spark):
+    """Probabilities from dictionaries of n-grams, a text at a time."""
+    learned = spark.createDataFrame(list(texts(5, 200)), DOCS)
+    model = language.fit(learned)
+
+    def grams(text):
+        plain = re.sub(r"[\W\d_]+", " ", text.lower()).strip()
+        plain = f" {plain} " if plain else ""
+        out = {}
+        for n in (1, 2, 3):
+            for i in range(len(plain) - n + 1):
+                code = n
+                for c in plain[i : i + n]:
+                    code = (code * 0x9E3779B97F4A7C15 + ord(c)) % 2**64
+                code ^= code >> 29
+                code = code * 0xBF58476D1CE4E5B9 % 2**64
+                out[code >> 49] = out.get(code >> 49, 0) + 1
+        return out
+
+    rows = [*texts(6, 60), (700, "ka-lo, MI!", "s", "xx"), (701, "schung 12 ein", "s", "yy")]
+    got = {r.doc_id: r for r in language.predicted(spark.createDataFrame(rows, DOCS), model).collect()}
+    for i, text, *_ in rows:
+        x = {f: (1 + np.log(n)) * model.idf[f] for f, n in grams(text).items()}
+        norm = np.sqrt(sum(v * v for v in x.values()))
+        z = sum(v / norm * model.weights[f] for f, v in x.items()) / model.temperature
+        p = np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+        assert got[i].lang_pred == model.languages[int(p.argmax())] and got[i].score == pytest.approx(p.max())
+
+
+def test_equal_languages_and_columns_of_any_name(spark):
+    model = language.LanguageModel(("aa", "bb"), np.ones(language.BUCKETS), np.zeros((language.BUCKETS, 2)))
+    assert model.predict("text") == ("aa", 0.5)
+    names = ["lang_pred", "late", "features", "counts", "share", "words", "sentences", "predicted", "toxic"]
+    rows = [(i, t, lang, *names) for i, t, _, lang in texts(9, 60)]
+    frame = spark.createDataFrame(rows, ["doc_id", "text", "lang", *names])
+    assert language.predicted(frame, language.fit(frame)).columns == ["doc_id", "lang_pred", "score"]
+    labels = spark.createDataFrame([(i, i % 2, "x") for i in range(60)], "doc_id bigint, toxic int, text string")
+    clean = toxicity.without_toxic(frame, toxicity.fit(frame, labels))
+    assert clean.columns == frame.columns
+
+
 def test_frequencies_count_every_document(spark):
     rows = [(i, "ab", "s", "x") for i in range(50)] + [(99, None, "s", "x")]
     seen, n = language.document_frequencies(spark.createDataFrame(rows, DOCS).repartition(4))

@@ -5,12 +5,14 @@ characters are hashed into ``BUCKETS`` features, weighted by ``(1 + log tf) * id
 scaled to unit length. Document frequencies are counted by Spark over *all* documents
 learned from; at most ``BUCKETS`` numbers reach the driver. Weights are learned by
 follow-the-regularised-leader with an elastic net on a sample of about ``MAX_ROWS``
-documents of at most ``MAX_CHARS`` characters (the documented bound). Languages too rare
-for it have about ``LEAST`` documents in it, or all they have. A temperature is then
-fitted on a part of the sample kept out of learning.
+documents (the documented bound), whatever their length. Languages too rare for it have
+about ``LEAST`` documents in it, or all they have. A temperature is then fitted on a part of
+the sample kept out of learning. Texts never reach the driver: the tasks count the n-grams
+of sampled texts, at most ``BUCKETS`` of them each, and send those counts.
 
 A text that is null or has no letter is ``und`` with score 0; so is every text if there
-is nothing to learn from. Repeated rows are predicted alike. Very long texts are read
+is nothing to learn from. Repeated rows are predicted alike. Of languages of equal probability the
+first in the alphabet is predicted. Very long texts are read
 whole. Empty tables give empty results. Only ``doc_id``, ``text`` and, for learning,
 ``lang`` are read.
 """
@@ -28,7 +30,6 @@ from weirflow.llm.words import per_worker
 
 BUCKETS = 1 << 15
 MAX_ROWS = 6_000
-MAX_CHARS = 20_000
 LEAST = 30
 UNKNOWN = "und"
 
@@ -96,7 +97,9 @@ class LanguageModel:
     temperature: float = 1.0
 
     def features(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        found, n = counts(text)
+        return self.weighted(*counts(text))
+
+    def weighted(self, found: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         x = (1 + np.log(n)) * self.idf[found]
         norm = np.sqrt((x * x).sum())
         return found, x / norm if norm else x
@@ -168,13 +171,34 @@ def shares(sizes: dict[str, int], max_rows: int) -> tuple[float, dict[str, float
     )
 
 
-def fit(docs: DataFrame, max_rows: int = MAX_ROWS, max_chars: int = MAX_CHARS) -> LanguageModel:
+def sampled_counts(sample: DataFrame) -> DataFrame:
+    """``lang, late, features, counts`` of ``sample(lang, late, text)``: four bytes a feature.
+
+    A count beyond 65,535 is sent as that; its logarithm is what is learned from.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [counts(t) for t in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0),
+                    batch.column(1),
+                    pa.array([f.astype("<u2").tobytes() for f, _ in found], pa.binary()),
+                    pa.array([np.minimum(n, 65_535).astype("<u2").tobytes() for _, n in found], pa.binary()),
+                ],
+                names=["lang", "late", "features", "counts"],
+            )
+
+    return sample.mapInArrow(count, "lang string, late boolean, features binary, counts binary")
+
+
+def fit(docs: DataFrame, max_rows: int = MAX_ROWS) -> LanguageModel:
     """Learn from ``docs(doc_id, text, lang)``; the caller has left out what must be held out."""
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     frequency, n = document_frequencies(known)
     idf = np.log((1 + n) / (1 + frequency)) + 1
-    short = known.where(F.char_length("text") <= max_chars)
-    sizes = {r["lang"]: r["count"] for r in short.groupBy("lang").count().collect()}
+    sizes = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
     common, rare = shares(sizes, max_rows)
     share = F.lit(int(common * (1 << 20)))
     if rare:
@@ -182,22 +206,20 @@ def fit(docs: DataFrame, max_rows: int = MAX_ROWS, max_chars: int = MAX_CHARS) -
         share = F.coalesce(F.element_at(own, F.col("lang")), share)
     few = [name for name, size in sizes.items() if size < LEAST]  # all of them are learned from
     pick = F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(-1)), F.lit("learn")), F.lit(1 << 20))
-    sample = (
-        short.where(pick < share)
-        .select(
-            "text", "lang",
-            ((F.pmod(F.xxhash64("doc_id", F.lit("calibrate")), F.lit(5)) == 0) & ~F.col("lang").isin(few)).alias("late"),
-        )
-        .toPandas()
-    )
+    late = F.coalesce(F.pmod(F.xxhash64("doc_id", F.lit("calibrate")), F.lit(5)) == 0, F.lit(False))
+    chosen = known.where(pick < share).select("lang", (late & ~F.col("lang").isin(few)).alias("late"), "text")
+    sample = sampled_counts(chosen).toPandas()
     languages = tuple(sorted(sample["lang"].unique()))
     model = LanguageModel(languages, idf, np.zeros((BUCKETS, len(languages))))
     if not languages:
         return model
-    rows = [model.features(t) for t in sample["text"]]
+    rows = [
+        model.weighted(np.frombuffer(f, "<u2").astype(np.int64), np.frombuffer(n, "<u2"))
+        for f, n in zip(sample["features"], sample["counts"])
+    ]
     classes = sample["lang"].map({name: i for i, name in enumerate(languages)}).to_numpy()
     full = np.array([len(found) > 0 for found, _ in rows])
-    late = sample["late"].fillna(False).to_numpy(dtype=bool)
+    late = sample["late"].to_numpy(dtype=bool)
     early = np.flatnonzero(full & ~late)
     weights = follow_the_leader([rows[i] for i in early], classes[early], len(languages))
     later = np.flatnonzero(full & late)

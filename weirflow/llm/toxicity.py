@@ -11,13 +11,19 @@ learned word, an empty one included, has probability 0 in learning and scoring:
 alone makes no document toxic.
 
 Words are counted by Spark over all labelled whole texts and screened by their association
-with the label. The gradient steps use a sample of at most about ``MAX_ROWS`` labelled
-documents that hold a screened word (the documented bound; at least ``LEAST`` of each
-word), in which rare words have all their documents and others stand for what was left
-out. Only word and sentence numbers of the sample reach the driver, never texts. Scoring
-reads every whole text.
-
-Nulls and texts without learned words score 0. Rows without label are
+with the label, so that of the words that pass about ``FALSE_WORDS`` are there by chance
+(Benjamini and Hochberg), however large the vocabulary. Each first gets the weight its
+counts give it. The gradient steps use a sample of about ``MAX_ROWS`` labelled documents
+that hold such a word (the documented bound, of every number of words), in which rare words
+have all their documents and others stand for what was left out; a word none of whose
+documents is in it keeps its first weight. Only word and sentence numbers of the sample
+reach the driver, never texts. Scoring reads every whole text.
+
+A limit of the method as built: words weigh towards toxic only, and a sentence's bias is
+fixed, so no word can excuse another.
+
+Nulls and texts without learned words score 0. Very long texts are scored whole, and a
+score at the threshold counts as toxic. Extra columns pass as they are. Rows without label are
 not learned from; if a document has several labels the highest counts. Repeated rows are
 scored alike. An empty table gives an empty result. If nothing can be learned (no label,
 one kind of label only), every score is 0.
@@ -33,13 +39,13 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from weirflow.llm.words import WordTable, text_groups
 from weirflow.session import materialize
 
 MAX_ROWS = 12_000
-LEAST = 8
+FALSE_WORDS = 0.01
 TALLY_WORDS = 200_000
 THRESHOLD = 0.3
 # Fixed: learned from sentences with learned words only, it would rise until each such word
@@ -125,12 +131,13 @@ def _offends(seen, hits, docs, toxic):
 
 def _descend(
     cells: tuple[np.ndarray, np.ndarray, np.ndarray], labels: np.ndarray, counts: np.ndarray,
-    words: int, rounds: int, l2: float,
+    start: np.ndarray, rounds: int, l2: float,
 ) -> np.ndarray:
     """A weight per word. ``cells``: sentence of each occurrence, its word, document of each
-    sentence. A document stands for ``counts`` like it."""
+    sentence. A document stands for ``counts`` like it. Words without a cell keep ``start``."""
     row, feature, owner = cells
-    n = max(len(labels), 1)
+    n, words = max(len(labels), 1), len(start)
+    held = np.bincount(feature, minlength=words) > 0
     weights, first, second = np.zeros(words), np.zeros(words), np.zeros(words)
     for t in range(1, rounds + 1):  # Adam on the whole sample
         z = BIAS + np.bincount(row, weights=weights[feature], minlength=len(owner))
@@ -143,7 +150,35 @@ def _descend(
         first = 0.9 * first + 0.1 * gradient
         second = 0.99 * second + 0.01 * gradient**2
         weights = weights - 0.15 * first / (1 - 0.9**t) / (np.sqrt(second / (1 - 0.99**t)) + 1e-9)
-    return weights
+    return np.where(held, weights, start)
+
+
+def _first_weights(seen: np.ndarray, hits: np.ndarray) -> np.ndarray:
+    """The weight by which a sentence of this word alone is as toxic as its documents are."""
+    return np.log((hits + 0.5) / (seen - hits + 0.5)) - BIAS
+
+
+def surprise(seen: Column, hits: Column, rate: float) -> Column:
+    """A bound on minus the log of the chance of so many ``hits`` or more at ``rate`` (Chernoff)."""
+    share = hits / seen
+    rest = F.when(share < 1, (1 - share) * F.log((1 - share) / (1 - rate))).otherwise(0.0)
+    return F.when(share > rate, seen * (share * F.log(share / rate) + rest)).otherwise(0.0)
+
+
+def _least_surprise(counts: DataFrame, words: int, level: float) -> float:
+    """The smallest surprise at which about ``level`` of the words that reach it do by chance.
+
+    A histogram by tenths stands for the order of all words, so a bounded number of rows
+    reaches the driver.
+    """
+    tenths = F.least(F.floor(F.col("surprise") * 10), F.lit(10_000)).alias("tenths")
+    rows = counts.where("surprise > 0").groupBy(tenths).agg(F.count("*").alias("n")).collect()
+    reached, least = 0, math.inf
+    for r in sorted(rows, key=lambda r: -r["tenths"]):
+        reached += r["n"]
+        if math.exp(-r["tenths"] / 10) * words <= level * reached:
+            least = r["tenths"] / 10
+    return least
 
 
 def learn(texts: list[str | None], labels: np.ndarray, rounds: int = 150, l2: float = 0.05) -> ToxicityModel:
@@ -156,7 +191,8 @@ def learn(texts: list[str | None], labels: np.ndarray, rounds: int = 150, l2: fl
     if not chosen:
         return NOTHING
     cells = Scorer(ToxicityModel(dict.fromkeys(chosen, 0.0), BIAS)).cells(texts)
-    weights = _descend(cells, labels, np.ones(len(labels)), len(chosen), rounds, l2)
+    start = np.zeros(len(chosen))
+    weights = _descend(cells, labels, np.ones(len(labels)), start, rounds, l2)
     return ToxicityModel(dict(zip(chosen, weights.tolist())), BIAS)
 
 
@@ -195,9 +231,10 @@ def learning_rows(docs: DataFrame, words: list[str], seen: np.ndarray, max_rows:
     numbers of those words and of the sentences they are in.
 
     A sample by a hash of the id, which takes a document with probability ``share``: about
-    ``max_rows / len(words)`` labelled documents of each word, or ``LEAST``, or all it has.
+    ``max_rows / len(words)`` labelled documents of each word, or all it has, so about
+    ``max_rows`` at most, of any number of words.
     """
-    odds = np.minimum(1.0, max(LEAST, max_rows / len(words)) / np.maximum(seen, 1))
+    odds = np.minimum(1.0, max_rows / len(words) / np.maximum(seen, 1))
     known = ToxicityModel(dict.fromkeys(words, 0.0), BIAS)
 
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -237,13 +274,18 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, rounds: in
     if every is None or not 0 < every.hits < every.seen:
         return NOTHING
     seen, hits = F.col("seen").cast("double"), F.col("hits").cast("double")
+    judged = counts.where(F.col("word").isNotNull()).withColumn(
+        "surprise", surprise(seen, hits, every.hits / every.seen)
+    )
+    least = _least_surprise(judged, judged.count(), FALSE_WORDS)
+    offends = _offends(seen, hits, float(every.seen), float(every.hits))
     chosen = (
-        counts.where(F.col("word").isNotNull() & _offends(seen, hits, float(every.seen), float(every.hits)))
-        .select("word", "seen").orderBy("word").toArrow()
+        judged.where(offends & (F.col("surprise") >= least)).select("word", "seen", "hits").orderBy("word").toArrow()
     )
     words = chosen.column("word").to_pylist()
     if not words:
         return NOTHING
+    start = _first_weights(chosen.column("seen").to_numpy(), chosen.column("hits").to_numpy())
     rows = learning_rows(docs, words, chosen.column("seen").to_numpy(), max_rows).join(one, "doc_id").toArrow()
     sizes = rows.column("words").combine_chunks().value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
     sentence = rows.column("sentences").combine_chunks().flatten().to_numpy()
@@ -252,7 +294,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, rounds: in
     starts = np.append(True, (np.diff(doc) != 0) | (np.diff(sentence) != 0))[: len(doc)]
     cells = np.cumsum(starts) - 1, feature, doc[starts]
     likes = 1 / rows.column("share").to_numpy()
-    weights = _descend(cells, rows.column("toxic").to_numpy(), likes, len(words), rounds, l2)
+    weights = _descend(cells, rows.column("toxic").to_numpy(), likes, start, rounds, l2)
     return ToxicityModel(dict(zip(words, weights.tolist())), BIAS)
 
 
