@@ -1,5 +1,8 @@
 import random
 
+import numpy as np
+import pytest
+
 from weirflow.llm import decontam
 
 DOCS = "doc_id bigint, text string, item_id string, score string"
@@ -43,8 +46,6 @@ def test_whole_edited_and_clean(spark):
 
 
 def test_alignment_equals_the_textbook(spark):
-    import numpy as np
-
     draw = random.Random(4)
     for _ in range(60):
         a = [draw.randint(0, 4) for _ in range(draw.randint(1, 12))]
@@ -65,3 +66,62 @@ def test_empty_tables(spark):
     assert decontam.contaminated(docs, bench).count() == 0
     assert decontam.contaminated(some, bench).count() == 0
     assert decontam.decontaminated(some, bench).count() == 1
+
+
+def edited(draw, words, how, vocabulary):
+    """A copy with a share of its words replaced at random, or every fourth one."""
+    fresh = lambda: draw.choice(vocabulary)
+    if how == "fourth":
+        return [fresh() if i % 4 == 3 else w for i, w in enumerate(words)]
+    out = []
+    for w in words:
+        if draw.random() >= how:
+            out.append(w)
+        else:
+            out += draw.choice([[fresh()], [fresh()], [], [w, fresh()]])
+    return out
+
+
+@pytest.mark.parametrize("how", [0.0, 0.15, 0.2, 0.25, 0.3, "fourth"])
+def test_search_finds_what_aligning_all_pairs_finds(spark, how):
+    draw = random.Random(11)
+    # Words as frequent as in prose: a few make up much of the text.
+    vocabulary = draw.choices([f"w{i}" for i in range(1500)], weights=[1 / (i + 1) for i in range(1500)], k=60_000)
+    prose = lambda n: draw.choices(vocabulary, k=n)
+    items = [prose(draw.randrange(12, 60)) for _ in range(40)]
+    docs = []
+    for i in range(120):
+        body = prose(draw.randrange(30, 400))
+        if i < 80:
+            at = draw.randrange(len(body))
+            body[at:at] = edited(draw, items[i % 40], how, vocabulary)
+        docs.append(body)
+    frame = spark.createDataFrame([(i, " ".join(d)) for i, d in enumerate(docs)], "doc_id long, text string").repartition(2)
+    bench = spark.createDataFrame([(i, " ".join(d)) for i, d in enumerate(items)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.score for r in decontam.contaminated(frame, bench).collect()}
+    number = {w: i + 1 for i, w in enumerate(sorted(set(vocabulary)))}
+    code = lambda words: np.array([number[w] for w in words], dtype=np.uint64)
+    want = {}
+    for i, item in enumerate(items):
+        scores, _ = decontam.align(code(item), [code(d) for d in docs])
+        for j, s in enumerate(scores / (2 * len(item))):
+            if s >= decontam.THRESHOLD:
+                want[j, i] = s
+    assert set(got) <= set(want) and len(want) >= 40
+    assert len(got) >= 0.9 * len(want)
+    assert sum(got[k] == pytest.approx(want[k]) for k in got) >= 0.95 * len(got)
+
+
+def test_blocks_find_the_same(spark):
+    draw = random.Random(2)
+    words = lambda n: " ".join(f"w{draw.randrange(900)}" for _ in range(n))
+    bench = spark.createDataFrame([(i, words(20)) for i in range(30)], "item_id long, text string")
+    texts = {r.item_id: r.text for r in bench.collect()}
+    rows = [(i, words(50) + (" " + texts[i] if i % 2 else "")) for i in range(30)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    one, several = (
+        sorted((r.doc_id, r.item_id, r.score) for r in decontam.contaminated(frame, bench, block_chars=c).collect())
+        for c in (10**6, 500)
+    )
+    assert one == several and len(one) == 15
+    assert {r.doc_id for r in decontam.decontaminated(frame, bench, block_chars=500).collect()} == set(range(0, 30, 2))
