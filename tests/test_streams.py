@@ -8,7 +8,7 @@ from panes_by_hand import firings, random_ticks
 from pyspark.sql import functions as F, types as T
 
 from weirflow.operators import cdc, logs, rows, windows
-from weirflow.sinks import tables
+from weirflow.sinks import tables, upserted
 from weirflow.sources.messages import with_fresh_lookup
 from weirflow.streaming import bodies, dedup
 from weirflow.streaming.panes import pane_stream
@@ -215,11 +215,12 @@ def test_upsert_stream(spark, feed, run, table):
     source.send([{"value": LOG % (1, 1, 9), "seq": 0}, {"value": LOG % (1, 2, 4), "seq": 4}])
     parse = lambda b: logs.good_rows(logs.parse_logs(b, ["seq"]))
     run(source.stream(), bodies.upsert_body(table, ["trace_id"], "seq", parse))
-    found = tables.current_rows(spark, table, ["trace_id"], ["seq"]).collect()
+    found = spark.sql(f"SELECT * FROM {table}").collect()
     assert {r["trace_id"]: r["latency_ms"] for r in found} == {"t1": 9, "t2": 4}
+    upserted.drop(spark, upserted.UpsertTable(table, [], []))
 
 
-def test_change_stream_equals_batch(spark, feed, run, table):
+def test_change_stream_equals_batch(spark, feed, run, table, tmp_path):
     rng = random.Random(5)
     source = feed("value string, seq bigint")
     everything = []
@@ -240,6 +241,12 @@ def test_change_stream_equals_batch(spark, feed, run, table):
     applied = cdc.apply_changes(cdc.changed_records(cdc.parse_changes(whole, ["seq"]), "seq"))
     as_set = lambda df: {(r["record"]["ID"], r["record"]["v"]) for r in df.collect()}
     assert as_set(streamed) == as_set(applied)
+    target = bodies.change_table(table + "_now", buckets=3)
+    tables.write_each_batch(
+        source.stream(), bodies.applied_change_body(target, "seq"), str(tmp_path / "applied"), None
+    ).start().awaitTermination()
+    assert as_set(spark.sql(f"SELECT * FROM {target.name}")) == as_set(applied)
+    upserted.drop(spark, target)
 
 
 def test_two_streams_share_a_table(spark, table, tmp_path):

@@ -386,3 +386,13 @@ UNION ALL SELECT 'field', name || '.bundle_id', count(*) FROM good GROUP BY name
 UNION ALL SELECT 'field', name || '.v', count(*) FROM good GROUP BY name
 UNION ALL SELECT 'field', name || '.uuid', count(uuid) FROM good GROUP BY name
 UNION ALL SELECT 'field', name || '.extra', count(*) FROM good WHERE event_id % 5 = 0 GROUP BY name"""
+ORACLES["poison_rows"] = """SELECT event_id AS seq,
+  CASE WHEN event_id % 49999 = 5 THEN 'many' ELSE CAST(user_id AS VARCHAR) END AS amount,
+  CASE WHEN event_id % 49999 = 5 THEN 'CAST_INVALID_INPUT' ELSE '' END AS reason FROM events"""
+ORACLES["conflict_load"] = """WITH b AS (
+  SELECT event_id, least((day(ts) - 1) // 10, 2) AS batch, event_id % 101 = 0 AS twice FROM events)
+SELECT event_id AS "ID", CASE WHEN batch = 0 AND NOT twice THEN event_id END AS n,
+  CASE WHEN batch = 1 AND NOT twice THEN event_id || '.50' END AS "n_V2",
+  CASE WHEN batch = 2 AND NOT twice THEN 'v' || event_id END AS "n_V3",
+  CASE WHEN NOT twice THEN '{"a":' || event_id || CASE WHEN batch > 0 THEN ',"b":[1,"x"]' ELSE '' END || '}' END AS o,
+  CASE WHEN twice THEN 'repeated field' ELSE '' END AS reason FROM b"""

@@ -22,7 +22,7 @@ from weirflow.session import prepare_session, scratch_dir
 from weirflow.sinks import bulk, files, tables
 from weirflow.sources.messages import envelope_rows, stream_table, with_fresh_lookup
 from weirflow.sources.schemas import record_schema, table_schema
-from weirflow.streaming import bodies, jobs
+from weirflow.streaming import bodies, jobs, retry
 from weirflow.streaming.dedup import dedup_stream, without_key
 from weirflow.streaming.panes import pane_stream
 
@@ -871,14 +871,64 @@ def stream_shared_dead(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_upsert(spark: SparkSession, folder: str) -> DataFrame:
-    """Upserts over several micro-batches."""
+    """Upserts over several micro-batches into a table read as it is."""
     messages = adapters.log_messages(tick_stream(spark, folder, "events", "event_id"))
-    table = _sink_table(spark, "stream_upsert", LOG_DDL)
-    body = bodies.upsert_body(
-        table, ["trace_id"], "seq", lambda b: logs.good_rows(logs.parse_logs(b, ["seq"]))
+    table = _fresh_table("stream_upsert")
+
+    def parse(batch: DataFrame) -> tuple[DataFrame, DataFrame]:
+        parsed = logs.parse_logs(batch, ["seq"])
+        return logs.good_rows(parsed), logs.dead_letters(parsed, ["seq"])
+
+    _drain(messages, bodies.upsert_body(table, ["trace_id"], "seq", parse), spark, "stream-upsert")
+    return spark.sql(f"SELECT * FROM {table}")
+
+
+def poison_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows that make a strict body fail, found by halving; the others land."""
+    source = read(spark, folder, "events").select(
+        F.col("event_id").alias("seq"),
+        F.when(F.col("event_id") % 49_999 == 5, F.lit("many")).otherwise(F.col("user_id").cast("string")).alias("amount"),
+    )
+    table, poison = _fresh_table("strict"), _fresh_table("poison")
+
+    def strict(batch: DataFrame, batch_id: int) -> None:
+        typed = batch.select("seq", F.col("amount").cast("bigint").alias("amount"))
+        tables.append_batch(typed, table, batch_id, create=True)
+
+    stream = ticks(source, F.lit(0), "poison")
+    _drain(stream, retry.isolating(strict, poison, max_runs=10_000), spark, "poison")
+    good = spark.table(table).select("seq", F.col("amount").cast("string").alias("amount"), F.lit("").alias("reason"))
+    text = F.from_json("value", "seq bigint, amount string")
+    bad = spark.table(poison).select(text.alias("r"), "reason").select("r.seq", "r.amount", "reason")
+    return good.unionByName(bad)
+
+
+def conflict_load(spark: SparkSession, folder: str) -> DataFrame:
+    """A field whose kind changes from micro-batch to micro-batch, loaded without loss."""
+    day = F.dayofmonth("ts")
+    batch = F.least(F.floor((day - 1) / 10), F.lit(2)).cast("bigint")
+    number = F.col("event_id").cast("string")
+    value = (
+        F.when(batch == 0, number)
+        .when(batch == 1, F.concat(number, F.lit(".50")))
+        .otherwise(F.concat(F.lit('"v'), number, F.lit('"')))
+    )
+    nested = F.concat(F.lit('{"a":'), number, F.when(batch > 0, F.lit(',"b":[1,"x"]')).otherwise(""), F.lit("}"))
+    twice = F.when(F.col("event_id") % 101 == 0, F.lit(',"N":0')).otherwise("")
+    text = F.concat(F.lit('{"ID":'), number, F.lit(',"n":'), value, F.lit(',"o":'), nested, twice, F.lit("}"))
+    stream = ticks(read(spark, folder, "events").select(text.alias("value"), batch.alias("batch")), F.col("batch"), "conflict")
+    table = _fresh_table("conflict")
+    body = bodies.staged_load_body(table, scratch_dir(spark, "conflict-stage"), scratch_dir(spark, "conflict"))
+    _drain(stream, body, spark, "conflict-load")
+    rows_ = spark.table(table).select(
+        "ID", "n", F.col("n_V2").cast("decimal(38,2)").cast("string").alias("n_V2"), "n_V3", F.to_json("o").alias("o"),
+        F.lit("").alias("reason"),
     )
-    _drain(messages, body, spark, "stream-upsert")
-    return tables.current_rows(spark, table, ["trace_id"], ["seq"])
+    lost = spark.table(table + "_dead").select(
+        json_field("value", "ID").cast("bigint").alias("ID"), F.lit(None).cast("bigint").alias("n"),
+        *[F.lit(None).cast("string").alias(c) for c in ("n_V2", "n_V3", "o")], "reason",
+    )
+    return rows_.unionByName(lost)
 
 
 def stream_cdc(spark: SparkSession, folder: str) -> DataFrame:
@@ -894,20 +944,11 @@ def stream_cdc(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_cdc_batches(spark: SparkSession, folder: str) -> DataFrame:
-    """Changes over several micro-batches, folded in between."""
+    """Changes over several micro-batches, applied to a table read as it is."""
     messages = adapters.change_messages(tick_stream(spark, folder, "orders", "o_orderkey"))
-    table = _sink_table(
-        spark,
-        "stream_cdc_batches",
-        "destination string, change_type string, ts bigint, es bigint, arrival bigint, "
-        "pk_names array<string>, pos int, record map<string,string>, record_key string",
-    )
-    _drain(messages, bodies.change_body(table, "arrival"), spark, "stream-cdc-batches")
-    keys = ["destination", "record_key"]
-    fold = tables.fold_batches(
-        spark, table, keys, cdc.CHANGE_ORDER, 2, scratch_dir(spark, "cdc-fold")
-    )
-    return _records(bodies.current_records(tables.unfolded(spark, table, fold)))
+    target = bodies.change_table(_fresh_table("stream_cdc_batches"))
+    _drain(messages, bodies.applied_change_body(target, "arrival"), spark, "stream-cdc-batches")
+    return _records(spark.sql(f"SELECT * FROM {target.name}"))
 
 
 def stream_drift_batches(spark: SparkSession, folder: str) -> DataFrame:
@@ -1078,6 +1119,8 @@ QUERIES: dict[str, Query] = {
         field_counts,
         stream_log,
         stream_upsert,
+        poison_rows,
+        conflict_load,
         stream_shared_dead,
         bundle_tables,
         bundle_registry,

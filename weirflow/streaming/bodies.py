@@ -12,7 +12,8 @@ from weirflow.functions.times import from_millis
 from weirflow.operators import cdc, drift, events, logs, windows
 from weirflow.operators.rows import compute_once, latest_by, with_lookup
 from weirflow.session import materialize
-from weirflow.sinks import bulk, files, tables
+from weirflow.sinks import bulk, files, tables, upserted
+from weirflow.sinks.upserted import UpsertTable
 
 Body = Callable[[DataFrame, int], None]
 
@@ -55,12 +56,63 @@ def dead_of(table: str, dead_table: str | None) -> str:
 
 
 def upsert_body(
-    table: str, keys: Sequence[str], arrival: str, parse: Callable, fmt: str = "parquet"
+    table: str,
+    keys: Sequence[str],
+    arrival: str,
+    parse: Callable,
+    fmt: str = "parquet",
+    buckets: int = 16,
+    dead_table: str | None = None,
+) -> Body:
+    """Parse and upsert by primary key, with MERGE where the table format has it.
+
+    Elsewhere the table is one of ``sinks.upserted``, read with a plain ``SELECT``. A later
+    micro-batch wins; inside one, the later arrival. ``parse`` gives the good rows, or
+    those and the dead letters.
+    """
+    target = UpsertTable(table, list(keys), [arrival], buckets, sequenced=True)
+
+    def body(batch: DataFrame, batch_id: int) -> None:
+        with kept(batch) as rows:
+            parsed = parse(rows)
+            good, letters = parsed if isinstance(parsed, tuple) else (parsed, None)
+            if fmt in tables.MERGE_FORMATS:
+                tables.upsert_batch(good, table, batch_id, keys, [arrival], fmt)
+            else:
+                upserted.upsert(good, target)
+            if letters is not None:
+                tables.append_batch(letters, dead_of(table, dead_table), batch_id, create=True)
+
+    return body
+
+
+def change_table(table: str, buckets: int = 16) -> UpsertTable:
+    """The table of ``applied_change_body``: a row per record of each destination."""
+    return UpsertTable(table, ["destination", "record_key"], cdc.CHANGE_ORDER, buckets, deleted="deleted")
+
+
+def applied_change_body(
+    target: UpsertTable, arrival: str, dead_table: str | None = None, keep_deletes_ms: int | None = None
 ) -> Body:
-    """Parse and upsert by primary key, with MERGE where the table format has it."""
+    """Apply each batch's changes to a table that is read as it is, with a plain ``SELECT``.
+
+    Deletes stay in it unseen, so an older change that comes later finds them; with
+    ``keep_deletes_ms`` those go whose time is that far behind the newest of the batch.
+    """
 
     def body(batch: DataFrame, batch_id: int) -> None:
-        tables.upsert_batch(parse(batch), table, batch_id, keys, [arrival], fmt)
+        with kept(cdc.parse_changes(batch, [arrival])) as parsed:
+            changes = cdc.changed_records(parsed, arrival).withColumn(
+                "record_key", cdc.record_key(F.col("pk_names"), F.col("record"))
+            )
+            marked = changes.withColumn("deleted", F.coalesce(F.col("change_type") == "DELETE", F.lit(False)))
+            purge = None
+            if keep_deletes_ms is not None:
+                newest = parsed.agg(F.max("ts")).first()[0]
+                purge = F.col("ts") < (newest or 0) - keep_deletes_ms
+            upserted.upsert(marked, target, purge)
+            letters = logs.dead_letters(parsed, [arrival])
+            tables.append_batch(letters, dead_of(target.name, dead_table), batch_id, create=True)
 
     return body
 
