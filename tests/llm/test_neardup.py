@@ -101,3 +101,13 @@ def test_bands_reach_the_recall():
     for threshold, recall in ((0.8, 0.9999), (0.5, 0.9), (0.9, 0.999)):
         bands, rows = neardup.choose_bands(threshold, recall, 200)
         assert bands * rows <= 200 and 1 - (1 - threshold**rows) ** bands >= recall
+
+
+def test_components_of_a_hub_and_of_chains(spark):
+    draw = random.Random(6)
+    edges = [(i, 0) for i in range(1, 400)] + [(1000 + i, 1001 + i) for i in range(60)] + [(5, 2000), (2000, 3)]
+    draw.shuffle(edges)
+    frame = spark.createDataFrame(edges, "node bigint, parent bigint").repartition(3)
+    got = {r.node: r.root for r in neardup.components(frame).collect()}
+    want = {i: 0 for i in range(1, 400)} | {2000: 0} | {i: 1000 for i in range(1001, 1061)}
+    assert got == want

@@ -45,6 +45,8 @@ RECALL = 0.9999
 HASHES = 200
 CHUNK = 128
 CHUNK_GRAMS = 1 << 18
+# Edges of one node are dealt to so many tasks.
+SALTS = 8
 _NONE = -(2**63)
 
 
@@ -248,6 +250,13 @@ def components(edges: DataFrame) -> DataFrame:
     Alternates large-star and small-star rounds, each written to the shared folder,
     until every edge leads to a root. The driver sees one number per round.
     """
+    def with_least(edges: DataFrame, least: DataFrame) -> DataFrame:
+        """``edges`` with ``m`` of their node, which may have very many of them."""
+        copies = least.select("node", "m", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+        return edges.withColumn("salt", F.pmod(F.xxhash64("parent"), F.lit(SALTS)).cast("int")).join(
+            copies, ["node", "salt"]
+        )
+
     edges = materialize(
         edges.where("node <> parent")
         .select(F.greatest("node", "parent").alias("node"), F.least("node", "parent").alias("parent"))
@@ -269,12 +278,12 @@ def components(edges: DataFrame) -> DataFrame:
             "node", F.least("node", "m").alias("m")
         )
         large = (
-            around.join(least, "node").where("parent > node")
+            with_least(around, least).where("parent > node")
             .select(F.col("parent").alias("node"), F.col("m").alias("parent")).distinct()
         )
         low = large.groupBy("node").agg(F.min("parent").alias("m"))
         small = (
-            large.join(low, "node")
+            with_least(large, low)
             .select(F.explode(F.array(
                 F.struct("node", F.col("m").alias("parent")),
                 F.struct(F.col("parent").alias("node"), F.col("m").alias("parent")),
