@@ -3,6 +3,13 @@
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; ``run`` writes it as
 Parquet below the folder all executors share and reads it again as the next one's input.
 All stages but the last return the columns of ``documents``.
+
+For every stage: a null text has nothing to judge and stays as it is (the last packs it as
+empty); a null id is a value like any other; very long texts are read whole; an empty table
+gives an empty result; further columns pass unchanged, whatever their names. Repeated rows
+are judged alike, and the near-duplicate stage keeps one of them; of documents of one group
+it keeps the smallest id, a null id first, and of equal ids the smaller hash of the text.
+Scores at a threshold count as above it.
 """
 
 from __future__ import annotations
