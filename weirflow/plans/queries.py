@@ -19,7 +19,7 @@ from weirflow.functions.times import epoch_millis, from_millis
 from weirflow.operators import cdc, compare, drift, events, logs, rows, windows
 from weirflow.plans import adapters
 from weirflow.session import prepare_session, scratch_dir
-from weirflow.sinks import bulk, files, tables
+from weirflow.sinks import bulk, compact, files, tables
 from weirflow.sources.messages import envelope_rows, stream_table, with_fresh_lookup
 from weirflow.sources.schemas import record_schema, table_schema
 from weirflow.streaming import bodies, jobs, retry
@@ -394,14 +394,16 @@ def window_records(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def day_table(spark: SparkSession, folder: str) -> DataFrame:
-    """JSON events in a table partitioned by day, read back by partition."""
+    """JSON events of several micro-batches in a table partitioned by day, compacted and read back."""
     table = _fresh_table("day_table")
     schema = T.StructType.fromDDL("event_ts bigint, kind string, user bigint, event_day date")
     tables.create_table(
         prepare_session(spark), table, schema, scratch_dir(spark, "day-table"), partitions=["event_day"]
     )
     body = bodies.basic_event_body(table, T.StructType(schema.fields[:3]))
-    body(adapters.basic_messages(read(spark, folder, "events")), 0)
+    arrivals = tick_stream(spark, folder, "events", "event_id", 6)
+    _drain(adapters.basic_messages(arrivals), body, spark, "day-table")
+    compact.compact(spark, table, fanout=3)
     stored = spark.table(table)
     return stored.groupBy(F.col("event_day").cast("string").alias("event_day"), "kind").agg(
         F.count("*").alias("num_records"),

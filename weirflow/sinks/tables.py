@@ -8,6 +8,7 @@ table, and one started anew with a new checkpoint, leave each other's rows alone
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable, Iterable, Sequence
 from typing import NamedTuple
@@ -25,6 +26,11 @@ BATCH = "ingest_batch"
 WRITER = "ingest_writer"
 RESERVED = (BATCH, WRITER)
 
+# Table property with the batches that ``sinks.compact`` has merged, per writer.
+COMPACTED = "weirflow.compacted"
+
+_OVERWRITE = "spark.sql.sources.partitionOverwriteMode"
+
 # Names of table formats whose provider executes MERGE.
 MERGE_FORMATS = ("delta", "iceberg", "hudi")
 
@@ -46,6 +52,17 @@ def stream_id(spark: SparkSession) -> str:
     return spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
 
 
+def table_property(spark: SparkSession, table: str, name: str) -> str | None:
+    rows = spark.sql(f"SHOW TBLPROPERTIES {quoted(table)}").collect()
+    return {r["key"]: r["value"] for r in rows}.get(name)
+
+
+def landed_ranges(spark: SparkSession, table: str, writer: str) -> list[tuple[int, int, int]]:
+    """``(first, last, tier)`` of the writer's batches that were merged: all of them have landed."""
+    marks = json.loads(table_property(spark, table, COMPACTED) or "{}")
+    return [tuple(m) for m in marks.get(writer, [])]
+
+
 def create_table(
     spark: SparkSession,
     table: str,
@@ -89,6 +106,7 @@ def append_batch(
 ) -> None:
     """Append a micro-batch by column name; running it again replaces the same rows.
 
+    A batch that ``sinks.compact`` has merged with others has landed, and is skipped.
     Columns the table lacks are ignored, columns the batch lacks are NULL. The
     table must exist unless ``create`` is set. Files follow the batch's own
     partitions, without a shuffle, unless ``shards`` sets their number (0: AQE).
@@ -98,6 +116,8 @@ def append_batch(
         if not create:
             raise ValueError(f"table {table} does not exist")
         create_table(spark, table, batch.schema)
+    if any(first <= batch_id <= last for first, last, _ in landed_ranges(spark, table, stream_id(spark))):
+        return
     have = {f.name.lower(): f for f in batch.schema.fields}
     columns = []
     for f in table_columns(spark, table).fields:
@@ -117,9 +137,13 @@ def append_batch(
         rows = sharded(rows, shards)
     if parts:
         # Only the folders of this batch and writer are replaced, below each day it has.
-        stamped = rows.withColumns(own)
-        writer = stamped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.insertInto(quoted(table))
+        # The session's setting decides that; a writer's option is not heeded here.
+        before = spark.conf.get(_OVERWRITE)
+        spark.conf.set(_OVERWRITE, "dynamic")
+        try:
+            rows.withColumns(own).write.mode("overwrite").insertInto(quoted(table))
+        finally:
+            spark.conf.set(_OVERWRITE, before)
         return
     view = f"batch_{uuid.uuid4().hex}"
     rows.createOrReplaceTempView(view)
