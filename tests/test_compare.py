@@ -77,3 +77,21 @@ def test_golden_record_comes_through_unchanged(spark, texts):
 def test_as_records(spark):
     df = spark.createDataFrame([(1, "a", None)], "key int, x string, n int")
     assert compare.as_records(df, ["key"]).first()["record"] == {"x": "a", "n": None}
+
+
+def test_equal_ranges_are_told_by_their_digests(spark):
+    rows = [(i % 50, {"v": str(i), "w": None}) for i in range(400)] + [(None, {"v": "x"}), (7, {}), (7, {})]
+    left = spark.createDataFrame(rows, "key long, record map<string,string>")
+    right = left.repartition(5).orderBy(F.rand(3))
+
+    def differing(a, b):
+        a, b = (compare._hashed(d, ["key"], 64) for d in (a, b))
+        return {r.range for r in compare.differing_ranges(a, b).collect()}
+
+    assert differing(left, right) == set()
+    assert compare.compare_records(left, right, ["key"]).count() == 0
+    own = {r.range for r in compare._hashed(left.filter("key = 7"), ["key"], 64).collect()}
+    assert differing(left, right.union(left.filter("key = 7").limit(1))) == own  # a copy more
+    assert differing(left, right.filter("key IS NULL OR key <> 7")) == own
+    changed = right.withColumn("record", F.when(F.col("key") == 7, F.map_concat("record", F.create_map(F.lit("z"), F.lit("1")))).otherwise(F.col("record")))
+    assert differing(left, changed) == own

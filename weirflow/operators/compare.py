@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from weirflow.session import materialize
 
+# Ranges of keys whose digests are compared before any record is.
+RANGES = 4096
+
 
 def as_records(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Key columns plus all other columns as a name -> text map, null fields included."""
@@ -18,16 +21,22 @@ def as_records(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.select(*keys, F.create_map(*entries).alias("record"))
 
 
-def compare_records(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+def compare_records(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], ranges: int = RANGES
+) -> DataFrame:
     """One row per difference: key, ``field``, ``status``, both values, ``copies``.
 
     ``status`` is ``missing`` (only left), ``extra`` (only right) or
-    ``different``. Both inputs hold ``record`` maps. Equal records cancel out,
-    copy by copy, in one aggregation that combines copies before the shuffle. What
-    is left over is compared field by field inside the row where a key has at
+    ``different``. Both inputs hold ``record`` maps. Digests of ranges of keys are
+    compared first (``differing_ranges``), so of equal parts no record is shuffled. In
+    the others equal records cancel out, copy by copy, in one aggregation that combines
+    copies before the shuffle. What is left over is compared field by field inside the row where a key has at
     most one record per side. Where it has several, none is the counterpart of
     another, so each is reported whole, with its number of copies.
     """
+    left, right = (_hashed(side, keys, ranges) for side in (left, right))
+    differing = F.broadcast(differing_ranges(left, right))  # at most ``ranges`` rows
+    left, right = (side.join(differing, "range", "left_semi") for side in (left, right))
     surplus = materialize(_surplus(left, right, keys), "differences")
     on_left, on_right = F.col("n") > 0, F.col("n") < 0
     per_key = surplus.groupBy(*keys).agg(
@@ -51,11 +60,34 @@ def compare_records(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> D
     )
 
 
+def _hashed(records: DataFrame, keys: Sequence[str], ranges: int) -> DataFrame:
+    """``keys, entries`` (the record in order of its names) and the ``range`` of the key's hash."""
+    entries = F.array_sort(F.map_entries("record")).alias("entries")
+    in_range = F.pmod(F.xxhash64(*keys), F.lit(ranges)).alias("range")
+    return records.select(*keys, entries, in_range)
+
+
+def differing_ranges(left: DataFrame, right: DataFrame) -> DataFrame:
+    """``range``: those whose records differ between the two sides.
+
+    A range's digest is the number of its records and two sums of their hashes, so it
+    depends on neither order nor partitions, and a record more or less changes it. Digests
+    are combined in the map tasks; what is shuffled are at most ``ranges`` rows per task.
+    """
+    rows = left.withColumn("side", F.lit(1)).unionByName(right.withColumn("side", F.lit(-1)))
+    data = [c for c in rows.columns if c not in ("range", "side")]
+
+    def total(seed: int) -> Column:
+        return F.sum(F.xxhash64(F.lit(seed), *data).cast("decimal(20,0)") * F.col("side"))
+
+    sums = rows.groupBy("range").agg(F.sum("side").alias("n"), total(1).alias("a"), total(2).alias("b"))
+    return sums.filter("n <> 0 OR a <> 0 OR b <> 0").select("range")
+
+
 def _surplus(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Records one side has more copies of: ``n`` above 0 for left, below 0 for right."""
-    entries = F.array_sort(F.map_entries("record")).alias("entries")
-    both = left.select(*keys, entries, F.lit(1).alias("side")).unionByName(
-        right.select(*keys, entries, F.lit(-1).alias("side"))
+    both = left.select(*keys, "entries", F.lit(1).alias("side")).unionByName(
+        right.select(*keys, "entries", F.lit(-1).alias("side"))
     )
     return both.groupBy(*keys, "entries").agg(F.sum("side").alias("n")).filter("n <> 0")
 
