@@ -251,10 +251,13 @@ def components(edges: DataFrame) -> DataFrame:
     until every edge leads to a root. The driver sees one number per round.
     """
     def with_least(edges: DataFrame, least: DataFrame) -> DataFrame:
-        """``edges`` with ``m`` of their node, which may have very many of them."""
+        """``edges`` with ``m`` of their node, which may have very many of them.
+
+        Nodes grow with the corpus, so this is a shuffle join at every size.
+        """
         copies = least.select("node", "m", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
         return edges.withColumn("salt", F.pmod(F.xxhash64("parent"), F.lit(SALTS)).cast("int")).join(
-            copies, ["node", "salt"]
+            copies.hint("merge"), ["node", "salt"]
         )
 
     edges = materialize(
