@@ -2,6 +2,7 @@ import json
 import os
 import random
 import time
+import uuid
 
 import pytest
 from panes_by_hand import firings, random_ticks
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F, types as T
 from weirflow.operators import cdc, logs, rows, windows
 from weirflow.sinks import tables, upserted
 from weirflow.sources.messages import with_fresh_lookup
-from weirflow.streaming import bodies, dedup
+from weirflow.streaming import batches, bodies, dedup
 from weirflow.streaming.panes import pane_stream
 
 
@@ -151,6 +152,39 @@ def test_dedup_by_a_column_equals_rules(spark, feed, run, table):
     assert {(r["k"], r["o"]) for r in spark.table(table).collect()} == expected
 
 
+@pytest.fixture
+def no_empty_batches(spark):
+    setting = "spark.sql.streaming.noDataMicroBatches.enabled"
+    spark.conf.set(setting, "false")
+    yield
+    spark.conf.set(setting, "true")
+
+
+def test_batches_span_micro_batches(spark, feed, run, table, no_empty_batches):
+    source = feed("k string, n bigint")
+    for part in range(5):  # with a restart before each
+        source.send([{"k": "ab"[i % 3 == 0], "n": part * 40 + i} for i in range(40)] + [{"n": part}])
+        run(batches.batch_stream(source.stream(), "k", "n", 30, 3600), bodies.append_body(table))
+    got = {(r["key"], r["batch"]): [x["n"] for x in r["rows"]] for r in spark.table(table).collect()}
+    for key in "ab":
+        sent = [p * 40 + i for p in range(5) for i in range(40) if "ab"[i % 3 == 0] == key]
+        whole = [sent[i : i + 30] for i in range(0, len(sent) - 29, 30)]
+        assert [got[key, i] for i in range(len(whole))] == whole and (key, len(whole)) not in got
+    assert not any(k is None for k, _ in got)  # five rows without a key still wait
+    assert {r["closed"] for r in spark.table(table).collect()} == {"full"}
+
+
+def test_a_batch_closes_after_its_time(spark, feed, run, table, no_empty_batches):
+    source = feed("k string, n bigint")
+    for n in range(3):
+        source.send([{"k": "a", "n": n}])
+        run(batches.batch_stream(source.stream(), "k", "n", 30, 1), bodies.append_body(table))
+        time.sleep(2)
+    found = {r["batch"]: ([x["n"] for x in r["rows"]], r["closed"]) for r in spark.table(table).collect()}
+    assert all(closed == "time" for _, closed in found.values())
+    assert sorted(n for ns, _ in found.values() for n in ns) in ([0, 1], [0], [0, 1, 2])
+
+
 def test_late_rows_over_a_restart(spark, feed, run, table):
     source = feed("n bigint, at bigint")
     marks = table + "_dead"
@@ -209,15 +243,16 @@ def test_failed_batch_is_run_again_without_doubles(spark, feed, run, table):
     assert spark.table(table).count() == 1
 
 
-def test_upsert_stream(spark, feed, run, table):
+def test_upsert_stream(spark, feed, run):
+    name = f"upserted_{uuid.uuid4().hex}"
     source = feed("value string, seq bigint")
     source.send([{"value": LOG % (1, 1, 1), "seq": 1}, {"value": LOG % (1, 1, 2), "seq": 2}])
     source.send([{"value": LOG % (1, 1, 9), "seq": 0}, {"value": LOG % (1, 2, 4), "seq": 4}])
     parse = lambda b: logs.good_rows(logs.parse_logs(b, ["seq"]))
-    run(source.stream(), bodies.upsert_body(table, ["trace_id"], "seq", parse))
-    found = spark.sql(f"SELECT * FROM {table}").collect()
+    run(source.stream(), bodies.upsert_body(name, ["trace_id"], "seq", parse))
+    found = spark.sql(f"SELECT * FROM {name}").collect()
     assert {r["trace_id"]: r["latency_ms"] for r in found} == {"t1": 9, "t2": 4}
-    upserted.drop(spark, upserted.UpsertTable(table, [], []))
+    upserted.drop(spark, upserted.UpsertTable(name, [], []))
 
 
 def test_change_stream_equals_batch(spark, feed, run, table, tmp_path):
@@ -241,9 +276,9 @@ def test_change_stream_equals_batch(spark, feed, run, table, tmp_path):
     applied = cdc.apply_changes(cdc.changed_records(cdc.parse_changes(whole, ["seq"]), "seq"))
     as_set = lambda df: {(r["record"]["ID"], r["record"]["v"]) for r in df.collect()}
     assert as_set(streamed) == as_set(applied)
-    target = bodies.change_table(table + "_now", buckets=3)
+    target = bodies.change_table(f"now_{uuid.uuid4().hex}", buckets=3)
     tables.write_each_batch(
-        source.stream(), bodies.applied_change_body(target, "seq"), str(tmp_path / "applied"), None
+        source.stream(), bodies.applied_change_body(target, "seq", table + "_dead"), str(tmp_path / "applied"), None
     ).start().awaitTermination()
     assert as_set(spark.sql(f"SELECT * FROM {target.name}")) == as_set(applied)
     upserted.drop(spark, target)

@@ -396,3 +396,7 @@ SELECT event_id AS "ID", CASE WHEN batch = 0 AND NOT twice THEN event_id END AS
   CASE WHEN batch = 2 AND NOT twice THEN 'v' || event_id END AS "n_V3",
   CASE WHEN NOT twice THEN '{"a":' || event_id || CASE WHEN batch > 0 THEN ',"b":[1,"x"]' ELSE '' END || '}' END AS o,
   CASE WHEN twice THEN 'repeated field' ELSE '' END AS reason FROM b"""
+ORACLES["stream_batches"] = """WITH n AS (SELECT event_type, event_id,
+    (row_number() OVER (PARTITION BY event_type ORDER BY event_id) - 1) // 100 AS batch_id FROM events)
+SELECT event_type, batch_id, count(*) AS size, min(event_id) AS first_id, max(event_id) AS last_id
+FROM n GROUP BY ALL HAVING count(*) = 100"""

@@ -23,6 +23,7 @@ from weirflow.sinks import bulk, compact, files, tables
 from weirflow.sources.messages import envelope_rows, stream_table, with_fresh_lookup
 from weirflow.sources.schemas import record_schema, table_schema
 from weirflow.streaming import bodies, jobs, retry
+from weirflow.streaming.batches import batch_stream
 from weirflow.streaming.dedup import dedup_stream, without_key
 from weirflow.streaming.panes import pane_stream
 
@@ -437,6 +438,25 @@ def batches_100(spark: SparkSession, folder: str) -> DataFrame:
     return batched.groupBy("event_type", "batch_id").agg(F.count("*").alias("size"))
 
 
+def stream_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """Full batches of a hundred per key, filled over several micro-batches."""
+    source = tick_stream(spark, folder, "events", "event_id").select("event_id", "event_type")
+    batched = batch_stream(source, "event_type", "event_id", 100, 86_400)
+    table = _sink_table(spark, "batches", batched.schema)
+    setting = "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "false")
+    try:
+        _drain(batched, bodies.append_body(table), spark, "batches")
+    finally:
+        spark.conf.set(setting, before)
+    ids = F.transform("rows", lambda r: r["event_id"])
+    return spark.table(table).select(
+        F.col("key").alias("event_type"), F.col("batch").alias("batch_id"), F.size("rows").cast("bigint").alias("size"),
+        F.array_min(ids).alias("first_id"), F.array_max(ids).alias("last_id"),
+    )
+
+
 def _accept(body: str) -> int:
     return 200
 
@@ -1094,6 +1114,7 @@ QUERIES: dict[str, Query] = {
         payload_rows,
         dedup_ttl,
         batches_100,
+        stream_batches,
         bulk_batches,
         bulk_counters,
         staged_paths,
