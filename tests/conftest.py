@@ -1,4 +1,5 @@
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -10,7 +11,8 @@ from weirflow.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(4, "weirflow-tests")
+    # A folder of its own: tables of an earlier run that was stopped are in nobody's way.
+    session = local_session(4, "weirflow-tests", tempfile.mkdtemp(prefix="weirflow-warehouse-"))
     session.conf.set("spark.sql.shuffle.partitions", "4")
     yield session
     session.stop()

@@ -7,7 +7,7 @@ from test_streams import Feed
 from weirflow.sinks import tables
 from weirflow.streaming import jobs
 
-NAMES = ("j_panes", "j_a", "j_b", "j_dead", "j_registry")
+NAMES = ("j_panes", "j_a", "j_b", "j_dead", "j_registry", "j_a_dead", "j_b_dead")
 
 
 @pytest.fixture

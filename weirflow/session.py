@@ -34,7 +34,9 @@ def prepare_session(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cpus: int | str = 8, app: str = "weirflow") -> SparkSession:
+def local_session(
+    cpus: int | str = 8, app: str = "weirflow", warehouse: str | None = None
+) -> SparkSession:
     """A local session for tests and the bench; a cluster brings its own."""
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
@@ -44,6 +46,8 @@ def local_session(cpus: int | str = 8, app: str = "weirflow") -> SparkSession:
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.files.maxPartitionBytes", "16m")
     )
+    if warehouse:
+        builder = builder.config("spark.sql.warehouse.dir", warehouse)
     spark = prepare_session(builder.getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     return spark
