@@ -44,7 +44,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from weirflow.llm.words import WordTable, text_groups
 from weirflow.session import materialize
 
-MAX_ROWS = 12_000
+MAX_ROWS = 30_000
 FALSE_WORDS = 0.01
 TALLY_WORDS = 200_000
 THRESHOLD = 0.3
