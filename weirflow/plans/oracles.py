@@ -286,6 +286,14 @@ SELECT event_type, batch_id, count(*) AS size FROM n GROUP BY ALL""",
     "bulk_counters": f"""WITH {BULK}
 SELECT CAST(sum(docs) AS BIGINT) AS documents, count(*) AS batches, CAST(0 AS BIGINT) AS errors
 FROM bulk""",
+    "bulk_commit": f"""WITH {DOCS}, ticked AS (
+  SELECT seq, doc, seq // 5000 AS part,
+    dense_rank() OVER (ORDER BY seq // (SELECT CAST(ceil((max(event_id) + 1) / 5) AS BIGINT) FROM events)) - 1 AS epoch
+  FROM docs), numbered AS (
+  SELECT *, (row_number() OVER (PARTITION BY epoch, part ORDER BY seq) - 1) // 1000 AS batch FROM ticked)
+SELECT epoch, CAST(part AS VARCHAR) AS part, batch, count(*) AS docs,
+  CAST(sum(3 * length(doc)) AS BIGINT) AS bytes, 1 AS attempts, 200 AS status
+FROM numbered GROUP BY epoch, part, batch""",
     "staged_paths": f"""WITH {DRIFT}
 SELECT 'orders' AS table_name, batch, count(*) AS staged_rows,
   'stage/orders/window=' || batch AS path FROM drift GROUP BY batch""",

@@ -18,8 +18,8 @@ from weirflow.functions import times
 from weirflow.functions.times import epoch_millis, from_millis
 from weirflow.operators import cdc, compare, drift, events, logs, rows, windows
 from weirflow.plans import adapters
-from weirflow.session import prepare_session, scratch_dir
-from weirflow.sinks import bulk, compact, files, tables
+from weirflow.session import materialize, prepare_session, scratch_dir
+from weirflow.sinks import bulk, bulk_source, compact, files, tables
 from weirflow.sources.messages import envelope_rows, stream_table, with_fresh_lookup
 from weirflow.sources.schemas import record_schema, table_schema
 from weirflow.streaming import bodies, jobs, retry
@@ -461,11 +461,14 @@ def _accept(body: str) -> int:
     return 200
 
 
+def _bulk_parts(docs: DataFrame) -> DataFrame:
+    parted = docs.withColumn("part", F.call_function("div", F.col("seq"), F.lit(5000)))
+    return parted.repartition("part").sortWithinPartitions("part", "seq")
+
+
 def _bulk_results(spark: SparkSession, folder: str) -> DataFrame:
     docs = events.search_documents(_enriched(spark, folder), ["seq"])
-    parted = docs.withColumn("part", F.call_function("div", F.col("seq"), F.lit(5000)))
-    ordered = parted.repartition("part").sortWithinPartitions("part", "seq")
-    return bulk.send_bulk(ordered, _accept, part="part")
+    return bulk.send_bulk(_bulk_parts(docs), _accept, part="part")
 
 
 def bulk_batches(spark: SparkSession, folder: str) -> DataFrame:
@@ -476,6 +479,23 @@ def bulk_counters(spark: SparkSession, folder: str) -> DataFrame:
     return bulk.bulk_totals(_bulk_results(spark, folder))
 
 
+def bulk_commit(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents of several micro-batches posted once each; the receipts of their requests."""
+    lookup = materialize(adapters.lookup_table(read(spark, folder, "events")), "lookup")
+
+    def documents(batch: DataFrame) -> DataFrame:
+        typed = logs.good_rows(events.type_lines(batch))
+        timed = events.with_process_time(typed, F.col("event_ts") + PROCESS_DELAY_MS)
+        found = rows.with_lookup(timed, lookup, "dim1", "dim1_val")
+        return _bulk_parts(events.search_documents(found, ["seq"]))
+
+    lines = adapters.csv_lines(tick_stream(spark, folder, "events", "event_id"))
+    name = bulk_source.register_bulk(spark, "accepted_bulk", _accept)
+    receipts = scratch_dir(spark, "bulk-receipts")
+    _drain(lines, bulk_source.bulk_commit_body(name, receipts, "part", documents), spark, "bulk-commit")
+    return bulk_source.read_receipts(spark, receipts).drop("writer", "task")
+
+
 def staged_paths(spark: SparkSession, folder: str) -> DataFrame:
     source = adapters.drift_messages(read(spark, folder, "events"))
     named = source.withColumn("table_name", F.lit("orders"))
@@ -1117,6 +1137,7 @@ QUERIES: dict[str, Query] = {
         stream_batches,
         bulk_batches,
         bulk_counters,
+        bulk_commit,
         staged_paths,
         cdc_explode,
         cdc_apply,

@@ -6,6 +6,7 @@ import json
 import random
 import time
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark import TaskContext
@@ -26,6 +27,7 @@ ACTION = '{"index":{}}\n'
 Post = Callable[[str], int | str]
 
 RESULT = "part string, batch long, docs long, bytes long, attempts int, status int"
+RESULT_NAMES = ["part", "batch", "docs", "bytes", "attempts", "status"]
 
 
 def bulk_body(docs: list[str]) -> str:
@@ -74,6 +76,51 @@ def post_with_retry(
         pause *= 1.5
 
 
+class Limits(NamedTuple):
+    """Where a request ends: documents, bytes (three per character) or seconds."""
+
+    docs: int = MAX_DOCS
+    bytes: int = MAX_BYTES
+    seconds: float = MAX_SECONDS
+
+
+def sent_requests(frames: Iterator[pd.DataFrame], post: Post, limits: Limits) -> Iterator[tuple]:
+    """Post the ``doc`` column of the frames in bounded requests; a tuple of ``RESULT`` each.
+
+    One request's documents are held at a time. With a ``part`` column a request also ends
+    where it changes; else the part is the Spark partition.
+    """
+    context = TaskContext.get()
+    default_part = str(context.partitionId() if context else 0)
+    batch: list[str] = []
+    size, number, current, started = 0, 0, None, time.monotonic()
+
+    def flush() -> tuple:
+        attempts, status = post_with_retry(post, bulk_body(batch))
+        return current, number, len(batch), size, attempts, status
+
+    for frame in frames:
+        parts = frame["part"].tolist() if "part" in frame else [default_part] * len(frame)
+        for name, doc in zip(parts, frame["doc"].tolist()):
+            if name != current:
+                if batch:
+                    yield flush()
+                batch, size, number, current, started = [], 0, 0, name, time.monotonic()
+            batch.append(doc)
+            size += BYTES_PER_CHAR * len(doc)
+            overdue = time.monotonic() - started >= limits.seconds
+            if len(batch) >= limits.docs or size >= limits.bytes or overdue:
+                yield flush()
+                batch, size, number, started = [], 0, number + 1, time.monotonic()
+    if batch:
+        yield flush()
+
+
+def bulk_columns(docs: DataFrame, part: str | None) -> DataFrame:
+    columns = ["doc", F.col(part).cast("string").alias("part")] if part else ["doc"]
+    return docs.select(*columns)
+
+
 def send_bulk(
     docs: DataFrame,
     post: Post,
@@ -88,38 +135,16 @@ def send_bulk(
     ends at ``max_docs``, at ``max_bytes`` (three per character) or after
     ``max_seconds``. With ``part``, rows must come ordered by that column and a
     batch also ends where it changes; else the part is the Spark partition. A
-    failed request fails the task. Delivery is at least once.
+    failed request fails the task. Delivery is at least once, and every action on
+    the result posts again: ``sinks.bulk_source`` posts once and keeps receipts.
     """
+    limits = Limits(max_docs, max_bytes, max_seconds)
 
     def send(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        context = TaskContext.get()
-        default_part = str(context.partitionId() if context else 0)
-        batch: list[str] = []
-        size, number, current, started = 0, 0, None, time.monotonic()
-
-        def flush() -> pd.DataFrame:
-            attempts, status = post_with_retry(post, bulk_body(batch))
-            row = (current, number, len(batch), size, attempts, status)
-            return pd.DataFrame([row], columns=["part", "batch", "docs", "bytes", "attempts", "status"])
-
-        for frame in frames:
-            parts = frame["part"].tolist() if part else [default_part] * len(frame)
-            for name, doc in zip(parts, frame["doc"].tolist()):
-                if name != current:
-                    if batch:
-                        yield flush()
-                    batch, size, number, current, started = [], 0, 0, name, time.monotonic()
-                batch.append(doc)
-                size += BYTES_PER_CHAR * len(doc)
-                overdue = time.monotonic() - started >= max_seconds
-                if len(batch) >= max_docs or size >= max_bytes or overdue:
-                    yield flush()
-                    batch, size, number, started = [], 0, number + 1, time.monotonic()
-        if batch:
-            yield flush()
+        for row in sent_requests(frames, post, limits):
+            yield pd.DataFrame([row], columns=RESULT_NAMES)
 
-    columns = ["doc", F.col(part).cast("string").alias("part")] if part else ["doc"]
-    return docs.select(*columns).mapInPandas(send, RESULT)
+    return bulk_columns(docs, part).mapInPandas(send, RESULT)
 
 
 def bulk_totals(results: DataFrame) -> DataFrame:
