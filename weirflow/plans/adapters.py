@@ -93,6 +93,12 @@ def lookup_table(events: DataFrame) -> DataFrame:
     )
 
 
+def hot_orders(orders: DataFrame) -> DataFrame:
+    """Orders of which three in five are of customer 1, and one in seven others of nobody."""
+    key = F.when(F.col("o_orderkey") % 5 < 3, 1).when(~_every("o_orderkey", 7), F.col("o_custkey"))
+    return orders.select(F.col("o_orderkey").alias("order_id"), key.cast("string").alias("customer"))
+
+
 def basic_messages(events: DataFrame) -> DataFrame:
     """Free-form JSON events with microsecond times: ``seq, value``."""
     micros = F.unix_micros(F.col("ts").cast("timestamp"))

@@ -361,6 +361,12 @@ FROM orders""",
     "stream_window": WINDOW_STATS,
     "stream_panes": f"WITH {_panes('0')} SELECT * EXCLUDE (tick) FROM panes",
     "stream_lookup": f"WITH {ENRICHED} SELECT seq, dim1, dim1_val FROM enriched",
+    "lookup_hot": """WITH o AS (
+  SELECT o_orderkey AS order_id, CAST(
+    CASE WHEN o_orderkey % 5 < 3 THEN 1 WHEN o_orderkey % 7 <> 0 THEN o_custkey END AS VARCHAR) AS customer
+  FROM orders)
+SELECT order_id, o.customer, coalesce(c_name, 'Not Found') AS name
+FROM o LEFT JOIN customer c ON CAST(c.c_custkey AS VARCHAR) = o.customer""",
     "stream_dedup": """SELECT min(event_id) AS seq, 'u' || user_id AS uuid, FALSE AS unkeyed
 FROM events WHERE event_id % 17 <> 0 GROUP BY user_id
 UNION ALL SELECT event_id, NULL, TRUE FROM events WHERE event_id % 17 = 0""",

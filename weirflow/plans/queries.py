@@ -16,7 +16,7 @@ from weirflow.functions.json_text import (
 )
 from weirflow.functions import times
 from weirflow.functions.times import epoch_millis, from_millis
-from weirflow.operators import cdc, compare, drift, events, logs, rows, windows
+from weirflow.operators import cdc, compare, drift, events, logs, lookups, rows, windows
 from weirflow.plans import adapters
 from weirflow.session import materialize, prepare_session, scratch_dir
 from weirflow.sinks import bulk, bulk_source, compact, files, tables
@@ -1041,6 +1041,27 @@ def stream_lookup(spark: SparkSession, folder: str) -> DataFrame:
     return spark.table(table).drop(*tables.RESERVED)
 
 
+def lookup_hot(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders of several micro-batches with their customer's name; one key has over half of them.
+
+    The lookup is read once for the run, as it is younger than its hour.
+    """
+    table = _sink_table(spark, "lookup_hot", "order_id bigint, customer string, name string")
+    customer = read(spark, folder, "customer")
+
+    def names() -> DataFrame:
+        return customer.select(F.col("c_custkey").alias("customer"), F.col("c_name").alias("name"))
+
+    def apply(batch: DataFrame, lookup: DataFrame, batch_id: int) -> None:
+        with bodies.kept(adapters.hot_orders(batch)) as orders:
+            named = lookups.with_hot_lookup(orders, lookup, "customer", "name")
+            tables.append_batch(named, table, batch_id)
+
+    stream = tick_stream(spark, folder, "orders", "o_orderkey")
+    _drain(stream, lookups.with_timed_lookup(names, apply, 3600), spark, "lookup-hot")
+    return spark.table(table).drop(*tables.RESERVED)
+
+
 def stream_dedup(spark: SparkSession, folder: str) -> DataFrame:
     keyed = _keyed_events(_stream(spark, folder, "events")).drop("arrival")
     return _deduped(spark, keyed, "stream-dedup")
@@ -1174,6 +1195,7 @@ QUERIES: dict[str, Query] = {
         stream_window,
         stream_panes,
         stream_lookup,
+        lookup_hot,
         stream_dedup,
         stream_drift,
     )
