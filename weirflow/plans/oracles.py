@@ -306,6 +306,8 @@ SELECT destination, count(*) AS changes FROM changes GROUP BY destination""",
     PARTITION BY destination, id ORDER BY ts DESC, es DESC, arrival DESC, pos DESC) = 1)
 SELECT destination, CAST(id AS BIGINT) AS "ID", status AS "STATUS", cents AS "CENTS",
   order_id AS "ORDER_ID" FROM last WHERE change_type <> 'DELETE'""",
+    "route_tables": """SELECT o_orderkey AS order_id, o_orderstatus AS status,
+  CASE WHEN o_custkey % 12 = 11 THEN -1 ELSE o_custkey % 12 END AS route FROM orders""",
     "cdc_dlq": f"""WITH {CHANGES}
 SELECT reason, count(*) AS messages FROM messages WHERE reason <> 'ddl' GROUP BY reason""",
     "latest_view": """SELECT user_id, event_id, event_type, epoch_us(ts) // 1000 AS event_ms FROM events

@@ -19,7 +19,7 @@ from weirflow.functions.times import epoch_millis, from_millis
 from weirflow.operators import cdc, compare, drift, events, logs, lookups, rows, windows
 from weirflow.plans import adapters
 from weirflow.session import materialize, prepare_session, scratch_dir
-from weirflow.sinks import bulk, bulk_source, compact, files, tables
+from weirflow.sinks import bulk, bulk_source, compact, files, routed, tables
 from weirflow.sources.messages import envelope_rows, stream_table, with_fresh_lookup
 from weirflow.sources.schemas import record_schema, table_schema
 from weirflow.streaming import bodies, jobs, retry
@@ -40,6 +40,7 @@ PROCESS_DELAY_MS = 1500
 PANE_TICK_MS = 5 * 86_400_000
 LATE_COUNT = 2
 TICK_FILES = 4
+ROUTES = 12
 
 DRIFT_START = ("ID", "SENDER_NAME")
 
@@ -561,6 +562,37 @@ def cdc_tables(spark: SparkSession, folder: str) -> DataFrame:
     return union
 
 
+def route_tables(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders of several micro-batches to a table per key, written once per micro-batch and read back."""
+    label = _fresh_table("routed")
+    schema = T.StructType.fromDDL("order_id bigint, status string")
+    names = [f"{label}_{number}" for number in range(ROUTES)]
+    for table in names[:-1]:  # the last one's orders are dead letters
+        tables.create_table(spark, table, schema, scratch_dir(spark, table))
+    place = scratch_dir(spark, "routed-rows")
+
+    def body(batch: DataFrame, batch_id: int) -> None:
+        number = F.col("o_custkey") % ROUTES
+        orders = batch.select(
+            F.concat(F.lit(f"{label}_"), number.cast("string")).alias("destination"),
+            F.col("o_orderkey").alias("order_id"), F.col("o_orderstatus").alias("status"),
+        )
+        routed.route_once(orders, batch_id, place, dead_table=f"{label}_dead")
+
+    _drain(tick_stream(spark, folder, "orders", "o_orderkey"), body, spark, "route-tables")
+    letters = spark.table(f"{label}_dead")
+    parts = [spark.table(t).withColumn("route", F.lit(i).cast("bigint")) for i, t in enumerate(names[:-1])]
+    lost = letters.select(
+        json_field("value", "order_id").cast("bigint").alias("order_id"),
+        json_field("value", "status").alias("status"),
+        F.lit(-1).cast("bigint").alias("route"),
+    )
+    union = lost
+    for part in parts:
+        union = union.unionByName(part.drop(*tables.RESERVED))
+    return union
+
+
 def cdc_dlq(spark: SparkSession, folder: str) -> DataFrame:
     dead = logs.dead_letters(_changes(spark, folder))
     return dead.groupBy("reason").agg(F.count("*").alias("messages"))
@@ -1164,6 +1196,7 @@ QUERIES: dict[str, Query] = {
         cdc_apply,
         cdc_route,
         cdc_tables,
+        route_tables,
         cdc_dlq,
         latest_view,
         drift_detect,
