@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from weirflow.sinks import bulk_source as source
 from weirflow.sinks.bulk import Limits
+from weirflow.streaming import bodies
 
 
 def posting(folder, refuse=None):
@@ -87,3 +88,15 @@ def test_receipts_before_any_write_and_overwrite(spark, tmp_path):
     with pytest.raises(PySparkException, match="append"):
         options = {"receipts": str(tmp_path), "writer": "w", "epoch": "0"}
         documents(spark, 1).write.format(name).options(**options).mode("overwrite").save()
+
+
+def test_event_body_posts_once(spark, texts, tmp_path):
+    lines = texts("1704067207179,8,worker-0,1,error,6", "1704067267179,9,worker-1,2,view,7", "bad")
+    batch = lines.withColumn("ingested", F.current_timestamp())
+    lookup = lambda: spark.createDataFrame([("error", "E!")], "dim1 string, dim1_val string")
+    body = bodies.event_body(lookup, "1 hour", post=posting(str(tmp_path)), receipts=str(tmp_path / "out"))
+    body(batch, 0)
+    body(batch, 0)
+    sent = "".join(f.read_text() for f in tmp_path.glob("*.req"))
+    assert sent.count('{"index":{}}') == 2
+    assert source.read_receipts(spark, str(tmp_path / "out")).agg(F.sum("docs")).first()[0] == 2

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
@@ -12,7 +13,7 @@ from weirflow.functions.times import from_millis
 from weirflow.operators import cdc, drift, events, logs, windows
 from weirflow.operators.rows import compute_once, latest_by, with_lookup
 from weirflow.session import materialize
-from weirflow.sinks import bulk, files, tables, upserted
+from weirflow.sinks import bulk, bulk_source, files, tables, upserted
 from weirflow.sinks.upserted import UpsertTable
 
 Body = Callable[[DataFrame, int], None]
@@ -236,12 +237,15 @@ def event_body(
     post: Callable[[str], int] | None = None,
     shards: int = 0,
     delimiter: str = ",",
+    receipts: str | None = None,
 ) -> Body:
     """CSV events to every raw sink: table rows by day, text and record files, documents, errors.
 
     The lookup is read again for each micro-batch. Lines come with their ingest
-    time in ``ingested``, which windows the errors.
+    time in ``ingested``, which windows the errors. With a folder for ``receipts`` a
+    micro-batch whose documents were posted posts none when it runs again.
     """
+    sink = f"bulk_{uuid.uuid4().hex}"
 
     def body(batch: DataFrame, batch_id: int) -> None:
         # Written first, so Spark knows its size: a small lookup is broadcast, and all
@@ -271,7 +275,11 @@ def event_body(
                 files.write_window_records(records, end, record_folder, shards, batch_id)
             if post:
                 docs = events.search_documents(enriched)
-                bulk.bulk_totals(bulk.send_bulk(docs, post)).collect()
+                if receipts:
+                    bulk_source.register_bulk(batch.sparkSession, sink, post)
+                    bulk_source.bulk_commit_body(sink, receipts)(docs, batch_id)
+                else:
+                    bulk.bulk_totals(bulk.send_bulk(docs, post)).collect()
             if error_folder:
                 dead = windows.with_window(logs.dead_letters(stamped, ["ingested"]), "ingested", size)
                 files.write_window_text(dead, end, error_folder, shards, batch_id)
