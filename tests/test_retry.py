@@ -84,3 +84,42 @@ def test_empty_batch(spark, table):
     body = retry.isolating(bodies.append_body(table), table + "_poison")
     body(spark.createDataFrame([], "id long, text string"), 0)
     assert spark.table(table).count() == 0
+
+
+def test_many_bad_rows_are_found_by_trials_side_by_side(spark, table):
+    bad = list(range(5, 40_000, 3_001))
+    rows = spark.range(40_000).select("id", F.when(F.col("id").isin(bad), "x").otherwise(F.col("id").cast("string")).alias("text"))
+    runs, tried = [], []
+
+    def trial(batch, batch_id):
+        tried.append(batch_id)
+        batch.select(F.col("text").cast("bigint")).write.format("noop").mode("overwrite").save()
+
+    retry.isolating(counting(table, runs), table + "_poison", trial=trial)(rows.repartition(3), 0)
+    assert len(runs) == 2  # whole, and without the bad rows
+    assert len(tried) <= 1 + 2 * 17 * len(bad)
+    assert spark.table(table).count() == 40_000 - len(bad)
+    letters = spark.table(table + "_poison").collect()
+    assert sorted(r.value for r in letters) == sorted('{"id":%d,"text":"x"}' % b for b in bad)
+    assert {r.reason for r in letters} == {"CAST_INVALID_INPUT"}
+
+
+def test_what_trials_do_not_see_is_searched_with_the_body(spark, table):
+    rows = spark.createDataFrame([(i, {3: "x", 5: "99"}.get(i, str(i))) for i in range(12)], "id long, text string")
+
+    def body(batch, batch_id):
+        def check(batches):
+            for b in batches:
+                if 99 in b.column(1).to_pylist():
+                    raise ValueError("ninety-nine")
+                yield b
+
+        typed = batch.select("id", F.col("text").cast("bigint").alias("n"))
+        tables.append_batch(typed.mapInArrow(check, typed.schema), table, batch_id, create=True)
+
+    def trial(batch, batch_id):
+        batch.select(F.col("text").cast("bigint")).write.format("noop").mode("overwrite").save()
+
+    retry.isolating(body, table + "_poison", trial=trial)(rows, 0)
+    assert {r.id for r in spark.table(table).collect()} == set(range(12)) - {3, 5}
+    assert sorted(r.value for r in spark.table(table + "_poison").collect()) == ['{"id":3,"text":"x"}', '{"id":5,"text":"99"}']

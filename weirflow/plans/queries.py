@@ -965,12 +965,17 @@ def poison_rows(spark: SparkSession, folder: str) -> DataFrame:
     )
     table, poison = _fresh_table("strict"), _fresh_table("poison")
 
+    def typed(batch: DataFrame) -> DataFrame:
+        return batch.select("seq", F.col("amount").cast("bigint").alias("amount"))
+
     def strict(batch: DataFrame, batch_id: int) -> None:
-        typed = batch.select("seq", F.col("amount").cast("bigint").alias("amount"))
-        tables.append_batch(typed, table, batch_id, create=True)
+        tables.append_batch(typed(batch), table, batch_id, create=True)
+
+    def trial(batch: DataFrame, batch_id: int) -> None:
+        typed(batch).write.format("noop").mode("overwrite").save()
 
     stream = ticks(source, F.lit(0), "poison")
-    _drain(stream, retry.isolating(strict, poison, max_runs=10_000), spark, "poison")
+    _drain(stream, retry.isolating(strict, poison, max_runs=10_000, trial=trial), spark, "poison")
     good = spark.table(table).select("seq", F.col("amount").cast("string").alias("amount"), F.lit("").alias("reason"))
     text = F.from_json("value", "seq bigint, amount string")
     bad = spark.table(poison).select(text.alias("r"), "reason").select("r.seq", "r.amount", "reason")
