@@ -85,6 +85,44 @@ def test_pane_stream_equals_rules(spark, feed, run, table, late_count):
     assert found == sorted(expected)
 
 
+def test_panes_of_micro_batches_that_hold_several_ticks(spark, feed, run, table):
+    ticks = random_ticks(random.Random(5), SIZE, 14)
+    source = feed("tick bigint, dim1 string, at bigint, metrics1 bigint")
+    for part in (range(5), range(5, 14)):
+        source.send([{"tick": t, "dim1": d, "at": at, "metrics1": m} for t in part for d, at, m in ticks.get(t, [])])
+    events = source.stream().withColumn("ts", F.timestamp_millis("at"))
+    marks, size = table + "_dead", f"{SIZE // 1000} seconds"
+    run(events, bodies.pane_parts_body(table, marks, "ts", size, f"{2 * SIZE // 1000} seconds", F.col("tick")))
+    panes = windows.tick_panes(spark.table(table), spark.table(marks), size)
+    found = sorted(
+        (
+            r["dim1"], int(r["window_start"].timestamp() * 1000), r["timing"], r["pane_idx"],
+            r["nonspeculative_idx"], r["is_first"], r["is_last"], r["num_records"], r["sum"] or 0,
+            r["min"], r["max"], r["acc_num_records"], r["acc_sum"],
+        )
+        for r in panes.collect()
+    )
+    expected = firings(ticks, SIZE, 2 * SIZE)
+    assert {p[2] for p in expected} == {"EARLY", "ON_TIME", "LATE"}
+    assert found == sorted(expected)
+
+
+def test_window_queries_fire_every_half_hour(spark, tmp_path):
+    from weirflow.plans.queries import late_drop, window_tall, window_wide
+
+    # By arrival: 1, 2, then 14 (delayed) with 4, which passes the first window's end, 13 (delayed), 3, 26 (delayed).
+    sent = [(1, "01 00:10"), (2, "01 00:40"), (14, "01 00:50"), (4, "01 02:10"), (13, "01 00:20"), (3, "03 00:00"), (26, "01 20:00")]
+    rows_ = [(i, f"2024-01-{at}:00", 1, "view", 2.0) for i, at in sent]
+    df = spark.createDataFrame(rows_, "event_id bigint, ts string, user_id bigint, event_type string, value double")
+    df.withColumn("ts", F.col("ts").cast("timestamp_ntz")).coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    tall = window_tall(spark, str(tmp_path)).filter("win_start_ts = 1704067200000").orderBy("pane_idx").collect()
+    assert [(r["timing"], r["num_records"]) for r in tall] == [("EARLY", 1), ("EARLY", 2), ("EARLY", 3), ("ON_TIME", 3), ("LATE", 4)]
+    wide = window_wide(spark, str(tmp_path)).filter("row_key LIKE '%#1704067200000#%' AND column LIKE 'num%'").collect()
+    assert {(r["column"], r["value"]) for r in wide} == {(f"num_records#{i}", "1") for i in (0, 1, 2, 4)}
+    timing = {r["seq"]: r["timing"] for r in late_drop(spark, str(tmp_path)).collect()}
+    assert timing == {**dict.fromkeys((1, 2, 14, 4, 3), "IN_TIME"), 13: "LATE", 26: "DROPPED"}
+
+
 def test_update_mode_statistics(spark, feed, run, table):
     source = feed("dim1 string, at bigint, metrics1 bigint")
     base = 1_704_067_200_000
@@ -197,6 +235,18 @@ def test_late_rows_over_a_restart(spark, feed, run, table):
     }
 
 
+def test_late_rows_of_a_micro_batch_that_holds_several_ticks(spark, feed, run, table):
+    source = feed("n bigint, at bigint, tick bigint")
+    marks = table + "_dead"
+    for part in ([(1, 100, 0), (2, 500, 0), (3, 430, 1), (4, 150, 1), (5, 800, 1)], [(6, 500, 2), (7, 790, 2), (8, 90, None)]):
+        source.send([{"n": n, "at": at, "tick": t} for n, at, t in part])
+        df = source.stream().withColumn("ts", F.timestamp_seconds("at"))
+        run(df, bodies.late_body(table, marks, "ts", "1 minute", "2 minutes", F.col("tick")))
+    assert {r["n"]: r["timing"] for r in spark.table(table).collect()} == {
+        1: "IN_TIME", 2: "IN_TIME", 3: "LATE", 4: "DROPPED", 5: "IN_TIME", 6: "DROPPED", 7: "IN_TIME", 8: "DROPPED",
+    }
+
+
 def test_ticks_take_every_row_in_order(spark, run, table):
     from weirflow.plans.queries import ticks
 

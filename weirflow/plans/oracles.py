@@ -76,8 +76,13 @@ def _panes(tick: str, late_count: int = 1) -> str:
 
     A micro-batch is longer than the lateness, so late rows of a window come in one.
     """
+    return _tick_panes(f"dense_rank() OVER (ORDER BY {tick}) - 1", late_count)
+
+
+def _tick_panes(tick: str, late_count: int = 1) -> str:
+    """Firings for an arrival order; ``tick`` numbers the trigger interval of a row."""
     return f"""{CSV}, e AS (
-  SELECT dim1, event_ts AS t, metrics1 AS m, dense_rank() OVER (ORDER BY {tick}) - 1 AS tick FROM csv),
+  SELECT dim1, event_ts AS t, metrics1 AS m, {tick} AS tick FROM csv),
 marks AS (
   SELECT tick, hi,
     max(hi) OVER (ORDER BY tick ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS wm
@@ -123,6 +128,7 @@ panes AS (
 
 
 PANES = _panes(f"arrival // {PANE_TICK}", 2)
+PERIOD_PANES = _tick_panes(f"arrival // {PERIOD}")
 
 DEDUP = """WITH RECURSIVE keyed AS (
   SELECT event_id AS seq, 'u' || user_id AS uuid, epoch_us(ts) // 60000000 AS tick
@@ -233,12 +239,12 @@ SELECT event_ts // 1000 AS event_ts, thread_id, thread_name, seq, dim1,
 WHERE event_id % 113 <> 0 AND event_id % 109 <> 0""",
     "window_stats": WINDOW_STATS,
     "pane_replay": f"WITH {PANES} SELECT * FROM panes",
-    "window_tall": f"""WITH {PANES}
+    "window_tall": f"""WITH {PERIOD_PANES}
 SELECT dim1 || '#' || (9223372036854775807 - (tick + 1) * {PERIOD}) AS row_key,
   acc_num_records AS num_records, acc_sum AS sum, acc_max AS max, acc_min AS min,
   acc_sum / acc_num_records AS avg, pane_idx, nonspeculative_idx, is_first, is_last, timing,
   window_start AS win_start_ts, window_end AS win_end_ts FROM panes""",
-    "window_wide": f"""WITH {PANES}, cells AS (
+    "window_wide": f"""WITH {PERIOD_PANES}, cells AS (
   SELECT dim1 || '#' || window_start || '#' || window_end AS row_key, pane_idx,
     num_records, sum, max, min FROM panes WHERE num_records > 0)
 SELECT row_key, 'num_records#' || pane_idx AS "column", CAST(num_records AS VARCHAR) AS value FROM cells
@@ -246,7 +252,7 @@ UNION ALL SELECT row_key, 'sum#' || pane_idx, CAST(sum AS VARCHAR) FROM cells
 UNION ALL SELECT row_key, 'max#' || pane_idx, CAST(max AS VARCHAR) FROM cells
 UNION ALL SELECT row_key, 'min#' || pane_idx, CAST(min AS VARCHAR) FROM cells
 UNION ALL SELECT row_key, 'avg#' || pane_idx, CAST(sum / num_records AS VARCHAR) FROM cells""",
-    "late_drop": f"""WITH {CSV}, e AS (SELECT *, arrival // {PANE_TICK} AS tick FROM csv),
+    "late_drop": f"""WITH {CSV}, e AS (SELECT *, arrival // {PERIOD} AS tick FROM csv),
 marks AS (
   SELECT tick, max(hi) OVER (ORDER BY tick ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS wm
   FROM (SELECT tick, max(event_ts) AS hi FROM e GROUP BY tick))

@@ -300,20 +300,33 @@ def pane_replay(spark: SparkSession, folder: str) -> DataFrame:
     return _whole_panes(_panes(spark, folder))
 
 
+def _period_tick() -> Column:
+    """The early-firing period, counted from 1970, in which a row arrives."""
+    return F.call_function("div", epoch_millis(F.col("arrival")), F.lit(PERIOD * 1000))
+
+
+def _period_panes(spark: SparkSession, folder: str) -> DataFrame:
+    """Panes that fire every period; a micro-batch of the stream holds the periods of five days."""
+    table, marks = _fresh_table("pane_parts"), _fresh_table("pane_marks")
+    body = bodies.pane_parts_body(table, marks, "ts", WINDOW, LATENESS, _period_tick())
+    _drain(_by_arrival(spark, folder), body, spark, "period-panes")
+    return windows.tick_panes(spark.table(table), spark.table(marks), WINDOW)
+
+
 def window_tall(spark: SparkSession, folder: str) -> DataFrame:
     fired_at = (F.col("tick") + 1) * (PERIOD * 1000)
-    return windows.tall_rows(_panes(spark, folder), process_ts=fired_at)
+    return windows.tall_rows(_period_panes(spark, folder), process_ts=fired_at)
 
 
 def window_wide(spark: SparkSession, folder: str) -> DataFrame:
-    wide = windows.wide_rows(windows.non_empty(_panes(spark, folder)))
+    wide = windows.wide_rows(windows.non_empty(_period_panes(spark, folder)))
     return wide.select("row_key", F.explode("cells").alias("column", "value"))
 
 
 def late_drop(spark: SparkSession, folder: str) -> DataFrame:
-    """Each row in time, late or dropped, by the watermark of a stream."""
+    """Each row in time, late or dropped, by the watermark of a stream that moves every period."""
     table, marks = _fresh_table("timed"), _fresh_table("marks")
-    body = bodies.late_body(table, marks, "ts", WINDOW, LATENESS)
+    body = bodies.late_body(table, marks, "ts", WINDOW, LATENESS, _period_tick())
     _drain(_by_arrival(spark, folder), body, spark, "late-drop")
     return spark.table(table).select("seq", "dim1", "event_ts", "timing")
 
