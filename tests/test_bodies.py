@@ -1,4 +1,6 @@
 import json
+import uuid
+from contextlib import contextmanager
 
 import pytest
 from pyspark.sql import functions as F, types as T
@@ -195,3 +197,35 @@ def test_changes_go_to_their_own_tables(spark, texts):
         tables.drop_table(spark, "dest.a")
         tables.drop_table(spark, "dest.b")
         tables.drop_table(spark, "dest.dead")
+
+
+@pytest.mark.parametrize("kind", ["json_column", "changes"])
+def test_a_large_part_is_dealt_out_before_the_parse(spark, monkeypatch, kind):
+    """A source's one part would be one task's, and what that task keeps of it would grow with it."""
+    parts = []
+
+    @contextmanager
+    def watched(df, *args, **options):
+        with kept(df, *args, **options) as stored:
+            stored.count()
+            parts.append(stored.rdd.getNumPartitions())
+            yield stored
+
+    kept = bodies.kept
+    monkeypatch.setattr(bodies, "kept", watched)
+    table, setting = f"dealt_{uuid.uuid4().hex}", "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    text = 'concat(\'{"id":"\', id, \'","sender_name":"s","hash":"\', sha2(cast(id as string), 512), \'"}\') AS value'
+    batch = spark.range(20_000).selectExpr("id AS arrival", text).coalesce(1)
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "256k")
+    try:
+        if kind == "changes":
+            bodies.applied_change_body(bodies.change_table(table), "arrival")(batch, 0)
+        else:
+            bodies.json_column_body(table)(batch, 0)
+            assert spark.table(table).count() == 20_000
+        assert parts[0] > 2
+        bodies.json_column_body(table + "_small")(batch.limit(3), 0)
+        assert parts[-1] == 1
+    finally:
+        spark.conf.set(setting, before)
