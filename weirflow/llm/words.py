@@ -17,8 +17,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 
-# Characters of a batch handled at once; one longer text is a batch of its own.
-BATCH_CHARS = 4_000_000
+# Characters of a batch handled at once; one longer text is a batch of its own. A worker
+# keeps much of what its largest batch took, and an executor has one for each core.
+BATCH_CHARS = 1_000_000
 _WORD = re.compile(r"\w+")
 
 
