@@ -46,3 +46,21 @@ def test_empty_tables(spark):
     assert hamming.nearest(none, none, "vec_id", "embedding", 64, 3).count() == 0
     assert hamming.nearest(none, some, "vec_id", "embedding", 64, 3).count() == 0
     assert hamming.nearest(some, some, "vec_id", "embedding", 64, 3).count() == 1
+
+
+def test_what_is_looked_up_is_not_broadcast(spark, monkeypatch):
+    draw = random.Random(1)
+    rows = [(i, [draw.uniform(-1, 1) for _ in range(64)], "x", "y") for i in range(300)]
+    vectors = spark.createDataFrame(rows, COLUMNS)
+    plans, keep = [], hamming.materialize
+
+    def watched(df, label):
+        if label == "best":
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return keep(df, label)
+
+    monkeypatch.setattr(hamming, "materialize", watched)
+    got = hamming.nearest(vectors, vectors.where("vec_id % 10 = 0"), "vec_id", "embedding", 64, 10)
+    assert {tuple(r) for r in got.collect()} == brute(rows, 64, 10, 10)
+    # Queries are few rows, the values they look up at a radius are up to 12,870 times as many.
+    assert plans and all("SortMergeJoin" in p and "Broadcast" not in p for p in plans)

@@ -4,7 +4,13 @@ A vector's code has one bit per coordinate: whether it is above zero. Codes are
 ``m`` segments of equal width. A code at distance below ``m * (r + 1)`` of a query differs
 by at most ``r`` bits in some segment, so once all segment values within radius ``r`` have
 been looked up, every code at distance ``m * (r + 1) - 1`` or less has been seen. The
-radius grows until each query's k-th best verified distance is covered.
+radius grows until each query's k-th best verified distance is covered. A code whose first
+nearest segment is number ``s``, at ``r``, is at ``m * r + s`` at least, so a query looks a
+radius up in the first ``bound - m * r + 1`` segments only.
+
+What is looked up is many times the queries, by a number that Spark doesn't see when it
+estimates a size: values and codes meet in a sort-merge join, which may spill, and neither
+is sent to the driver. AQE splits a value that many codes share.
 
 Equal codes are one class that keeps its k smallest ids, so copies cost one row. Of
 queries with equal codes one is searched. A pair is found in exactly one segment (the
@@ -31,6 +37,9 @@ from weirflow.session import materialize
 # Codes that give a first bound on the k-th distance: any would do, more give a lower one.
 PROBES = 256
 
+# Values that one task looks up at most.
+LOOKED_UP = 1_000_000
+
 
 def _words(bits: int) -> list[str]:
     return [f"c{i}" for i in range(-(-bits // 64))]
@@ -108,36 +117,37 @@ def nearest(vectors: DataFrame, queries: DataFrame, id_column: str, vector: str,
     while bits % width or 64 % width:
         width //= 2
     segments = bits // width
-    index = codes.select(
-        *(F.col(w).alias(f"x{w}") for w in words),
-        "ids",
-        F.posexplode(F.array(*(_segment("", s, width) for s in range(segments)))).alias("seg", "val"),
+    parts = F.posexplode(F.array(*(_segment("", s, width) for s in range(segments)))).alias("seg", "val")
+    place = F.shiftleft(F.col("seg").cast("long"), width).bitwiseOR(F.col("val")).alias("place")
+    index = codes.select(*(F.col(w).alias(f"x{w}") for w in words), "ids", parts).select(
+        *(f"x{w}" for w in words), "ids", place
     )
     open_ = _first_bound(asked.select(*words).distinct(), codes, words, k, bits)
     open_ = materialize(open_, "bounds")
-    first, best = open_, None
+    first, best, left = open_, None, open_.count()
     for r in range(width + 1):
         masks = [sum(1 << b for b in some) for some in combinations(range(width), r)]
         probes = (
-            open_.select(
-                *(F.col(w).alias(f"q{w}") for w in words), "bound",
-                F.posexplode(F.array(*(_segment("", s, width) for s in range(segments)))).alias("seg", "own"),
+            open_.repartition(1 + left * segments * len(masks) // LOOKED_UP)
+            .select(*(F.col(w).alias(f"q{w}") for w in words), "bound", parts)
+            .where(F.col("seg") <= F.col("bound") - segments * r)
+            .select(
+                *(f"q{w}" for w in words), "bound", "seg", place.alias("own"),
+                F.explode(F.array(*(F.lit(m).cast("long") for m in masks))).alias("mask"),
             )
-            .withColumn("mask", F.explode(F.array(*(F.lit(m).cast("long") for m in masks))))
-            .withColumn("val", F.col("own").bitwiseXOR(F.col("mask")))
+            .withColumn("place", F.col("own").bitwiseXOR(F.col("mask")))
             .drop("own", "mask")
         )
         once = F.lit(True)
         for s in range(segments):
             apart = F.bit_count(_segment("q", s, width).bitwiseXOR(_segment("x", s, width)))
-            once = once & F.when(F.col("p.seg") > s, apart > r).otherwise(apart >= r)
+            once = once & F.when(F.col("seg") > s, apart > r).otherwise(apart >= r)
         distance = _distance(words, "q", "x")
         found = (
             probes.alias("p")
             .join(
-                index.alias("i"),
-                (F.col("p.seg") == F.col("i.seg")) & (F.col("p.val") == F.col("i.val"))
-                & (distance <= F.col("bound")) & once,
+                index.hint("merge").alias("i"),
+                (F.col("p.place") == F.col("i.place")) & (distance <= F.col("bound")) & once,
             )
             .select(
                 *(F.col(f"q{w}").alias(w) for w in words),
@@ -159,7 +169,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, id_column: str, vector: str,
             .drop("kth").where(F.col("bound") > covered),
             "bounds",
         )
-        if open_.isEmpty():
+        left = open_.count()
+        if not left:
             break
     return asked.withColumnRenamed("id", "query_id").join(best, words).select(
         "query_id", "rank", "neighbor_id", "distance"
