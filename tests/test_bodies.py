@@ -5,6 +5,7 @@ from contextlib import contextmanager
 import pytest
 from pyspark.sql import functions as F, types as T
 
+from weirflow import session
 from weirflow.plans.queries import VERSIONS
 from weirflow.sinks import tables
 from weirflow.streaming import bodies
@@ -199,6 +200,36 @@ def test_changes_go_to_their_own_tables(spark, texts):
         tables.drop_table(spark, "dest.dead")
 
 
+def test_routed_changes_fill_no_executor_memory(spark, texts, table, tmp_path, monkeypatch):
+    """Parsed changes are as large as the batch: kept in files, which go at the end or at a failure."""
+    persisted = lambda: spark.sparkContext._jsc.getPersistentRDDs().size()
+    before, during, append = persisted(), [], tables.append_batch
+
+    def watched(*args, **options):
+        during.append((persisted(), sorted(p.name for p in tmp_path.iterdir())))
+        append(*args, **options)
+
+    monkeypatch.setattr(tables, "append_batch", watched)
+    monkeypatch.setattr(session, "scratch_dir", lambda spark, label: str(tmp_path / label))
+    bodies.create_change_table(spark, table, T.StructType.fromDDL("ID bigint"))
+    good = {"database": "d", "type": "INSERT", "ts": 1, "es": 1, "pkNames": ["ID"]}
+    batch = texts(
+        json.dumps({**good, "table": "a", "data": [{"ID": 1}, {"ID": 2}]}), '{"table":', "",
+        json.dumps({**good, "table": "b", "data": [{"ID": 3}]}), json.dumps({**good, "table": "a", "data": []}),
+    )
+    body = bodies.routed_change_body("seq", table + "_dead", table_of=lambda name: table if name == "d.a" else name)
+    body(batch, 0)
+    assert {r["ID"] for r in spark.table(table).collect()} == {1, 2}
+    dead = {(r["value"], r["reason"]) for r in spark.table(table + "_dead").collect()}
+    assert dead == {('{"table":', "malformed"), ('{"ID":"3"}', "no table")}
+    assert len(during) == 2 and all(n <= before and staged for n, staged in during)
+    assert not list(tmp_path.iterdir())
+    monkeypatch.setattr(tables, "append_batch", lambda *args, **options: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        body(batch, 1)
+    assert not list(tmp_path.iterdir())
+
+
 @pytest.mark.parametrize("kind", ["json_column", "changes"])
 def test_a_large_part_is_dealt_out_before_the_parse(spark, monkeypatch, kind):
     """A source's one part would be one task's, and what that task keeps of it would grow with it."""
